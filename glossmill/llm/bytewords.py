@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = b" \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 _IS_SPACE = np.zeros(256, bool)
@@ -134,7 +135,7 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20):
     """Pieces of a batch with about ``limit`` bytes of text each, or one longer document."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0), np.int64) if batch.num_rows else np.zeros(0, np.int64)
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64) if batch.num_rows else np.zeros(0, np.int64)
     part = np.cumsum(lengths) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
