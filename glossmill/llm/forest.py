@@ -196,7 +196,7 @@ ORACLE = """
 WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
 ), u AS (
-  SELECT vec_id, e FROM v WHERE sqrt(list_dot_product(e, e)) > 0 AND isfinite(list_dot_product(e, e)) AND NOT list_contains(e, NULL)
+  SELECT vec_id, e FROM v WHERE sqrt(list_dot_product(e, e)) > 0 AND isfinite(list_dot_product(e, e)) AND list_count(e) = len(e)
 ), link AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id
   WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.9
