@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,17 +41,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels
-
-
-def local_roots(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    """The smallest of 0 .. n - 1 that each one reaches by the edges x[i] - y[i]."""
-    root = np.arange(n)
-    while True:
-        before = root
-        low = np.minimum(root[x], root[y])
-        root = root.copy()
-        np.minimum.at(root, before[x], low)
-        np.minimum.at(root, before[y], low)
-        root = root[root]
-        if np.array_equal(before, root):
-            return root

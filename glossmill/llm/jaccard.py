@@ -4,8 +4,11 @@
    place in one global order, rare before frequent: sets become ordered sequences. (Any order
    gives the same links; a good one keeps common lines out of prefixes.)
 2. Documents of equal sets are one class. A class sends the first n - ceil(t n) + 1 members of its
-   sequence to buckets; two sets of similarity t must share one of them. Buckets answer with
-   edges along runs of fitting sizes, which chain into clusters: no link crosses clusters.
+   sequence to buckets, and learns which of them other classes of a fitting size sent too: two
+   sets of similarity t must share one. For those it sends a parity signature of its whole set.
+   Signatures differ in no more bits than sets differ in members, so pairs whose signatures lie
+   too far apart are no links; what remains chains into clusters, which no link crosses. Buckets
+   answer with edges that span their part of a cluster, never with pairs.
 3. The sets of a cluster meet in blocks of bounded size (by size class where a cluster is larger
    than a block). A block stores its sequences in a trie; each set walks it, carrying the overlap
    that a path shares, and leaves a subtree once the members left cannot reach the threshold.
@@ -27,13 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.llm.bytewords import Block, mix, slices, window_hashes
-from glossmill.llm.components import components, local_roots
+from glossmill.llm.components import components
 from glossmill.llm.frames import cut, pieces
 
 COUNTERS = 1 << 19
 BLOCK_SETS = 1500
 BLOCK_SHINGLES = 3_000_000
-_SIGNATURE = 1024
 
 
 def _shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -69,6 +71,23 @@ def _fingerprints(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.
     )
 
 
+def _width(n: int) -> int:
+    """Bits of a signature of n members: a power of two, so that a wide one folds to a narrow one."""
+    return 1 << max(8, (2 * max(n, 1) - 1).bit_length())
+
+
+def _signature(keys: np.ndarray, width: int) -> np.ndarray:
+    """The parity of how many members fall on each bit."""
+    return np.packbits(np.bincount((keys & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).view(np.uint64)
+
+
+def _apart(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """In how many bits signatures differ at least, after folding the wider ones."""
+    while many.shape[1] > len(one):
+        many = many[:, : many.shape[1] // 2] ^ many[:, many.shape[1] // 2 :]
+    return np.bitwise_count(many ^ one).sum(axis=1, dtype=np.int64)
+
+
 def _count(docs: DataFrame, k: int) -> np.ndarray:
     """How often shingles fall on each of COUNTERS counters, over all documents."""
 
@@ -130,10 +149,8 @@ def _link_block(keys: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     trie = Trie(rows)
     sizes = trie.sizes
     m = len(rows)
-    bits = np.zeros((m, _SIGNATURE), np.uint8)
-    for i, r in enumerate(rows):
-        bits[i] = np.bincount(r % _SIGNATURE, minlength=_SIGNATURE) & 1
-    signature = np.packbits(bits, axis=1).view(np.uint64)
+    width = _width(int(sizes.max()))
+    signature = np.array([_signature(keys[i], width) for i in order])
     root = np.arange(m)
     member = np.zeros(len(flat) + 1, bool)
     for a in range(1 if not across else 0, m):
@@ -144,8 +161,7 @@ def _link_block(keys: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
         at = np.flatnonzero(fits)
         if not len(at):
             continue
-        # |A xor B| is at least the number of parity bits in which the signatures differ.
-        apart = np.bitwise_count(signature[at] ^ signature[a]).sum(axis=1, dtype=np.int64)
+        apart = _apart(signature[a], signature[at])
         at = at[apart * (num + den) <= (den - num) * (sizes[at] + sizes[a])]
         if not len(at):
             continue
@@ -181,6 +197,25 @@ def _link_block(keys: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     return order, root
 
 
+def _chain_list(own: np.ndarray, sizes: np.ndarray, marks: list[np.ndarray], root: np.ndarray, num: int, den: int) -> None:
+    """Join in ``root`` the classes of one list, in order of size, that signatures don't tell apart."""
+    n = sizes[own]
+    for width in {len(marks[i]) for i in own}:
+        low = np.flatnonzero([len(marks[i]) == width for i in own])
+        reach = np.flatnonzero([width <= len(marks[i]) <= 2 * width for i in own])
+        table = np.array([marks[i] if len(marks[i]) == width else marks[i][:width] ^ marks[i][width:] for i in own[reach]])
+        for x in low.tolist():
+            fits = (reach > x) & (n[x] * den >= num * n[reach]) & (root[own[reach]] != root[own[x]])
+            if not fits.any():
+                continue
+            at = np.flatnonzero(fits)
+            apart = _apart(marks[own[x]], table[at])
+            for y in own[reach[at[apart * (num + den) <= (den - num) * (n[x] + n[reach[at]])]]]:
+                a, b = sorted((int(root[own[x]]), int(root[y])))
+                if a != b:
+                    root[root == b] = a
+
+
 def similar_documents(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -206,43 +241,96 @@ def similar_documents(
                 n = np.diff(bounds)
                 s1, s2 = _fingerprints(keys, bounds)
                 first = [keys[a : a + c - -(-num * c // den) + 1].tobytes() if c else b"" for a, c in zip(bounds.tolist(), n.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(s1), pa.array(s2), pa.array(first, pa.binary())], ["doc_id", "n", "s1", "s2", "prefix"])
+                marks = [_signature(keys[a : a + c], _width(c)).tobytes() if c else b"" for a, c in zip(bounds.tolist(), n.tolist())]
+                columns = [part.column(0), pa.array(n, pa.int64()), pa.array(s1), pa.array(s2), pa.array(first, pa.binary()), pa.array(marks, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "prefix", "marks"])
 
-    profiles = cut(docs.mapInArrow(profile, "doc_id long, n long, s1 long, s2 long, prefix binary"))
+    profiles = cut(docs.mapInArrow(profile, "doc_id long, n long, s1 long, s2 long, prefix binary, marks binary"))
     classes = profiles.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     # Sets whose sizes admit no other size but their own can only equal each other, as classes do.
     grows = (F.floor(F.col("n") * den / num) > F.col("n")) | (F.ceil(F.col("n") * num / den) < F.col("n"))
-    heads = profiles.join(classes.where(grows).select("s1", "s2", F.col("rep").alias("doc_id")), ["doc_id", "s1", "s2"]).dropDuplicates(["doc_id", "s1", "s2"])
-    sent = heads.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("b")).first()["b"]
-    n_buckets = pieces(2.5 * sent, 16 << 20, 48)
-
-    def send(batches):
-        for batch in batches:
-            first = batch.column(2).to_pylist()
-            tokens = np.frombuffer(b"".join(first), np.uint64)
-            which = np.repeat(np.arange(len(first)), [len(f) // 8 for f in first])
-            reps, sizes = batch.column(0).to_numpy()[which], batch.column(1).to_numpy()[which].astype(np.int32)
-            bucket = ((mix(tokens) >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            used = np.flatnonzero(np.diff(cuts))
-            columns = [pa.array([x[order[cuts[b] : cuts[b + 1]]].tobytes() for b in used], pa.binary()) for x in (tokens, reps, sizes)]
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *columns], ["bucket", "tokens", "reps", "sizes"])
+    chosen = classes.where(grows).select("s1", "s2", F.col("rep").alias("doc_id"))
+    size = profiles.agg(F.coalesce(F.sum(F.length("prefix")), F.lit(0)).alias("prefix"), F.coalesce(F.sum(F.length("marks")), F.lit(0)).alias("marks")).first()
+    n_chunks, n_buckets = pieces(size["prefix"] + size["marks"], 2 << 20), pieces(2 * size["prefix"], 16 << 20, 48)
+    heads = profiles.join(chosen, ["doc_id", "s1", "s2"]).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "s1"), F.lit(n_chunks)).cast("int"))
+    heads = heads.select("chunk", "doc_id", "n", "s1", "prefix", "marks").repartition("chunk")
+
+    def postings(group: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A chunk's classes in order, and its postings bucket by bucket: token and class."""
+        group = group.sort_by([("doc_id", "ascending"), ("s1", "ascending")])
+        same = np.r_[False, (np.diff(group["doc_id"].to_numpy()) == 0) & (np.diff(group["s1"].to_numpy()) == 0)] if group.num_rows > 1 else np.zeros(group.num_rows, bool)
+        group = group.filter(pa.array(~same))
+        first = group["prefix"].to_pylist()
+        tokens = np.frombuffer(b"".join(first), np.uint64)
+        which = np.repeat(np.arange(len(first)), [len(f) // 8 for f in first])
+        bucket = ((mix(tokens) >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        return group, tokens[order], which[order], cuts, np.flatnonzero(np.diff(cuts))
+
+    def ask(group: pa.Table) -> pa.Table:
+        chunk = group["chunk"][0].as_py()
+        group, tokens, which, cuts, used = postings(group)
+        sizes = group["n"].to_numpy().astype(np.int32)[which]
+        columns = [pa.array([x[cuts[b] : cuts[b + 1]].tobytes() for b in used], pa.binary()) for x in (tokens, sizes)]
+        return pa.table([pa.array([chunk] * len(used), pa.int32()), pa.array(used, pa.int32()), *columns], ["chunk", "bucket", "tokens", "sizes"])
+
+    def tell(group: pa.Table) -> pa.Table:
+        """Which postings have another of a fitting size next to them in their token's list."""
+        rows = group["tokens"].to_pylist()
+        ends = np.cumsum([0, *(len(r) // 8 for r in rows)])
+        tokens, sizes = np.frombuffer(b"".join(rows), np.uint64), np.frombuffer(b"".join(group["sizes"].to_pylist()), np.int32).astype(np.int64)
+        order = np.lexsort((sizes, tokens))
+        near = (tokens[order][1:] == tokens[order][:-1]) & (sizes[order][:-1] * den >= num * sizes[order][1:])
+        met = np.zeros(len(tokens), bool)
+        met[order[1:]] |= near
+        met[order[:-1]] |= near
+        bits = [np.packbits(met[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
+        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "bits": pa.array(bits, pa.binary())})
+
+    def offer(group: pa.Table, told: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if group.num_rows and told.num_rows:
+            group, tokens, which, cuts, _ = postings(group)
+            reps, sizes, marks = group["doc_id"].to_numpy(), group["n"].to_numpy(), group["marks"].to_pylist()
+            for b, bits in zip(told["bucket"].to_pylist(), told["bits"].to_pylist()):
+                at = cuts[b] + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[b + 1] - cuts[b]))
+                if len(at):
+                    classes, own = np.unique(which[at], return_inverse=True)
+                    out.append((b, tokens[at].tobytes(), own.astype(np.int32).tobytes(), reps[classes].tobytes(), sizes[classes].tobytes(), b"".join(marks[c] for c in classes)))
+        columns = list(zip(*out)) or [()] * 6
+        return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "tokens", "own", "reps", "sizes", "marks"])
 
     def chain(group: pa.Table) -> pa.Table:
-        tokens, reps, sizes = (np.frombuffer(b"".join(group[c].to_pylist()), t) for c, t in (("tokens", np.uint64), ("reps", np.int64), ("sizes", np.int32)))
-        order = np.lexsort((reps, sizes, tokens))
-        tokens, reps, sizes = tokens[order], reps[order], sizes[order].astype(np.int64)
-        near = (tokens[1:] == tokens[:-1]) & (sizes[:-1] * den >= num * sizes[1:]) & (reps[1:] != reps[:-1])
-        at = np.flatnonzero(near)
-        nodes, ends = np.unique(np.r_[reps[at], reps[at + 1]], return_inverse=True)
-        roots = local_roots(ends[: len(at)], ends[len(at) :], len(nodes))
-        own = roots != np.arange(len(nodes))
-        return pa.table({"a": nodes[own], "b": nodes[roots[own]]})
-
-    edges = heads.select("doc_id", "n", "prefix").mapInArrow(send, "bucket int, tokens binary, reps binary, sizes binary").groupBy("bucket").applyInArrow(chain, "a long, b long")
+        tokens, own, reps, sizes, marks, seen = [], [], [], [], [], 0
+        for t, o, r, n, m in zip(*(group[c].to_pylist() for c in ("tokens", "own", "reps", "sizes", "marks"))):
+            tokens.append(np.frombuffer(t, np.uint64))
+            own.append(np.frombuffer(o, np.int32).astype(np.int64) + seen)
+            reps.append(np.frombuffer(r, np.int64))
+            sizes.append(np.frombuffer(n, np.int64))
+            at = 0
+            for k in sizes[-1].tolist():
+                marks.append(np.frombuffer(m, np.uint64, _width(k) // 64, at))
+                at += _width(k) // 8
+            seen += len(reps[-1])
+        tokens, own, reps, sizes = (np.concatenate(x) for x in (tokens, own, reps, sizes))
+        order = np.lexsort((reps[own], sizes[own], tokens))
+        tokens, own = tokens[order], own[order]
+        root = np.arange(len(reps))
+        cuts = np.r_[0, np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, len(tokens)]
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            if b - a > 1:
+                _chain_list(own[a:b], sizes, marks, root, num, den)
+        nodes = reps[root]
+        apart = nodes != reps
+        return pa.table({"a": reps[apart], "b": nodes[apart]})
+
+    asked = heads.groupBy("chunk").applyInArrow(ask, "chunk int, bucket int, tokens binary, sizes binary")
+    told = asked.groupBy("bucket").applyInArrow(tell, "chunk int, bucket int, bits binary")
+    offered = heads.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(offer, "bucket int, tokens binary, own binary, reps binary, sizes binary, marks binary")
+    edges = offered.groupBy("bucket").applyInArrow(chain, "a long, b long")
     clusters = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
-    members = cut(heads.select("doc_id", "n", "s1").join(clusters, "doc_id"))
+    members = cut(profiles.select("doc_id", "n", "s1", "s2").join(chosen, ["doc_id", "s1", "s2"]).distinct().join(clusters, "doc_id"))
     linked = components(_linked(docs, members, counts, words, num, den, block_sets, block_shingles))
 
     keyed = profiles.join(classes, ["s1", "s2", "n"], "left").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
