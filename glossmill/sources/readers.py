@@ -97,10 +97,11 @@ def _parsed(whole: DataFrame, kind: str) -> DataFrame:
 def record_tables(spark: SparkSession, path: str) -> DataFrame:
     """tbl, id, field, source, record (all fields), seq of a folder of record tables."""
     tables = _parsed(_whole(spark, path), "map<string,map<string,string>>").select(F.regexp_replace(_base(F.col("path")), r"\.json$", "").alias("tbl"), "v")
-    records = tables.select("tbl", F.posexplode("v").alias("r", "id", "record"))
-    fields = records.select("tbl", "r", "id", "record", F.posexplode("record").alias("f", "field", "source"))
-    seq = F.col("r").cast("long") * (1 << 20) + F.col("f")
-    return fields.select("tbl", "id", "field", "source", "record", seq.alias("seq"))
+    # A repeated key keeps its first place and its last value, as a dictionary does.
+    records = tables.select("tbl", F.posexplode("v").alias("r", "id", "record")).groupBy("tbl", "id").agg(F.min("r").alias("first"), F.max_by("record", "r").alias("record"))
+    fields = records.select("tbl", "id", "first", "record", F.posexplode("record").alias("f", "field", "source"))
+    seq = F.col("first").cast("long") * (1 << 20) + F.col("f")
+    return fields.groupBy("tbl", "id", "field").agg(F.max_by("source", "f").alias("source"), F.first("record").alias("record"), F.min(seq).alias("seq"))
 
 
 def master_entries(source: DataFrame, target: DataFrame | None) -> DataFrame:
@@ -183,11 +184,11 @@ def log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a JSONL log with ``seq``; a last line that was cut off is dropped, any other fails."""
     kinds = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("whole"), F.col("_metadata.file_path").alias("path"))
     lines = kinds.select("path", F.col("whole").rlike(r"\n\z").alias("ended"), F.posexplode(F.split("whole", "\n")).alias("at", "line"), F.size(F.split("whole", "\n")).alias("n")).where("trim(line) <> ''")
-    rows = lines.withColumn("v", F.from_json("line", f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
-    cut_off = F.col("v._bad").isNotNull() & ~F.col("ended") & (F.col("at") == F.col("n") - 1)
-    assert_none(rows.where(F.col("v._bad").isNotNull() & ~cut_off).select("path", "at"), "log lines that don't parse")
+    rows = lines.withColumn("bad", F.get_json_object("line", "$").isNull())
+    cut_off = F.col("bad") & ~F.col("ended") & (F.col("at") == F.col("n") - 1)
+    assert_none(rows.where(F.col("bad") & ~cut_off).select("path", "at"), "log lines that don't parse")
     seq = F.struct(_path_order(F.col("path")).alias("p"), "at")
-    return rows.where(~cut_off).select("v.*", seq.alias("seq")).drop("_bad")
+    return rows.where(~F.col("bad")).select(F.from_json("line", schema).alias("v"), seq.alias("seq")).select("v.*", "seq")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
