@@ -182,7 +182,7 @@ def captured(spark: SparkSession, path: str) -> DataFrame:
 
 def log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a JSONL log with ``seq``; a last line that was cut off is dropped, any other fails."""
-    kinds = spark.read.option("wholetext", True).text(path).select(F.col("value").alias("whole"), F.col("_metadata.file_path").alias("path"))
+    kinds = spark.read.text(path, wholetext=True).select(F.col("value").alias("whole"), F.col("_metadata.file_path").alias("path"))
     lines = kinds.select("path", F.col("whole").rlike(r"\n\z").alias("ended"), F.posexplode(F.split("whole", "\n")).alias("at", "line"), F.size(F.split("whole", "\n")).alias("n")).where("trim(line) <> ''")
     rows = lines.withColumn("bad", F.get_json_object("line", "$").isNull())
     cut_off = F.col("bad") & ~F.col("ended") & (F.col("at") == F.col("n") - 1)
