@@ -160,7 +160,8 @@ def substring_dedup(
         raise ValueError("a window has at least one word")
     total = text_bytes(docs, text)
     n_buckets = pieces(total, bucket_bytes, 48)
-    chunks = dealt(docs, doc_id, text, pieces(total, chunk_bytes), carry)
+    dealt_as = {text: "text", doc_id: "doc_id"}
+    chunks = dealt(docs, doc_id, text, pieces(total, chunk_bytes), tuple(c for c in carry if c not in dealt_as))
     size = (window + 1) // 2
 
     def ask_anchors(table: pa.Table) -> pa.Table:
@@ -210,7 +211,7 @@ def substring_dedup(
             kept.append(b" ".join(words if own.all() else compress(words, own.tolist())))
         removed = block.n_words - np.add.reduceat(np.r_[keep, 0].astype(np.int64), np.minimum(block.word_bounds[:-1], len(keep))) * (block.n_words > 0)
         out = {"doc_id": table["doc_id"], "kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "n_words": pa.array(block.n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
-        return pa.table(out | {c: table[c] for c in carry})
+        return pa.table(out | {c: table[dealt_as.get(c, c)] for c in carry})
 
     kinds = dict(docs.select(*carry).dtypes)
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", `{c}` {kinds[c]}" for c in carry)
