@@ -10,7 +10,7 @@ from glossmill.operators.quality import reason
 
 # Categories that a model may give.
 CATEGORIES = (
-    "character", "group", "agency", "song", "event", "location", "organization", "product", "story_title", "skill", "other",
+    "character", "group", "agency", "song", "event", "story_title", "costume", "item", "place", "organization", "other",
 )
 
 

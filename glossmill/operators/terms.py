@@ -96,7 +96,7 @@ def audit_category(table: str = "tbl", field: str = "field") -> Column:
     return (
         F.when((t == "Music") & f.isin("composer", "lyricist", "arranger"), "music_credit")
         .when((t == "Music") & f.isin("name", "description"), "song")
-        .when((t == "Character") & f.rlike("(?i)name"), "character")
+        .when((t == "Character") & f.isin("name", "firstName", "lastName", "fullName"), "character")
         .when(t.contains("Group") & (f == "name"), "group")
         .when(t.contains("Event") & (f == "name"), "event")
         .otherwise("text")

@@ -84,7 +84,7 @@ def test_findings(spark):
 
 def test_evidence(spark):
     kind = "job_id string, terms array<struct<source:string,category:string,suggested_translation:string,evidence:array<string>>>"
-    good = ("青い鍵", "product", "蓝钥匙", ["r1"])
+    good = ("青い鍵", "item", "蓝钥匙", ["r1"])
     given = [good, good, ("青い鍵", "thing", "", ["r1"]), ("青い鍵", "song", "", []), ("青い鍵", "song", "", ["r9"]), ("赤", "song", "", ["r1"]), ("青い鍵", "event", "", ["r1", "r1"]), ("{0}", "song", "", ["r1"]), ("作", "song", "", ["r2"])]
     rows = spark.createDataFrame([("j", "r1", "青い鍵だ", False), ("j", "r2", "作詞：山", True)], "job_id string, row_id string, source string, is_credit boolean")
     found = evidence.checked(evidence.candidates(spark.createDataFrame([("j", given)], kind)), rows)
