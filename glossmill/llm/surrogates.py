@@ -45,7 +45,7 @@ _NAME_WORD = r"[^\W\d_a-zß-öø-ÿ][^\W\d_]+(?:-[^\W\d_]+)?"
 
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![0-9A-Za-z])(?:sk-[A-Za-z0-9]{20,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|(?=[0-9a-f]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,})(?![0-9A-Za-z])",
+    "secret": r"(?<![0-9A-Za-z])(?:sk-[A-Za-z0-9]{20,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|(?=[0-9a-f]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,}|(?=[0-9A-F]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{32,})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "card": r"(?<![\d-])(?:\d[ -]?){12,18}\d(?![\d])",
@@ -53,6 +53,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\w+.-])\d{3}[.-]\d{3}[.-]\d{4}(?!\d)",
     "name": rf"(?<!\w)(?P<title>{'|'.join(_GENDER)})\.?[\u00a0 ](?P<person>{_NAME_WORD}(?:[\u00a0 ]{_NAME_WORD}){{0,2}})",
 }
+_HEX = re.compile("[0-9A-Fa-f]{32,}")
 _FOUND = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in PATTERNS.items()))
 #: Texts without any of these hold no entity.
 _MAY = re.compile(rf"\d|@|(?<!\w)(?:{'|'.join(_GENDER)})\b|sk-|[ps]_")
@@ -173,7 +174,7 @@ def _parts(found: re.Match) -> list[tuple[str, str, str]]:
         roles = [f"given:{_script(w)}:{gender}" for w in words[:-1]]
         roles += [f"family:cyrillic:{gender}" if _script(w) == "cyrillic" else "family:latin" for w in words[-1:]]
         return [(role, w.casefold(), w) for role, w in zip(roles, words)]
-    if kind == "email":
+    if kind == "email" or kind == "secret" and _HEX.fullmatch(text):
         return [(kind, text.lower(), text)]
     if kind in ("card", "ssn"):
         return [(kind, re.sub(r"\D", "", text), text)]
@@ -196,7 +197,7 @@ def _written(kind: str, new: str, old: str) -> str:
         return "".join(c if c == " " else next(it, "") for c in old)
     if kind == "phone":
         return _refit(old, new.replace("|", ""))
-    if kind == "email" and old.isupper() or kind.startswith(("given", "family")) and old.isupper():
+    if (kind == "email" or _HEX.fullmatch(old)) and old.isupper() or kind.startswith(("given", "family")) and old.isupper():
         return new.upper()
     return new
 

@@ -162,6 +162,12 @@ def test_surrogates_stay_distinct(spark):
     assert len(got) == len(names) and len(set(new)) == len(names) and not set(new) & {n.lower() for n in names}
 
 
+def test_surrogates_keep_the_case_of_hexadecimal():
+    token = "1a6c4f7bcf8c070fc75a8f6f8ed4b9a36b13d44c"
+    low, high = (surrogates.replaced(t, {})[0] for t in (token, token.upper()))
+    assert low != token and low.islower() and high == low.upper()
+
+
 def test_surrogates_need_the_key():
     a, b = (surrogates.replaced("x@y.example.com", {}, key)[0] for key in (b"1", b"2"))
     assert a != b
