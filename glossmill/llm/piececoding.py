@@ -31,7 +31,8 @@ from glossmill.llm.bytewords import slices
 
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-CACHED = 400_000
+CACHED = 1_000_000  # some 200 MB of a Python worker
+PAIRS = 400_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -43,16 +44,19 @@ def default_model() -> str:
 
 
 class Segments(dict):
-    """Segment to its ids, as the bytes of 32-bit numbers; forgets all when full."""
+    """Segment to its ids, as the bytes of 32-bit numbers; forgets all when full.
 
-    def __init__(self, table: PieceTable) -> None:
+    head: what stands before every key of this table.
+    """
+
+    def __init__(self, table: PieceTable, head: str = "") -> None:
         super().__init__()
-        self.table = table
+        self.table, self.head = table, head
 
     def __missing__(self, segment: str) -> bytes:
         if len(self) >= CACHED:
             self.clear()
-        ids = self[segment] = np.array(self.table.encode_segment(segment), np.int32).tobytes()
+        ids = self[segment] = np.array(self.table.encode_segment(self.head + segment), np.int32).tobytes()
         return ids
 
 
@@ -87,7 +91,7 @@ class PieceTable:
         surface[model.unk_id()] = " ⁇ ".encode()
         self.surface = surface
         self._splits: dict[tuple[int, int], bool] = {}
-        self.segments = Segments(self)
+        self.segments, self.marked = Segments(self), Segments(self, MARK)
 
     def _merged(self, text: str) -> list[str]:
         """What merging best-scored neighbours first, leftmost of equals, leaves of a short text."""
@@ -110,7 +114,7 @@ class PieceTable:
         key = (left, right)
         known = self._splits.get(key)
         if known is None:
-            if len(self._splits) >= CACHED:
+            if len(self._splits) >= PAIRS:
                 self._splits.clear()
             a, b = self.pieces[left], self.pieces[right]
             known = self._splits[key] = self._merged(a + b) == [a, b]
@@ -153,8 +157,18 @@ class PieceTable:
         end = self.end_id.to_bytes(4, "little")
         if not text:
             return end
-        found = _SEGMENT.findall(MARK + text.replace(" ", MARK))
-        return b"".join(map(self.segments.__getitem__, found)) + end
+        if text[0] == " " or "  " in text or MARK in text:  # runs of marks
+            return b"".join(map(self.segments.__getitem__, _SEGMENT.findall(MARK + text.replace(" ", MARK)))) + end
+        out: list[bytes] = []
+        for i, line in enumerate(text.split("\n")):
+            words = line.split(" ")
+            if i:  # no mark before the first word of a further line
+                out.append(self.segments["\n"])
+                first = words.pop(0)
+                if first:
+                    out.append(self.segments[first])
+            out += map(self.marked.__getitem__, words)
+        return b"".join(out) + end
 
     def decode(self, ids: list[int]) -> str:
         whole = b"".join(map(self.surface.__getitem__, ids))
