@@ -1,9 +1,16 @@
 """Operator 3: embedding near-dedup by a forest of random-projection trees.
 
-Equal vectors are one class first, however many rows share them. Each tree splits the classes
+Equal vectors are one class first, however many rows share them. Where classes lie dense, trees
+would part near copies at every level, so dense places have cells of their own, whose links are
+found exactly: leaders are vectors of the sample with many near ones there, a class is at home with
+the closest leader that it links with, and a cell holds the classes at home with its leader and as
+visitors all others within twice the threshold's angle, so any class that one at home can link
+with. Those within half the angle all link with one another, which sums tell; other pairs of a cell
+are compared block by block, each pair of blocks in a task of its own. Pairs of two classes without
+a home are left to the trees. Each tree splits these classes
 recursively: a random direction, the median of the projections on it, and two children that
 overlap by ``spill`` of the rows on either side of the median, so that near pairs seldom part.
-Splits are fitted on a bounded sample (``sample_rows``); every class is routed through every tree.
+Splits are fitted on a bounded sample (``sample_rows``); every such class is routed through every tree.
 Within a leaf all pairs are compared in double precision, block by block. A pair that meets in
 several leaves counts in the first of them alone, which both rows' leaf lists tell, so leaves give
 sums of links and spanning edges but no pairs. Components are the union of the edges.
@@ -29,6 +36,8 @@ SPILL = 0.06
 LEAF = 600
 SAMPLE_ROWS = 32_768
 _BLOCK = 1024
+_FOUND = "rep long, links long, hub long"
+_CELL_BLOCK = 256  # a cell of m classes is compared in blocks of sqrt(256 m) of them, so in m / 256 pairs of blocks
 
 
 class Tree:
@@ -89,6 +98,124 @@ def _first_meeting(lists: list[np.ndarray], i: np.ndarray, j: np.ndarray, tree:
     return alive
 
 
+def _leaders(sample: np.ndarray, threshold: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Leaders of dense places, and the rows of the sample that are at home with none.
+
+    A row is dense if ``least`` rows of the sample link with it; the densest lead, and every dense
+    row leads or links with a leader."""
+    near = sample.astype(np.float32)
+    n = np.concatenate([(near[at : at + _BLOCK] @ near.T >= threshold).sum(axis=1) for at in range(0, len(near), _BLOCK)] or [np.zeros(0, np.int64)])
+    homeless = np.ones(len(sample), bool)
+    leaders = []
+    for i in np.argsort(-n, kind="stable"):
+        if n[i] <= least:
+            break
+        if homeless[i]:
+            leaders.append(i)
+            homeless &= sample @ sample[i] < threshold
+            homeless[i] = False
+    return sample[leaders], sample[homeless]
+
+
+def _unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest row that these links reach, over and over."""
+    while True:
+        low = np.minimum(root[x], root[y])
+        before = root.copy()
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        np.minimum.at(root, before[x], low)
+        np.minimum.at(root, before[y], low)
+        root = root[root]
+        if np.array_equal(before, root):
+            return root
+
+
+def _in_cells(classes: DataFrame, leaders: np.ndarray, d: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links and edges of all pairs with a class at home in some cell, and the classes without a home.
+
+    A pair counts in the home of lower number, so no class visits a cell of higher number than its
+    own home's."""
+    half = np.sqrt((1 + threshold) / 2) + 1e-7  # so near the leader, two rows surely link
+    far = 2 * threshold * threshold - 1 - 1e-7 if threshold > 0 else -2.0
+    shared = classes.sparkSession.sparkContext.broadcast(leaders)
+    n_cells = len(leaders)
+
+    def place(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                unit = matrix(part.column(0), d)
+                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+                close = unit @ shared.value.T
+                home = close.argmax(axis=1)
+                top = close[np.arange(len(home)), home]
+                home[top < threshold] = -1
+                visits = (close >= far) & (np.arange(n_cells) < np.where(home < 0, n_cells, home)[:, None])
+                bounds = np.r_[0, np.cumsum(visits.sum(axis=1))].astype(np.int32)
+                cells = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.nonzero(visits)[1].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home.astype(np.int32)), pa.array(top >= half), cells], ["v", "rep", "n", "home", "core", "visits"])
+
+    placed = cut(classes.mapInArrow(place, "v array<float>, rep long, n long, home int, core boolean, visits array<int>"))
+    at_home = F.when(F.col("core"), 0).otherwise(1).alias("part")
+    here = placed.where("home >= 0").select("v", "rep", "n", F.col("home").alias("cell"), at_home)
+    here = here.unionByName(placed.select("v", "rep", "n", F.explode("visits").alias("cell"), F.lit(2).alias("part")))
+    blocks = np.zeros((n_cells, 3), np.int64)  # of the core, of the others at home, of visitors
+    for r in here.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("m")).collect():
+        blocks[r["cell"], r["part"]] = max(1, round(np.sqrt(r["m"] / _CELL_BLOCK)))
+
+    def deal(batches):
+        for batch in batches:
+            cell, part, salt = (batch.column(k).to_numpy() for k in (3, 4, 5))
+            count = blocks[cell]
+            first = np.c_[np.zeros(len(cell), np.int64), np.cumsum(count, axis=1)]
+            own = first[np.arange(len(cell)), part] + salt % np.maximum(count[np.arange(len(cell)), part], 1)
+            low = np.where(part == 0, first[:, 1], 0)  # the core meets all but itself, visitors all but visitors
+            high = np.where(part == 2, first[:, 2], first[:, 3])
+            times = high - low
+            for at in range(0, len(cell), 1024):
+                who = np.repeat(np.arange(at, min(at + 1024, len(cell))), times[at : at + 1024])
+                if len(who):
+                    begin = np.cumsum(times[at : at + 1024]) - times[at : at + 1024]
+                    other = low[who] + np.arange(len(who)) - begin[who - at]
+                    a, b = np.minimum(own[who], other), np.maximum(own[who], other)
+                    v, rep, n = (batch.column(k).take(pa.array(who)) for k in range(3))
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (cell[who].astype(np.int32), a.astype(np.int32), b.astype(np.int32), own[who] != a)), v, rep, n], ["cell", "a", "b", "second", "v", "rep", "n"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("second", "ascending"), ("rep", "ascending")])
+        rep, n = group["rep"].to_numpy(), group["n"].to_numpy()
+        unit = matrix(group["v"], d)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        m = len(rep)
+        whole = group["a"][0].as_py() == group["b"][0].as_py()
+        side = 0 if whole else m - int(np.count_nonzero(group["second"].to_numpy()))
+        links, root = np.zeros(m, np.int64), np.arange(m)
+        for a in range(0, m if whole else side, _BLOCK):
+            x = np.arange(a, min(a + _BLOCK, m if whole else side))
+            for b in range(a if whole else side, m, _BLOCK):
+                y = np.arange(b, min(b + _BLOCK, m))
+                near = unit[x] @ unit[y].T >= threshold
+                if whole and a == b:
+                    near = np.triu(near, 1)
+                if near.any():
+                    links[x] += (near @ n[y].astype(np.float64)).astype(np.int64)
+                    links[y] += (n[x].astype(np.float64) @ near).astype(np.int64)
+                    i, j = np.nonzero(near & (root[x][:, None] != root[y][None, :]))
+                    if len(i):
+                        root = _unite(root, x[i], y[j])
+        seen = links > 0
+        return pa.table({"rep": rep[seen], "links": links[seen], "hub": rep[root[seen]]})
+
+    salted = here.select("v", "rep", "n", "cell", "part", F.pmod(F.xxhash64("rep"), F.lit(1 << 30)).alias("salt"))
+    dealt = salted.mapInArrow(deal, "cell int, a int, b int, second boolean, v array<float>, rep long, n long")
+    found = dealt.groupBy("cell", "a", "b").applyInArrow(compare, _FOUND)
+    core = placed.where("home >= 0 AND core").select("rep", "n", "home")
+    whole = core.groupBy("home").agg(F.sum("n").alias("all"), F.min("rep").alias("hub"))
+    inner = core.join(F.broadcast(whole), "home").select("rep", (F.col("all") - F.col("n")).alias("links"), "hub")
+    return found.unionByName(inner), placed.where("home < 0").select("v", "rep", "n")
+
+
 def near_duplicates(
     table: DataFrame,
     vec_id: str = "vec_id",
@@ -115,6 +242,7 @@ def near_duplicates(
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     rng = np.random.default_rng(seed)
     stop = max(24, int(leaf * rate))
+    leaders, sample = _leaders(sample, threshold, max(8, stop // 3))
     forest = [Tree(sample, stop, spill, rng) for _ in range(trees)]
     shared = table.sparkSession.sparkContext.broadcast(forest)  # at most trees x 2 sample_rows / 12 directions
 
@@ -159,21 +287,14 @@ def near_duplicates(
                     x, y = i[c : c + 200_000], j[c : c + 200_000]
                     first = _first_meeting(lists, x, y, tree, own)
                     links += np.bincount(x[first], weights=n[y[first]], minlength=m).astype(np.int64) + np.bincount(y[first], weights=n[x[first]], minlength=m).astype(np.int64)
-                    while True:  # the smallest row that these links reach, over and over
-                        low = np.minimum(root[x], root[y])
-                        before = root.copy()
-                        np.minimum.at(root, x, low)
-                        np.minimum.at(root, y, low)
-                        np.minimum.at(root, before[x], low)
-                        np.minimum.at(root, before[y], low)
-                        root = root[root]
-                        if np.array_equal(before, root):
-                            break
+                    root = _unite(root, x, y)
         seen = (links > 0) | (root != np.arange(m))
         return pa.table({"rep": rep[seen], "links": links[seen], "hub": rep[root[seen]]})
 
-    found = classes.select("v", "rep", "n").mapInArrow(deal, "leaf long, rep long, n long, v array<float>, leaves array<long>")
-    found = cut(found.groupBy("leaf").applyInArrow(compare, "rep long, links long, hub long"))
+    classes = classes.select("v", "rep", "n")
+    dense, homeless = _in_cells(classes, leaders, d, threshold) if len(leaders) else (None, classes)
+    found = homeless.mapInArrow(deal, "leaf long, rep long, n long, v array<float>, leaves array<long>").groupBy("leaf").applyInArrow(compare, _FOUND)
+    found = cut(found.unionByName(dense) if dense is not None else found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     united = components(found.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
     per_class = (

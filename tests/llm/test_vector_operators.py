@@ -45,6 +45,22 @@ def test_near_duplicates(frame, vectors):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
 
 
+@pytest.mark.parametrize("close", [0.99, 0.93])
+def test_near_duplicates_in_one_large_group(spark, close):
+    rng = np.random.default_rng(4)
+    unit = rng.standard_normal((3000, 64))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    unit[:1000] = np.sqrt(close) * unit[0] + np.sqrt(1 - close) * unit[:1000]
+    unit = unit.astype(np.float32)
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(unit)], "vec_id long, embedding array<float>")
+    unit = unit.astype(np.float64) / np.linalg.norm(unit.astype(np.float64), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r for r in forest.near_duplicates(table, leaf=60).collect()}
+    assert [got[i]["n_links"] for i in range(len(unit))] == near.sum(axis=1).tolist()
+    assert {got[i]["component_id"] for i in range(1000)} == {0}
+
+
 def test_nearest(frame, vectors):
     ids = np.array(sorted(vectors))
     all_ = np.array([vectors[i] for i in ids], np.float64)
