@@ -202,8 +202,8 @@ def _chain_list(own: np.ndarray, sizes: np.ndarray, marks: list[np.ndarray], roo
     n = sizes[own]
     for width in {len(marks[i]) for i in own}:
         low = np.flatnonzero([len(marks[i]) == width for i in own])
-        reach = np.flatnonzero([width <= len(marks[i]) <= 2 * width for i in own])
-        table = np.array([marks[i] if len(marks[i]) == width else marks[i][:width] ^ marks[i][width:] for i in own[reach]])
+        reach = np.flatnonzero([width <= len(marks[i]) for i in own])
+        table = np.array([np.bitwise_xor.reduce(marks[i].reshape(-1, width)) for i in own[reach]])
         for x in low.tolist():
             fits = (reach > x) & (n[x] * den >= num * n[reach]) & (root[own[reach]] != root[own[x]])
             if not fits.any():

@@ -103,6 +103,14 @@ def test_jaccard(spark, rows, k, percent, block):
         assert (r["n_shingles"], r["component_id"]) == (len(sets[r["doc_id"]]), want[r["doc_id"]])
 
 
+@pytest.mark.parametrize("percent", [10, 20, 40])
+def test_jaccard_of_sets_of_very_different_size(spark, percent):
+    long = {i: [f"w{i}_{k}" for k in range(1000)] for i in range(4)}
+    rows = [(i, " ".join(w)) for i, w in long.items()] + [(10 + i, " ".join(w[: 10 * percent + 1])) for i, w in long.items()]
+    got = jaccard.similar_documents(table(spark, rows), words=1, percent=percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i % 10 for i, _ in rows}
+
+
 def test_jaccard_null_id(spark):
     got = jaccard.similar_documents(spark.createDataFrame([(None, "a b c d"), (7, "a b c d")], "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(None, None), (7, 7)}
