@@ -6,20 +6,70 @@ import math
 import os
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``. Only a local session, whose
+    tasks all see the driver's disk, may do without one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or os.path.join(tempfile.gettempdir(), "glossmill-checkpoints")
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """``checkpoint()`` in the folder that the session names, or in one of our own if unset."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """``checkpoint()`` in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "glossmill-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)
 
 
+class IdFilter:
+    """A Bloom filter of ids: rows that it lets pass may be among them, all others are not.
+
+    Its bits grow with the number of ids up to ``MOST_BITS``, 32 MB, whatever the table; beyond
+    that it only lets more rows pass. It never decides by itself: what passes is joined as usual.
+    """
+
+    MOST_BITS = 1 << 28
+    SEEDS = (3, 5)
+
+    def __init__(self, ids: DataFrame, key: str) -> None:
+        self.key = key
+        self.bits = min(self.MOST_BITS, 1 << max(16, (16 * ids.count()).bit_length()))
+        at = ids.select(F.explode(F.array(*self._places())).alias("at"))
+        words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b"))
+        got = words.toArrow()  # at most MOST_BITS / 64 rows
+        table = np.zeros(self.bits // 64, np.uint64)
+        table[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
+        self.table = ids.sparkSession.sparkContext.broadcast(table)
+
+    def _places(self) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.col(self.key).cast("long"), F.lit(s)), F.lit(self.bits)) for s in self.SEEDS]
+
+    def passing(self, docs: DataFrame, inside: bool = True) -> DataFrame:
+        """Rows that may be among the ids, or with ``inside=False`` those that surely are not."""
+        names, kinds = docs.columns, docs.dtypes
+        shared = self.table
+
+        def run(batches):
+            table = shared.value
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for at in (c.to_numpy() for c in batch.columns[len(names) :]):
+                    keep &= (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
+                if (keep if inside else ~keep).any():
+                    yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep if inside else ~keep)) for c in batch.columns[: len(names)]], names)
+
+        tested = docs.select("*", *(at.alias(f"_at{i}") for i, at in enumerate(self._places())))
+        return tested.mapInArrow(run, ", ".join(f"`{c}` {kind}" for c, kind in kinds))
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     """Bytes of text in all rows: sets how many pieces work is dealt into, never what is kept."""
     return int(docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text)).cast("long")), F.lit(0)).alias("n")).first()["n"])
@@ -50,3 +100,11 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
+
+
+def fresh(name: str, taken: list[str] | tuple[str, ...]) -> str:
+    """The name, lengthened until no column has it; Spark doesn't tell case apart."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name += "_"
+    return name

@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.bytewords import Block, mix, slices, window_hashes
 from glossmill.llm.components import components
-from glossmill.llm.frames import cut, pieces
+from glossmill.llm.frames import IdFilter, cut, pieces
 
 COUNTERS = 1 << 19
 BLOCK_SETS = 1500
 BLOCK_SHINGLES = 3_000_000
+_SALTS = 64
 
 
 def _shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -246,7 +247,10 @@ def similar_documents(
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "prefix", "marks"])
 
     profiles = cut(docs.mapInArrow(profile, "doc_id long, n long, s1 long, s2 long, prefix binary, marks binary"))
-    classes = profiles.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
+    # A class may be a third of all rows: its members are reduced to one row a salt, and meet it there.
+    salted = profiles.select("doc_id", "n", "s1", "s2", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)).cast("int").alias("salt"))
+    by_salt = salted.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2", "n", "salt").agg(F.min("doc_id").alias("rep"))
+    classes = by_salt.groupBy("s1", "s2", "n").agg(F.min("rep").alias("rep"))
     # Sets whose sizes admit no other size but their own can only equal each other, as classes do.
     grows = (F.floor(F.col("n") * den / num) > F.col("n")) | (F.ceil(F.col("n") * num / den) < F.col("n"))
     chosen = classes.where(grows).select("s1", "s2", F.col("rep").alias("doc_id"))
@@ -333,7 +337,8 @@ def similar_documents(
     members = cut(profiles.select("doc_id", "n", "s1", "s2").join(chosen, ["doc_id", "s1", "s2"]).distinct().join(clusters, "doc_id"))
     linked = components(_linked(docs, members, counts, words, num, den, block_sets, block_shingles))
 
-    keyed = profiles.join(classes, ["s1", "s2", "n"], "left").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    of_salt = by_salt.drop("rep").join(classes, ["s1", "s2", "n"])
+    keyed = salted.join(of_salt, ["s1", "s2", "n", "salt"], "left").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
     joined = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return keyed.select("doc_id", F.col("n").alias("n_shingles"), joined.alias("component_id"))
 
@@ -383,7 +388,8 @@ def _linked(docs: DataFrame, members: DataFrame, counts, words: int, num: int, d
     placed = placed.select("doc_id", "s1", "cluster", tasks.alias("tasks"))
 
     kind = "array<struct<x1:int,x2:int,y1:int,y2:int,side:int>>"
-    met = docs.join(placed, "doc_id").select("doc_id", "text", "s1", "cluster", "tasks")
+    # Few documents lie in clusters: only their texts are shuffled.
+    met = IdFilter(members, "doc_id").passing(docs).join(placed, "doc_id").select("doc_id", "text", "s1", "cluster", "tasks")
     met = met.mapInArrow(sets, f"rep long, keys binary, cluster long, tasks {kind}").select("rep", "keys", "cluster", F.explode("tasks").alias("t"))
     met = met.select("rep", "keys", "cluster", "t.x1", "t.x2", "t.y1", "t.y2", "t.side")
 
