@@ -15,9 +15,10 @@ Within a leaf all pairs are compared in double precision, block by block. A pair
 several leaves counts in the first of them alone, which both rows' leaf lists tell, so leaves give
 sums of links and spanning edges but no pairs. Components are the union of the edges.
 
-Edge cases: null, zero or non-finite vectors, and such of another length than the longest, link
-with nothing (n_links 0, a component of their own); a null vec_id is left out; repeated vec_ids
-count as rows of one vector of that id. An empty table gives no rows.
+Edge cases: null, zero or non-finite vectors link with nothing (n_links 0, a component of their
+own); vectors link only with those of their own length; a null vec_id is left out; each row of a
+repeated vec_id counts as a vector, and the id gets the most links and the smallest component of
+its rows. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.components import components
 from glossmill.llm.frames import cut
-from glossmill.llm.vectors import matrix, parts
+from glossmill.llm.vectors import lengths, matrix, rows_of
 
 TREES = 12
 SPILL = 0.06
 LEAF = 600
 SAMPLE_ROWS = 32_768
+#: The sample has fewer rows if its vectors are long.
+SAMPLE_BYTES = 64 << 20
 _BLOCK = 1024
 _FOUND = "rep long, links long, hub long"
 _CELL_BLOCK = 256  # a cell of m classes is compared in blocks of sqrt(256 m) of them, so in m / 256 pairs of blocks
@@ -156,7 +159,7 @@ def _in_cells(classes: DataFrame, leaders: np.ndarray, d: int, threshold: float)
                 cells = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.nonzero(visits)[1].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home.astype(np.int32)), pa.array(top >= half), cells], ["v", "rep", "n", "home", "core", "visits"])
 
-    placed = cut(classes.mapInArrow(place, "v array<float>, rep long, n long, home int, core boolean, visits array<int>"))
+    placed = cut(classes.mapInArrow(place, "v array<double>, rep long, n long, home int, core boolean, visits array<int>"))
     at_home = F.when(F.col("core"), 0).otherwise(1).alias("part")
     here = placed.where("home >= 0").select("v", "rep", "n", F.col("home").alias("cell"), at_home)
     here = here.unionByName(placed.select("v", "rep", "n", F.explode("visits").alias("cell"), F.lit(2).alias("part")))
@@ -208,7 +211,7 @@ def _in_cells(classes: DataFrame, leaders: np.ndarray, d: int, threshold: float)
         return pa.table({"rep": rep[seen], "links": links[seen], "hub": rep[root[seen]]})
 
     salted = here.select("v", "rep", "n", "cell", "part", F.pmod(F.xxhash64("rep"), F.lit(1 << 30)).alias("salt"))
-    dealt = salted.mapInArrow(deal, "cell int, a int, b int, second boolean, v array<float>, rep long, n long")
+    dealt = salted.mapInArrow(deal, "cell int, a int, b int, second boolean, v array<double>, rep long, n long")
     found = dealt.groupBy("cell", "a", "b").applyInArrow(compare, _FOUND)
     core = placed.where("home >= 0 AND core").select("rep", "n", "home")
     whole = core.groupBy("home").agg(F.sum("n").alias("all"), F.min("rep").alias("hub"))
@@ -229,22 +232,32 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept (see the module for edge cases)."""
     everyone = table.select(F.col(vec_id).cast("long").alias("vec_id")).where("vec_id IS NOT NULL").groupBy("vec_id").agg(F.count(F.lit(1)).alias("times"))
-    rows, d, _ = parts(table, vec_id, vector)
+    rows = rows_of(table, vec_id, vector)
+    linked = table.sparkSession.createDataFrame([], "vec_id long, n_links long, component_id long")
+    for d in lengths(rows):
+        own = rows.where(F.size("v") == d)
+        linked = linked.unionByName(own.join(_of_length(own, d, threshold, trees, spill, leaf, sample_rows, seed), "v").drop("v"))
+    linked = linked.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+    out = everyone.join(linked, "vec_id", "left").select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
+    )
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: float, leaf: int, sample_rows: int, seed: int) -> DataFrame:
+    """(v, n_links, component_id) of each class of equal vectors, all of d components."""
     classes = cut(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
     n_classes = classes.count()
-    if not n_classes:
-        alone = everyone.withColumn("n_links", F.lit(0).cast("long"))
-        return alone.select("vec_id", "n_links", F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-
+    sample_rows = max(1024, min(sample_rows, SAMPLE_BYTES // (8 * d)))
     rate = min(1.0, sample_rows / n_classes)
     spread = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1
-    sample = np.array([r["v"] for r in classes.where(spread).select("v").limit(2 * sample_rows).collect()], np.float64).reshape(-1, d)
+    sample = matrix(classes.where(spread).select("v").limit(2 * sample_rows).toArrow()["v"], d)
     sample /= np.linalg.norm(sample, axis=1, keepdims=True)
     rng = np.random.default_rng(seed)
     stop = max(24, int(leaf * rate))
     leaders, sample = _leaders(sample, threshold, max(8, stop // 3))
     forest = [Tree(sample, stop, spill, rng) for _ in range(trees)]
-    shared = table.sparkSession.sparkContext.broadcast(forest)  # at most trees x 2 sample_rows / 12 directions
+    shared = rows.sparkSession.sparkContext.broadcast(forest)  # at most trees x 2 sample_rows / 12 directions
 
     def deal(batches):
         for batch in batches:
@@ -293,20 +306,15 @@ def near_duplicates(
 
     classes = classes.select("v", "rep", "n")
     dense, homeless = _in_cells(classes, leaders, d, threshold) if len(leaders) else (None, classes)
-    found = homeless.mapInArrow(deal, "leaf long, rep long, n long, v array<float>, leaves array<long>").groupBy("leaf").applyInArrow(compare, _FOUND)
+    found = homeless.mapInArrow(deal, "leaf long, rep long, n long, v array<double>, leaves array<long>").groupBy("leaf").applyInArrow(compare, _FOUND)
     found = cut(found.unionByName(dense) if dense is not None else found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     united = components(found.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    per_class = (
+    return (
         classes.join(links, "rep", "left")
         .join(united.select(F.col("node").alias("rep"), F.col("component")), "rep", "left")
         .select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     )
-    linked = rows.join(per_class, "v").groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    out = everyone.join(linked, "vec_id", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
-    )
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,40 +1,48 @@
 """Operator 7: nearest neighbours by low-dimensional stable projections in a kd-tree.
 
-Largest inner product becomes smallest distance: candidates are scaled by the largest norm M and
-get one more component that makes them unit vectors, queries are scaled to unit length and get a
-0, so that distance squared = 2 - 2 <x, q> / (M |q|). Both are projected on a few Gaussian
-directions (2-stable: a projected distance squared over the true one is chi-square distributed).
+Largest inner product becomes smallest distance: candidates of a norm group are scaled by the
+group's largest norm M and get one more component that makes them unit vectors, queries are scaled
+to unit length and get a 0, so that distance squared = 2 - 2 <x, q> / (M |q|). Both are projected on
+a few Gaussian directions (2-stable: a projected distance squared over the true one is chi-square
+distributed). Norm groups keep M close to each norm: with one M for all, short vectors would all
+lie equally far away.
 
 Equal vectors are one class with its smallest ids, as many as can matter. Classes are dealt to
-shards, each with a kd-tree over its projections; every block of queries meets every shard once
-(the stated query set against all rows, in blocks). A query takes the boxes of a tree nearest
-first, verifies their vectors by inner product in double precision, and stops once the chi-square
-test says that a vector beyond the current projected distance would, at ``confidence``, not be
-nearer than the k-th found. The shards' lists are then merged.
-
-Edge cases: null, zero or non-finite vectors, and such of another length than the longest, take no
-part as query or candidate; fewer candidates than k give all; ties go to the smaller id; repeated
-ids are rows of one vector. An empty table gives no rows.
+shards; a shard's groups, largest norms first, each have a kd-tree over its projections, built once.
+Every block of queries meets every shard once (the stated query set against all rows, in blocks).
+A query takes a tree's points in order of their projected distance, some hundred at a time, and
+verifies them by inner product in double precision. It leaves a tree once the chi-square test says
+that a vector beyond the projected distance reached would, at ``confidence``, not be nearer than
+the k-th found, and the shard once norms are too short for any. The shards' lists are then merged.
+
+Edge cases: null, zero or non-finite vectors take no part as query or candidate; a query's
+candidates are the vectors of its own length; fewer candidates than k give all; ties go to the
+smaller id; rows of one id and one vector count once, and of an id with several vectors the one that
+sorts first; rows without an id are left out. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossmill.llm.frames import cut, pieces
-from glossmill.llm.vectors import matrix, parts
+from glossmill.llm.vectors import lengths, matrix, rows_of
 
 K = 20
-DIRECTIONS = 8  # even
-CONFIDENCE = 0.99
+DIRECTIONS = 16  # even
+CONFIDENCE = 0.95
 SHARD_ROWS = 16_384
+SHARD_BYTES = 16 << 20
+#: The shortest norm of a group by its longest.
+NORM_RATIO = 0.9
 QUERY_ROWS = 4_096
+#: Points verified at a time, between two tests.
+STEP = 512
 _BOX = 64
+_INDEX = "shard int, vectors binary, ids binary, bounds binary, shadows binary, cuts binary, groups binary, low binary, high binary, largest binary"
 
 
 def chi_square(x: np.ndarray, m: int) -> np.ndarray:
@@ -47,6 +55,15 @@ def chi_square(x: np.ndarray, m: int) -> np.ndarray:
     return 1 - np.exp(-half) * total
 
 
+def chi_square_at(p: float, m: int) -> float:
+    """Where the distribution function reaches p."""
+    low, high = 0.0, 64.0 * m
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi_square(np.array(middle), m) < p else (low, middle)
+    return high
+
+
 class KdTree:
     """Boxes of at most _BOX points each: order of the points, cuts, and the boxes' corners."""
 
@@ -67,29 +84,108 @@ class KdTree:
         self.low = np.array([points[a].min(axis=0) for a in done])
         self.high = np.array([points[a].max(axis=0) for a in done])
 
-    def distances(self, query: np.ndarray) -> np.ndarray:
-        """Squared distance from a point to each box."""
-        gap = np.maximum(self.low - query, 0) + np.maximum(query - self.high, 0)
-        return (gap * gap).sum(axis=1)
-
-
-def _search(tree: KdTree, vectors: np.ndarray, lifted: float, query: np.ndarray, shadow: np.ndarray, k: int, confidence: float, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and inner products of the k best found for one query. lifted: M |q|."""
-    away = tree.distances(shadow)
-    order = np.argsort(away)
-    rows, scores = np.zeros(0, np.int64), np.zeros(0)
-    step = 8
-    for i in range(0, len(order), step):
-        if len(scores) >= k:
-            reach = 2 - 2 * scores[k - 1] / lifted  # true distance squared of the k-th
-            if reach <= 0 or chi_square(np.array(away[order[i]] / reach), m) >= confidence:
-                break
-        new = np.concatenate([tree.order[tree.cuts[b] : tree.cuts[b + 1]] for b in order[i : i + step]])
-        rows, scores = np.r_[rows, new], np.r_[scores, vectors[new] @ query]
-        best = np.argsort(-scores, kind="stable")[: 4 * k]
-        rows, scores = rows[best], scores[best]
-    # Summed from the first component on, so that a score never depends on a library's blocking.
-    return rows, np.cumsum(vectors[rows] * query, axis=1)[:, -1] if len(rows) else scores
+
+class Shard:
+    """Vectors in the order of their groups' trees, with the trees; kept as one row of arrays.
+
+    cuts: where each box begins among all points; groups: where each group's boxes begin.
+    """
+
+    def __init__(self, row: dict[str, bytes], d: int, m: int) -> None:
+        def of(name: str, kind: type = np.int64) -> np.ndarray:
+            return np.frombuffer(row[name], kind)
+
+        self.vectors = of("vectors", np.float64).reshape(-1, d)
+        self.shadows = of("shadows", np.float64).reshape(-1, m)
+        self.low, self.high = (of(c, np.float64).reshape(-1, m) for c in ("low", "high"))
+        self.ids, self.bounds, self.cuts, self.groups = (of(c) for c in ("ids", "bounds", "cuts", "groups"))
+        self.largest = of("largest", np.float64)
+
+    @staticmethod
+    def built(vectors: np.ndarray, ids: list[list[int]], stable: np.ndarray, ratio: float) -> dict[str, bytes]:
+        norms = np.linalg.norm(vectors, axis=1)
+        by_norm = np.argsort(-norms, kind="stable")
+        d = vectors.shape[1]
+        order, shadows, cuts, groups, low, high, largest = [], [], [0], [0], [], [], []
+        sorted_norms = norms[by_norm]
+        while cuts[-1] < len(by_norm):
+            a = cuts[-1]
+            own = by_norm[a : a + int(np.count_nonzero(sorted_norms[a:] >= ratio * sorted_norms[a]))]
+            largest.append(norms[own[0]])
+            scaled = vectors[own] / norms[own[0]]
+            lift = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
+            points = scaled @ stable[:d] + lift[:, None] * stable[d]
+            tree = KdTree(points)
+            order.append(own[tree.order])
+            shadows.append(points[tree.order])
+            cuts += (tree.cuts[1:] + a).tolist()
+            groups.append(len(cuts) - 1)
+            low.append(tree.low)
+            high.append(tree.high)
+        order = np.concatenate(order)
+        listed = [ids[i] for i in order]
+        arrays = {
+            "vectors": vectors[order], "ids": np.array([i for each in listed for i in each], np.int64), "bounds": np.cumsum([0, *map(len, listed)], dtype=np.int64),
+            "shadows": np.concatenate(shadows), "cuts": np.array(cuts, np.int64), "groups": np.array(groups, np.int64),
+            "low": np.concatenate(low), "high": np.concatenate(high), "largest": np.array(largest, np.float64),
+        }
+        return {name: a.tobytes() for name, a in arrays.items()}
+
+    def search(self, query: np.ndarray, shadow: np.ndarray, length: float, k: int, beyond: float, step: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows that may be among the k best, their inner products, and how many were verified.
+
+        Rows that tie with the k-th stay, so that ids can decide. beyond: where chi-square reaches
+        the confidence.
+        """
+        rows, scores, verified = np.zeros(0, np.int64), np.zeros(0), 0
+        for g, largest in enumerate(self.largest.tolist()):
+            if len(scores) >= k and scores.min() > largest * length * (1 + 1e-12):
+                break  # no vector of this or a later group is long enough
+            first, last = self.groups[g], self.groups[g + 1]
+            gap = np.maximum(self.low[first:last] - shadow, 0) + np.maximum(shadow - self.high[first:last], 0)
+            away = (gap * gap).sum(axis=1)
+            nearest = np.argsort(away, kind="stable")
+            away = np.append(away[nearest], np.inf)
+            opened, left, far = 0, np.zeros(0, np.int64), np.zeros(0)
+            taken = 0
+            while True:
+                wanted = max(step, taken // 4)
+                while opened < len(nearest) and np.count_nonzero(far <= away[opened]) < wanted:
+                    more = nearest[opened : opened + max(16, opened)] + first
+                    sizes = self.cuts[more + 1] - self.cuts[more]
+                    new = np.repeat(self.cuts[more + 1] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+                    off = self.shadows[new] - shadow
+                    left, far = np.r_[left, new], np.r_[far, np.einsum("ij,ij->i", off, off)]
+                    opened = min(opened + len(more), len(nearest))
+                if not len(left):
+                    break
+                if len(left) > wanted:
+                    part = np.argpartition(far, wanted - 1)
+                    now, left, far = left[part[:wanted]], left[part[wanted:]], far[part[wanted:]]
+                else:
+                    now, left, far = left, left[:0], far[:0]
+                verified, taken = verified + len(now), taken + len(now)
+                rows, scores = self._better(query, now, rows, scores, k)
+                if len(scores) >= k:
+                    reach = 2 - 2 * scores.min() / (largest * length)  # true distance squared of the k-th
+                    next_ = min(far.min(initial=np.inf), away[opened])
+                    if reach <= 0 or next_ >= beyond * reach:
+                        break
+        return rows, scores, verified
+
+    def _better(self, query: np.ndarray, now: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        rough = self.vectors[now] @ query
+        bar = scores.min() if len(scores) >= k else -np.inf
+        if len(now) > k:
+            bar = max(bar, np.partition(rough, len(rough) - k)[len(rough) - k])
+        now = now[rough >= bar - 1e-9 * (1 + abs(bar))] if np.isfinite(bar) else now
+        # Summed from the first component on, so that a score never depends on a library's blocking.
+        exact = np.cumsum(self.vectors[now] * query, axis=1)[:, -1] if len(now) else np.zeros(0)
+        rows, scores = np.r_[rows, now], np.r_[scores, exact]
+        if len(scores) > k:
+            keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            rows, scores = rows[keep], scores[keep]
+        return rows, scores
 
 
 def nearest(
@@ -101,58 +197,79 @@ def nearest(
     directions: int = DIRECTIONS,
     confidence: float = CONFIDENCE,
     shard_rows: int = SHARD_ROWS,
+    norm_ratio: float = NORM_RATIO,
     query_rows: int = QUERY_ROWS,
+    step: int = STEP,
     seed: int = 11,
+    report: bool = False,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k candidates of largest inner product found.
 
-    ``queries`` has the same columns as ``table``; a query's own id is no candidate of it.
+    ``queries`` has the same columns as ``table``; a query's own id is no candidate of it. With
+    ``report`` also ``verified``: how many classes of equal vectors were verified for the query.
     """
-    rows, d, n = parts(table, vec_id, vector)
-    asked, _, _ = parts(queries, vec_id, vector)
-    asked = asked.where(F.size("v") == d)
+    rows, asked = rows_of(table, vec_id, vector), rows_of(queries, vec_id, vector)
+    schema = "query_id long, rank int, vec_id long, score double" + (", verified long" if report else "")
+    out = table.sparkSession.createDataFrame([], schema)
+    for d in lengths(asked):
+        own, wanted = rows.where(F.size("v") == d), asked.where(F.size("v") == d)
+        out = out.unionByName(_of_length(own, wanted, d, k, directions, confidence, shard_rows, norm_ratio, query_rows, step, seed, report).select(*out.columns))
+    return out
+
+
+def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: int, confidence: float, shard_rows: int, norm_ratio: float, query_rows: int, step: int, seed: int, report: bool) -> DataFrame:
     few = k + 1
-    ids = rows.dropDuplicates(["vec_id"]).withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= few)
+    ids = rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= few)
     classes = cut(ids.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # at most k + 1 each
-    norm = math.sqrt(classes.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("m")).first()["m"] or 0.0)
-    n_shards = pieces(classes.count(), shard_rows)
-    kinds = asked.groupBy("v").agg(F.min("vec_id").alias("query"))
+    n_shards = pieces(classes.count(), max(_BOX, min(shard_rows, SHARD_BYTES // (8 * d))))
+    single = cut(asked.groupBy("vec_id").agg(F.min("v").alias("v")))
+    kinds = single.groupBy("v").agg(F.min("vec_id").alias("query"))
     n_blocks = pieces(kinds.count(), query_rows)
-    rng = np.random.default_rng(seed)
-    stable = rng.standard_normal((d + 1, directions))
+    stable = np.random.default_rng(seed).standard_normal((d + 1, directions))
+    beyond = chi_square_at(confidence, directions)
+
+    def build(group: pa.Table) -> pa.Table:
+        group = group.sort_by("least")
+        built = Shard.built(matrix(group["v"], d), group["ids"].to_pylist(), stable, norm_ratio)
+        return pa.table({"shard": pa.array([group["shard"][0].as_py()], pa.int32()), **{name: pa.array([value], pa.binary()) for name, value in built.items()}})
 
     shard = F.pmod(F.xxhash64("v"), F.lit(n_shards)).cast("int")
     block = F.pmod(F.xxhash64("query", F.lit(1)), F.lit(n_blocks)).cast("int")
-    left = classes.select(shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), "v", "ids")
+    index = classes.select(shard.alias("shard"), "v", "ids", F.get("ids", F.lit(0)).alias("least")).groupBy("shard").applyInArrow(build, _INDEX)
+    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     right = kinds.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), block.alias("block"), "query", "v")
 
-    def search(candidates: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query": [], "vec_id": [], "score": []}
-        if candidates.num_rows and wanted.num_rows:
-            vectors = matrix(candidates["v"], d)
-            members = candidates["ids"].to_pylist()
-            scaled = vectors / norm
-            lift = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
-            tree = KdTree(scaled @ stable[:d] + lift[:, None] * stable[d])
+    def search(built: pa.Table, wanted: pa.Table) -> pa.Table:
+        out: list[list] = [[], [], [], []]
+        if built.num_rows and wanted.num_rows:
+            shard = Shard({c: built[c][0].as_py() for c in built.column_names if c not in ("shard", "block")}, d, directions)
             asked = matrix(wanted["v"], d)
-            lengths = np.linalg.norm(asked, axis=1)
-            shadows = (asked / lengths[:, None]) @ stable[:d]
-            for q, query, length, shadow in zip(wanted["query"].to_pylist(), asked, lengths, shadows):
-                found, scores = _search(tree, vectors, norm * length, query, shadow, few, confidence, directions)
-                best = sorted(((-s, i) for r, s in zip(found.tolist(), scores.tolist()) for i in members[r]))[:few]
-                out["query"] += [q] * len(best)
-                out["vec_id"] += [i for _, i in best]
-                out["score"] += [-s for s, _ in best]
-        return pa.table({"query": pa.array(out["query"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
-
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(search, "query long, vec_id long, score double")
+            sizes = np.linalg.norm(asked, axis=1)
+            shadows = (asked / sizes[:, None]) @ stable[:d]
+            for q, query, size, shadow in zip(wanted["query"].to_pylist(), asked, sizes.tolist(), shadows):
+                found, scores, verified = shard.search(query, shadow, size, few, beyond, step)
+                first = np.lexsort((shard.ids[shard.bounds[found]], -scores))[:few]
+                best = sorted((-scores[i], v) for i in first.tolist() for v in shard.ids[shard.bounds[found[i]] : shard.bounds[found[i] + 1]].tolist())[:few]
+                out[0] += [q] * len(best)
+                out[1] += [v for _, v in best]
+                out[2] += [-s for s, _ in best]
+                out[3] += [verified] + [0] * (len(best) - 1)
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        return pa.table({name: pa.array(x, t) for name, x, t in zip(("query", "vec_id", "score", "verified"), out, kinds)})
+
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(search, "query long, vec_id long, score double, verified long")
     # The k + 1 best of each distinct query, so that every row of it can leave itself out.
-    found = found.withColumn("at", F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))).where(F.col("at") <= few)
-    merged = found.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id"))).alias("best"))
-    everyone = asked.select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"]).join(kinds, "v").select("query_id", "query")
-    listed = everyone.join(merged, "query").select("query_id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("best"))
-    return listed.select("query_id", F.posexplode("best").alias("at", "x")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.away")).alias("score")
+    ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
+    best = found.select("query", "vec_id", "score").withColumn("at", ranked).where(F.col("at") <= few)
+    merged = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id"))).alias("best"))
+    if report:
+        merged = merged.join(found.groupBy("query").agg(F.sum("verified").alias("verified")), "query")
+    everyone = single.select(F.col("vec_id").alias("query_id"), "v").join(kinds, "v").select("query_id", "query")
+    kept = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    listed = everyone.join(merged, "query").withColumn("best", kept)
+    also = ["verified"] if report else []
+    return listed.select("query_id", *also, F.posexplode("best").alias("at", "x")).select(
+        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.away")).alias("score"), *also
     )
 
 

@@ -14,19 +14,20 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def parts(table: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int, int]:
-    """(vec_id, v array<float>) of the usable rows of the usual length, that length, and how many.
+def rows_of(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(vec_id, v array<double>) of the usable rows with an id."""
+    rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    return rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
 
-    Rows shorter than the longest usable vector have nothing to be compared with and are left out.
-    """
-    rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v")).where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    seen = rows.agg(F.max(F.size("v")).alias("d"), F.count(F.lit(1)).alias("n")).first()
-    d = int(seen["d"] or 0)
-    return rows.where(F.size("v") == d), d, int(seen["n"])
+
+def lengths(rows: DataFrame) -> list[int]:
+    """How many components the vectors have: in most tables one number. Vectors are compared with
+    those of their own length alone, so each length is a table of its own."""
+    return sorted(r["d"] for r in rows.select(F.size("v").alias("d")).distinct().collect())
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, d: int) -> np.ndarray:
-    """(rows, d) of a column of lists of d floats, in double precision."""
+    """(rows, d) of a column of lists of d numbers, in double precision."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
         column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column

@@ -20,7 +20,7 @@ def vectors():
 
 @pytest.fixture(scope="module")
 def frame(spark, vectors):
-    odd = [(900, None), (901, [0.0] * 16), (902, [1.0] * 15 + [NAN]), (903, [1.0] * 15 + [None]), (904, [float("inf")] + [1.0] * 15), (905, [1.0, 2.0])]
+    odd = [(900, None), (901, [0.0] * 16), (902, [1.0] * 15 + [NAN]), (903, [1.0] * 15 + [None]), (904, [float("inf")] + [1.0] * 15), (905, [1.0, 2.0])]  # the last has a length of its own
     rows = [(i, [float(x) for x in v], i % 3) for i, v in vectors.items()] + [(i, v, 0) for i, v in odd]
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, rep int")
 
@@ -81,6 +81,44 @@ def test_nearest(frame, vectors):
     assert hits >= 0.97 * 20 * len(got)
 
 
+def test_nearest_breaks_ties_by_id(spark):
+    rows = spark.createDataFrame([(i, [float(i == j) for j in range(300)]) for i in range(300)], "vec_id long, embedding array<float>")
+    for q in (0, 100):
+        got = [r["vec_id"] for r in neighbours.nearest(rows, rows.where(f"vec_id = {q}")).orderBy("rank").collect()]
+        assert got == list(range(1, 21)) if q == 0 else got == list(range(20))
+
+
+def test_nearest_stops_before_it_has_seen_all(spark):
+    rng = np.random.default_rng(9)
+    every = rng.standard_normal((60, 32))[rng.integers(0, 60, 6000)] + 0.3 * rng.standard_normal((6000, 32))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(rows, rows.where("vec_id % 150 = 0"), report=True).collect()
+    assert np.mean([r["verified"] for r in got if r["rank"] == 1]) < 0.5 * len(every)
+    hits = 0
+    for q in range(0, 6000, 150):
+        scores = every @ every[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert hits >= 0.95 * 20 * 40
+
+
+def test_vectors_of_several_lengths_and_repeated_ids(spark):
+    short = [(i, [1.0, 0.01 * i]) for i in range(6)]
+    rows = [*short, (6, [1.0, 0.0, 0.0]), (7, [1.0, 0.0, 0.1]), (8, [2.0] * 9), (2, short[2][1]), (2, short[2][1]), (None, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in forest.near_duplicates(frame).collect()}
+    assert got == {**{i: (7, 0, i == 0) for i in range(6)}, 6: (1, 6, True), 7: (1, 6, False), 8: (0, 8, True)}
+    found = neighbours.nearest(frame, frame.where("vec_id IN (2, 6, 8)")).collect()
+    assert {(r["query_id"], r["vec_id"]) for r in found} == {(2, i) for i in (0, 1, 3, 4, 5)} | {(6, 7)}
+
+
+def test_double_precision(spark):
+    edge = float(np.tan(np.arccos(0.9)))
+    near, far = edge * (1 - 1e-9), edge * (1 + 1e-9)
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, near]), (2, [1.0, -far])], "vec_id long, embedding array<double>")
+    assert {r["vec_id"]: r["n_links"] for r in forest.near_duplicates(frame).collect()} == {0: 1, 1: 1, 2: 0}
+
+
 def test_fewer_candidates_than_wanted(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0])], "vec_id long, embedding array<float>")
     got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in neighbours.nearest(rows, rows.where("vec_id = 0")).collect()}
