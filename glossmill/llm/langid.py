@@ -6,31 +6,38 @@ a lexicon entry (the whole word); neighbours are tied by learned transitions. Fo
 gives each word's marginals, so a text that switches language is labelled span by span, and the
 text's language is the one with the largest mean marginal over words that hold a letter.
 
-The weights are fitted on at most ``per_language`` training rows of each language and at most
-``sample_chars`` characters of each (both documented parameters); spans of different languages are
-laid end to end in training, so that transitions are learned from switches too. Prediction reads
-every whole text and nothing but the text.
-
-Edge cases: text null, empty or without a letter: ``und`` with score 0. With no labelled row, or a
-single language, that is all there is to predict. Rows without lang are not learned from; rows
-without doc_id count as neither held out nor training rows. Repeated rows get the same result.
+The weights are fitted on at most ``per_language`` whole training rows of each language (a
+documented parameter), dealt to ``SHARDS`` tasks: in each round every task fits its rows from the
+weights of the round before, and the weights are averaged. Spans of different languages are laid end
+to end in training, so that transitions are learned from switches too. Prediction reads every whole
+text and nothing but the text.
+
+Edge cases: text null, empty or without a letter (Unicode category L): ``und`` with score 0. With no
+labelled row, or a single language, that is all there is to predict. Rows without lang are not
+learned from; rows without doc_id count as neither held out nor training rows. Repeated rows get the
+same result; equal scores go to the language that sorts first. Carried columns that are named like a
+result give way to it.
 """
 
 from __future__ import annotations
 
-import re
+import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossmill.llm.bytewords import Block, mix, slices, word_hashes
-from glossmill.llm.frames import crc_mod
+from glossmill.llm.frames import crc_mod, cut
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+PER_LANGUAGE = 200
+SHARDS, ROUNDS, EPOCHS = 8, 3, 2
+RESULTS = ("lang_pred", "score", "n_switches")
+_LETTER = regex.compile(r"\p{L}")
 _FIXED = 7
 _LETTERISH = np.zeros(256, bool)
 _LETTERISH[128:] = True
@@ -64,6 +71,12 @@ def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
     return fixed, grams, begin
 
 
+def plain(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words hold a letter of A-Z or a-z."""
+    held = np.r_[0, np.cumsum(_LETTERISH[data] & (data < 128))]
+    return held[ends] > held[starts]
+
+
 def _emissions(weights: np.ndarray, fixed: np.ndarray, grams: np.ndarray, begin: np.ndarray) -> np.ndarray:
     if not len(fixed):
         return np.zeros((0, weights.shape[1]), np.float32)
@@ -105,10 +118,16 @@ def _marginals(scores: np.ndarray, moves: np.ndarray, bounds: np.ndarray) -> tup
     return both / np.maximum(both.sum(axis=1, keepdims=True), 1e-30), total
 
 
-def _fit(texts: list[str], labels: np.ndarray, n_langs: int, epochs: int = 6, rate: float = 0.3, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (BUCKETS + 1, languages) and moves (languages, languages), by AdaGrad."""
+def _start(n_langs: int) -> list[np.ndarray]:
+    """Weights (BUCKETS + 1, languages), moves (languages, languages), and AdaGrad's sums for both."""
+    weights, moves = np.zeros((BUCKETS + 1, n_langs), np.float32), np.zeros((n_langs, n_langs), np.float32)
+    return [weights, moves, np.full_like(weights, 1e-3), np.full_like(moves, 1e-3)]
+
+
+def _fit(model: list[np.ndarray], texts: pa.Array, labels: np.ndarray, epochs: int, seed: int, rate: float = 0.3) -> list[np.ndarray]:
+    """The model after some epochs over these texts, by AdaGrad."""
     rng = np.random.default_rng(seed)
-    block = Block.of(pa.array(texts, pa.string()), lower=True)
+    block = Block.of(texts, lower=True)
     spans = []
     for d in range(block.n_docs):
         a, end = block.word_bounds[d], block.word_bounds[d + 1]
@@ -116,9 +135,8 @@ def _fit(texts: list[str], labels: np.ndarray, n_langs: int, epochs: int = 6, ra
             b = min(end, a + int(rng.integers(5, 80)))
             spans.append((a, b, labels[d]))
             a = b
-    weights = np.zeros((BUCKETS + 1, n_langs), np.float32)
-    moves = np.zeros((n_langs, n_langs), np.float32)
-    seen, seen_moves = np.full_like(weights, 1e-3), np.full_like(moves, 1e-3)
+    weights, moves, seen, seen_moves = (x.copy() for x in model)
+    n_langs = len(moves)
     for _ in range(epochs):
         order = rng.permutation(len(spans))
         for i in range(0, len(order), 192):
@@ -147,39 +165,53 @@ def _fit(texts: list[str], labels: np.ndarray, n_langs: int, epochs: int = 6, ra
             g = ((expected - real) / 192).astype(np.float32)
             seen_moves += g * g
             moves -= rate * g / np.sqrt(seen_moves)
-    return weights, moves
+    return [weights, moves, seen, seen_moves]
 
 
-def _sample(docs: DataFrame, per_language: int, sample_chars: int, folds: int) -> tuple[list[str], list[str]]:
-    """At most ``per_language`` training rows of each language, spread by a hash of the id."""
-    train = docs.where((crc_mod(F.col("doc_id"), folds) != 0) & F.col("lang").isNotNull())
+def _sample(docs: DataFrame, per_language: int, folds: int) -> tuple[DataFrame, list[str]]:
+    """(shard, at, lang, text) of at most ``per_language`` training rows of each language, spread by
+    a hash of the row; and the languages in order."""
+    train = docs.where((crc_mod(F.col("doc_id"), folds) != 0) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return [], []
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    wanted = F.lit(0)
-    for lang, n in counts.items():
-        wanted = F.when(F.col("lang") == lang, F.lit(int(min(1_000_000, 1_300_000 * per_language / n) + 1))).otherwise(wanted)
-    rows = train.where(F.col("text").isNotNull() & (spread < wanted)).select(spread.alias("at"), "lang", F.substring("text", 1, sample_chars).alias("text")).collect()
-    texts, langs, taken = [], [], dict.fromkeys(counts, 0)
-    for r in sorted(rows, key=lambda r: (r["at"], r["lang"], r["text"])):
-        if taken[r["lang"]] < per_language and _LETTER.search(r["text"]):
-            taken[r["lang"]] += 1
-            texts.append(r["text"])
-            langs.append(r["lang"])
-    return texts, langs
-
-
-def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", carry: tuple[str, ...] = (), per_language: int = 300, sample_chars: int = 2000, folds: int = 5) -> DataFrame:
+    wide = 1_000_000
+    wanted = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(wide, math.ceil(1.3 * wide * per_language / n) + 1)))) if counts else F.create_map().cast("map<string,int>")
+    rows = train.withColumn("at", F.xxhash64("doc_id", "text")).where(F.pmod("at", F.lit(wide)) < wanted[F.col("lang")])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("at", F.lit(wide)), "at", "text"))
+    taken = rows.withColumn("nth", first).where(F.col("nth") <= per_language)
+    return taken.select(F.pmod("nth", F.lit(SHARDS)).cast("int").alias("shard"), "at", "lang", "text"), sorted(counts)
+
+
+def fitted(docs: DataFrame, per_language: int, folds: int) -> tuple[list[str], np.ndarray | None, np.ndarray | None]:
+    """Languages, weights and moves. ``docs``: doc_id, text, lang."""
+    sample, names = _sample(docs, per_language, folds)
+    if len(names) < 2:
+        return names, None, None
+    sample, model = cut(sample), _start(len(names))
+    shapes = [x.shape for x in model]
+    for turn in range(ROUNDS):
+        given = docs.sparkSession.sparkContext.broadcast(model)  # languages x 131,074 numbers
+
+        def fit(group: pa.Table) -> pa.Table:
+            group = group.sort_by([("at", "ascending"), ("lang", "ascending"), ("text", "ascending")])
+            labels = np.array([names.index(x) for x in group["lang"].to_pylist()])
+            new = _fit(given.value, group["text"], labels, EPOCHS, SHARDS * turn + group["shard"][0].as_py())
+            return pa.table({f"x{i}": pa.array([x.tobytes()], pa.binary()) for i, x in enumerate(new)})
+
+        rows = sample.groupBy("shard").applyInArrow(fit, "x0 binary, x1 binary, x2 binary, x3 binary").collect()  # at most SHARDS
+        rows = sorted(rows)  # so that sums don't depend on which came first
+        model = [np.mean([np.frombuffer(r[i], np.float32).reshape(shape) for r in rows], axis=0, dtype=np.float64).astype(np.float32) for i, shape in enumerate(shapes)]
+        given.destroy()
+    return names, model[0], model[1]
+
+
+def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", carry: tuple[str, ...] = (), per_language: int = PER_LANGUAGE, folds: int = 5) -> DataFrame:
     """One row per document: doc_id, lang_pred, score, n_switches, and the columns of ``carry``.
 
     n_switches: neighbouring words of different languages, by their likeliest labels.
     """
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    texts, langs = _sample(named, per_language, sample_chars, folds)
-    names = sorted(set(langs))
-    weights, moves = _fit(texts, np.array([names.index(x) for x in langs]), len(names)) if len(names) > 1 else (None, None)
-    model = docs.sparkSession.sparkContext.broadcast((names, weights, moves))  # languages x 65,537 numbers
+    carry = tuple(c for c in carry if c.lower() not in RESULTS)
+    model = docs.sparkSession.sparkContext.broadcast(fitted(named, per_language, folds))  # languages x 65,537 numbers
 
     def predict(part: pa.RecordBatch) -> tuple[list, np.ndarray, np.ndarray]:
         names, weights, moves = model.value
@@ -193,6 +225,8 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
         score = _emissions(weights, *_features(block.data, block.starts[at], block.ends[at]))
         spelled = np.r_[0, np.cumsum(_LETTERISH[block.data])]
         spelled = spelled[block.ends[at]] > spelled[block.starts[at]]
+        for i in np.flatnonzero(spelled & ~plain(block.data, block.starts[at], block.ends[at])).tolist():
+            spelled[i] = _LETTER.search(block.data[block.starts[at[i]] : block.ends[at[i]]].tobytes().decode()) is not None
         score[~spelled] = 0
         marginals, _ = _marginals(score[which], moves, block.word_bounds)
         counted = spelled[which]
@@ -210,7 +244,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 1, 6 << 20):
+            for part in slices(batch, 1, 3 << 20):
                 pred, score, switches = predict(part)
                 added = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(switches, pa.int64())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(part.columns[1:] if keep_text else part.columns[2:]), *added], out_names)
