@@ -150,8 +150,11 @@ def tokenized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", windo
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, ranks: str | None = None, shard_bytes: int = 16 << 20) -> DataFrame:
     """Every piece with its sequence_id and offset in it; no sequence is longer than the window."""
     n_shards = pieces(text_bytes(docs, text), shard_bytes)
-    # A third of all rows may be one text: rows that are alike in all respects are dealt as well.
-    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(n_shards)).cast("int")
+    # A third of all rows may be one row: copies are counted, then numbered and dealt apart.
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    counted = tokenized(docs, doc_id, text, window, ranks).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    copies = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    shard = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "copy"), F.lit(n_shards)).cast("int")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
     def place(table: pa.Table) -> pa.Table:
@@ -161,7 +164,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
         added = table.drop_columns("shard").append_column("sequence_id", pa.array(np.array(sequences, np.int64) + base))
         return added.append_column("offset", pa.array(offsets, pa.int64()))
 
-    return tokenized(docs, doc_id, text, window, ranks).withColumn("shard", shard).groupBy("shard").applyInArrow(place, schema)
+    return copies.select(*columns, shard.alias("shard")).groupBy("shard").applyInArrow(place, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
