@@ -1,14 +1,16 @@
 """Operator 9: license scan by template-markup matching.
 
-A template is license wording with markup: ``[[...]]`` is optional, ``{{n}}`` stands for one to n
-words of any kind. Each template compiles to a token automaton; a text is accepted where the
-mandatory words follow one another exactly, with nothing between but what the markup allows.
+A template is license wording with markup: ``[[...]]`` is optional and may be nested, ``{{n}}``
+stands for one to n words of any kind. Each template compiles to a token automaton; a text is
+accepted where the mandatory words follow one another exactly, with nothing between but what the
+markup allows. A label has templates of the whole license and of the notices that refer to it.
 Automata run over the words of texts that hold the template's rarest words at all.
 
 Base phrases are plain: their words stand consecutively.
 
 Edge cases: a null text is empty: no words, no places, empty labels and score 0; a null doc_id is
-kept; repeated rows give repeated results; a template may match anywhere in a text of any length.
+kept; repeated rows give repeated results; a template may match anywhere in a text of any length;
+columns beyond the two named are left out. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,16 +36,26 @@ PHRASES = {
 TEMPLATES = {
     "gpl-3.0": [
         "licensed under the gnu general public license version 3 [[0]]",
+        "this {{4}} is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free"
+        " software foundation either version 3 of the license or [[at your option]] any later version [[this {{4}} is distributed in the hope that it will be"
+        " useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general"
+        " public license for more details]]",
         "either version 3 of the license or [[at your option]] any later version",
         "gnu general public license version 3 29 june 2007",
     ],
     "gpl-2.0": [
         "licensed under the gnu general public license version 2 [[0]]",
+        "this {{4}} is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free"
+        " software foundation either version 2 of the license or [[at your option]] any later version",
         "either version 2 of the license or [[at your option]] any later version",
     ],
     "apache-2.0": [
         "licensed under the apache license version 2 0",
         "apache license version 2 0 january 2004",
+        "licensed under the apache license version 2 0 the license you may not use {{6}} except in compliance with the license you may obtain a copy of the"
+        " license at [[http www apache org licenses license 2 0]] [[https www apache org licenses license 2 0]] unless required by applicable law or agreed to"
+        " in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or"
+        " implied",
     ],
     "cc-by-4.0": [
         "licensed under [[a]] [[the]] [[creative commons attribution]] cc by 4 0",
@@ -60,19 +72,34 @@ TEMPLATES = {
     "mit": [
         "released under the mit license",
         "licensed under the mit license",
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
-        " documentation files the software to deal in the software without restriction",
+        "[[the]] [[mit license]] [[mit]] [[copyright {{40}}]] permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge"
+        " publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the"
+        " following conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or"
+        " substantial portions of the software the software is provided as is without warranty of any kind express or implied including but not limited to the"
+        " warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{20}} be liable for any claim damages or other"
+        " liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in"
+        " the software",
+    ],
+    "bsd-2-clause": [
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+        " [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+        " [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
+        " documentation and or other materials provided with the distribution this software is provided by {{20}} as is and any express or implied warranties"
+        " including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     ],
     "bsd-3-clause": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the"
-        " following conditions are met [[1]] redistributions of source code must retain the above copyright notice this"
-        " list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above"
-        " copyright notice this list of conditions and the following disclaimer in the documentation and or other"
-        " materials provided with the distribution [[3]] neither the name of {{12}} may be used to endorse or promote"
-        " products derived from this software without specific prior written permission",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+        " [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
+        " [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
+        " documentation and or other materials provided with the distribution [[3]] neither the name of {{20}} may be used to endorse or promote"
+        " products derived from this software without specific prior written permission [[this software is provided by {{20}} as is and any express or"
+        " implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed]]",
     ],
     "isc": [
-        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted",
+        "[[isc license]] [[copyright {{40}}]] permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided"
+        " that the above copyright notice and this permission notice appear in all copies the software is provided as is and {{20}} disclaims all warranties"
+        " with regard to this software including all implied warranties of merchantability and fitness",
     ],
 }
 
@@ -87,6 +114,10 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(_FOLD).split()
 
 
+def _tokens(template: str) -> list[str]:
+    return re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[^\s\[\]{}]+", template)
+
+
 @dataclass
 class Automaton:
     """States 0 .. final; ``step[s]``: (word or None for any, next state); ``skip[s]``: free moves."""
@@ -101,11 +132,13 @@ class Automaton:
 
     @classmethod
     def compiled(cls, template: str) -> Automaton:
-        self, at, opened = cls(), 0, []
-        for token in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|[^\s\[\]{}]+", template):
+        self, at, opened, needs = cls(), 0, [], set()
+        for token in _tokens(template):
             if token == "[[":
                 opened.append(at)
             elif token == "]]":
+                if not opened:
+                    raise ValueError(f"]] without [[ in {template!r}")
                 self.skip[opened.pop()].append(at)
             elif token.startswith("{{"):
                 end = self._state()
@@ -119,11 +152,14 @@ class Automaton:
                 nxt = self._state()
                 self.step[at].append((token.encode(), nxt))
                 at = nxt
+                if not opened:
+                    needs.add(token.encode())
+        if opened:
+            raise ValueError(f"[[ without ]] in {template!r}")
         self.final = at
         self.starts = {word for s in self._closed({0}) for word, _ in self.step[s]}
         #: Words that every accepted text holds.
-        bare = re.sub(r"\[\[.*?\]\]|\{\{\d+\}\}", " ", template).split()
-        self.needs = sorted({w.encode() for w in bare}, key=lambda w: (-len(w), w))[:2]
+        self.needs = sorted(needs, key=lambda w: (-len(w), w))[:2]
         return self
 
     def _closed(self, states: set[int]) -> set[int]:
@@ -139,7 +175,7 @@ class Automaton:
         """Whether the wording stands anywhere in the words."""
         live: set[int] = set()
         for word in words:
-            if word in self.starts:
+            if word in self.starts or None in self.starts:
                 live |= self._closed({0})
             if live:
                 live = self._closed({n for s in live for w, n in self.step[s] if w is None or w == word})
@@ -185,3 +221,37 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
 
 def query(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def _regex(template: str) -> str:
+    """The template as a regular expression over words that are each led by a blank."""
+    out = []
+    for token in _tokens(template):
+        out.append("(?:" if token == "[[" else ")?" if token == "]]" else f"(?: [^ ]+){{1,{token[2:-2]}}}" if token[0] == "{" else f" {token}")
+    return "".join(out) + " "
+
+
+def _sql() -> str:
+    at = ", ".join(
+        f"list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i:i + {len(p.split()) - 1}] = {p.split()!r}), lambda i: i - 1) AS p{n}" for n, p in enumerate(PHRASES)
+    )
+    places = " || ".join(f"p{n}" for n in range(len(PHRASES)))
+    base = ", ".join(f"CASE WHEN len(p{n}) > 0 THEN '{label}' END" for n, label in enumerate(PHRASES.values()))
+    more = ", ".join(f"CASE WHEN {' OR '.join(f"regexp_matches(line, '{_regex(t)}')" for t in ts)} THEN '{label}' END" for label, ts in TEMPLATES.items())
+    return rf"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), p AS (
+  SELECT doc_id, len(w) AS n, ' ' || array_to_string(w, ' ') || ' ' AS line, {at} FROM t
+), l AS (
+  SELECT doc_id, n, {places} AS spots, list_filter([{base}], lambda x: x IS NOT NULL) AS base, list_filter([{more}], lambda x: x IS NOT NULL) AS more FROM p
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base, list_min(spots) AS first_word, list_max(spots) AS last_word,
+       array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || more)), ',') AS labels,
+       CAST(CASE WHEN len(more) > 0 THEN 1 WHEN len(base) > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+FROM l
+"""
+
+
+ORACLE = _sql()

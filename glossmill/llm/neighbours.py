@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ K = 20
 DIRECTIONS = 16  # even
 CONFIDENCE = 0.95
 SHARD_ROWS = 16_384
+#: A shard has fewer rows if its vectors are long.
 SHARD_BYTES = 16 << 20
 #: The shortest norm of a group by its longest.
 NORM_RATIO = 0.9
@@ -42,7 +44,6 @@ QUERY_ROWS = 4_096
 #: Points verified at a time, between two tests.
 STEP = 512
 _BOX = 64
-_INDEX = "shard int, vectors binary, ids binary, bounds binary, shadows binary, cuts binary, groups binary, low binary, high binary, largest binary"
 
 
 def chi_square(x: np.ndarray, m: int) -> np.ndarray:
@@ -65,7 +66,7 @@ def chi_square_at(p: float, m: int) -> float:
 
 
 class KdTree:
-    """Boxes of at most _BOX points each: order of the points, cuts, and the boxes' corners."""
+    """Boxes of at most _BOX points each: order of the points, and sizes of the boxes."""
 
     def __init__(self, points: np.ndarray) -> None:
         done: list[np.ndarray] = []
@@ -80,56 +81,43 @@ class KdTree:
             order = np.argpartition(points[at, axis], half)
             todo += [at[order[half:]], at[order[:half]]]
         self.order = np.concatenate(done)
-        self.cuts = np.cumsum([0, *map(len, done)])
-        self.low = np.array([points[a].min(axis=0) for a in done])
-        self.high = np.array([points[a].max(axis=0) for a in done])
+        self.sizes = np.array([len(a) for a in done])
 
 
 class Shard:
-    """Vectors in the order of their groups' trees, with the trees; kept as one row of arrays.
-
-    cuts: where each box begins among all points; groups: where each group's boxes begin.
-    """
-
-    def __init__(self, row: dict[str, bytes], d: int, m: int) -> None:
-        def of(name: str, kind: type = np.int64) -> np.ndarray:
-            return np.frombuffer(row[name], kind)
-
-        self.vectors = of("vectors", np.float64).reshape(-1, d)
-        self.shadows = of("shadows", np.float64).reshape(-1, m)
-        self.low, self.high = (of(c, np.float64).reshape(-1, m) for c in ("low", "high"))
-        self.ids, self.bounds, self.cuts, self.groups = (of(c) for c in ("ids", "bounds", "cuts", "groups"))
-        self.largest = of("largest", np.float64)
+    """Vectors in the order of their boxes, and the boxes of each norm group's tree."""
+
+    def __init__(self, vectors: np.ndarray, shadows: np.ndarray, boxes: np.ndarray, largest: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """largest: the longest norm in each row's group, which tells groups apart."""
+        self.vectors, self.shadows, self.ids, self.bounds = vectors, shadows, ids, bounds
+        first = np.flatnonzero(np.r_[True, boxes[1:] != boxes[:-1]])
+        self.cuts = np.r_[first, len(boxes)]
+        self.low, self.high = np.minimum.reduceat(shadows, first), np.maximum.reduceat(shadows, first)
+        longest = largest[first]
+        begins = np.flatnonzero(np.r_[True, longest[1:] != longest[:-1]])
+        self.groups, self.largest = np.r_[begins, len(first)], longest[begins]
 
     @staticmethod
-    def built(vectors: np.ndarray, ids: list[list[int]], stable: np.ndarray, ratio: float) -> dict[str, bytes]:
+    def placed(vectors: np.ndarray, stable: np.ndarray, ratio: float) -> tuple[np.ndarray, ...]:
+        """Order of the vectors by groups and boxes, and in that order their projections, boxes and
+        the largest norms of their groups."""
         norms = np.linalg.norm(vectors, axis=1)
         by_norm = np.argsort(-norms, kind="stable")
-        d = vectors.shape[1]
-        order, shadows, cuts, groups, low, high, largest = [], [], [0], [0], [], [], []
-        sorted_norms = norms[by_norm]
-        while cuts[-1] < len(by_norm):
-            a = cuts[-1]
-            own = by_norm[a : a + int(np.count_nonzero(sorted_norms[a:] >= ratio * sorted_norms[a]))]
-            largest.append(norms[own[0]])
-            scaled = vectors[own] / norms[own[0]]
+        sorted_norms, d = norms[by_norm], vectors.shape[1]
+        order, shadows, boxes, largest, done, n_boxes = [], [], [], [], 0, 0
+        while done < len(by_norm):
+            top = sorted_norms[done]
+            own = by_norm[done : done + int(np.count_nonzero(sorted_norms[done:] >= ratio * top))]
+            scaled = vectors[own] / top
             lift = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
             points = scaled @ stable[:d] + lift[:, None] * stable[d]
             tree = KdTree(points)
             order.append(own[tree.order])
             shadows.append(points[tree.order])
-            cuts += (tree.cuts[1:] + a).tolist()
-            groups.append(len(cuts) - 1)
-            low.append(tree.low)
-            high.append(tree.high)
-        order = np.concatenate(order)
-        listed = [ids[i] for i in order]
-        arrays = {
-            "vectors": vectors[order], "ids": np.array([i for each in listed for i in each], np.int64), "bounds": np.cumsum([0, *map(len, listed)], dtype=np.int64),
-            "shadows": np.concatenate(shadows), "cuts": np.array(cuts, np.int64), "groups": np.array(groups, np.int64),
-            "low": np.concatenate(low), "high": np.concatenate(high), "largest": np.array(largest, np.float64),
-        }
-        return {name: a.tobytes() for name, a in arrays.items()}
+            boxes.append(np.repeat(np.arange(len(tree.sizes)) + n_boxes, tree.sizes))
+            largest.append(np.full(len(own), top))
+            done, n_boxes = done + len(own), n_boxes + len(tree.sizes)
+        return tuple(np.concatenate(x) for x in (order, shadows, boxes, largest))
 
     def search(self, query: np.ndarray, shadow: np.ndarray, length: float, k: int, beyond: float, step: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Rows that may be among the k best, their inner products, and how many were verified.
@@ -230,19 +218,24 @@ def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: in
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("least")
-        built = Shard.built(matrix(group["v"], d), group["ids"].to_pylist(), stable, norm_ratio)
-        return pa.table({"shard": pa.array([group["shard"][0].as_py()], pa.int32()), **{name: pa.array([value], pa.binary()) for name, value in built.items()}})
+        order, shadows, boxes, largest = Shard.placed(matrix(group["v"], d), stable, norm_ratio)
+        group = group.take(order)
+        shadow = pa.FixedSizeListArray.from_arrays(pa.array(shadows.ravel()), directions).cast(pa.list_(pa.float64()))
+        return pa.table([group["shard"], group["v"].cast(pa.list_(pa.float64())), group["ids"].cast(pa.list_(pa.int64())), shadow, pa.array(boxes.astype(np.int32)), pa.array(largest)], ["shard", "v", "ids", "shadow", "box", "largest"])
 
     shard = F.pmod(F.xxhash64("v"), F.lit(n_shards)).cast("int")
     block = F.pmod(F.xxhash64("query", F.lit(1)), F.lit(n_blocks)).cast("int")
-    index = classes.select(shard.alias("shard"), "v", "ids", F.get("ids", F.lit(0)).alias("least")).groupBy("shard").applyInArrow(build, _INDEX)
+    index = classes.select(shard.alias("shard"), "v", "ids", F.get("ids", F.lit(0)).alias("least")).groupBy("shard").applyInArrow(build, "shard int, v array<double>, ids array<long>, shadow array<double>, box int, largest double")
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     right = kinds.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), block.alias("block"), "query", "v")
 
     def search(built: pa.Table, wanted: pa.Table) -> pa.Table:
         out: list[list] = [[], [], [], []]
         if built.num_rows and wanted.num_rows:
-            shard = Shard({c: built[c][0].as_py() for c in built.column_names if c not in ("shard", "block")}, d, directions)
+            built = built.append_column("least", pc.list_element(built["ids"], 0)).sort_by([("box", "ascending"), ("least", "ascending")]).combine_chunks()
+            members = built["ids"].combine_chunks()
+            bounds = np.r_[0, np.cumsum(pc.list_value_length(members).to_numpy())]
+            shard = Shard(matrix(built["v"], d), matrix(built["shadow"], directions), built["box"].to_numpy(), built["largest"].to_numpy(), members.flatten().to_numpy(), bounds)
             asked = matrix(wanted["v"], d)
             sizes = np.linalg.norm(asked, axis=1)
             shadows = (asked / sizes[:, None]) @ stable[:d]

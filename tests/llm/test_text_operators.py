@@ -8,6 +8,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from glossmill.llm import jaccard, licenses, substring, suffixtree
 
@@ -143,6 +145,59 @@ def test_suffix_tree_base_and_counts(spark, rows):
         assert r["score"] <= 1e-9
 
 
+def plain_tree(texts, least, divergence):
+    """A suffix tree of at most two words as dictionaries: a function of (words before, word)."""
+    docs = [["<", *WORD.findall(lowered(t or "")), ">"] for t in texts]
+    one = Counter(w for d in docs for w in d[1:])
+    total, kinds = sum(one.values()), len(one)
+    known = {w for w, c in one.items() if c >= least or w == ">"}
+    times = {**one, "<": len(docs)}
+    pairs = Counter((a, b) for d in docs for a, b in zip(d, d[1:]) if a in known | {"<"} and b in known)
+    pairs = {k: c for k, c in pairs.items() if c >= least}
+    threes = Counter((a, b, c) for d in docs for a, b, c in zip(d, d[1:], d[2:]) if (a, b) in pairs and c in known)
+    threes = {k: c for k, c in threes.items() if c >= least}
+
+    def base(w):
+        return (one[w] + 0.5) / (total + 0.5 * (kinds + 1))
+
+    def node(found, n, parent):
+        p = {w: (c - 0.5) / n for w, c in found.items()}
+        rest, others = max(1 - sum(p.values()), 1e-12), max(1 - sum(map(parent, p)), 1e-12)
+        apart = sum(x * math.log(x / parent(w)) for w, x in p.items()) + rest * math.log(rest / others)
+        return (lambda w: p.get(w, parent(w) * rest / others)), apart
+
+    by_one: dict = {}
+    for (a, b), c in pairs.items():
+        by_one.setdefault(a, {})[b] = c
+    by_two: dict = {}
+    for (a, b, w), c in threes.items():
+        by_two.setdefault((a, b), {})[w] = c
+    first = {a: node(by_one.get(a, {}), times[a], base) for a in known | {"<"}}
+    second = {x: node(found, pairs[x], first[x[1]][0]) for x, found in by_two.items()}
+    states = {(a,): f for a, (f, apart) in first.items() if apart >= divergence}
+    longer = {x: f for x, (f, apart) in second.items() if apart >= divergence}
+    states |= {x[1:]: first[x[1]][0] for x in longer} | longer
+    return lambda before, w: states.get(tuple(before[-2:]), states.get(tuple(before[-1:]), base))(w)
+
+
+def test_suffix_tree_score_against_a_plain_tree(spark, rows):
+    docs = table(spark, rows)
+    after = plain_tree([t for i, t in rows if i % 3], 2, 0.02)
+    got = suffixtree.score_texts(docs, docs.where("doc_id % 3 <> 0"), context_share=0.0, pair_share=0.0, chunk_bytes=4000, bucket_bytes=4000).collect()
+    texts, depths = dict(rows), 0
+    for r in got:
+        words = ["<", *WORD.findall(lowered(texts[r["doc_id"]] or "")), ">"]
+        assert r["score"] == pytest.approx(sum(math.log10(after(words[:i], words[i])) for i in range(1, len(words))), abs=1e-6)
+        depths += r["mean_depth"]
+    assert depths > len(got)
+
+
+def test_suffix_tree_without_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "a c")], "doc_id long, text string")
+    got = suffixtree.score_texts(docs, docs.where("doc_id IS NOT NULL")).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got) == [(0, 3, 2, 3)] * 2 + [(1, 3, 3, 3)]
+
+
 def test_suffix_tree_states_sum_to_one():
     rng = np.random.default_rng(1)
     words = np.sort(rng.integers(1, 1 << 62, 12).astype(np.uint64))
@@ -160,21 +215,52 @@ def test_suffix_tree_states_sum_to_one():
             assert np.exp(tree.after_one(np.full(13, context), every, base)).sum() == pytest.approx(1)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(["a [[b [[c]] d]] {{2}} e", "[[a]] b", "{{1}} a [[{{3}} b]] c", "a b"]), st.lists(st.sampled_from("abcde"), max_size=12))
+def test_automata_of_nested_markup(template, words):
+    want = bool(re.search(licenses._regex(template), " " + " ".join(words) + " "))
+    automaton = licenses.Automaton.compiled(template)
+    assert automaton.accepts([w.encode() for w in words]) is want
+    assert not want or all(n.decode() in words for n in automaton.needs)
+
+
+def test_markup_must_be_closed():
+    for template in ("a [[b", "a]] b"):
+        with pytest.raises(ValueError):
+            licenses.Automaton.compiled(template)
+
+
+def test_licenses_of_repeated_rows(spark):
+    got = licenses.scan(table(spark, [(1, "the MIT License")] * 3 + [(None, None)])).collect()
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["labels"]) for r in got) == [(0, 0, ""), *[(1, 3, "mit")] * 3]
+
+
 def test_suffix_tree_learns(spark, data):
     r = suffixtree.query(spark, data).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").first()
     assert r["s"] > r["b"]
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute,
+sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY,
+WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
 def test_licenses(spark):
     texts = {
         1: "Released under the MIT License. Apache License, apache-license",
         2: "This work is licensed under the GNU General Public License, version 3.",
         3: "permission is granted free of charge", 4: None, 5: "", 6: "cc by cc BY-NC 4.0 mit licensed", 7: "Licensed under a CC BY-NC 4.0!",
         8: "either version 2 of the License, or (at your option) any later version", 9: "either version 2 of the License, or any later version", 10: "either version 2 of the License, or never any later version",
-        11: "apache été license", 12: "x" * 100_000 + " mit license",
+        11: "apache été license", 12: "x" * 100_000 + " mit license", None: "no id, MIT license",
+        13: "MIT License\n\nCopyright (c) 2020 Someone or Other\n\n" + MIT, 14: MIT.replace("substantial", "small"), 15: MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "SOME ONE"),
     }
     got = {r["doc_id"]: r for r in licenses.scan(table(spark, list(texts.items()))).collect()}
     split = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    assert (got[13]["labels"], got[14]["labels"], got[15]["labels"]) == ("mit", "", "mit")
     for i, t in texts.items():
         w = split.findall(lowered(t or ""))
         at = [(p, label) for phrase, label in licenses.PHRASES.items() for p in range(len(w)) if w[p : p + len(phrase.split())] == phrase.split()]
