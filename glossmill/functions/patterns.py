@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import re
 
-# The patterns of placeholders, protected spans and line kinds in each corpus.
-STORY_PLACEHOLDER = r"\{[A-Za-z_][A-Za-z_0-9]*(?::[^{}]+)?\}|\{[0-9]+(?::[^{}]+)?\}|<[^>]+>"
-RECORD_TOKEN = r"\{[0-9]+(?::[^{}]+)?\}|%(?:[0-9]+\$)?[-+#0 ]*[0-9]*(?:\.[0-9]+)?[sdif]|</?[A-Za-z][^>]*>|<#[0-9A-Fa-f]{6,8}>"
+# The patterns of placeholders, protected spans and line kinds in each corpus. Where
+# any digit counts, \p{Nd} stands for \d, which takes ASCII alone in Java; for the same reason
+# \p{L}, \p{N} and \x{...} stand for \w and \u....
+STORY_PLACEHOLDER = r"\{[A-Za-z_][A-Za-z_0-9]*(?::[^{}]+)?\}|\{\p{Nd}+(?::[^{}]+)?\}|<[^>]+>"
+RECORD_TOKEN = r"\{\p{Nd}+(?::[^{}]+)?\}|%(?:\p{Nd}+\$)?[-+#0 ]*\p{Nd}*(?:\.\p{Nd}+)?[sdif]|<[/]?[A-Za-z][^>]*>|<#[0-9A-Fa-f]{6,8}>"
 CANDIDATE_PLACEHOLDER = r"\{[^{}]+\}|<[^<>]+>|\$[\p{L}\p{N}_]+|%[A-Za-z0-9]+|\\[nrt]"
 GLOSSARY_PLACEHOLDER = r"\{[^{}]+\}"
 NUMBER = r"[0-9０-９]+(?:[,.][0-9０-９]+)*"
 URL = r"https?://[A-Za-z0-9._~:/?#\[\]@!$&'()*+,;=%-]+"
 NOTICE_PROTECTED = rf"{RECORD_TOKEN}|{URL}|[0-9０-９]+(?:[/：:／.,，．\-－][0-9０-９]+)+|{NUMBER}|\r\n|\r|\n|\\n|[<>]"
-LEGAL_PREFIX = r"^[ \t\x{3000}]*(?:[（(][0-9０-９]+[）)]|[0-9０-９]+[.．]|[0-9０-９]+[ \t]+|[■◆●・○※])[ \t\x{3000}]*"
+LEGAL_PREFIX = r"^[ \t\x{3000}]*(?:(?:[（(][0-9０-９]+[）)])|(?:[0-9０-９]+[.．])|(?:[0-9０-９]+[ \t]+)|[■◆●・○※])[ \t\x{3000}]*"
 LEGAL_PROTECTED = rf"{LEGAL_PREFIX}|{URL}|[0-9０-９]+|^[ \t\x{{3000}}]+|[ \t\x{{3000}}]+$"
 KANA_OR_HAN = r"[\x{3040}-\x{30FF}\x{3400}-\x{9FFF}]"
 PROSE_KANA_OR_HAN = r"[ぁ-んァ-ヶ一-龯]"
@@ -20,9 +22,11 @@ DATE_ONLY = r"\A(?=[^0-9]*[0-9])[0-9\s\x{3000}/\-:().~〜～年月火水木金
 DATE_LIKE = r"\A[\p{Nd}\s\x{3000}年月日時分秒./:：_-]+\z"
 NON_WORD_ONLY = r"\A[^\p{L}\p{Nl}\p{No}]*\z"
 CREDIT_LINE = r"(?i)\A[\s\x{3000}]*(?:(?:作詞|作曲|編曲)(?:[・/／＆&](?:作詞|作曲|編曲))*|Lyrics|Music|Arrangement)[\s\x{3000}]*[:：]"
-CREDIT_PARTS = r"\A([^:：\n]+?)([\s\x{3000}]*[:：][\s\x{3000}]*)([^\n]*\S[^\n]*)\z"
+NOTICE_CREDIT = r"\A((?:作詞|作曲|編曲)(?:・(?:作詞|作曲|編曲))*)([ \t\x{3000}]*[:：])([^\r\n]+)\z"
+#: Labels of credits as they are written in translations.
+CREDIT_LABELS = {"作詞": "作词", "編曲": "编曲"}
 ENTITY_FIELD = r"(?i)(?:^|\.)(?:name|title|fullName)$"
-FIELD_ID = r"\A[0-9]+:(?:text|title|choice|narration):[0-9]+\z"
+FIELD_ID = r"\A\p{Nd}+:(?:text|title|choice|narration):\p{Nd}+\z"
 NOTICE_PAGE = r"\A/notice/[0-9a-f]{64}/index\.html\z"
 HASH = r"\A[0-9a-f]{64}\z"
 LINE_BREAK = r"\r\n|\r|\n"

@@ -88,8 +88,17 @@ def story_normalised(source: Column | str, target: Column | str) -> Column:
     return F.translate(broken, "[]", "［］")
 
 
+def _with_markers(pattern: str, open_mark: str, close_mark: str) -> str:
+    """The pattern, or a marker that the text itself holds, so that it can't be taken for ours."""
+    return f"{P.java_literal(open_mark)}[0-9]+{P.java_literal(close_mark)}|{pattern}"
+
+
 def masked(text: Column | str, pattern: str, open_mark: str = "⟦", close_mark: str = "⟧") -> Column:
-    """The text with every match replaced by a numbered marker. The pattern never matches empty."""
+    """The text with every match replaced by a numbered marker. The pattern never matches empty.
+
+    What looks like a marker in the text is masked as well.
+    """
+    pattern = _with_markers(pattern, open_mark, close_mark)
     found = matches(text, pattern)
     between = F.split(col(text), pattern, -1)
     marks = F.transform(found, lambda _, i: F.concat(F.lit(open_mark), i.cast("string"), F.lit(close_mark)))
@@ -101,7 +110,7 @@ def unmasked(masked_text: Column | str, source: Column | str, pattern: str, open
     marker = f"{P.java_literal(open_mark)}([0-9]+){P.java_literal(close_mark)}"
     numbers = F.regexp_extract_all(col(masked_text), F.lit(marker), F.lit(1))
     between = F.split(col(masked_text), marker, -1)
-    found = matches(source, pattern)
+    found = matches(source, _with_markers(pattern, open_mark, close_mark))
     spans = F.transform(numbers, lambda n: F.coalesce(F.get(found, n.cast("int")), F.lit("")))
     return F.array_join(F.zip_with(between, spans, lambda plain, span: F.concat(plain, F.coalesce(span, F.lit("")))), "")
 
@@ -119,17 +128,50 @@ def stratum(kind: Column | str, table: Column | str, script: Column | str) -> Co
     return F.when(col(kind) == "master", F.concat(F.lit("master:"), col(table))).otherwise(F.concat(F.lit("story:"), F.substring_index(col(script), "_", 2)))
 
 
-def content_hash(*parts: Column | str) -> Column:
-    """SHA-256 of the canonical JSON of the parts, nulls kept."""
-    fields = [col(p).alias(f"c{i:02d}") for i, p in enumerate(parts)]
-    return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+def canonical_json(**parts: Column | str) -> Column:
+    """A JSON object with its keys in order and nothing between; nulls are kept, as are letters."""
+    return F.to_json(F.struct(*(col(parts[name]).alias(name) for name in sorted(parts))), {"ignoreNullFields": "false"})
+
+
+def content_hash(*parts: Column | str, **named: Column | str) -> Column:
+    """SHA-256 of the canonical JSON of the parts; those without a name are c00, c01 and so on."""
+    return F.sha2(canonical_json(**{f"c{i:02d}": p for i, p in enumerate(parts)}, **named), 256)
 
 
-def short_id(*parts: Column | str) -> Column:
-    return F.substring(content_hash(*parts), 1, 24)
+def short_id(*parts: Column | str, **named: Column | str) -> Column:
+    return F.substring(content_hash(*parts, **named), 1, 24)
 
 
 def credit_parts(text: Column | str) -> Column:
-    """label, separator and names of a one-line credit; null for any other text."""
-    part = [F.regexp_extract(col(text), P.CREDIT_PARTS, i).alias(n) for i, n in ((1, "label"), (2, "separator"), (3, "names"))]
-    return F.when(col(text).rlike(P.CREDIT_PARTS) & is_credit_line(text), F.struct(*part))
+    """label as translations write it, separator and names of a one-line credit of a notice; null
+    for any other text."""
+    label, separator, names = (F.regexp_extract(col(text), P.NOTICE_CREDIT, i) for i in (1, 2, 3))
+    for old, new in P.CREDIT_LABELS.items():
+        label = F.replace(label, F.lit(old), F.lit(new))
+    return F.when(col(text).rlike(P.NOTICE_CREDIT) & (trimmed(names) != ""), F.struct(label.alias("label"), separator.alias("separator"), names.alias("names")))
+
+
+def interface_normalised(source: Column | str, target: Column | str) -> Column:
+    """Written-out line feeds become real ones where the source has real ones only, or the reverse."""
+    s, t = col(source), col(target)
+    real = F.when((occurrences(s, "\n") > 0) & (occurrences(s, "\\n") == 0), F.replace(t, F.lit("\\n"), F.lit("\n")))
+    return F.coalesce(real, F.when((occurrences(s, "\\n") > 0) & (occurrences(s, "\n") == 0), F.replace(t, F.lit("\n"), F.lit("\\n"))), t)
+
+
+def portable_path(path: Column | str, projects: list[str]) -> Column:
+    """A path below somebody's home as it is below one of the projects, or else its last part."""
+    p = col(path)
+    plain = F.replace(p, F.lit("\\"), F.lit("/"))
+    out = F.substring_index(plain, "/", -1)
+    for project in reversed(projects):
+        at = F.locate(f"/{project}/", plain)
+        out = F.when(at > 0, F.substring(plain, at + 1, F.length(plain))).otherwise(out)
+    return F.when(p.rlike(r"\A(?:/Users/|/home/|[A-Za-z]:[\\/]Users[\\/])"), out).otherwise(p)
+
+
+def fenced_json(answer: Column | str) -> Column:
+    """The JSON of a model's answer, without a code fence around it; null if a fence is not closed."""
+    text = trimmed(answer)
+    inner = F.regexp_extract(text, r"(?s)\A```[^\n]*\n(.*)```", 1)
+    closed = text.rlike(r"(?s)\A```[^\n]*\n.*```")
+    return F.when(~text.startswith("```"), text).when(closed, trimmed(inner))

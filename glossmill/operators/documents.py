@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
 from glossmill.functions import text as T
-from glossmill.operators.quality import Rules, assert_none
+from glossmill.operators.quality import Rules, assert_none, or_raise
 
 #: Legal rules whose text is translated; the others are kept as they are.
 LEGAL_TRANSLATED = ("1", "2", "3", "4", "5", "7")
@@ -38,24 +38,57 @@ def credit_actions(sources: DataFrame, initial: DataFrame, current: DataFrame, l
     sources: page, source; initial and current: page, source, translation; log: page, source,
     translation, policy (its latest row for each text). Adds target, action, and whether to log it.
     """
-    parts = T.credit_parts("source")
-    rows = sources.withColumn("c", parts).where(F.col("c").isNotNull())
     keys = ["page", "source"]
+    rows = sources.withColumn("c", T.credit_parts("source")).where(F.col("c").isNotNull())
     for name, frame in (("initial", initial), ("current", current)):
         rows = rows.join(frame.select(*keys, F.col("translation").alias(name)), keys, "left")
     rows = rows.join(log.select(*keys, F.col("translation").alias("logged"), F.col("policy").alias("logged_policy")), keys, "left")
     wanted = F.concat("c.label", "c.separator", "c.names")
-    label = F.regexp_extract(F.col("initial"), r"\A([^:：]*[:：])", 1)
-    target = F.when(F.col("initial").isNotNull() & F.lit(restore), F.concat(label, F.ltrim(F.col("c.names")))).when(F.col("initial").isNotNull(), F.col("initial")).otherwise(wanted)
+    head = F.regexp_extract(F.col("initial"), r"(?s)\A([^:：]*[:：])", 1)
+    restored = or_raise(F.concat(head, F.col("c.names")), head == "", "a credit without a separator can't be restored")
+    kept = F.col("initial").isNotNull() & F.lit(not restore)
+    target = F.when(kept, F.col("initial")).when(F.col("initial").isNotNull(), restored).otherwise(wanted)
     action = (
-        F.when(F.col("initial").isNotNull() & ~F.lit(restore), F.when(F.col("initial") == wanted, "preserved").otherwise("preserved_conflict"))
+        F.when(kept, F.when(F.col("initial") == wanted, "preserved").otherwise("preserved_conflict"))
+        .when(F.col("initial").isNotNull(), F.when(F.col("current").eqNullSafe(F.col("target")), "already_restored").otherwise("restored"))
         .when(F.col("current").isNull(), "filled")
         .when(F.col("current") == F.col("target"), "already_correct")
         .otherwise("changed")
     )
     rows = rows.withColumn("target", target).withColumn("action", action)
     same = F.coalesce((F.col("logged") == F.col("target")) & (F.col("logged_policy") == policy), F.lit(False))
-    return rows.select(*keys, "target", "action", (~same).alias("to_log"))
+    return rows.select(*keys, "target", "action", (~same & ~F.col("action").startswith("preserved")).alias("to_log"))
+
+
+def credit_report(actions: DataFrame) -> DataFrame:
+    """One row of counts: nodes matched, kept, in conflict, restored, filled, changed, right, logged."""
+
+    def n(*names: str) -> Column:
+        return F.count_if(F.col("action").isin(*names))
+
+    return actions.agg(
+        F.count(F.lit(1)).alias("matched_nodes"), n("preserved", "preserved_conflict").alias("protected_initial_nodes"), n("preserved_conflict").alias("initial_policy_conflicts"),
+        n("restored").alias("restored_initial_nodes"), n("changed").alias("changed_new_nodes"), n("filled").alias("filled_new_nodes"),
+        n("already_correct").alias("already_correct_new_nodes"), F.count_if("to_log").alias("log_records_added"),
+    )
+
+
+def snapshot_changes(initial: DataFrame, current: DataFrame, restore: bool = False) -> DataFrame:
+    """Reviewed translations that are no longer what they were; with ``restore``, credits whose
+    names were put back may differ. All: page, source, translation."""
+    keys = ["page", "source"]
+    both = initial.join(current.select(*keys, F.col("translation").alias("current")), keys, "left")
+    changed = ~F.col("translation").eqNullSafe(F.col("current"))
+    if restore:
+        names = T.credit_parts("source")["names"]
+        restored = F.concat(F.regexp_extract("translation", r"(?s)\A([^:：]*[:：])", 1), names)
+        changed = changed & ~F.coalesce(F.col("current") == restored, F.lit(False))
+    return both.where(changed)
+
+
+def texts_by_page(pending: DataFrame, order: str = "source") -> DataFrame:
+    """page, sources: the pending texts of each page, for a list to be approved."""
+    return pending.groupBy("page").agg(F.array_sort(F.collect_set(order)).alias("sources"))
 
 
 def legal_source_rules() -> Rules:

@@ -24,7 +24,14 @@ def reason(rules: Rules) -> Column:
 
 
 def violations(df: DataFrame, rules: Rules) -> DataFrame:
-    return df.withColumn("reason", reason(rules)).where(F.col("reason").isNotNull())
+    """Rows that break a rule, with its name as ``reason``. The rules are evaluated once, in order,
+    and only up to the first that a row breaks: an explode keeps Spark from doing it twice."""
+    return df.withColumn("reason", F.explode(F.array_compact(F.array(reason(rules)))))
+
+
+def or_raise(value: Column, bad: Column, what: str) -> Column:
+    """The value, or an error where ``bad`` holds: a check that needs no pass of its own."""
+    return F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit(what))).otherwise(value)
 
 
 def assert_none(bad: DataFrame, what: str) -> None:

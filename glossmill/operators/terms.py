@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
 from glossmill.functions import text as T
-from glossmill.operators.quality import assert_none
+from glossmill.operators.quality import or_raise
 
 Term = dict  # source, target, category, action, scope
 
 TERM_SCHEMA = "source string, target string, category string, action string, scope map<string,string>, seq long"
-#: An alternation is built of at most so many terms; more are an equi-join on the terms' first words.
+#: One alternation is built of at most so many terms; more are joined on their first characters.
 MOST_TERMS = 5_000
 
 
@@ -25,11 +25,26 @@ def terms_frame(spark: SparkSession, terms: list[Term]) -> DataFrame:
     return spark.createDataFrame(rows, TERM_SCHEMA)
 
 
-def mentions(rows: DataFrame, terms: list[Term], text: str = "source") -> DataFrame:
-    """One row for each distinct term of a text, as ``term``."""
-    if len(terms) > MOST_TERMS:
-        raise ValueError(f"an alternation takes at most {MOST_TERMS} terms")
-    return rows.withColumn("term", F.explode(T.mentions(text, [t["source"] for t in terms])))
+def mentions(rows: DataFrame, terms: list[Term], text: str = "source", most: int = MOST_TERMS, keys: list[str] | None = None) -> DataFrame:
+    """One row for each distinct term of a text, as ``term``.
+
+    With more than ``most`` terms every text meets the terms that begin like two of its neighbouring
+    characters; of those that it holds, an alternation of its own finds the mentions, so the result
+    is the same. ``keys`` then name the columns that tell rows apart (all, if not given).
+    """
+    sources = sorted({t["source"] for t in terms if t["source"]})
+    if len(sources) <= most:
+        return rows.withColumn("term", F.explode(T.mentions(text, sources)))
+    keys = keys or rows.columns
+    listed = rows.sparkSession.createDataFrame([(s[:2], s) for s in sources], "start string, candidate string")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(2)))
+    singles = F.split(F.col(text), "")
+    starts = rows.where(F.length(text) > 0).select(*keys, text, F.explode(F.array_distinct(F.concat(pairs, singles))).alias("start"))
+    held = starts.join(listed, "start").where(F.contains(text, "candidate"))
+    quoted = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("candidate")).alias("less"), "candidate"))), lambda x: F.concat(F.lit("\\Q"), F.replace(x["candidate"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
+    own = held.groupBy(*keys).agg(F.array_join(quoted, "|").alias("_pattern"))  # at most the terms that one text holds
+    found = rows.join(own, keys).withColumn("term", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(`{text}`, _pattern, 0)"))))
+    return found.drop("_pattern")
 
 
 def stands_as_token(text: str, terms: list[Term], term: Column, literal_break: bool = False) -> Column:
@@ -81,13 +96,13 @@ def resolved(active: DataFrame, keys: list[str], strict: bool = True) -> DataFra
 
     Two targets among the most specific are an error, in whatever order they were given.
     """
-    top = F.max("specificity").over(Window.partitionBy(*keys, "term"))
-    best = active.withColumn("_top", top).where("specificity = _top").drop("_top")
-    if strict:
-        clash = best.groupBy(*keys, "term").agg(F.count_distinct("target").alias("targets")).where("targets > 1")
-        assert_none(clash, "terms of one scope with two targets")
-    rest = [c for c in best.columns if c not in (*keys, "term")]
-    picked = best.groupBy(*keys, "term").agg(F.max_by(F.struct(*rest), "term_seq").alias("_r"))
+    rest = [c for c in active.columns if c not in (*keys, "term")]
+    order = F.struct("specificity", "term_seq")
+    # Of each specificity its targets' extremes: where those of the largest differ, two targets clash.
+    levels = active.groupBy(*keys, "term", "specificity").agg(F.max_by(F.struct(*rest), order).alias("_r"), F.min("target").alias("_low"), F.max("target").alias("_high"))
+    picked = levels.groupBy(*keys, "term").agg(F.max_by(F.struct("_r", "_low", "_high"), "specificity").alias("_p"))
+    row = or_raise(F.col("_p._r"), F.col("_p._low") != F.col("_p._high"), "terms of one scope with two targets") if strict else F.col("_p._r")
+    picked = picked.select(*keys, "term", row.alias("_r"))
     return picked.select(*keys, "term", *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 

@@ -478,7 +478,7 @@ def flag_counts(spark, d):
 
 @_query("""SELECT doc_id AS key FROM documents EXCEPT SELECT doc_id FROM labels""")
 def set_except_pages(spark, d):
-    return _documents(spark, d).select(F.col("doc_id").alias("key")).exceptAll(table(spark, d, "labels").select("doc_id")).distinct()
+    return _documents(spark, d).select(F.col("doc_id").alias("key")).subtract(table(spark, d, "labels").select("doc_id"))
 
 
 @_query("""SELECT p_name AS key FROM part WHERE p_size < 5 UNION SELECT p_name FROM part WHERE p_brand = 'Brand#2'""")
@@ -491,5 +491,6 @@ def set_union_keys(spark, d):
 def model_stub_batch(spark, d):
     """Batches of every source answered by the offline stand-in."""
     rows = _documents(spark, d).select(F.col("source").alias("g"), "doc_id", "text", F.length("text").cast("long").alias("size"))
-    packed = batching.greedy_batches(rows, "g", "doc_id", "size", 12, 1600).select("doc_id", "text", F.concat_ws("/", "g", F.col("batch").cast("string")).alias("batch"))
+    numbered = batching.greedy_batches(rows.drop("text"), "g", "doc_id", "size", 12, 1600)
+    packed = rows.join(numbered.select("g", "doc_id", "batch"), ["g", "doc_id"]).select("doc_id", "text", F.concat_ws("/", "g", F.col("batch").cast("string")).alias("batch"))
     return model.run_batches(packed, model.echo_service, lambda s, t: t == f"«{s}»", id="doc_id", source="text")

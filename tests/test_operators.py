@@ -70,8 +70,8 @@ def test_scopes_and_specificity(spark):
     assert got == {1: "青钥", 2: "蓝钥匙"}  # a missing context value fails a policy
     loose = {r["i"]: r["target"] for r in terms.resolved(terms.active_terms(rows, given, context, missing_fails=False), ["i"]).collect()}
     assert loose == {1: "青钥", 2: "x"}  # and counts as '' in an audit
-    with pytest.raises(Violation):
-        terms.resolved(terms.active_terms(rows, [given[0], {"source": "青い鍵", "target": "別"}], context), ["i"])
+    with pytest.raises(Exception, match="two targets"):
+        terms.resolved(terms.active_terms(rows, [given[0], {"source": "青い鍵", "target": "別"}], context), ["i"]).collect()
 
 
 def test_findings(spark):
@@ -121,13 +121,25 @@ def test_legal(spark):
 
 def test_notice_credits(spark):
     page = "/notice/x"
-    sources = spark.createDataFrame([(page, "作詞：山田"), (page, "作曲：川"), (page, "本文")], "page string, source string")
+    sources = spark.createDataFrame([(page, "作詞：山田"), (page, "作曲：川"), (page, "作詞・編曲： 海 "), (page, "Music: x"), (page, "作曲/編曲：x"), (page, "作曲： "), (page, "本文")], "page string, source string")
     three = "page string, source string, translation string"
     initial = spark.createDataFrame([(page, "作詞：山田", "词：Yamada")], three)
     current = spark.createDataFrame([(page, "作曲：川", "作曲：川")], three)
     log = spark.createDataFrame([(page, "作曲：川", "作曲：川", "keep")], three + ", policy string")
     got = {r["source"]: (r["target"], r["action"], r["to_log"]) for r in documents.credit_actions(sources, initial, current, log, "keep").collect()}
-    assert got == {"作詞：山田": ("词：Yamada", "preserved_conflict", True), "作曲：川": ("作曲：川", "already_correct", False)}
+    assert got == {
+        "作詞：山田": ("词：Yamada", "preserved_conflict", False),
+        "作曲：川": ("作曲：川", "already_correct", False),
+        "作詞・編曲： 海 ": ("作词・编曲： 海 ", "filled", True),
+    }
+    report = documents.credit_report(documents.credit_actions(sources, initial, current, log, "keep")).first().asDict()
+    assert report == {
+        "matched_nodes": 3, "protected_initial_nodes": 1, "initial_policy_conflicts": 1, "restored_initial_nodes": 0, "changed_new_nodes": 0, "filled_new_nodes": 1,
+        "already_correct_new_nodes": 1, "log_records_added": 1,
+    }
+    assert documents.snapshot_changes(initial, current).count() == 1
+    back = spark.createDataFrame([(page, "作詞：山田", "词：山田")], three)
+    assert documents.snapshot_changes(initial, back).count() == 1 and documents.snapshot_changes(initial, back, restore=True).isEmpty()
     restored = {r["source"]: r["target"] for r in documents.credit_actions(sources, initial, current, log, "keep", restore=True).collect()}
     assert restored["作詞：山田"] == "词：山田"
 

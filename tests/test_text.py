@@ -67,7 +67,7 @@ def test_story_normaliser(spark):
 
 
 def test_credits(spark):
-    assert one(spark, {"s": "作詞・作曲：山田"}, T.credit_parts("s")).asDict() == {"label": "作詞・作曲", "separator": "：", "names": "山田"}
+    assert one(spark, {"s": "作詞・作曲：山田"}, T.credit_parts("s")).asDict() == {"label": "作词・作曲", "separator": "：", "names": "山田"}
     assert one(spark, {"s": "説明：山田"}, T.credit_parts("s")) is None
 
 
@@ -75,3 +75,26 @@ def test_ids_depend_on_nulls(spark):
     df = spark.createDataFrame([("a", None), ("a", "")], "x string, y string")
     a, b = (r["i"] for r in df.select(T.short_id("x", "y").alias("i")).collect())
     assert a != b and len(a) == 24
+
+
+def test_markers_in_the_text_itself(spark):
+    for text in ("⟦0⟧ and 5", "5 ⟦7⟧ 6", "⟦⟧ 1"):
+        masked = one(spark, {"s": text}, T.masked("s", "[0-9]+"))
+        assert one(spark, {"m": masked, "s": text}, T.unmasked("m", "s", "[0-9]+")) == text
+
+
+def test_any_digit_counts(spark):
+    assert one(spark, {"s": "{１}と{2:x}%３d"}, T.matches("s", P.RECORD_TOKEN)) == ["{１}", "{2:x}", "%３d"]
+
+
+def test_paths_and_fences(spark):
+    projects = ["a", "b"]
+    for path, want in [("/home/x/b/src/f.csv", "b/src/f.csv"), ("C:\\Users\\x\\a\\f", "a/f"), ("/home/x/f.csv", "f.csv"), ("/data/a/f", "/data/a/f")]:
+        assert one(spark, {"p": path}, T.portable_path("p", projects)) == want
+    for answer, want in [(' {"a":1}\n', '{"a":1}'), ('```json\n{"a":1}\n``` ', '{"a":1}'), ("```json\n{", None), ("```{}```", None)]:
+        assert one(spark, {"s": answer}, T.fenced_json("s")) == want
+
+
+def test_interface_line_feeds(spark):
+    for source, target, want in [("a\nb", "x\\ny", "x\ny"), ("a\\nb", "x\ny", "x\\ny"), ("a", "x\ny", "x\ny")]:
+        assert one(spark, {"s": source, "t": target}, T.interface_normalised("s", "t")) == want
