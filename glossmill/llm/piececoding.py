@@ -181,8 +181,11 @@ def _table(path: str) -> PieceTable:
     return PieceTable(path)
 
 
-def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """doc_id, ids array<int>: every whole text with the end id after it."""
+def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: str | None = None, and_decode: bool = False) -> DataFrame:
+    """doc_id, ids array<int>: every whole text with the end id after it.
+
+    ``and_decode`` adds ``decoded``, the text that the ids give, without another pass.
+    """
     path = model or default_model()
 
     def run(batches):
@@ -192,9 +195,13 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
                 each = [table.encode(t or "") for t in part.column(1).to_pylist()]
                 offsets = np.cumsum([0, *(len(x) // 4 for x in each)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(each), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
+                columns = [part.column(0), ids]
+                if and_decode:
+                    columns.append(pa.array([table.decode(np.frombuffer(x, np.int32).tolist()) for x in each], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + (", decoded string" if and_decode else "")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", model: str | None = None) -> DataFrame:
@@ -217,7 +224,7 @@ def decode(encoded: DataFrame, ids: str = "ids", model: str | None = None) -> Da
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    return encode(docs, and_decode=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
