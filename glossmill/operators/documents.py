@@ -26,9 +26,13 @@ def pending_notices(texts: DataFrame, translations: DataFrame, aliases: DataFram
     return open_.join(aliases.where("source <> target").select("source"), "source", "left_anti")
 
 
+def unapproved(pending: DataFrame, approved: DataFrame) -> DataFrame:
+    return pending.join(approved.select("page", "source"), ["page", "source"], "left_anti")
+
+
 def approved_only(pending: DataFrame, approved: DataFrame) -> DataFrame:
     """Pending texts, all of which must have been approved."""
-    assert_none(pending.join(approved, ["page", "source"], "left_anti"), "texts that were not approved")
+    assert_none(unapproved(pending, approved), "texts that were not approved")
     return pending
 
 

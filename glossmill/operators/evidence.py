@@ -54,6 +54,17 @@ def checked(found: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.withColumn("reason", reason(rules)).drop("unknown", "credits", "absent", "first")
 
 
+def rejections(candidates_checked: DataFrame) -> DataFrame:
+    """How many candidates of each job were rejected for each reason."""
+    return candidates_checked.where("reason IS NOT NULL").groupBy("job_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def job_status(candidates_checked: DataFrame) -> DataFrame:
+    """Candidates and rejections of each job; strictly, an answer is complete only without any."""
+    counts = candidates_checked.groupBy("job_id").agg(F.count(F.lit(1)).alias("candidates"), F.count("reason").alias("rejected"))
+    return counts.withColumn("status", F.when(F.col("rejected") == 0, "complete").otherwise("partial"))
+
+
 def latest_complete(log: DataFrame) -> DataFrame:
     """The last result of each cache key, without partial ones."""
     full = log.where(F.coalesce("status", F.lit("complete")) != "partial")

@@ -60,11 +60,15 @@ def merged_later_wins(first: DataFrame, later: DataFrame, keys: list[str]) -> Da
     return later.unionByName(first.join(later.select(*keys), keys, "left_anti"))
 
 
+def conflicts(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys with several values in two dictionaries, and how many."""
+    return a.select(key, value).union(b.select(key, value)).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def merged_or_conflict(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     """Union of two dictionaries; a key with two values is an error."""
-    both = a.select(key, value).union(b.select(key, value)).distinct()
-    assert_none(both.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "keys with two values")
-    return both
+    assert_none(conflicts(a, b, key, value), "keys with two values")
+    return a.select(key, value).union(b.select(key, value)).distinct()
 
 
 def strictest_context(rows: DataFrame) -> DataFrame:

@@ -141,21 +141,29 @@ def planned(rows: DataFrame, per_stratum: int = 0) -> tuple[DataFrame, DataFrame
 
 def jobs(heads: DataFrame, max_rows: int = 16, short_rows: int = 8, max_chars: int = 3000) -> DataFrame:
     """job_id and rows of each job: greedy batches of a stratum in two lanes, short story rows apart."""
-    sized = heads.withColumn("size", F.length("source").cast("long"))
-    short = (F.col("kind") == "story") & (F.col("size") < 8)
+    around = F.aggregate(F.transform("neighbors", lambda n: F.length(T.excerpt(n["source"]))), F.lit(0), lambda a, b: a + b) if "neighbors" in heads.columns else F.lit(0)
+    sized = heads.withColumn("size", (F.length("source") + F.coalesce(around, F.lit(0))).cast("long"))
+    short = (F.col("kind") == "story") & (F.length(T.trimmed("source")) < 8)
     laned = batching.two_lane_batches(sized.select("stratum", "seq", "row_id", "source", "kind", "size"), "stratum", "seq", "size", short, {"short": short_rows, "normal": max_rows}, max_chars)
     rows = F.transform(F.array_sort(F.collect_list(F.struct("seq", "row_id", "source"))), lambda r: F.struct(r["row_id"].alias("id"), r["source"].alias("source")))
     made = laned.groupBy("stratum", "lane", "batch").agg(rows.alias("rows"))  # at most max_rows a job
-    return made.withColumn("job_id", T.short_id("stratum", F.to_json("rows")))
+    return made.withColumn("job_id", job_id("stratum", "rows"))
 
 
-def cache_key(prompt_hash: str, model: str, schema_version: int = 1) -> Column:
-    """Identity of a job's answer: its rows and what asks, but not its aliases."""
-    return T.content_hash(F.lit(schema_version), "job_id", F.to_json("rows"), F.lit(prompt_hash), F.lit(model))
+def job_id(stratum: str, rows: str) -> Column:
+    """Identity of a job: its kind, what its rows belong to, and the rows."""
+    kind = F.when(F.col(stratum).startswith("story:"), "story").otherwise("master")
+    return T.short_id(kind=kind, group=stratum, rows=rows)
 
 
-def sliced(plan: DataFrame, tables: list[str] | None = None, prefix: str | None = None, phase: str | None = None) -> DataFrame:
-    """Jobs of given tables, of a story prefix, or of a phase (narrative, independent); never none."""
+def cache_key(prompt_hash: str, model: str, schema_version: int = 1, rows: str = "rows", repair_of: Column | None = None) -> Column:
+    """Identity of a job's answer: its rows, the job that it repairs and what asks, but not its aliases."""
+    repaired = F.lit(None).cast("string") if repair_of is None else repair_of
+    return T.content_hash(schema_version=F.lit(schema_version), job=rows, repair_of=repaired, prompt_sha256=F.lit(prompt_hash), model=F.lit(model))
+
+
+def in_slice(tables: list[str] | None = None, prefix: str | None = None, phase: str | None = None) -> Column:
+    """Whether a job is of given tables, of a story prefix, or of a phase (narrative, independent)."""
     keep = F.lit(True)
     master = F.regexp_extract("stratum", "^master:(.*)$", 1)
     if tables:
@@ -165,7 +173,12 @@ def sliced(plan: DataFrame, tables: list[str] | None = None, prefix: str | None
     if phase:
         told = master.isin(*NARRATIVE_PHASE) | F.col("stratum").startswith("story:")
         keep = keep & (told if phase == "narrative" else ~told)
-    out = plan.where(keep)
+    return keep
+
+
+def sliced(plan: DataFrame, tables: list[str] | None = None, prefix: str | None = None, phase: str | None = None) -> DataFrame:
+    """The jobs of a slice, which may not be empty."""
+    out = plan.where(in_slice(tables, prefix, phase))
     if out.isEmpty():
         raise Violation("the slice holds no job")
     return out

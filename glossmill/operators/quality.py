@@ -45,6 +45,11 @@ def duplicates(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def may_reflow(table: str = "tbl", field: str = "field") -> Column:
+    """Names of stories may be broken into other lines than their source."""
+    return (F.col(table) == "Story") & (F.col(field) == "name")
+
+
 def story_line(source: str, target: str) -> Rules:
     return [
         ("empty", F.col(target) != ""),

@@ -46,6 +46,13 @@ def flag_counts(queued: DataFrame) -> DataFrame:
     return queued.select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def queue_counts(queued: DataFrame) -> DataFrame:
+    """counted (kind or flag), name, n: items of each kind, and how many carry each flag."""
+    kinds = queued.groupBy(F.col("kind").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    flags = flag_counts(queued).withColumnRenamed("flag", "name")
+    return kinds.select(F.lit("kind").alias("counted"), "name", "n").unionByName(flags.select(F.lit("flag").alias("counted"), "name", "n"))
+
+
 def merged_decisions(new: DataFrame, old: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(items, stale): decisions for a new queue, and old ones that no longer fit.
 

@@ -106,10 +106,42 @@ def resolved(active: DataFrame, keys: list[str], strict: bool = True) -> DataFra
     return picked.select(*keys, "term", *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 
+def counts(term: str = "term", text: str = "source") -> Column:
+    """A term of one character counts only where it is the whole text."""
+    return (F.length(term) > 1) | (F.col(text) == F.col(term))
+
+
+def preferences(rows: DataFrame, policy: list[Term], glossary: dict[str, str], context: dict[str, Column], keys: list[str]) -> DataFrame:
+    """keys, term, target, action, origin: what is to be preferred in each line.
+
+    Scoped terms are resolved on the source and, where there is one, on the speaker. A flat glossary
+    loses every spelling that the policy names, but gives it back to the lines that hold it, and in
+    which no scoped term with that spelling holds.
+    """
+    def of(text: str) -> DataFrame:
+        active = active_terms(rows.where(F.col(text).isNotNull()), policy, context, text)
+        return resolved(active.where(counts(text=text)), keys).select(*keys, "term", "target", "action")
+
+    matched = of("source")
+    if "speaker" in rows.columns:
+        matched = matched.unionByName(of("speaker")).distinct()
+    back = sorted({t["source"] for t in policy} & glossary.keys())
+    told = F.concat_ws(" ", "source", *(["speaker"] if "speaker" in rows.columns else []))
+    held = F.array_compact(F.array(*(F.when(T.contains_token(told, s), F.struct(F.lit(s).alias("term"), F.lit(glossary[s]).alias("target"))) for s in back)))
+    none = F.array().cast("array<struct<term:string,target:string>>")
+    flat = rows.select(*keys, F.explode(held if back else none).alias("_g")).select(*keys, "_g.term", "_g.target", F.lit("prefer").alias("action"))
+    flat = flat.join(matched.select(*keys, "term"), [*keys, "term"], "left_anti")
+    return matched.withColumn("origin", F.lit("policy")).unionByName(flat.withColumn("origin", F.lit("glossary")))
+
+
+def credit_key(table: str = "tbl", field: str = "field") -> Column:
+    return F.coalesce((F.col(table) == "Music") & F.col(field).isin("composer", "lyricist", "arranger"), F.lit(False))
+
+
 def audit_category(table: str = "tbl", field: str = "field") -> Column:
     t, f = F.col(table), F.col(field)
     return (
-        F.when((t == "Music") & f.isin("composer", "lyricist", "arranger"), "music_credit")
+        F.when(credit_key(table, field), "music_credit")
         .when((t == "Music") & f.isin("name", "description"), "song")
         .when((t == "Character") & f.isin("name", "firstName", "lastName", "fullName"), "character")
         .when(t.contains("Group") & (f == "name"), "group")
@@ -123,11 +155,11 @@ def findings(entries: DataFrame, terms: list[Term], context: dict[str, Column],
 
     Returns the keys, type, term (null for credits) and suggestion.
     """
-    done = entries.where(F.col("translation") != "").withColumn("audit_category", audit_category())
+    done = _audited(entries)
     credits = done.where((F.col("audit_category") == "music_credit") & (F.col("source") != F.col("translation")))
     credits = credits.select(*keys, F.lit("music_credit_changed").alias("type"), F.lit(None).cast("string").alias("term"), F.col("source").alias("suggestion"))
     active = active_terms(done.where("audit_category <> 'music_credit'"), terms, context, missing_fails=False)
-    counted = active.where((F.length("term") > 1) | (F.col("source") == F.col("term")))
+    counted = active.where(counts())
     lacks = ~F.col("translation").contains(F.col("target"))
     for t in terms:
         if P.token_pattern(t["target"]) != P.java_literal(t["target"]):
@@ -137,6 +169,37 @@ def findings(entries: DataFrame, terms: list[Term], context: dict[str, Column],
     return credits.unionByName(missed)
 
 
+def _audited(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("translation") != "").withColumn("audit_category", audit_category())
+
+
+def _mentioning(entries: DataFrame, terms: list[Term], context: dict[str, Column]) -> DataFrame:
+    return active_terms(_audited(entries).where("audit_category <> 'music_credit'"), terms, context, missing_fails=False)
+
+
+def findings_by_type(found: DataFrame) -> DataFrame:
+    return found.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def audit_counters(entries: DataFrame, terms: list[Term], context: dict[str, Column], keys: list[str]) -> DataFrame:
+    """One row: entries, translated, untranslated, credit fields, and entries with terms."""
+    done = F.col("translation") != ""
+    plain = entries.agg(F.count(F.lit(1)).alias("entries"), F.count_if(done).alias("translated"), F.count_if(~done).alias("untranslated"), F.count_if(done & credit_key()).alias("music_credit_fields"))
+    with_terms = _mentioning(entries, terms, context).agg(F.count_distinct(*keys).alias("entries_with_terms"))
+    return plain.join(with_terms, F.lit(True))  # one row each
+
+
+def mentions_by_category(entries: DataFrame, terms: list[Term], context: dict[str, Column]) -> DataFrame:
+    """Active terms by category, counted before those of one character are left out."""
+    return _mentioning(entries, terms, context).groupBy("category").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+def audit_variants(entries: DataFrame, terms: list[Term], context: dict[str, Column], order: str, examples: int = 2) -> DataFrame:
+    """Variants of sources among the entries that mention an active term."""
+    rows = _mentioning(entries, terms, context).select("source", "translation", order).distinct()
+    return source_variants(rows, "source", "translation", order, examples)
+
+
 def source_variants(rows: DataFrame, source: str, translation: str, order: str, examples: int = 2) -> DataFrame:
     """Translations of each source that has several: count and the first examples' orders."""
     w = Window.partitionBy(source, translation).orderBy(order)

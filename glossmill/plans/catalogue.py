@@ -7,19 +7,16 @@ labels review decisions, benchmark passages evidence, pages notices, parts names
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
 from glossmill.functions import text as T
 from glossmill.operators import batching, documents, evidence, memory, model, quality, review, terms
+from glossmill.plans.register import oracle_sql, queries, query as _query
 from glossmill.session import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_ORACLES: dict[str, str] = {}
+__all__ = ["oracle_sql", "queries"]
 
 WORDS = ["the", "and", "that", "thanedble", "der", "die", "les", "des", "las", "License", "GNU General Public License", "of the", "to", "in the"]
 TERMS = [{"source": w, "target": w.upper(), "category": "phrase" if " " in w else "word"} for w in WORDS]
@@ -32,24 +29,6 @@ SCOPED = [
 ]
 
 
-def _query(oracle: str | None = None):
-    def keep(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if oracle:
-            _ORACLES[f.__name__] = oracle
-        return f
-
-    return keep
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
-
-
 def _sql_list(values: list[str]) -> str:
     return "(VALUES " + ", ".join(f"('{v}')" for v in values) + ")"
 
@@ -494,3 +473,6 @@ def model_stub_batch(spark, d):
     numbered = batching.greedy_batches(rows.drop("text"), "g", "doc_id", "size", 12, 1600)
     packed = rows.join(numbered.select("g", "doc_id", "batch"), ["g", "doc_id"]).select("doc_id", "text", F.concat_ws("/", "g", F.col("batch").cast("string")).alias("batch"))
     return model.run_batches(packed, model.echo_service, lambda s, t: t == f"«{s}»", id="doc_id", source="text")
+
+
+from glossmill.plans import corpora, reports  # noqa: E402, F401  (they add their queries)
