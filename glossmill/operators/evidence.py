@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmill.functions import patterns as P
 from glossmill.functions import text as T
 from glossmill.operators.quality import reason
 
@@ -19,6 +20,14 @@ def candidates(results: DataFrame) -> DataFrame:
     return results.select("job_id", F.posexplode("terms").alias("at", "t")).select("job_id", "at", "t.*")
 
 
+def _pattern(term: str) -> Column:
+    """A term stands in its row as a token: bounded where its edges are ASCII alphanumerics."""
+    escaped = F.concat(F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    left = F.when(F.col(term).rlike("^[A-Za-z0-9]"), F.lit(r"(?:(?<![A-Za-z0-9_])|(?<=\\n))")).otherwise(F.lit(""))
+    right = F.when(F.col(term).rlike("[A-Za-z0-9]$"), F.lit("(?![A-Za-z0-9_])")).otherwise(F.lit(""))
+    return F.concat(left, escaped, right)
+
+
 def checked(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Candidates with ``reason``: null if valid, else the first rule that fails.
 
@@ -26,12 +35,7 @@ def checked(found: DataFrame, rows: DataFrame) -> DataFrame:
     """
     asked = rows.select("job_id", F.col("row_id").alias("ref"), F.col("source").alias("row_source"), "is_credit")
     per_ref = found.select("job_id", "at", F.col("source").alias("term"), F.explode_outer("evidence").alias("ref")).join(asked, ["job_id", "ref"], "left")
-    # A term stands in its row as a token: bounded where its edges are ASCII alphanumerics.
-    escaped = F.concat(F.lit("\\Q"), F.replace("term", F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    left = F.when(F.col("term").rlike("^[A-Za-z0-9]"), F.lit(r"(?:(?<![A-Za-z0-9_])|(?<=\\n))")).otherwise(F.lit(""))
-    right = F.when(F.col("term").rlike("[A-Za-z0-9]$"), F.lit("(?![A-Za-z0-9_])")).otherwise(F.lit(""))
-    stands = F.expr("row_source rlike _pattern")
-    per_ref = per_ref.withColumn("_pattern", F.concat(left, escaped, right)).withColumn("_stands", stands)
+    per_ref = per_ref.withColumn("_pattern", _pattern("term")).withColumn("_stands", F.expr("row_source rlike _pattern"))
     refs = per_ref.groupBy("job_id", "at").agg(
         F.count_if(F.col("ref").isNotNull() & F.col("row_source").isNull()).alias("unknown"),
         F.count_if(F.coalesce("is_credit", F.lit(False))).alias("credits"),
@@ -71,6 +75,70 @@ def latest_complete(log: DataFrame) -> DataFrame:
     return full.groupBy("cache_key").agg(F.max_by(F.struct("job_id", "terms"), "seq").alias("r")).select("cache_key", "r.*")
 
 
+def with_aliases(valid: DataFrame, aliases: DataFrame) -> DataFrame:
+    """(category, source, job_id, row_id, cited) of what candidates rest on: the rows that they cite,
+    and those of their aliases that hold the term as well and are no credits.
+
+    aliases: job_id, head (the row that stands for it), row_id, source, is_credit.
+    """
+    cited = valid.select("category", "source", "job_id", F.explode("evidence").alias("row_id"))
+    others = cited.withColumnRenamed("row_id", "head").join(aliases.select("job_id", "head", "row_id", F.col("source").alias("row_source"), "is_credit"), ["job_id", "head"])
+    held = others.withColumn("_pattern", _pattern("source")).where(F.expr("row_source rlike _pattern") & ~F.col("is_credit"))
+    both = cited.withColumn("cited", F.lit(True)).unionByName(held.select("category", "source", "job_id", "row_id", F.lit(False).alias("cited")))
+    return both.distinct()
+
+
+def progress(plan: DataFrame, complete: DataFrame) -> DataFrame:
+    """One row: jobs of a plan, those with a complete result, and those without."""
+    done = plan.select("job_id").join(complete.select("job_id").distinct().withColumn("done", F.lit(True)), "job_id", "left")
+    return done.agg(F.count(F.lit(1)).alias("jobs"), F.count("done").alias("completed_jobs"), (F.count(F.lit(1)) - F.count("done")).alias("pending_jobs"))
+
+
+def disagreeing_jobs(plan: DataFrame, results: DataFrame) -> DataFrame:
+    """Results whose cache key is a job's but whose job id is not. Both: cache_key, job_id."""
+    own = plan.select("cache_key", F.col("job_id").alias("planned_id"))
+    return results.join(own, "cache_key").where(F.col("job_id") != F.col("planned_id"))
+
+
+def in_glossary(candidates: DataFrame, names: DataFrame, terms: DataFrame) -> DataFrame:
+    """Candidates with in_glossary and glossary_target; terms override names."""
+    both = terms.select("source", "target").unionByName(names.select("source", "target").join(terms.select("source"), "source", "left_anti"))
+    known = both.select("source", F.col("target").alias("glossary_target"), F.lit(True).alias("in_glossary"))
+    return candidates.join(known, "source", "left").withColumn("in_glossary", F.coalesce("in_glossary", F.lit(False)))
+
+
+def by_category(candidates: DataFrame) -> DataFrame:
+    """Candidates of each category, and those that no glossary holds."""
+    return candidates.groupBy("category").agg(F.count(F.lit(1)).alias("candidates"), F.count_if(~F.col("in_glossary")).alias("unknown"))
+
+
+def references(entries: DataFrame) -> DataFrame:
+    """(source, target) of the entries that name something, translated or not."""
+    return entries.where(F.col("field").rlike(P.ENTITY_FIELD)).select("source", F.col("translation").alias("target"))
+
+
+def united_reports(*reports: DataFrame) -> DataFrame:
+    """Candidates of several reports as one: source, category, suggestion, evidence; evidence that
+    occurs twice counts once."""
+    out = reports[0]
+    for report in reports[1:]:
+        out = out.unionByName(report)
+    rows = out.groupBy("source", "category", "suggestion").agg(F.array_distinct(F.flatten(F.collect_list("evidence"))).alias("evidence"))
+    return rows.withColumn("evidence", F.array_sort("evidence"))
+
+
+def report_rules() -> list:
+    """Rules of a report that is to be reconciled: scope, source, categories, suggestions, evidence."""
+    return [
+        ("scope", F.col("scope") == "semantic_review_only_no_dictionary_changes"),
+        ("source", F.col("source") != ""),
+        ("category", F.col("category") != ""),
+        ("suggestions", F.size("suggested_translations") > 0),
+        ("evidence", F.size("evidence") > 0),
+        ("row_id", F.forall("evidence", lambda e: F.coalesce(e != "", F.lit(False)))),
+    ]
+
+
 def aggregated(valid: DataFrame) -> DataFrame:
     """Valid candidates by category and source: counts of suggestions, and evidence in order."""
     suggested = valid.groupBy("category", "source", "suggested_translation").agg(F.count(F.lit(1)).alias("n"))

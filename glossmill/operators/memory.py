@@ -77,6 +77,11 @@ def strictest_context(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source").agg(F.min_by(F.struct("tbl", "field", "may_reflow"), order).alias("context")).select("source", "context.*")
 
 
+def missing_tables(source: DataFrame, target: DataFrame, table: str = "tbl") -> DataFrame:
+    """Tables of the source that the target lacks altogether."""
+    return source.select(table).distinct().join(target.select(table).distinct(), table, "left_anti")
+
+
 def coverage(rows: DataFrame, *keys: str, target: str = "translation") -> DataFrame:
     done = F.count_if(F.coalesce(F.col(target), F.lit("")) != "")
     return rows.groupBy(*keys).agg(done.cast("long").alias("translated"), F.count(F.lit(1)).alias("total"))

@@ -134,6 +134,18 @@ def preferences(rows: DataFrame, policy: list[Term], glossary: dict[str, str], c
     return matched.withColumn("origin", F.lit("policy")).unionByName(flat.withColumn("origin", F.lit("glossary")))
 
 
+def conflicting_contexts(preferred: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sources that may not be translated once for all: their places ask for different terms.
+
+    preferred: of ``preferences``; a place without any counts as one that asks for none, and a credit
+    asks for its own text.
+    """
+    asked = preferred.where("origin = 'policy'").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("term", "target", "action"))).alias("asked"))
+    none = F.array().cast("array<struct<term:string,target:string,action:string>>")
+    signature = F.struct(F.coalesce("asked", none).alias("asked"), credit_key().alias("credit"))
+    return rows.join(asked, keys, "left").groupBy("source").agg(F.count_distinct(signature).alias("signatures")).where("signatures > 1")
+
+
 def credit_key(table: str = "tbl", field: str = "field") -> Column:
     return F.coalesce((F.col(table) == "Music") & F.col(field).isin("composer", "lyricist", "arranger"), F.lit(False))
 

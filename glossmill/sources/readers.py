@@ -227,3 +227,26 @@ def unchanged(before: DataFrame, after: DataFrame) -> None:
     other = before.join(after.withColumnRenamed("sha256", "then"), "path", "full_outer").where("sha256 IS DISTINCT FROM then")
     if not other.isEmpty():
         raise Violation("inputs changed while they were read")
+
+
+def united(*corpora: DataFrame) -> DataFrame:
+    """Entries of several corpora in one frame; what one lacks is null."""
+    out = corpora[0]
+    for other in corpora[1:]:
+        out = out.unionByName(other, allowMissingColumns=True)
+    return out
+
+
+def stale_sources(footers: DataFrame, files: DataFrame) -> DataFrame:
+    """Files whose source text is not the one that their footer was written for, or is missing.
+
+    footers: of ``story_footer``; files: path, sha256 of the source texts.
+    """
+    held = files.select(_base(F.col("path")).alias("source_name"), "sha256")
+    joined = footers.join(held, "source_name", "left")
+    return joined.where(~F.coalesce(F.col("sha256") == F.col("source_sha256"), F.lit(False)))
+
+
+def unknown_fields(rows: DataFrame, found: str, wanted: list[str]) -> DataFrame:
+    """Rows with a key that is not one of ``wanted``."""
+    return rows.where(F.size(F.array_except(F.map_keys(found), F.array(*map(F.lit, wanted)))) > 0)
