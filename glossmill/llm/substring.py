@@ -14,7 +14,9 @@ indexed, and every rolling block-sized window of every document probes them:
 3. the words under such windows go.
 
 Between steps only fingerprints and bits move, in packed rows of one chunk and bucket: never
-pairs of places. The text itself is dealt once, and that exchange is used three times.
+pairs of places. A chunk sends a hash at most twice in the first step and once in the second, however
+often it holds it, so passages that all documents share stay small. The text itself is dealt once,
+and that exchange is used three times.
 
 Edge cases: a null or empty text has no words and kept text ''; a row without an id neither
 removes nor loses words; repeated rows of one id are the same document, so never repeats of each
@@ -37,6 +39,7 @@ from glossmill.llm.frames import dealt, pieces, text_bytes
 _ASK = "chunk int, bucket int, size int, docs binary, counts binary, prints binary, flags binary"
 _TELL = "chunk int, bucket int, bits binary"
 _NO_ID = np.iinfo(np.int64).max
+_RESULTS = ("doc_id", "kept_text", "n_words", "n_removed")
 
 
 def _ordered(table: pa.Table) -> pa.Table:
@@ -98,6 +101,44 @@ def _probes(table: pa.Table, window: int) -> tuple[Block, np.ndarray, np.ndarray
     return block, at, hashes, doc, indexed
 
 
+def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in order of their hash, where each hash begins in that order, and the number of the
+    hash at each place."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(order) else np.zeros(0, bool)
+    kind = np.empty(len(order), np.int32)
+    kind[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order, np.flatnonzero(new), kind
+
+
+def _sent_probes(hashes: np.ndarray, owner: np.ndarray, indexed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places to send of each hash: the first indexed one and the last, as owners come in order.
+    Also which hashes are hit by what the chunk itself holds, and each place's hash."""
+    order, begins, kind = _groups(hashes)
+    if not len(order):
+        return order, np.zeros(0, bool), kind
+    none = len(order)
+    last = np.maximum.reduceat(order, begins)
+    first = np.minimum.reduceat(np.where(indexed[order], order, none), begins)
+    held = first < none
+    inside = held.copy()
+    inside[held] = owner[last[held]] > owner[first[held]]
+    sent = np.zeros(none, bool)
+    sent[first[held]] = True
+    sent[last] = True
+    return np.flatnonzero(sent), inside, kind
+
+
+def _sent_windows(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first place of each hash, which places have a larger owner than that, each's hash."""
+    order, begins, kind = _groups(hashes)
+    if not len(order):
+        return order, np.zeros(0, bool), kind
+    first = np.minimum.reduceat(order, begins)
+    return first, owner > owner[first][kind], kind
+
+
 def _read(table: pa.Table, width: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Prints, owners and flags of a bucket's rows, and where each row begins."""
     sizes = table["size"].to_numpy()
@@ -154,27 +195,34 @@ def substring_dedup(
     """Remove every word under a window that also starts in a document with a smaller id.
 
     Returns one row per document: doc_id, kept_text (kept words joined by one space), n_words,
-    n_removed, and the columns named in ``carry``, whose names must differ from these.
+    n_removed, and the columns named in ``carry``; of those, what is named like a result gives way.
     """
+    carry = tuple(c for c in carry if c.lower() not in _RESULTS)
     if window < 1:
         raise ValueError("a window has at least one word")
     total = text_bytes(docs, text)
     n_buckets = pieces(total, bucket_bytes, 48)
     dealt_as = {text: "text", doc_id: "doc_id"}
-    chunks = dealt(docs, doc_id, text, pieces(total, chunk_bytes), tuple(c for c in carry if c not in dealt_as))
+    inside = {c: f"carried_{i}" for i, c in enumerate(carry) if c not in dealt_as}  # clashes with nothing
+    chunks = dealt(docs.withColumnsRenamed(inside), doc_id, text, pieces(total, chunk_bytes), tuple(inside.values()))
     size = (window + 1) // 2
 
     def ask_anchors(table: pa.Table) -> pa.Table:
         table = _ordered(table)
         _, _, hashes, doc, indexed = _probes(table, window)
-        return _asked(_pack(table["chunk"][0].as_py(), _ids(table)[doc], hashes, n_buckets, np.uint32, indexed))
+        owner = _ids(table)[doc]
+        sent, _, _ = _sent_probes(hashes, owner, indexed)
+        return _asked(_pack(table["chunk"][0].as_py(), owner[sent], hashes[sent], n_buckets, np.uint32, indexed[sent]))
 
     def ask_windows(table: pa.Table, answers: pa.Table) -> pa.Table:
-        if not table.num_rows or not answers.num_rows:
+        if not table.num_rows:
             return _asked({name: [] for name in ("chunk", "bucket", "size", "docs", "counts", "prints", "flags")})
         table = _ordered(table)
         block, at, hashes, doc, indexed = _probes(table, window)
-        hit = _unpack_bits(answers, hashes, n_buckets, 2).any(axis=0)
+        sent, of_hash, kind = _sent_probes(hashes, _ids(table)[doc], indexed)
+        told = _unpack_bits(answers, hashes[sent], n_buckets, 2).any(axis=0)
+        np.logical_or.at(of_hash, kind[sent], told)
+        hit = of_hash[kind]
         # A window starting at w holds the probes at w .. w + window - size.
         marks = np.zeros(len(block.starts) + 1, np.int64)
         marks[at[hit] + 1] = 1
@@ -186,7 +234,9 @@ def substring_dedup(
         chunk, ids = table["chunk"][0].as_py(), _ids(table)
         owner = ids[np.repeat(np.arange(block.n_docs), block.n_words)[whole]]
         whole, owner = whole[owner != _NO_ID], owner[owner != _NO_ID]
-        rows = _pack(chunk, owner, window_hashes(block.hashes(), whole, window), n_buckets, np.uint64, np.zeros(len(whole), bool))
+        hashes = window_hashes(block.hashes(), whole, window)
+        first, _, _ = _sent_windows(hashes, owner)
+        rows = _pack(chunk, owner[first], hashes[first], n_buckets, np.uint64, np.zeros(len(first), bool))
         mask = np.zeros(len(block.starts), bool)
         mask[whole] = True
         # The chunk's own note of which windows it asked about passes through a bucket untouched.
@@ -201,7 +251,9 @@ def substring_dedup(
         if answers.num_rows:
             note = answers.filter(pc.less(answers["bucket"], 0))["bits"][0].as_py()
             at = np.flatnonzero(np.unpackbits(np.frombuffer(note, np.uint8), count=len(block.starts)))
-            bad = at[_unpack_bits(answers, window_hashes(block.hashes(), at, window), n_buckets, 1)[0]]
+            hashes, owner = window_hashes(block.hashes(), at, window), _ids(table)[np.repeat(np.arange(block.n_docs), block.n_words)[at]]
+            first, later, kind = _sent_windows(hashes, owner)
+            bad = at[later | _unpack_bits(answers, hashes[first], n_buckets, 1)[0][kind]]
             gone[bad] += 1
             np.subtract.at(gone, bad + window, 1)
         keep = np.cumsum(gone[:-1]) == 0
@@ -211,7 +263,7 @@ def substring_dedup(
             kept.append(b" ".join(words if own.all() else compress(words, own.tolist())))
         removed = block.n_words - np.add.reduceat(np.r_[keep, 0].astype(np.int64), np.minimum(block.word_bounds[:-1], len(keep))) * (block.n_words > 0)
         out = {"doc_id": table["doc_id"], "kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "n_words": pa.array(block.n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64())}
-        return pa.table(out | {c: table[dealt_as.get(c, c)] for c in carry})
+        return pa.table(out | {c: table[dealt_as.get(c, inside.get(c))] for c in carry})
 
     kinds = dict(docs.select(*carry).dtypes)
     schema = "doc_id long, kept_text string, n_words long, n_removed long" + "".join(f", `{c}` {kinds[c]}" for c in carry)

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from glossmill.llm import jaccard, licenses, substring, suffixtree
 
@@ -64,6 +65,22 @@ def test_substring(spark, rows):
         assert (r["n_words"], r["n_removed"], r["kept_text"]) == want[r["doc_id"]]
 
 
+def test_substring_carries_columns_of_any_name(spark, rows):
+    names = ["doc_id", "text", "chunk", "bucket", "n", "Kept_Text"]
+    docs = table(spark, rows).toDF(*names).withColumn("__n", F.lit(7)).withColumn("carried_0", F.lit("z"))
+    got = substring.substring_dedup(docs, carry=("text", "chunk", "__n", "Kept_Text", "carried_0"))
+    assert got.columns == ["doc_id", "kept_text", "n_words", "n_removed", "text", "chunk", "__n", "carried_0"]
+    texts = [(r["doc_id"], r["text"], r["chunk"], r["__n"], r["carried_0"]) for r in got.collect()]
+    assert sorted(map(str, texts)) == sorted(str((i, t, "x", 7, "z")) for i, t in rows)
+
+
+def test_substring_of_a_passage_that_all_hold(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, f"a{i} b{i} {passage} c{i} {passage}") for i in range(300)]
+    got = substring.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=6000, bucket_bytes=4000).collect()
+    assert all(r["n_removed"] == (0 if r["doc_id"] == 0 else 60) for r in got)
+
+
 def test_substring_without_ids(spark):
     text = " ".join(f"w{i}" for i in range(30))
     got = substring.substring_dedup(spark.createDataFrame([(None, text), (1, text), (None, text)], "doc_id long, text string"), window=13).collect()
