@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
-from glossmill.operators.quality import Violation, assert_none
+from glossmill.operators.quality import Violation, assert_none, record_line, story_line
+from glossmill.operators.quality import reason as rule_broken
 
 ENTRIES = (
     "kind string, tbl string, id string, script string, csv string, field string, source string, translation string, speaker string,"
@@ -28,8 +29,16 @@ def _path_order(path: Column) -> Column:
     return F.split(path, "/")
 
 
-def dialogue(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of dialogue CSV files, footers included: csv, at, id, name, text, trans ('' for none)."""
+def dialogue(spark: SparkSession, path: str, names: list[str] | None = None, prefixes: list[str] | None = None) -> DataFrame:
+    """All rows of dialogue CSV files, footers included: csv, at, id, name, text, trans ('' for none).
+
+    Files are those of the given names, each once and all of them there, or those whose names begin
+    with one of the prefixes, or all.
+    """
+    if names and prefixes:
+        raise Violation("files are chosen by name or by prefix")
+    if names and (len(set(names)) < len(names) or not all(n.startswith("adv_") and n.endswith(".csv") and "/" not in n for n in names)):
+        raise Violation("each name is one adv_*.csv file, given once")
     # columnNameOfCorruptRecord is not asked for: a row of another shape fails the read.
     raw = (
         spark.read.schema(STORY)
@@ -37,7 +46,18 @@ def dialogue(spark: SparkSession, path: str) -> DataFrame:
         .csv(path)
         .select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
     )
-    return raw.select(_base(F.col("path")).alias("csv"), "path", "at", *(F.coalesce(c, F.lit("")).alias(c) for c in ("id", "name", "text", "trans")))
+    rows = raw.select(_base(F.col("path")).alias("csv"), "path", "at", *(F.coalesce(c, F.lit("")).alias(c) for c in ("id", "name", "text", "trans")))
+    if names:
+        found = {r["csv"] for r in rows.where(F.col("csv").isin(*names)).select("csv").distinct().collect()}
+        if found != set(names):
+            raise Violation(f"no such files: {sorted(set(names) - found)}")
+        return rows.where(F.col("csv").isin(*names))
+    if prefixes:
+        chosen = F.lit(False)
+        for prefix in prefixes:
+            chosen = chosen | F.col("csv").startswith(prefix)
+        return rows.where(chosen)
+    return rows
 
 
 def story_rows(rows: DataFrame) -> DataFrame:
@@ -53,13 +73,16 @@ def story_footer(rows: DataFrame) -> DataFrame:
 
 
 def story_violations(rows: DataFrame) -> DataFrame:
-    """Body rows of a wrong shape, and files without a proper footer: csv, id, reason."""
+    """Body rows of a wrong shape or with a translation that breaks a rule, and files without a
+    proper footer: csv, id, reason."""
     body = story_rows(rows)
-    reason = F.when(~F.col("id").rlike(P.FIELD_ID), "field_id").when(F.col("text") == "", "empty_text")
+    broken = F.when(F.col("trans") != "", rule_broken(story_line("text", "trans")))
+    reason = F.when(~F.col("id").rlike(P.FIELD_ID), "field_id").when(F.col("text") == "", "empty_text").otherwise(broken)
     bad = body.select("csv", "id", reason.alias("reason")).where("reason IS NOT NULL")
     twice = body.groupBy("csv", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("csv", "id", F.lit("repeated_id").alias("reason"))
     files = rows.select("csv").distinct().join(story_footer(rows), "csv", "left")
-    wrong = files.where(~F.coalesce(F.col("source_sha256").rlike(P.HASH), F.lit(False))).select("csv", F.lit(FOOTER[0]).alias("id"), F.lit("footer").alias("reason"))
+    named = F.col("source_name") == F.regexp_replace("csv", r"\.csv$", ".txt")
+    wrong = files.where(~F.coalesce(F.col("source_sha256").rlike(P.HASH) & named & F.col("translator").isNotNull(), F.lit(False))).select("csv", F.lit(FOOTER[0]).alias("id"), F.lit("footer").alias("reason"))
     return bad.unionByName(twice).unionByName(wrong)
 
 
@@ -172,12 +195,90 @@ def variants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captured(spark: SparkSession, path: str) -> DataFrame:
-    """kind, key, source, recovered of a capture dump; NULs before a line are dropped."""
-    lines = spark.read.text(path).where("value <> ''")
+    """kind, key, source, original, recovered, at of a capture dump; NULs before a line are dropped.
+
+    at: the place of the line in its file, as the block that it was read in and its number there.
+    """
+    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at")).where("value <> ''")
     clean = F.regexp_replace("value", r"^\x00+", "")
-    rows = lines.select(F.from_json(clean, "kind string, key string, source string").alias("v"), (clean != F.col("value")).alias("recovered"), "value")
+    rows = lines.select(F.from_json(clean, "kind string, key string, source string").alias("v"), F.col("value").alias("original"), (clean != F.col("value")).alias("recovered"), "at", "value")
     assert_none(rows.where(~F.coalesce(F.col("v.kind").isin("text", "i18n"), F.lit(False)) | F.col("v.source").isNull()).select("value"), "capture lines of a wrong shape")
-    return rows.select("v.*", "recovered")
+    return rows.select("v.*", "original", "recovered", "at")
+
+
+def candidate_list(spark: SparkSession, path: str) -> DataFrame:
+    """source, occurrences, category, bucket of a list of texts to be reviewed."""
+    kind = "struct<audit_schema_version:int,scope:string,texts:array<struct<source:string,occurrences:bigint,category:string,bucket:string>>>"
+    rows = _parsed(_whole(spark, path, "*"), kind)
+    assert_none(rows.where("NOT coalesce(v.audit_schema_version = 2 AND v.scope = 'local_review_only_no_automatic_translation', false)").select("path"), "outdated candidate lists")
+    texts = rows.select(F.explode("v.texts").alias("t")).select("t.*")
+    good = (F.col("source") != "") & (F.col("category") == "still_unmatched") & F.substring_index("bucket", "_", 1).isin("kana", "han") & (F.col("occurrences") >= 1)
+    assert_none(texts.where(~F.coalesce(good, F.lit(False))), "candidates of a wrong shape")
+    assert_none(texts.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "candidates that occur twice")
+    return texts
+
+
+def reviewed_texts(spark: SparkSession, candidates_path: str, path: str) -> DataFrame:
+    """Reviewed texts that were not skipped; the review must match its list row for row."""
+    from glossmill.operators.review import selected, unmatched_reviews
+
+    kind = "struct<scope:string,candidate_sha256:string,entries:array<struct<source:string,occurrences:bigint,decision:string,translation:string>>>"
+    rows = _parsed(_whole(spark, path, "*"), kind)
+    held = file_hash(spark, candidates_path)
+    assert_none(rows.where(~F.coalesce((F.col("v.scope") == "runtime_text_human_review") & (F.col("v.candidate_sha256") == held), F.lit(False))).select("path"), "reviews of another list")
+    entries = rows.select(F.explode("v.entries").alias("e")).select("e.*")
+    shape = [
+        ("shape", (F.col("source") != "") & (F.col("occurrences") >= 1) & F.col("decision").isin("skip", "translate", "retain") & F.col("translation").isNotNull()),
+        ("kept_is_translated", (F.col("decision") == "translate") | (F.col("translation") == "")),
+        *((name, (F.col("translation") == "") | good) for name, good in record_line("source", "translation")),
+    ]
+    assert_none(entries.select("*", rule_broken(shape).alias("reason")).where("reason IS NOT NULL"), "review rows that break a rule")
+    assert_none(unmatched_reviews(candidate_list(spark, candidates_path), entries), "reviews that don't match their list")
+    return selected(entries)
+
+
+def plan_jobs(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Jobs of a plan; their ids occur once."""
+    jobs = spark.read.schema(schema).json(path)
+    assert_none(jobs.groupBy("job_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "job ids that occur twice")
+    return jobs
+
+
+def suggestions(logged: DataFrame, items: DataFrame) -> DataFrame:
+    """source, translation: the last suggestion of each item that still exists and is still valid.
+
+    logged: source, translation, seq; items: source, may_reflow."""
+    rows = logged.join(items.select("source", "may_reflow"), "source")
+    valid = rows.where(rule_broken(record_line("source", "translation", F.col("may_reflow"))).isNull())
+    return valid.groupBy("source").agg(F.max_by("translation", "seq").alias("translation"))
+
+
+def file_hash(spark: SparkSession, path: str) -> str:
+    """SHA-256 of one file, read where Spark can read it."""
+    rows = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h")).limit(2).collect()
+    if len(rows) != 1:
+        raise Violation(f"{path} is not one file")
+    return rows[0]["h"]
+
+
+def not_in_progress(spark: SparkSession, folder: str, marker: str = ".in-progress") -> None:
+    """Raise if an export into the folder has begun and not ended."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{marker}")
+    if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        raise Violation(f"{folder} is being written")
+
+
+def settings(text: str, keys: tuple[str, ...]) -> dict[str, str]:
+    """KEY=value lines of a settings file; comments and quotes are dropped, other keys are an error."""
+    out = {}
+    for number, raw in enumerate(text.splitlines(), 1):
+        line = raw.strip()
+        if line and not line.startswith("#"):
+            key, found, value = (x.strip() for x in line.partition("="))
+            if not found or key not in keys:
+                raise Violation(f"line {number}: unknown setting")
+            out[key] = value[1:-1] if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'" else value
+    return out
 
 
 def log(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,15 +1,23 @@
-"""Writers: whole tables replaced as one, logs appended, small documents written by the driver."""
+"""Writers: whole tables replaced as one, logs appended, small documents written by the driver.
+
+A file of a name of its own is written by Spark as one part into a folder beside it, and then takes
+the place of the old one in a single rename. With an expected hash, the old one must still be what
+was read.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
 import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossmill.operators import review
 from glossmill.operators.quality import Violation
+from glossmill.sources.readers import file_hash
 
 
 def append_log(rows: DataFrame, path: str) -> None:
@@ -17,10 +25,48 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").option("ignoreNullFields", False).json(path)
 
 
-def dialogue_csv(rows: DataFrame, path: str) -> None:
-    """id, name, text, trans of one file in order, in one part."""
-    ordered = rows.orderBy("at").select("id", "name", "text", "trans").coalesce(1)
-    ordered.write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
+def _take_place(spark: SparkSession, staged: str, path: str, expected_sha256: str | None) -> str:
+    """The one part of a staged folder becomes the file; returns its hash."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    folder, where = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(conf)
+    try:
+        parts = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+        if len(parts) != 1:
+            raise Violation(f"{len(parts)} parts for {path}")
+        if expected_sha256 is not None and (not fs.exists(where) or file_hash(spark, path) != expected_sha256):
+            raise Violation(f"{path} changed since it was read")
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+        overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        files.rename(fs.makeQualified(parts[0]), fs.makeQualified(where), overwrite)
+    finally:
+        fs.delete(folder, True)
+    return file_hash(spark, path)
+
+
+def _staging(path: str) -> str:
+    return f"{path}.{uuid.uuid4().hex}.part"
+
+
+def dialogue_file(rows: DataFrame, path: str, expected_sha256: str | None = None) -> str:
+    """id, name, text, trans of one file in the order of ``at``, footer rows included; returns its hash."""
+    staged = _staging(path)
+    ordered = rows.select("at", "id", "name", "text", "trans").coalesce(1).sortWithinPartitions("at").drop("at")
+    ordered.write.options(header=True, quote='"', escape='"', emptyValue="").csv(staged)
+    return _take_place(rows.sparkSession, staged, path, expected_sha256)
+
+
+def dialogue_progress(rows: DataFrame, batch: DataFrame, path: str, source_path: str, expected_sha256: str) -> str:
+    """A batch's translations (id, trans) put into a file, whose source must be the one that its footer
+    names and which must be as it was after the batch before. Returns its new hash."""
+    spark = rows.sparkSession
+    recorded = rows.where("id = 'info'").select("text").first()
+    if recorded is None or recorded["text"] != file_hash(spark, source_path):
+        raise Violation(f"{source_path} is not the source of {path}")
+    new = batch.select("id", F.col("trans").alias("_new"))
+    joined = rows.join(new, "id", "left").withColumn("trans", F.when((F.col("trans") == "") & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("trans")))
+    return dialogue_file(joined.drop("_new"), path, expected_sha256)
 
 
 def record_tables_json(rows: DataFrame, path: str) -> None:
@@ -30,6 +76,62 @@ def record_tables_json(rows: DataFrame, path: str) -> None:
     records.repartition("tbl").sortWithinPartitions("tbl", "seq").select("tbl", "id", "record").write.mode("overwrite").partitionBy("tbl").json(path)
 
 
+def record_table_document(rows: DataFrame, path: str, expected_sha256: str | None = None) -> str:
+    """One table as an indented JSON document, records and fields in the order of ``seq``.
+
+    Lines are made where the rows are and go through one task in order; none waits for another.
+    """
+    text = F.regexp_replace(F.to_json(F.array("source")), r"(?s)\A\[|\]\z", "")
+    pair = F.array_sort(F.collect_list(F.struct("seq", "field", text.alias("text"))))
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"(?s)\A\[|\]\z", "")
+    fields = F.array_join(F.transform(pair, lambda x: F.concat(F.lit("    "), quoted(x["field"]), F.lit(": "), x["text"])), ",\n")
+    records = rows.groupBy("id").agg(F.min("seq").alias("seq"), fields.alias("fields"))
+    last = records.agg(F.max("seq").alias("last"))
+    end = F.when(F.col("seq") == F.col("last"), "  }\n}").otherwise("  },")
+    line = F.concat(F.lit("  "), quoted("id"), F.lit(": {\n"), "fields", F.lit("\n"), end)
+    body = records.join(F.broadcast(last), F.lit(True)).select("seq", line.alias("value"))
+    head = rows.sparkSession.range(1).select(F.lit(None).cast(dict(rows.dtypes)["seq"]).alias("seq"), F.lit("{").alias("value"))
+    staged = _staging(path)
+    head.unionByName(body).coalesce(1).sortWithinPartitions(F.col("seq").asc_nulls_first()).select("value").write.text(staged)
+    return _take_place(rows.sparkSession, staged, path, expected_sha256)
+
+
+def plan_jobs(jobs: DataFrame, path: str, header: dict) -> None:
+    """A plan: its jobs as JSON lines, and a header beside them, which comes last so that it is whole."""
+    jobs.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    jobs.sparkSession.createDataFrame([(json.dumps(header, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.header")
+
+
+def pending_list(pages: DataFrame, path: str, source_sha256: str) -> None:
+    """page and its sources as JSON lines, each with the hash of the document that they come from."""
+    pages.withColumn("source_sha256", F.lit(source_sha256)).write.mode("overwrite").json(path)
+
+
+def review_package(queued: DataFrame, path: str, previous: DataFrame | None = None, inputs: dict[str, str] | None = None) -> None:
+    """A folder with the queue, the decisions, those that went stale, and a manifest of inputs and counts.
+
+    Nothing of it is written over one of the inputs; decisions on unchanged items are kept.
+    """
+    spark = queued.sparkSession
+    outside(path, list(inputs or {}))
+    blank = spark.createDataFrame([], "review_id string, input_fingerprint string, decision string, selected_target string, notes string, reviewer string")
+    items, stale = review.merged_decisions(queued, blank if previous is None else previous)
+    queued.write.mode("overwrite").json(f"{path}/queue")
+    items.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/decisions.new")
+    stale.write.mode("append").option("ignoreNullFields", False).json(f"{path}/stale_decisions")
+    counts = {(r["counted"], r["name"]): r["n"] for r in review.queue_counts(queued).collect()}  # kinds and flags are few
+    summary = {"inputs": inputs or {}, **{f"{counted}:{name}": n for (counted, name), n in counts.items()}}
+    spark.createDataFrame([(json.dumps(summary, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+
+
+def outside(path: str, inputs: list[str]) -> None:
+    """Raise if an output lies within one of the inputs, or is one."""
+    own = path.rstrip("/") + "/"
+    for i in inputs:
+        if own.startswith(i.rstrip("/") + "/"):
+            raise Violation(f"{path} lies within the input {i}")
+
+
 def document_json(document: dict, path: str, expected_sha256: str | None = None) -> None:
     """A small report by the driver, complete or not at all.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -38,3 +38,57 @@ def merge_into(path: str, key: str):
         fresh.write.mode("append").parquet(path)
 
     return insert
+
+
+class Breaker:
+    """Stops a stream of results after ``limit`` failures in a row, across batches; a success resets.
+
+    Use as a foreachBatch function over rows with a boolean ``ok`` and an order. What it has counted
+    lies in a table beside the stream, with the batch's number, so a batch that is run again counts
+    once, and a stream that starts over goes on from there. Once open it stays open.
+    """
+
+    def __init__(self, path: str, order: str, limit: int = 64) -> None:
+        self.path, self.order, self.limit = path, order, limit
+
+    def state(self, spark: SparkSession, before: int) -> int:
+        """Failures in a row at the end of the batches before this one."""
+        try:
+            rows = spark.read.schema("batch long, failures long").json(self.path)
+            last = rows.where(F.col("batch") < before).agg(F.max_by("failures", "batch").alias("n")).first()
+        except Exception as error:  # no batch yet
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            return 0
+        return int(last["n"] or 0)
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = self.state(spark, number)
+        if held >= self.limit:
+            raise RuntimeError(f"stopped after {held} failures in a row")
+        w = Window.orderBy(self.order)  # a micro-batch, which maxFilesPerTrigger bounds
+        runs = batch.select(self.order, "ok", F.sum(F.when(F.col("ok"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("island"))
+        lengths = runs.groupBy("island").agg(F.count_if(~F.col("ok")).alias("n"))
+        islands = lengths.agg(F.max(F.when(F.col("island") == 0, F.col("n"))).alias("first"), F.max("n").alias("most"), F.max_by("n", "island").alias("last"), F.max("island").alias("islands")).first()
+        if islands["islands"] is None:
+            return
+        first = held + (islands["first"] or 0)
+        worst = max(first, islands["most"])
+        last = first if islands["islands"] == 0 else islands["last"]
+        failures = self.limit if worst >= self.limit else int(last)
+        spark.createDataFrame([(number, failures)], "batch long, failures long").coalesce(1).write.mode("append").json(self.path)
+        if failures >= self.limit:
+            raise RuntimeError(f"stopped after {self.limit} failures in a row")
+
+
+def each_file(paths: list[str], work) -> list[tuple[str, str | None]]:
+    """(path, error or None): work on every file; one that fails leaves the others alone."""
+    out = []
+    for path in paths:
+        try:
+            work(path)
+            out.append((path, None))
+        except Exception as error:  # noqa: BLE001  (whatever it was, it is that file's status)
+            out.append((path, f"{type(error).__name__}: {error}"[:500]))
+    return out

@@ -15,7 +15,7 @@ def write(path, text, encoding="utf-8"):
 
 
 def test_story(spark, tmp_path):
-    rows = ["id,name,text,trans", "1:text:1,案内役,\"{user}、次へ\\n進もう\",", "2:title:1,,章,章节", "3:text:1,案内役,\"a\nb\",x", f"info,a.txt,{'0' * 64},", "译者,me,,"]
+    rows = ["id,name,text,trans", "1:text:1,案内役,\"{user}、次へ\\n進もう\",", "2:title:1,,章,章节", "3:text:1,案内役,\"a\nb\",x", f"info,adv_a.txt,{'0' * 64},", "译者,me,,"]
     write(tmp_path / "d/adv_a.csv", "\n".join(rows), "utf-8-sig")
     write(tmp_path / "d/other.csv", "x\n1")
     all_rows = readers.dialogue(spark, str(tmp_path / "d"))
