@@ -43,7 +43,8 @@ def two_lane_batches(rows: DataFrame, group: str, order: str, size: str, short:
 
 
 def packed_parts(rows: DataFrame, group: str, order: str, part: str, max_rows: int, max_size: int, size: str) -> DataFrame:
-    """Whole parts (rows of one ``part`` value) packed greedily within a group: adds ``batch``."""
+    """Whole parts (rows of one ``part`` value) packed greedily within a group: adds ``batch`` and
+    ``parts``, how many the batch holds."""
     parts = rows.groupBy(group, part).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_size"))
     schema = ", ".join(f"`{c}` {t}" for c, t in parts.dtypes) + ", batch long"
 
@@ -61,7 +62,8 @@ def packed_parts(rows: DataFrame, group: str, order: str, part: str, max_rows: i
             yield frame.assign(batch=out)
 
     packed = parts.repartition(group).sortWithinPartitions(group, "_first").mapInPandas(run, schema)
-    return rows.join(packed.select(group, part, "batch"), [group, part])
+    alone = packed.groupBy(group, "batch").agg(F.count(F.lit(1)).alias("parts"))
+    return rows.join(packed.select(group, part, "batch").join(alone, [group, "batch"]), [group, part])
 
 
 def fixed_chunks(rows: DataFrame, group: str, order: str, n: int) -> DataFrame:

@@ -150,6 +150,23 @@ def jobs(heads: DataFrame, max_rows: int = 16, short_rows: int = 8, max_chars: i
     return made.withColumn("job_id", job_id("stratum", "rows"))
 
 
+def packed_jobs(rows: DataFrame, max_rows: int = 16, max_chars: int = 3000, part_rows: int | None = None) -> DataFrame:
+    """Record rows with ``job``: what is asked together.
+
+    Rows of one record and field, at most part_rows (max_rows) at once, are a part; whole parts of a table and
+    field are packed in the order of their first rows. A part that stays alone keeps its own name, as
+    do the records of narrative tables, which are never packed. rows: tbl, id, field, seq, source.
+    """
+    own = rows.withColumn("_field", T.normal_field("field")).withColumn("_size", F.length("source").cast("long"))
+    told = own.where(F.col("tbl").isin(*NARRATIVE_TABLES)).withColumn("job", F.concat_ws("/", "tbl", "id"))
+    other = own.where(~F.col("tbl").isin(*NARRATIVE_TABLES)).withColumn("_record", F.concat_ws("\x1f", "tbl", "_field", "id"))
+    chunked = batching.fixed_chunks(other, "_record", "seq", part_rows or max_rows)
+    chunked = chunked.withColumn("_group", F.concat_ws("/", "tbl", "_field")).withColumn("_part", F.concat_ws("/", "tbl", "id", "_field", F.col("chunk").cast("string")))
+    packed = batching.packed_parts(chunked, "_group", "seq", "_part", max_rows, max_chars, "_size")
+    named = F.when(F.col("parts") == 1, F.col("_part")).otherwise(F.concat_ws("/", "_group", F.lit("packed"), F.col("batch").cast("string")))
+    return told.select(*rows.columns, "job").unionByName(packed.withColumn("job", named).select(*rows.columns, "job"))
+
+
 def job_id(stratum: str, rows: str) -> Column:
     """Identity of a job: its kind, what its rows belong to, and the rows."""
     kind = F.when(F.col(stratum).startswith("story:"), "story").otherwise("master")

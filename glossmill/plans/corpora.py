@@ -81,6 +81,19 @@ def planned_representatives(spark, d):
     return heads.select("seq", F.col("row_id").alias("head")).join(counted, "head", "left").select("seq", F.coalesce("aliases", F.lit(0)).cast("long").alias("aliases"))
 
 
+_PART = "CASE WHEN source LIKE 'src1%' THEN 'Story' ELSE 'Item' END"
+
+
+@query(f"""WITH RECURSIVE d AS (SELECT {_PART} AS tbl, source AS id, lang AS field, doc_id, n_chars, (row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1) // 4 AS chunk FROM documents),
+p AS (SELECT tbl, id, field, chunk, min(doc_id) AS first, count(*) AS k, sum(least(n_chars, 200)) AS size FROM d WHERE tbl = 'Item' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY first) AS rn FROM p),
+b AS (SELECT field, id, chunk, rn, 0 AS batch, k AS n, size AS total FROM r WHERE rn = 1 UNION ALL SELECT r.field, r.id, r.chunk, r.rn, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN r.k ELSE b.n + r.k END,
+ CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN r.size ELSE b.total + r.size END FROM b JOIN r ON r.field = b.field AND r.rn = b.rn + 1), c AS (SELECT *, count(*) OVER (PARTITION BY field, batch) AS parts FROM b)
+SELECT d.doc_id, CASE WHEN d.tbl = 'Story' THEN 'Story/' || d.id WHEN parts = 1 THEN 'Item/' || d.id || '/' || d.field || '/' || CAST(d.chunk AS VARCHAR) ELSE 'Item/' || d.field || '/packed/' || CAST(batch AS VARCHAR) END AS job FROM d LEFT JOIN c ON c.id = d.id AND c.field = d.field AND c.chunk = d.chunk AND d.tbl = 'Item'""")
+def packed_record_jobs(spark, d):
+    rows = table(spark, d, "documents").selectExpr(f"{_PART} AS tbl", "source AS id", "lang AS field", "doc_id AS seq", "substr(repeat('x', 200), 1, int(least(n_chars, 200))) AS source")
+    return planning.packed_jobs(rows, 8, 900, part_rows=4).select(F.col("seq").alias("doc_id"), "job")
+
+
 _JOB = "SELECT source AS stratum, lang, CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 20) AS source, doc_id FROM documents"
 
 

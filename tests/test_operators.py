@@ -160,3 +160,14 @@ def test_second_run_asks_nothing(spark):
     log = model.run_batches(rows, model.echo_service, lambda s, t: True)
     assert log.where("status = 'done'").count() == 2
     assert model.not_yet_done(rows, log, "id").isEmpty()
+
+
+def test_more_terms_than_one_alternation_takes(spark):
+    given = [{"source": s} for s in ("a", "ab", "abc", "b c", "x", "日", "日本", "a.b", "\\E")]
+    texts = ["", "ab abc", "b c日本日", "a.b a\\Eb", "nothing", "xx", "日", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, source string")
+
+    def found(most):
+        return {(r["i"], r["term"]) for r in terms.mentions(rows, given, most=most, keys=["i"]).collect()}
+
+    assert found(5) == found(100) and (1, "abc") in found(5) and (2, "日本") in found(5)
