@@ -32,7 +32,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """B**i and B**-i modulo 2**64 for i < n, kept up to 4 million."""
+    """B**i and B**-i modulo 2**64 for i < n, kept up to a million."""
     if _POWERS and len(_POWERS[0][0]) >= n:
         return _POWERS[0]
     size = max(n, 1 << 16)
@@ -41,7 +41,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         p = np.full(size, b, np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
-    if size <= 1 << 22:
+    if size <= 1 << 20:
         _POWERS[:] = [(out[0], out[1])]
     return out[0], out[1]
 

@@ -27,7 +27,7 @@ from glossmill.llm.frames import pieces, text_bytes
 
 END_ID = 0
 WINDOW = 1024
-CACHED = 500_000
+CACHED = 300_000
 SPECIAL = "<|endoftext|>"
 _SPECIAL_ID = 50256
 # A run of white space and the word after it: pre-tokens never cross from a word to white space.
@@ -143,6 +143,7 @@ def tokenized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", windo
                     rows += [(key, a, min(window, n - a), zlib.crc32(ids[4 * a : 4 * (a + window)]), n) for a in range(0, n, window)]
                 columns = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        encoder.clear()  # the worker may live on for stages of another kind
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 

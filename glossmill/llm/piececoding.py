@@ -199,6 +199,8 @@ def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: s
                 if and_decode:
                     columns.append(pa.array([table.decode(np.frombuffer(x, np.int32).tolist()) for x in each], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
+        table.segments.clear()  # the worker may live on for stages of another kind
+        table.marked.clear()
 
     schema = "doc_id long, ids array<int>" + (", decoded string" if and_decode else "")
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)

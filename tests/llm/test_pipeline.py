@@ -65,6 +65,39 @@ def test_run(spark, data, stages):
     assert got.agg({"length": "sum"}).first()[0] == stages[-1].agg({"length": "sum"}).first()[0]
 
 
+def test_stages_on_odd_rows_and_columns(spark, data):
+    """Null, empty and repeated rows, and columns that are named like what operators use inside."""
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(60).selectExpr("doc_id", "text", "lang", "source", "n_chars")
+    long = "the of and " * 30_000
+    odd = [(None, None), (None, "no id at all"), (900_001, ""), (900_002, None), (900_003, "same words here"), (900_003, "same words here"), (900_004, long), (900_005, long)]
+    rows = docs.unionByName(spark.createDataFrame([(i, t, None, "s", 0) for i, t in odd], docs.schema))
+    for c in ("lang_pred", "Score", "kept_text", "n_removed", "at", "chunk", "places", "n_replaced", "component_id", "__n"):
+        rows = rows.withColumn(c, pipeline.F.lit("x"))
+    given = rows
+    for name, stage in pipeline.STAGES[:-1]:
+        got = stage(spark, rows, data)
+        assert got.columns == given.columns and got.where("Score <> 'x' OR n_replaced <> 'x'").isEmpty()
+        rows = spark.createDataFrame(got.collect(), got.schema)
+        held = sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in rows.where("doc_id IS NULL OR doc_id > 900000").collect())
+        if name == "language":  # no text, no language
+            assert held == [(0, 12), (900_003, 15), (900_003, 15), (900_004, len(long)), (900_005, len(long))]
+        else:
+            assert held == [(0, 12), (900_003, 15), (900_003, 15), (900_004, len(long))]
+    packed = pipeline.packing(spark, rows, data)
+    assert packed.where("doc_id = 900003").count() == 2 and packed.where("doc_id IS NULL").count() == 1
+
+
+def test_stages_on_no_rows(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(0)
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, data).isEmpty()
+
+
+def test_run_on_an_empty_table(spark, data, tmp_path):
+    spark.read.parquet(f"{data}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert pipeline.run(spark, str(tmp_path)).isEmpty()
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert substring.substring_dedup(empty).isEmpty()
