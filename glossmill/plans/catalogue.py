@@ -176,23 +176,23 @@ def term_token_boundary(spark, d):
 @_query("""SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)""")
 def containment_join(spark, d):
     """Texts that hold a passage: its inner words, five at most, which any holder has as whole
-    words, are an equi-join key; the whole passage is then compared. The key of a passage without
-    inner words is its first eight characters, or all if it has fewer."""
+    words, are an equi-join key, as a hash; the whole passage is then compared. The key of a passage
+    without inner words is its first eight characters, or all if it has fewer."""
     anchor, chars = 5, 8
     passages = table(spark, d, "benchmark").select("item_id", F.col("text").alias("passage"), F.split("text", r"\s+").alias("w")).where("passage IS NOT NULL")
     passages = passages.withColumn("words", F.least(F.size("w") - 2, F.lit(anchor))).withColumn("chars", F.least(F.length("passage"), F.lit(chars)))
-    key = F.when(F.col("words") > 0, F.array_join(F.slice("w", F.lit(2), F.greatest("words", F.lit(0))), " ")).otherwise(F.substring("passage", 1, chars))
+    key = F.when(F.col("words") > 0, F.xxhash64(F.slice("w", F.lit(2), F.greatest("words", F.lit(0))))).otherwise(F.xxhash64(F.substring("passage", 1, chars)))
     passages = passages.select("item_id", "passage", key.alias("key"), F.greatest("words", F.lit(0)).alias("words"), F.when(F.col("words") <= 0, F.col("chars")).alias("chars"))
     words = _documents(spark, d).select("doc_id", "text", F.split("text", r"\s+").alias("w")).where("text IS NOT NULL")
     kinds = passages.select("words", "chars").distinct().collect()
 
     def windows(n: int, whole, of) -> Column:
         every = F.transform(F.sequence(F.lit(1), F.greatest(whole - n + 1, F.lit(1))), lambda i: of(i, n))
-        return F.when(whole >= n, F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
+        return F.when(whole >= n, F.array_distinct(every)).otherwise(F.array().cast("array<long>"))
 
-    held = [windows(n, F.size("w"), lambda i, n: F.array_join(F.slice(F.col("w"), i, n), " ")) for n in sorted({k["words"] for k in kinds} - {0})]
-    held += [windows(n, F.length("text"), lambda i, n: F.substring(F.col("text"), i, F.lit(n))) for n in sorted({k["chars"] for k in kinds} - {None})]
-    keys = words.select("doc_id", F.explode(F.concat(*held) if held else F.array().cast("array<string>")).alias("key"))
+    held = [windows(n, F.size("w"), lambda i, n: F.xxhash64(F.slice(F.col("w"), i, n))) for n in sorted({k["words"] for k in kinds} - {0})]
+    held += [windows(n, F.length("text"), lambda i, n: F.xxhash64(F.substring(F.col("text"), i, F.lit(n)))) for n in sorted({k["chars"] for k in kinds} - {None})]
+    keys = words.select("doc_id", F.explode(F.concat(*held) if held else F.array().cast("array<long>")).alias("key"))
     met = keys.join(passages.select("item_id", "key"), "key").select("doc_id", "item_id").distinct()
     held = met.join(_documents(spark, d).select("doc_id", "text"), "doc_id").join(passages.select("item_id", "passage"), "item_id")
     return held.where(F.contains("text", "passage")).select("doc_id", "item_id")
