@@ -10,7 +10,9 @@ are compared block by block, each pair of blocks in a task of its own. Pairs of
 a home are left to the trees. Each tree splits these classes
 recursively: a random direction, the median of the projections on it, and two children that
 overlap by ``spill`` of the rows on either side of the median, so that near pairs seldom part.
-Splits are fitted on a bounded sample (``sample_rows``); every such class is routed through every tree.
+The upper levels are fitted on a bounded sample (``sample_rows``) and every such class is routed
+through them; leaves that hold more than ``most_rows`` are then grown further, each on a sample of its
+own rows, level by level, so leaves stay small however large the table is.
 Within a leaf all pairs are compared in double precision, block by block. A pair that meets in
 several leaves counts in the first of them alone, which both rows' leaf lists tell, so leaves give
 sums of links and spanning edges but no pairs. Components are the union of the edges.
@@ -23,11 +25,14 @@ its rows. An empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glossmill.llm.bytewords import mix
 from glossmill.llm.components import components
 from glossmill.llm.frames import cut
 from glossmill.llm.vectors import lengths, matrix, rows_of
@@ -38,6 +43,10 @@ LEAF = 600
 SAMPLE_ROWS = 32_768
 #: The sample has fewer rows if its vectors are long.
 SAMPLE_BYTES = 64 << 20
+#: Leaves with more rows are split further, on so many of their rows.
+MOST_ROWS, SPLIT_ROWS = 4_800, 4_096
+_ROUTED = 50_000  # rows of one leaf that a task routes
+_LEVELS = 12
 _BLOCK = 1024
 _FOUND = "rep long, links long, hub long"
 _CELL_BLOCK = 256  # a cell of m classes is compared in blocks of sqrt(256 m) of them, so in m / 256 pairs of blocks
@@ -219,6 +228,51 @@ def _in_cells(classes: DataFrame, leaders: np.ndarray, d: int, threshold: float)
     return found.unionByName(inner), placed.where("home < 0").select("v", "rep", "n")
 
 
+def _grown(classes: DataFrame, routed: DataFrame, d: int, leaf: int, spill: float, most_rows: int, seed: int) -> DataFrame:
+    """(rep, leaves) with every leaf of more than ``most_rows`` rows split further.
+
+    A leaf's rows are routed in salted tasks, its splits are fitted in one on a bounded sample of
+    them. Numbers of new leaves are hashes; should two be equal, their rows are compared together.
+    """
+
+    def fit(group: pa.Table) -> pa.Table:
+        code, count = group["code"][0].as_py(), group["count"][0].as_py()
+        group = group.sort_by("rep")
+        unit = matrix(group["v"], d)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        stop = max(24, int(leaf * min(1.0, len(unit) / count)))
+        tree = Tree(unit, stop, spill, np.random.default_rng([seed, code >> 32, code & 0xFFFFFFFF]))
+        return pa.table({"code": pa.array([code]), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    def split(rows: pa.Table, trees: pa.Table) -> pa.Table:
+        if not rows.num_rows or not trees.num_rows:
+            return pa.table({"rep": pa.array([], pa.int64()), "code": pa.array([], pa.int64()), "new": pa.array([], pa.int64())})
+        unit = matrix(rows["v"], d)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        who, leaves = pickle.loads(trees["tree"][0].as_py()).route(unit)
+        code = rows["code"][0].as_py()
+        below = mix(np.full(len(leaves), code, np.uint64) ^ mix(leaves.astype(np.uint64) + np.uint64(1))) & np.uint64(0x7FFFFFFF)
+        new = (code >> 32 << 32) + (below | np.uint64(0x80000000)).astype(np.int64)
+        return pa.table({"rep": rows["rep"].to_numpy()[who], "code": np.full(len(who), code), "new": new})
+
+    for _ in range(_LEVELS):
+        sizes = routed.select(F.explode("leaves").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("count"))
+        big = cut(sizes.where(F.col("count") > most_rows))
+        if big.isEmpty():
+            break
+        held = routed.select("rep", F.explode("leaves").alias("code")).join(big, "code").join(classes.select("rep", "v"), "rep")
+        some = F.pmod(F.xxhash64("rep", "code"), F.lit(1 << 30)) < F.least(F.lit(1.0), F.lit(float(SPLIT_ROWS)) / F.col("count")) * (1 << 30)
+        trees = cut(held.where(some).groupBy("code").applyInArrow(fit, "code long, tree binary"))
+        tasks = F.ceil(F.col("count") / _ROUTED).cast("int")
+        rows = held.select("code", F.pmod(F.xxhash64("rep"), tasks).cast("int").alias("salt"), "rep", "v")
+        given = trees.join(big, "code").select("code", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("salt"), "tree")
+        moved = rows.groupBy("code", "salt").cogroup(given.groupBy("code", "salt")).applyInArrow(split, "rep long, code long, new long")
+        moved = moved.groupBy("rep").agg(F.collect_set("code").alias("old"), F.collect_set("new").alias("new"))  # a row is in few leaves
+        leaves = F.when(F.col("new").isNull(), F.col("leaves")).otherwise(F.array_sort(F.concat(F.array_except("leaves", "old"), F.col("new"))))
+        routed = cut(routed.join(moved, "rep", "left").select("rep", leaves.alias("leaves")))
+    return routed
+
+
 def near_duplicates(
     table: DataFrame,
     vec_id: str = "vec_id",
@@ -228,6 +282,7 @@ def near_duplicates(
     spill: float = SPILL,
     leaf: int = LEAF,
     sample_rows: int = SAMPLE_ROWS,
+    most_rows: int = MOST_ROWS,
     seed: int = 7,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept (see the module for edge cases)."""
@@ -236,7 +291,7 @@ def near_duplicates(
     linked = table.sparkSession.createDataFrame([], "vec_id long, n_links long, component_id long")
     for d in lengths(rows):
         own = rows.where(F.size("v") == d)
-        linked = linked.unionByName(own.join(_of_length(own, d, threshold, trees, spill, leaf, sample_rows, seed), "v").drop("v"))
+        linked = linked.unionByName(own.join(_of_length(own, d, threshold, trees, spill, leaf, sample_rows, most_rows, seed), "v").drop("v"))
     linked = linked.groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
     out = everyone.join(linked, "vec_id", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")
@@ -244,11 +299,11 @@ def near_duplicates(
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: float, leaf: int, sample_rows: int, seed: int) -> DataFrame:
+def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: float, leaf: int, sample_rows: int, most_rows: int, seed: int) -> DataFrame:
     """(v, n_links, component_id) of each class of equal vectors, all of d components."""
     classes = cut(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n")))
     n_classes = classes.count()
-    sample_rows = max(1024, min(sample_rows, SAMPLE_BYTES // (8 * d)))
+    sample_rows = min(sample_rows, max(1024, SAMPLE_BYTES // (8 * d)))
     rate = min(1.0, sample_rows / n_classes)
     spread = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1
     sample = matrix(classes.where(spread).select("v").limit(2 * sample_rows).toArrow()["v"], d)
@@ -259,7 +314,7 @@ def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: flo
     forest = [Tree(sample, stop, spill, rng) for _ in range(trees)]
     shared = rows.sparkSession.sparkContext.broadcast(forest)  # at most trees x 2 sample_rows / 12 directions
 
-    def deal(batches):
+    def route(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
@@ -269,11 +324,8 @@ def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: flo
                 who = np.concatenate([r for r, _ in routed])
                 code = np.concatenate([leaves.astype(np.int64) + (t << 32) for t, (_, leaves) in enumerate(routed)])
                 order = np.lexsort((code, who))
-                lists = code[order]
                 bounds = np.searchsorted(who[order], np.arange(part.num_rows + 1)).astype(np.int32)
-                listed = pa.ListArray.from_arrays(pa.array(bounds), pa.array(lists))
-                rep, n, v = (part.column(k).take(pa.array(who)) for k in (1, 2, 0))
-                yield pa.RecordBatch.from_arrays([pa.array(code), rep, n, v, listed.take(pa.array(who))], ["leaf", "rep", "n", "v", "leaves"])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.ListArray.from_arrays(pa.array(bounds), pa.array(code[order]))], ["rep", "leaves"])
 
     def compare(group: pa.Table) -> pa.Table:
         code = group["leaf"][0].as_py()
@@ -306,7 +358,10 @@ def _of_length(rows: DataFrame, d: int, threshold: float, trees: int, spill: flo
 
     classes = classes.select("v", "rep", "n")
     dense, homeless = _in_cells(classes, leaders, d, threshold) if len(leaders) else (None, classes)
-    found = homeless.mapInArrow(deal, "leaf long, rep long, n long, v array<double>, leaves array<long>").groupBy("leaf").applyInArrow(compare, _FOUND)
+    homeless = homeless.select("v", "rep", "n")
+    routed = _grown(homeless, cut(homeless.mapInArrow(route, "rep long, leaves array<long>")), d, leaf, spill, most_rows, seed)
+    dealt = homeless.join(routed, "rep").select(F.explode("leaves").alias("leaf"), "rep", "n", "v", "leaves")
+    found = dealt.groupBy("leaf").applyInArrow(compare, _FOUND)
     found = cut(found.unionByName(dense) if dense is not None else found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     united = components(found.select(F.col("rep").alias("a"), F.col("hub").alias("b")))

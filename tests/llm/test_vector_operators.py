@@ -45,6 +45,19 @@ def test_near_duplicates(frame, vectors):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
 
 
+def test_leaves_are_grown_level_by_level(spark):
+    rng = np.random.default_rng(12)
+    unit = rng.standard_normal((4000, 24))
+    unit[2000:] = unit[:2000] + 0.2 * rng.standard_normal((2000, 24))  # pairs
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(unit)], "vec_id long, embedding array<double>")
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in forest.near_duplicates(table, leaf=60, sample_rows=200, most_rows=150).collect()}
+    found, true = sum(got.values()), int(near.sum())
+    assert all(got[i] <= near[i].sum() for i in got) and found >= 0.95 * true > 3000
+
+
 @pytest.mark.parametrize("close", [0.99, 0.93])
 def test_near_duplicates_in_one_large_group(spark, close):
     rng = np.random.default_rng(4)
