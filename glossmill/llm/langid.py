@@ -36,6 +36,7 @@ BUCKETS = 1 << 16
 UNKNOWN = "und"
 PER_LANGUAGE = 200
 SHARDS, ROUNDS, EPOCHS = 8, 3, 2
+_SEGMENT = 512
 RESULTS = ("lang_pred", "score", "n_switches")
 _LETTER = regex.compile(r"\p{L}")
 _FIXED = 7
@@ -89,31 +90,60 @@ def _emissions(weights: np.ndarray, fixed: np.ndarray, grams: np.ndarray, begin:
 def _marginals(scores: np.ndarray, moves: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of every place, for many chains at once, and the expected moves summed.
 
-    Chains go side by side, longest first; each step of the recursion takes all that still run.
+    Chains are cut into segments, which go side by side, longest first; each step of the recursion
+    takes all that still run. What enters a segment from either side comes from the products of the
+    segments' own matrices, so a long chain takes no more steps than a segment.
     """
-    lengths = np.diff(bounds)
-    order = np.argsort(-lengths, kind="stable")
-    first, lengths = bounds[:-1][order], lengths[order]
     p = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
     step = np.exp(moves - moves.max())
     ahead, back = np.empty_like(p), np.empty_like(p)
-    longest = int(lengths[0]) if len(lengths) else 0
-    running = np.searchsorted(-lengths, -np.arange(longest), side="left")  # chains longer than t
+    lengths = np.diff(bounds)
+    parts = -(-lengths // _SEGMENT)
+    chain = np.repeat(np.arange(len(lengths)), parts)
+    nth = np.arange(len(chain)) - np.repeat(np.cumsum(parts) - parts, parts)
+    first = bounds[chain] + nth * _SEGMENT
+    sizes = np.minimum(_SEGMENT, bounds[chain + 1] - first)
+    order = np.argsort(-sizes, kind="stable")
+    longest = int(sizes.max(initial=0))
+    running = np.searchsorted(-sizes[order], -np.arange(longest + 1), side="left")  # segments longer than t
+    enter, leave = np.ones((len(chain), p.shape[1]), p.dtype), np.ones((len(chain), p.shape[1]), p.dtype)
+    several = order[parts[chain[order]] > 1]
+    if len(several):
+        whole = np.empty((len(chain), p.shape[1], p.shape[1]), p.dtype)
+        counts = np.searchsorted(-sizes[several], -np.arange(longest), side="left")
+        product = np.zeros((len(several), p.shape[1], p.shape[1]), p.dtype)
+        for t in range(longest):
+            now = p[first[several[: counts[t]]] + t][:, None, :]
+            if t == 0:
+                product = np.where((nth[several] == 0)[:, None, None], np.eye(p.shape[1], dtype=p.dtype), step) * now
+            else:
+                product[: counts[t]] = (product[: counts[t]] @ step) * now
+            product[: counts[t]] /= product[: counts[t]].sum(axis=(1, 2), keepdims=True)
+        whole[several] = product
+        by_nth = [np.flatnonzero(nth == i) for i in range(1, int(parts.max()))]
+        for at in by_nth:
+            value = np.einsum("si,sij->sj", enter[at - 1], whole[at - 1])
+            enter[at] = value / value.sum(axis=1, keepdims=True)
+        for at in reversed(by_nth):
+            value = np.einsum("sij,sj->si", whole[at], leave[at])
+            leave[at - 1] = value / value.sum(axis=1, keepdims=True)
     for t in range(longest):
-        at = first[: running[t]] + t
-        now = p[at] if t == 0 else (ahead[at - 1] @ step) * p[at]
+        own = order[: running[t]]
+        at = first[own] + t
+        now = p[at] * (np.where((nth[own] == 0)[:, None], 1.0, enter[own] @ step) if t == 0 else ahead[at - 1] @ step)
         ahead[at] = now / now.sum(axis=1, keepdims=True)
-    total = np.zeros_like(step)
     for t in range(longest - 1, -1, -1):
-        at = first[: running[t]] + t
-        back[at] = 1.0
-        if t + 1 < longest and running[t + 1]:
-            at = at[: running[t + 1]]
-            beyond = p[at + 1] * back[at + 1]
-            value = beyond @ step.T
-            back[at] = value / value.sum(axis=1, keepdims=True)
-            pair = ahead[at].T @ (beyond / np.maximum((ahead[at] * value).sum(axis=1, keepdims=True), 1e-30))
-            total += pair * step
+        ends = order[running[t + 1] : running[t]]
+        back[first[ends] + t] = leave[ends]
+        at = first[order[: running[t + 1]]] + t
+        value = (p[at + 1] * back[at + 1]) @ step.T
+        back[at] = value / value.sum(axis=1, keepdims=True)
+    followed = np.ones(len(p), bool)
+    followed[bounds[1:][lengths > 0] - 1] = False
+    at = np.flatnonzero(followed)
+    beyond = p[at + 1] * back[at + 1]
+    weight = ((ahead[at] @ step) * beyond).sum(axis=1, keepdims=True)
+    total = step * (ahead[at].T @ (beyond / np.maximum(weight, 1e-30)))
     both = ahead * back
     return both / np.maximum(both.sum(axis=1, keepdims=True), 1e-30), total
 
@@ -197,7 +227,8 @@ def fitted(docs: DataFrame, per_language: int, folds: int) -> tuple[list[str], n
             new = _fit(given.value, group["text"], labels, EPOCHS, SHARDS * turn + group["shard"][0].as_py())
             return pa.table({f"x{i}": pa.array([x.tobytes()], pa.binary()) for i, x in enumerate(new)})
 
-        rows = sample.groupBy("shard").applyInArrow(fit, "x0 binary, x1 binary, x2 binary, x3 binary").collect()  # at most SHARDS
+        dealt = sample.repartition(2 * SHARDS, "shard")  # so many on purpose: small partitions would be put into one task
+        rows = dealt.groupBy("shard").applyInArrow(fit, "x0 binary, x1 binary, x2 binary, x3 binary").collect()  # at most SHARDS
         rows = sorted(rows)  # so that sums don't depend on which came first
         model = [np.mean([np.frombuffer(r[i], np.float32).reshape(shape) for r in rows], axis=0, dtype=np.float64).astype(np.float32) for i, shape in enumerate(shapes)]
         given.destroy()

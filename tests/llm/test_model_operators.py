@@ -116,7 +116,9 @@ def test_language_of_odd_rows(spark, data):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
-def test_language_marginals_against_enumeration():
+@pytest.mark.parametrize("segment", [1, 2, 3, 512])
+def test_language_marginals_against_enumeration(segment, monkeypatch):
+    monkeypatch.setattr(langid, "_SEGMENT", segment)
     rng = np.random.default_rng(0)
     bounds = np.array([0, 4, 4, 5, 8])
     scores, moves = rng.standard_normal((8, 3)), rng.standard_normal((3, 3))
