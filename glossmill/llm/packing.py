@@ -148,7 +148,7 @@ def tokenized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", windo
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, ranks: str | None = None, shard_bytes: int = 16 << 20) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, ranks: str | None = None, shard_bytes: int = 4 << 20) -> DataFrame:
     """Every piece with its sequence_id and offset in it; no sequence is longer than the window."""
     n_shards = pieces(text_bytes(docs, text), shard_bytes)
     # A third of all rows may be one row: copies are counted, then numbered and dealt apart.
