@@ -102,5 +102,5 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert substring.substring_dedup(empty).isEmpty()
     assert jaccard.similar_documents(empty).isEmpty()
-    assert suffixtree.score_texts(empty, empty).isEmpty()
+    assert suffixtree.score_texts(empty, pipeline.F.lit(True)).isEmpty()
     assert licenses.scan(empty).isEmpty()

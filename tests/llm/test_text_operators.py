@@ -151,7 +151,7 @@ def test_suffix_tree_base_and_counts(spark, rows):
     for _, t in train:
         counts.update([*WORD.findall(lowered(t or "")), None])
     total, kinds = sum(counts.values()), len(counts)
-    got = suffixtree.score_texts(docs, docs.where("doc_id % 3 <> 0"), chunk_bytes=4000, bucket_bytes=4000).collect()
+    got = suffixtree.score_texts(docs, F.expr("doc_id % 3 <> 0"), chunk_bytes=4000, bucket_bytes=4000).collect()
     assert len(got) == len(rows)
     texts = dict(rows)
     for r in got:
@@ -162,76 +162,74 @@ def test_suffix_tree_base_and_counts(spark, rows):
         assert r["score"] <= 1e-9
 
 
-def plain_tree(texts, least, divergence):
-    """A suffix tree of at most two words as dictionaries: a function of (words before, word)."""
+def plain_tree(texts, depth, least, divergence, strength=3.0):
+    """A suffix tree as dictionaries: a function of (tokens before, token) to (probability, depth)."""
     docs = [["<", *WORD.findall(lowered(t or "")), ">"] for t in texts]
     one = Counter(w for d in docs for w in d[1:])
     total, kinds = sum(one.values()), len(one)
-    known = {w for w, c in one.items() if c >= least or w == ">"}
-    times = {**one, "<": len(docs)}
-    pairs = Counter((a, b) for d in docs for a, b in zip(d, d[1:]) if a in known | {"<"} and b in known)
-    pairs = {k: c for k, c in pairs.items() if c >= least}
-    threes = Counter((a, b, c) for d in docs for a, b, c in zip(d, d[1:], d[2:]) if (a, b) in pairs and c in known)
-    threes = {k: c for k, c in threes.items() if c >= least}
-
-    def base(w):
-        return (one[w] + 0.5) / (total + 0.5 * (kinds + 1))
-
-    def node(found, n, parent):
-        p = {w: (c - 0.5) / n for w, c in found.items()}
-        rest, others = max(1 - sum(p.values()), 1e-12), max(1 - sum(map(parent, p)), 1e-12)
-        apart = sum(x * math.log(x / parent(w)) for w, x in p.items()) + rest * math.log(rest / others)
-        return (lambda w: p.get(w, parent(w) * rest / others)), apart
-
-    by_one: dict = {}
-    for (a, b), c in pairs.items():
-        by_one.setdefault(a, {})[b] = c
-    by_two: dict = {}
-    for (a, b, w), c in threes.items():
-        by_two.setdefault((a, b), {})[w] = c
-    first = {a: node(by_one.get(a, {}), times[a], base) for a in known | {"<"}}
-    second = {x: node(found, pairs[x], first[x[1]][0]) for x, found in by_two.items()}
-    states = {(a,): f for a, (f, apart) in first.items() if apart >= divergence}
-    longer = {x: f for x, (f, apart) in second.items() if apart >= divergence}
-    states |= {x[1:]: first[x[1]][0] for x in longer} | longer
-    return lambda before, w: states.get(tuple(before[-2:]), states.get(tuple(before[-1:]), base))(w)
-
-
-def test_suffix_tree_score_against_a_plain_tree(spark, rows):
+    after: dict = {}
+    for d in docs:
+        for i in range(1, len(d)):
+            for k in range(1, min(depth, i) + 1):
+                after.setdefault(tuple(d[i - k : i]), Counter())[d[i]] += 1
+    grown = {x: c for x, c in after.items() if sum(c.values()) >= least}
+
+    def p(x, w):
+        if not x:
+            return (one[w] + 0.5) / (total + 0.5 * (kinds + 1))
+        return (grown[x][w] + strength * p(x[1:], w)) / (sum(grown[x].values()) + strength)
+
+    def diverges(x):
+        parent = {w: math.exp(-round(-math.log(p(x[1:], w)) * 12) / 12) for w in grown[x]}
+        n = sum(grown[x].values()) + strength
+        own = {w: (c + strength * parent[w]) / n for w, c in grown[x].items()}
+        rest = max(1 - sum(parent.values()), 0)
+        return sum(q * math.log(q / parent[w]) for w, q in own.items()) + strength / n * math.log(strength / n) * rest >= divergence
+
+    states = {x for x in grown if diverges(x)}
+
+    def best(before, w):
+        x = next((tuple(before[-k:]) for k in range(min(depth, len(before)), 0, -1) if tuple(before[-k:]) in states), ())
+        return p(x, w), len(x)
+
+    return best
+
+
+@pytest.mark.parametrize(("depth", "least", "hot"), [(0, 2, 10), (1, 2, 5), (2, 2, 1 << 20), (3, 3, 7)])
+def test_suffix_tree_score_against_a_plain_tree(spark, rows, depth, least, hot):
     docs = table(spark, rows)
-    after = plain_tree([t for i, t in rows if i % 3], 2, 0.02)
-    got = suffixtree.score_texts(docs, docs.where("doc_id % 3 <> 0"), context_share=0.0, pair_share=0.0, chunk_bytes=4000, bucket_bytes=4000).collect()
-    texts, depths = dict(rows), 0
+    best = plain_tree([t for i, t in rows if i % 3], depth, least, 0.05)
+    got = suffixtree.score_texts(docs, F.expr("doc_id % 3 <> 0"), depth=depth, least=least, strength=3.0, divergence=0.05, hot=hot, chunk_bytes=4000, bucket_bytes=4000).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows)
     for r in got:
         words = ["<", *WORD.findall(lowered(texts[r["doc_id"]] or "")), ">"]
-        assert r["score"] == pytest.approx(sum(math.log10(after(words[:i], words[i])) for i in range(1, len(words))), abs=1e-6)
-        depths += r["mean_depth"]
-    assert depths > len(got)
+        each = [best(words[:i], words[i]) for i in range(1, len(words))]
+        assert r["score"] == pytest.approx(sum(math.log10(p) for p, _ in each), abs=1e-6)
+        assert r["mean_depth"] == pytest.approx(sum(d for _, d in each) / len(each))
+
+
+def test_suffix_tree_distributions_sum_to_one(spark):
+    """The scores of all one-token continuations of a text, and of one never seen."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("abcde") for _ in range(30))) for i in range(60)]
+    ask = [(1000 + i, f"a b {w}") for i, w in enumerate("abcde")] + [(2000, "a b"), (3000, "a b never")]
+    docs = spark.createDataFrame(rows + ask, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffixtree.score_texts(docs, F.col("doc_id") < 1000, least=3, strength=3.0, divergence=0.0).collect()}
+    best = plain_tree([t for _, t in rows], 2, 3, 0.0)
+    p = [best(["<", "a", "b"], w)[0] for w in ("a", "b", "c", "d", "e", ">", "never")]
+    assert sum(p) == pytest.approx(1)
+    ends = [best(["<", "a", "b", w], ">")[0] for w in "abcde"]
+    for i, (q, e) in enumerate(zip(p, ends)):
+        assert 10 ** (got[1000 + i]["score"] - got[2000]["score"]) == pytest.approx(q * e / p[5])
 
 
 def test_suffix_tree_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "a c")], "doc_id long, text string")
-    got = suffixtree.score_texts(docs, docs.where("doc_id IS NOT NULL")).collect()
+    got = suffixtree.score_texts(docs, F.col("doc_id").isNotNull()).collect()
     assert sorted((r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got) == [(0, 3, 2, 3)] * 2 + [(1, 3, 3, 3)]
 
 
-def test_suffix_tree_states_sum_to_one():
-    rng = np.random.default_rng(1)
-    words = np.sort(rng.integers(1, 1 << 62, 12).astype(np.uint64))
-    counts = rng.integers(5, 90, 12)
-    tree = suffixtree.Tree(words, counts, int(counts.sum()), 12, 7)
-    base = np.append(tree.base, np.log(0.5 / (counts.sum() + 6.5)))  # the twelve and what was never seen
-    assert np.exp(base).sum() == pytest.approx(1)
-    one = rng.integers(0, 13, 400)
-    keys, n = np.unique(one.astype(np.uint64) * tree.radix + rng.integers(0, 6, 400).astype(np.uint64), return_counts=True)
-    tree.times = np.bincount((keys // tree.radix).astype(int), weights=n, minlength=13) + 3
-    tree.add_pairs(keys, n, -1.0)
-    every = np.append(np.arange(12), -1)
-    for context in range(13):
-        if (keys // tree.radix == context).any():
-            assert np.exp(tree.after_one(np.full(13, context), every, base)).sum() == pytest.approx(1)
-
-
 @settings(max_examples=200, deadline=None)
 @given(st.sampled_from(["a [[b [[c]] d]] {{2}} e", "[[a]] b", "{{1}} a [[{{3}} b]] c", "a b"]), st.lists(st.sampled_from("abcde"), max_size=12))
 def test_automata_of_nested_markup(template, words):
