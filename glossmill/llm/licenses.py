@@ -223,6 +223,12 @@ def query(spark, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def labels(spark, sf_dir: str) -> DataFrame:
+    """The scan once more with -1 for places that there are not, so that SQL can be held against it."""
+    found = query(spark, sf_dir)
+    return found.withColumns({c: F.coalesce(c, F.lit(-1)).cast("long") for c in ("first_word", "last_word")})
+
+
 def _regex(template: str) -> str:
     """The template as a regular expression over words that are each led by a blank."""
     out = []
@@ -247,11 +253,11 @@ WITH t AS (
 ), l AS (
   SELECT doc_id, n, {places} AS spots, list_filter([{base}], lambda x: x IS NOT NULL) AS base, list_filter([{more}], lambda x: x IS NOT NULL) AS more FROM p
 )
-SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base, list_min(spots) AS first_word, list_max(spots) AS last_word,
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base, CAST(coalesce(list_min(spots), -1) AS BIGINT) AS first_word, CAST(coalesce(list_max(spots), -1) AS BIGINT) AS last_word,
        array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(base || more)), ',') AS labels,
        CAST(CASE WHEN len(more) > 0 THEN 1 WHEN len(base) > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
 FROM l
 """
 
 
-ORACLE = _sql()
+LABELS_ORACLE = _sql()

@@ -23,10 +23,16 @@ MODULES = {
 }
 
 
+#: Queries of which SQL can say the same, beside those of the contract: module, function, SQL.
+FURTHER = {"license_labels": ("licenses", "labels", "LABELS_ORACLE")}
+
+
 def queries() -> dict[str, Callable[..., DataFrame]]:
-    return {name: import_module(f"glossmill.llm.{module}").query for name, module in MODULES.items() if find_spec(f"glossmill.llm.{module}")}
+    found = {name: import_module(f"glossmill.llm.{module}").query for name, module in MODULES.items() if find_spec(f"glossmill.llm.{module}")}
+    return found | {name: getattr(import_module(f"glossmill.llm.{module}"), f) for name, (module, f, _) in FURTHER.items() if find_spec(f"glossmill.llm.{module}")}
 
 
 def oracle_sql() -> dict[str, str]:
     found = {name: getattr(import_module(f"glossmill.llm.{module}"), "ORACLE", None) for name, module in MODULES.items() if find_spec(f"glossmill.llm.{module}")}
+    found |= {name: getattr(import_module(f"glossmill.llm.{module}"), sql) for name, (module, _, sql) in FURTHER.items() if find_spec(f"glossmill.llm.{module}")}
     return {name: sql for name, sql in found.items() if sql}
