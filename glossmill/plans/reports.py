@@ -150,13 +150,13 @@ def portable_paths(spark, d):
     return rows.select("page_id", T.portable_path("path", ["corpus", "other"]).alias("portable"))
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 2 THEN -1 ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k FROM events""")
 def fenced_answers(spark, d):
     """JSON from a model's answers: plain, in a code fence, or in one that was cut off."""
     fence = F.lit("```")
     n = F.col("event_id") % 3
     answer = F.when(n == 0, F.concat(F.lit(" "), "props", F.lit("\n"))).when(n == 1, F.concat(fence, F.lit("json\n"), "props", F.lit("\n"), fence)).otherwise(F.concat(fence, F.lit("json\n"), "props"))
-    return table(spark, d, "events").select("event_id", F.get_json_object(T.fenced_json(answer), "$.k").cast("long").alias("k"))
+    return table(spark, d, "events").select("event_id", F.coalesce(F.get_json_object(T.fenced_json(answer), "$.k").cast("long"), F.lit(-1)).cast("long").alias("k"))
 
 
 @query("""SELECT r.conv_id, r.turn FROM conversations r WHERE r.turn % 2 = 1 AND r.role <> 'user'""")
