@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,17 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once, as a table in the shared folder, and read again. Unlike with
+    ``checkpoint()`` the last stage runs once. The table goes when the session ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/glossmill-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 class IdFilter:
     """A Bloom filter of ids: rows that it lets pass may be among them, all others are not.
 

@@ -1,4 +1,4 @@
-"""Queries of the ten operators and the pipeline, with SQL where it can say the same."""
+"""Queries of the operators and the pipeline, with SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -20,6 +20,9 @@ MODULES = {
     "op8_language_id": "langid",
     "op9_license_scan": "licenses",
     "op10_packing": "packing",
+    "op11_cross_tokenizer_alignment": "alignment",
+    "op12_source_divergence": "divergence",
+    "op13_quality_classifier": "quality",
 }
 
 
