@@ -42,8 +42,8 @@ from glossmill.llm.frames import written
 from glossmill.llm.packing import default_ranks
 from glossmill.llm.piececoding import MARK, default_model
 
-SLICE = 4 << 20
-CACHED = 400_000
+SLICE = 2 << 20
+CACHED = 250_000
 _COUNTS = "n_a long, n_b long, n_groups long, n_links long"
 #: After these bytes a space begins a stretch of its own: visible ASCII, and last bytes of characters of
 #: which none is white space.
