@@ -37,9 +37,10 @@ from glossmill.llm.frames import pieces, text_bytes, written
 LEAST = 10  # documents of its language that a kept term stands in
 TOP = 10
 SCALE = 1_000_000_000
-SLICE = 8 << 20
-_HELD = 2_000_000  # counts that a task gathers before it sums them
+SLICE = 4 << 20
+_HELD = 1_500_000  # counts that a task gathers before it sums them
 _SHARD = 20_000  # kept terms
+_FEW = 10_000  # languages of which the number of shards is broadcast
 MANY = -1  # stands for LEAST documents or more
 
 _SOLID = np.ones(256, bool)
@@ -329,7 +330,9 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     n_terms = F.coalesce("n_terms", F.lit(0))
     shards = F.greatest(F.lit(1), F.ceil(n_terms / _SHARD)).cast("int")
     languages = own.join(sizes, "lang", "left").select("lang", F.col("g.source").alias("sources"), F.col("g.total").alias("totals"), n_terms.alias("n_terms"), shards.alias("shards"))
-    spread = kept.join(languages.select("lang", "shards"), "lang").withColumn("shard", F.pmod(F.xxhash64("term"), "shards").cast("int")).select("lang", "shard", "term", "sources", "counts")
+    told = languages.select("lang", "shards")
+    told = F.broadcast(told) if told.count() <= _FEW else told
+    spread = kept.join(told, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), "shards").cast("int")).select("lang", "shard", "term", "sources", "counts")
     met = languages.select("lang", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "sources", "totals", "n_terms")
     found = spread.groupBy("lang", "shard").cogroup(met.groupBy("lang", "shard")).applyInArrow(_compared, "lang string, source string, part string, item string, value long")
     summed = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
