@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
 from glossmill.functions import text as T
-from glossmill.operators import batching, documents, evidence, memory, model, planning, quality, review, terms
+from glossmill.operators import batching, documents, evidence, memory, model, planning, quality, review, rounds, terms
 from glossmill.operators.quality import Violation, assert_none
 from glossmill.sources import readers, sinks
 
 MEMORY = "source string, translation string"
 SCOPED_MEMORY = "tbl string, id string, field string, source string, translation string"
 NOTICE_MEMORY = "page string, source string, translation string, policy string"
-RESULTS = "cache_key string, job_id string, status string, n_terms long, terms array<struct<source:string,category:string,suggested_translation:string,evidence:array<string>>>"
+RESULTS = f"cache_key string, job_id string, status string, n_terms long, rejected_count long, reject_reasons map<string,long>, rejected_candidates array<struct<candidate:{rounds.TERM},reason:string>>, terms array<{rounds.TERM}>"
 FIELD = ["tbl", "id", "field"]
 
 
@@ -40,12 +40,16 @@ def _log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return readers.log(spark, path, schema) if there else spark.createDataFrame([], f"{schema}, seq long")
 
 
-def _ask(rows: DataFrame, service: model.Service, check: model.Check, key: str, group: str, order: str, max_rows: int, max_chars: int, also: tuple[str, ...] = ()) -> DataFrame:
-    """Answers to rows in order-preserving batches; key names the column that tells rows apart."""
+def _ask(
+    rows: DataFrame, service: model.Service, rules: Callable[[str, str], quality.Rules], key: str, group: str, order: str, max_rows: int, max_chars: int,
+    caps: list[int] | None = None, also: tuple[str, ...] = (), **how,
+) -> DataFrame:
+    """Answers to rows in order-preserving batches, in rounds; key names the column that tells rows apart."""
     sized = rows.withColumn("size", F.length("source").cast("long"))
-    numbered = batching.greedy_batches(sized.select(group, order, "size"), group, order, "size", max_rows, max_chars)
-    dealt = sized.join(numbered.select(group, order, "batch"), [group, order])
-    return model.run_batches(dealt.withColumn("batch", F.concat_ws("/", F.col(group).cast("string"), F.col("batch").cast("string"))), service, check, key, "source", "batch", also)
+    numbered = batching.greedy_batches(sized.select(*dict.fromkeys((group, order, key, "size"))), group, order, "size", max_rows, max_chars)
+    dealt = sized.join(numbered.select(key, "batch"), key)
+    dealt = dealt.withColumn("batch", F.concat_ws("/", F.col(group).cast("string"), F.col("batch").cast("string")))
+    return rounds.asked(dealt, service, rules, caps or rounds.halved(max_rows), key, also=also, **how)[0]
 
 
 # --- dialogue ---------------------------------------------------------------------------------------
@@ -61,7 +65,7 @@ def story_plan(spark: SparkSession, path: str, sources: str | None = None, names
     return memory.coverage(readers.story_rows(rows), "csv", target="trans")
 
 
-def story_translate(spark: SparkSession, path: str, service: model.Service, check: model.Check, sources: str | None = None, names: list[str] | None = None, prefixes: list[str] | None = None, batch_rows: int = 12, max_batches: int = 0) -> DataFrame:
+def story_translate(spark: SparkSession, path: str, service: model.Service, sources: str | None = None, names: list[str] | None = None, prefixes: list[str] | None = None, batch_rows: int = 12, max_batches: int = 0) -> DataFrame:
     """csv, id, translation, status of every line that lacks one: in batches of its file."""
     story_plan(spark, path, sources, names, prefixes)
     rows = readers.story_rows(readers.dialogue(spark, path, names, prefixes)).where("trans = ''")
@@ -69,7 +73,7 @@ def story_translate(spark: SparkSession, path: str, service: model.Service, chec
     if max_batches:
         chunks = chunks.where(F.col("chunk") < max_batches)
     keyed = chunks.select(F.concat_ws("\x1f", "csv", "id").alias("key"), F.col("text").alias("source"), F.concat_ws("/", "csv", F.col("chunk").cast("string")).alias("batch"))
-    got = model.run_batches(keyed, service, check, "key")
+    got, _ = rounds.asked(keyed, service, quality.story_line, rounds.halved(batch_rows), normalise=T.story_normalised)
     part = F.split("key", "\x1f")
     return got.select(part[0].alias("csv"), part[1].alias("id"), "translation", "status")
 
@@ -93,6 +97,10 @@ def _memory(rows: DataFrame, log: DataFrame) -> DataFrame:
     return memory.merged_existing_wins(held, memory.first_wins(told.select("source", "translation", "seq"), ["source"], "seq").select("source", "translation"), ["source"])
 
 
+def _record_rules(source: str, target: str) -> quality.Rules:
+    return quality.record_line(source, target, F.col("may_reflow"))
+
+
 def master_plan(spark: SparkSession, source: str, target: str, log: str, policy: list[terms.Term] | None = None) -> DataFrame:
     """ready, pending, total: of distinct texts, or with a policy of fields."""
     rows = _records(spark, source, target).where("source <> ''")
@@ -108,7 +116,7 @@ def master_plan(spark: SparkSession, source: str, target: str, log: str, policy:
     return counts.select((F.col("total") - F.col("pending")).alias("ready"), "pending", "total")
 
 
-def master_translate(spark: SparkSession, source: str, target: str, log: str, service: model.Service, check: model.Check, policy: list[terms.Term] | None = None, flat: dict[str, str] | None = None, batch_rows: int = 12, max_chars: int = 1600) -> DataFrame:
+def master_translate(spark: SparkSession, source: str, target: str, log: str, service: model.Service, policy: list[terms.Term] | None = None, flat: dict[str, str] | None = None, batch_rows: int = 12, max_chars: int = 1600) -> DataFrame:
     """Asks for what is pending, appends the answers to the log, and returns the filled entries.
 
     Without a policy every distinct text is asked once; with one, every field by itself, with the
@@ -117,8 +125,8 @@ def master_translate(spark: SparkSession, source: str, target: str, log: str, se
     rows = _records(spark, source, target).where("source <> ''")
     if policy is None:
         known = _memory(rows, _log(spark, log, MEMORY))
-        open_ = memory.pending(rows.where(~terms.credit_key()).select("source").distinct(), known, ["source"]).withColumn("key", F.sha2("source", 256))
-        got = _ask(open_.withColumn("g", F.substring("key", 1, 2)), service, check, "key", "g", "key", batch_rows, max_chars)
+        open_ = memory.pending(memory.strictest_context(rows.where(~terms.credit_key())).select("source", "may_reflow"), known, ["source"]).withColumn("key", F.sha2("source", 256))
+        got = _ask(open_.withColumn("g", F.substring("key", 1, 2)), service, _record_rules, "key", "g", "key", batch_rows, max_chars, normalise=T.imposed_line_endings, split=True)
         done = open_.join(got.where("status = 'done'"), "key").select("source", "translation")
         sinks.append_log(done, log)
         known = memory.merged_existing_wins(_memory(rows, _log(spark, log, MEMORY)), rows.where(terms.credit_key()).select("source", F.col("source").alias("translation")).distinct(), ["source"])
@@ -130,7 +138,7 @@ def master_translate(spark: SparkSession, source: str, target: str, log: str, se
     lines = open_.drop("speaker", "record", "record_labels", "neighbors").withColumn("key", F.concat_ws("\x1f", *FIELD))
     asked = terms.preferences(lines, policy, flat or {}, context, ["key"])
     preferred = asked.groupBy("key").agg(F.to_json(F.array_sort(F.collect_list(F.struct("term", "target", "action")))).alias("term_preferences"))
-    got = _ask(lines.join(preferred, "key", "left"), service, check, "key", "tbl", "seq", batch_rows, max_chars, ("term_preferences",))
+    got = _ask(lines.join(preferred, "key", "left"), service, _record_rules, "key", "tbl", "seq", batch_rows, max_chars, also=("term_preferences",), normalise=T.imposed_line_endings, split=True)
     done = lines.join(got.where("status = 'done'").select("key", F.col("translation").alias("answer")), "key").select(*FIELD, "source", F.col("answer").alias("translation"))
     sinks.append_log(done, log)
     known = memory.last_wins(_log(spark, log, SCOPED_MEMORY), [*FIELD, "source"], "seq").select(*FIELD, "source", "translation")
@@ -161,7 +169,7 @@ def notice_plan(spark: SparkSession, source: str, translations: str, interface:
     return open_
 
 
-def notice_translate(spark: SparkSession, source: str, translations: str, interface: str | None, log: str, approved: str, service: model.Service, check: model.Check, protect: bool = False) -> DataFrame:
+def notice_translate(spark: SparkSession, source: str, translations: str, interface: str | None, log: str, approved: str, service: model.Service, protect: bool = False) -> DataFrame:
     """Asks for approved texts, appends the answers to the log, returns page, source, translation, filled.
 
     ``protect``: numbers, addresses and marks are hidden from the service and put back.
@@ -170,10 +178,8 @@ def notice_translate(spark: SparkSession, source: str, translations: str, interf
     assert_none(listed.where(F.col("source_sha256") != readers.file_hash(spark, source)).select("page"), "approvals of another document")
     allowed = listed.select("page", F.explode("sources").alias("source"))
     open_ = documents.approved_only(notice_plan(spark, source, translations, interface, log), allowed).withColumn("key", F.concat_ws("\x1f", "page", "source"))
-    batches = batching.greedy_batches(open_.select("page", "key", F.length("source").cast("long").alias("size")), "page", "key", "size", 12, 1600)
-    dealt = open_.join(batches.select("key", "batch"), "key").withColumn("batch", F.concat_ws("/", "page", F.col("batch").cast("string")))
-    got = model.run_masked(dealt, service, lambda s, t: True, P.NOTICE_PROTECTED, quality.notice_line, "key") if protect else model.run_batches(dealt, service, check, "key")
-    done = open_.join(got.where("status = 'done'"), "key").where(quality.reason(quality.notice_line("source", "translation")).isNull())
+    got = _ask(open_, service, quality.notice_line, "key", "page", "key", 12, 1600, mask=P.NOTICE_PROTECTED if protect else None, normalise=T.imposed_line_endings, split=not protect)
+    done = open_.join(got.where("status = 'done'").select("key", "translation"), "key")
     sinks.append_log(done.select("page", "source", "translation", F.lit(None).cast("string").alias("policy")), log)
     texts, held, _ = _notice_frames(spark, source, translations, interface)
     known = memory.last_wins(_log(spark, log, NOTICE_MEMORY), ["page", "source"], "seq").join(allowed, ["page", "source"], "left_semi")
@@ -182,7 +188,7 @@ def notice_translate(spark: SparkSession, source: str, translations: str, interf
 
 def notice_repair(spark: SparkSession, source: str, translations: str, interface: str | None, log: str, approved: str, service: model.Service) -> DataFrame:
     """Like notice_translate, for texts whose marks a service doesn't keep: they are hidden from it."""
-    return notice_translate(spark, source, translations, interface, log, approved, service, lambda s, t: True, protect=True)
+    return notice_translate(spark, source, translations, interface, log, approved, service, protect=True)
 
 
 def notice_credit_policy(spark: SparkSession, source: str, translations: str, initial: str, log: str, policy: str, restore: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -212,12 +218,12 @@ def legal_targets(spark: SparkSession, source: str, target: DataFrame | None = N
 
 
 def legal_translate(spark: SparkSession, source: str, target: DataFrame, service: model.Service) -> DataFrame:
-    """Targets with what was pending answered; prefixes, numbers and addresses are hidden from the service."""
+    """Targets with what was pending answered; prefixes, numbers and addresses are hidden from the service.
+
+    A batch is asked once; each of its lines that failed is asked once more, alone."""
     rows = legal_targets(spark, source, target)
     open_ = rows.where("needs AND target = ''").withColumn("key", F.concat_ws("/", "rule", "id"))
-    numbered = batching.greedy_batches(open_.select("rule", "at", F.length("source").cast("long").alias("size")), "rule", "at", "size", 12, 1600)
-    dealt = open_.join(numbered.select("rule", "at", "batch"), ["rule", "at"]).withColumn("batch", F.concat_ws("/", "rule", F.col("batch").cast("string")))
-    got = model.run_masked(dealt.select("key", "source", "batch"), service, lambda s, t: True, P.LEGAL_PROTECTED, quality.legal_line, "key").where("status = 'done'")
+    got = _ask(open_.drop("target"), service, quality.legal_line, "key", "rule", "at", 12, 1600, rounds.once_more(12), mask=P.LEGAL_PROTECTED).where("status = 'done'")
     part = F.split("key", "/", 2)
     answers = got.select(part[0].alias("rule"), part[1].alias("id"), F.col("translation").alias("answer"))
     return rows.join(answers, ["rule", "id"], "left").withColumn("target", F.coalesce("answer", "target")).drop("answer")
@@ -249,12 +255,11 @@ def interface_pending(spark: SparkSession, source: str, target: str, captures: s
     return documents.pending_stable(own, done, varying, readers.variants(spark, curated).select("key").distinct()).select("key", "source")
 
 
-def interface_translate(pending: DataFrame, existing: DataFrame, service: model.Service, check: model.Check) -> DataFrame:
+def interface_translate(pending: DataFrame, existing: DataFrame, service: model.Service) -> DataFrame:
     """key, source, translation: what exists and new answers to what is pending; what exists wins."""
     open_ = pending.withColumn("id", F.concat_ws("\x1f", "key", "source")).withColumn("g", F.lit("ui"))
-    got = _ask(open_, service, check, "id", "g", "id", 16, 1200)
-    rows = open_.join(got.where("status = 'done'"), "id").withColumn("translation", T.interface_normalised("source", "translation"))
-    good = rows.where(quality.reason(quality.interface_line("source", "translation")).isNull())
+    got = _ask(open_, service, quality.interface_line, "id", "g", "id", 16, 1200, normalise=T.interface_normalised)
+    good = open_.join(got.where("status = 'done'").select("id", "translation"), "id")
     return memory.merged_existing_wins(existing.select("key", "source", "translation"), good.select("key", "source", "translation"), ["key", "source"])
 
 
@@ -293,16 +298,16 @@ def semantic_plan(entries: DataFrame, tables: list[str] | None = None, prefixes:
 
 
 def semantic_extract(jobs: DataFrame, log: str, ask: Callable, prompt_hash: str, name: str) -> DataFrame:
-    """Jobs that the log holds no complete result for, asked; their results go to the log, whose
-    latest row of each job is returned."""
+    """Jobs that the log holds no complete result for, asked in rounds under the strict rules of evidence;
+    their results go to the log, whose latest row of each job is returned."""
     spark = jobs.sparkSession
     keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name))
     held = _log(spark, log, RESULTS)
     done = evidence.latest_complete(held).select("cache_key")
     open_ = keyed.join(done, "cache_key", "left_anti")
-    got = model.extracted(open_, ask, lambda rows, c: None if all(any(r["id"] == e and c["source"] in r["source"] for r in rows) for e in c["evidence"]) and c["evidence"] else "source_absent")
+    got = rounds.extracted(open_, ask)
     rows = open_.select("job_id", "cache_key").join(got, "job_id").where("status <> 'failed'").withColumn("n_terms", F.size("terms").cast("long"))
-    sinks.append_log(rows.select("cache_key", "job_id", "status", "n_terms", "terms"), log)
+    sinks.append_log(rows.select("cache_key", "job_id", "status", "n_terms", "rejected_count", "reject_reasons", "rejected_candidates", "terms"), log)
     return memory.last_wins(_log(spark, log, RESULTS), ["cache_key"], "seq").join(keyed.select("cache_key"), "cache_key", "left_semi")
 
 
@@ -333,15 +338,15 @@ def term_review_export(references: DataFrame, unverified: DataFrame, path: str,
     return queued
 
 
-def suggest_kana(issues: DataFrame, source: DataFrame, target: DataFrame, log: str, service: model.Service, check: model.Check, with_conditions: bool = False) -> DataFrame:
+def suggest_kana(issues: DataFrame, source: DataFrame, target: DataFrame, log: str, service: model.Service, with_conditions: bool = False) -> DataFrame:
     """source, current, locations, suggestion of reported fields; what the log suggests already is kept."""
     spark = issues.sparkSession
     items = planning.kana_items(issues, source, target, with_conditions)
     reflow = F.forall("locations", lambda x: (x["tbl"] == "Story") & (x["field"] == "name"))
     items = items.withColumn("may_reflow", reflow)
     held = readers.suggestions(_log(spark, log, MEMORY), items)
-    open_ = memory.pending(items.select("source"), held, ["source"]).withColumn("key", F.sha2("source", 256)).withColumn("g", F.lit("kana"))
-    got = _ask(open_, service, check, "key", "g", "key", 6, 1400)
+    open_ = memory.pending(items.select("source", "may_reflow"), held, ["source"]).withColumn("key", F.sha2("source", 256)).withColumn("g", F.lit("kana"))
+    got = _ask(open_, service, _record_rules, "key", "g", "key", 6, 1400, normalise=T.imposed_line_endings, split=True)
     done = open_.join(got.where("status = 'done'"), "key").select("source", "translation")
     sinks.append_log(done, log)
     told = readers.suggestions(_log(spark, log, MEMORY), items)

@@ -5,31 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossmill.operators import folds
+
 
 def greedy_batches(rows: DataFrame, group: str, order: str, size: str, max_rows: int, max_size: int) -> DataFrame:
     """Rows with ``batch``, counted from 0 in each group.
 
     A batch closes when it has max_rows rows, or when the next row would take it over max_size; a
-    single row above max_size stands alone. The fold is sequential within a group by nature, so a
-    group streams through one task, a batch of rows at a time, and holds only its running state.
+    single row above max_size stands alone. A group of any size is folded block by block, in many tasks.
     """
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", batch long"
-    dealt = rows.repartition(group).sortWithinPartitions(group, order)
-
-    def run(frames):
-        current, batch, n, total = None, 0, 0, 0
-        for frame in frames:
-            out = []
-            for key, length in zip(frame[group].tolist(), frame[size].tolist()):
-                if key != current:
-                    current, batch, n, total = key, 0, 0, 0
-                if n and (n >= max_rows or total + length > max_size):
-                    batch, n, total = batch + 1, 0, 0
-                n, total = n + 1, total + length
-                out.append(batch)
-            yield frame.assign(batch=out)
-
-    return dealt.mapInPandas(run, schema)
+    one = "_one"
+    return folds.greedy(rows.withColumn(one, F.lit(1)), group, [order], {one: max_rows, size: max_size}, max_rows).drop(one)
 
 
 def two_lane_batches(rows: DataFrame, group: str, order: str, size: str, short: Column, caps: dict[str, int], max_size: int) -> DataFrame:
@@ -46,22 +32,7 @@ def packed_parts(rows: DataFrame, group: str, order: str, part: str, max_rows: i
     """Whole parts (rows of one ``part`` value) packed greedily within a group: adds ``batch`` and
     ``parts``, how many the batch holds."""
     parts = rows.groupBy(group, part).agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_rows"), F.sum(size).alias("_size"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in parts.dtypes) + ", batch long"
-
-    def run(frames):
-        current, batch, n, total = None, 0, 0, 0
-        for frame in frames:
-            out = []
-            for key, count, length in zip(frame[group].tolist(), frame["_rows"].tolist(), frame["_size"].tolist()):
-                if key != current:
-                    current, batch, n, total = key, 0, 0, 0
-                if n and (n + count > max_rows or total + length > max_size):
-                    batch, n, total = batch + 1, 0, 0
-                n, total = n + count, total + length
-                out.append(batch)
-            yield frame.assign(batch=out)
-
-    packed = parts.repartition(group).sortWithinPartitions(group, "_first").mapInPandas(run, schema)
+    packed = folds.greedy(parts, group, ["_first"], {"_rows": max_rows, "_size": max_size}, max_rows)
     alone = packed.groupBy(group, "batch").agg(F.count(F.lit(1)).alias("parts"))
     return rows.join(packed.select(group, part, "batch").join(alone, [group, "batch"]), [group, part])
 

@@ -112,74 +112,3 @@ def patient(service: Service, attempts: int = 6, wait: Callable[[float], None] =
         return {}
 
     return ask
-
-
-def answered_each(lines: list[dict], service: Service, check: Check) -> dict[str, str]:
-    """Answers to a batch, and if it fails as a whole, to each of its lines asked once more alone."""
-
-    def once(part: list[dict]) -> dict[str, str]:
-        try:
-            got = service(part)
-        except ValueError:
-            return {}
-        return {line["id"]: got[line["id"]] for line in part if line["id"] in got and check(line["source"], got[line["id"]])}
-
-    got = once(lines)
-    for line in lines:
-        if line["id"] not in got:
-            got |= once([line])
-    return got
-
-
-def run_masked(batches: DataFrame, service: Service, check: Check, pattern: str, rules: Callable[[str, str], list], id: str = "id", source: str = "source", batch: str = "batch") -> DataFrame:
-    """(id, translation, status) with what a pattern protects hidden behind markers from the service.
-
-    Answers are put back and must then meet the rules of their kind, given the names of the source's
-    and the translation's columns; those that don't are failed.
-    """
-    from glossmill.operators.quality import reason
-
-    hidden = batches.withColumn("_masked", T.masked(source, pattern))
-    got = run_batches(hidden.select(id, F.col("_masked").alias(source), batch), service, check, id, source, batch)
-    back = got.withColumnRenamed("translation", "_answer").join(batches.select(id, F.col(source).alias("_source")), id)
-    back = back.withColumn("translation", T.unmasked("_answer", "_source", pattern))
-    good = (F.col("status") == "done") & reason(rules("_source", "translation")).isNull()
-    return back.select(id, F.when(good, F.col("translation")).alias("translation"), F.when(good, "done").otherwise("failed").alias("status"))
-
-
-def extracted(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], valid: Callable[[list[dict], dict], str | None], rounds: int = 3) -> DataFrame:
-    """(job_id, status, terms, rejected) of each job: candidates that a text model gives for its rows.
-
-    ask(rows, turn): candidates as dicts of source, category, suggested_translation and evidence. A
-    turn with candidates that ``valid`` rejects is asked again; the last turn gives the model ids and
-    sources alone. What is still rejected then makes the job partial; the valid ones are kept.
-    """
-    term = "struct<source:string,category:string,suggested_translation:string,evidence:array<string>>"
-
-    def run(frames):
-        import pandas as pd
-
-        for frame in frames:
-            out = []
-            for job, rows in zip(frame["job_id"], frame["rows"]):
-                rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows]
-                for turn in range(rounds):
-                    given = rows if turn < rounds - 1 else [{"id": r["id"], "source": r["source"]} for r in rows]
-                    try:
-                        found = ask(given, turn)
-                    except ValueError:
-                        found, kept, bad = None, [], []
-                        continue
-                    seen: list[dict] = []
-                    bad = []
-                    for c in found:
-                        why = valid(rows, c) or ("duplicate_candidate" if c in seen else None)
-                        bad.append(why) if why else seen.append(c)
-                    kept = seen
-                    if not bad:
-                        break
-                status = "failed" if found is None else "partial" if bad else "complete"
-                out.append({"job_id": job, "status": status, "terms": kept, "rejected": bad})
-            yield pd.DataFrame(out, columns=["job_id", "status", "terms", "rejected"])
-
-    return jobs.select("job_id", "rows").mapInPandas(run, f"job_id string, status string, terms array<{term}>, rejected array<string>")

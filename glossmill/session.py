@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +34,31 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder; any path Spark's readers can open."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; only a local session, whose tasks all see the
+    driver's disk, may do without one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or os.path.join(tempfile.gettempdir(), "glossmill-checkpoints")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once, as a table in the shared folder, and read again. Unlike with
+    ``checkpoint()`` its last stage runs once. The table goes when the session ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/glossmill-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -28,10 +28,6 @@ def echo(lines):
     return {line["id"]: f"译{line['source']}" for line in lines}
 
 
-def plain(s, t):
-    return True
-
-
 @pytest.fixture
 def story(tmp_path):
     source = "原文"
@@ -44,7 +40,7 @@ def story(tmp_path):
 def test_story(spark, story):
     path, texts = str(story / "d"), str(story / "txt")
     assert C.story_plan(spark, path, texts).first().asDict() == {"csv": "adv_a.csv", "translated": 1, "total": 3}
-    got = {r["id"]: (r["translation"], r["status"]) for r in C.story_translate(spark, path, echo, plain, texts).collect()}
+    got = {r["id"]: (r["translation"], r["status"]) for r in C.story_translate(spark, path, echo, texts).collect()}
     assert got == {"1:text:1": ("译進もう", "done"), "2:text:2": ("译{user}章", "done")}
     with pytest.raises(Violation):
         C.story_plan(spark, path, names=["adv_b.csv"])
@@ -82,11 +78,11 @@ def master(tmp_path):
 def test_master(spark, master):
     source, target, log = str(master / "orig"), str(master / "zh"), str(master / "log")
     assert C.master_plan(spark, source, target, log).first().asDict() == {"ready": 1, "pending": 4, "total": 5}
-    got = {(r["tbl"], r["id"], r["field"]): r["translation"] for r in C.master_translate(spark, source, target, log, echo, plain).collect()}
+    got = {(r["tbl"], r["id"], r["field"]): r["translation"] for r in C.master_translate(spark, source, target, log, echo).collect()}
     assert got[("Item", "i1", "name")] == "蓝钥匙" and got[("Music", "m1", "composer")] == "山田" and got[("Item", "i2", "name")] == "译赤い鍵"
     assert C.master_plan(spark, source, target, log).first()["pending"] == 1  # the credit, which is never asked for
     told = readers.log(spark, log, C.MEMORY).count()
-    C.master_translate(spark, source, target, log, echo, plain)
+    C.master_translate(spark, source, target, log, echo)
     assert readers.log(spark, log, C.MEMORY).count() == told  # nothing was asked again
     (master / "orig/.in-progress").touch()
     with pytest.raises(Violation):
@@ -104,7 +100,7 @@ def test_master_by_policy(spark, master):
         return {line["id"]: "".join(t["target"] for t in json.loads(line["term_preferences"] or "[]")) or "-" for line in lines}
 
     assert C.master_plan(spark, source, target, log, policy).first()["pending"] == 3
-    got = {(r["tbl"], r["id"], r["field"]): r["translation"] for r in C.master_translate(spark, source, target, log, told, plain, policy, {"赤い": "红"}).collect()}
+    got = {(r["tbl"], r["id"], r["field"]): r["translation"] for r in C.master_translate(spark, source, target, log, told, policy, {"赤い": "红"}).collect()}
     assert got[("Item", "i1", "text")] == "蓝钥" and got[("Item", "i2", "name")] == "-" and got[("Music", "m1", "composer")] == "山田"
     assert C.master_plan(spark, source, target, log, policy).first()["pending"] == 0
 
@@ -115,12 +111,12 @@ def test_notices(spark, tmp_path):
     held = write(tmp_path / "t.json", json.dumps({"pages": {page: {"終了": "结束"}}}))
     log, listed = str(tmp_path / "log"), str(tmp_path / "list")
     assert {r["source"] for r in C.notice_plan(spark, source, held, None, log, listed).collect()} == {"開催中 10", "作詞：山田"}
-    got = {r["source"]: r["translation"] for r in C.notice_translate(spark, source, held, None, log, listed, echo, plain).collect()}
+    got = {r["source"]: r["translation"] for r in C.notice_translate(spark, source, held, None, log, listed, echo).collect()}
     assert got == {"開催中 10": "译開催中 10", "2030/1/2": "", "作詞：山田": "译作詞：山田", "終了": "结束"}
     assert C.notice_plan(spark, source, held, None, log).isEmpty()
     other = write(tmp_path / "n2.json", json.dumps({"pages": {page: {"title": "", "texts": ["新"]}}}))
     with pytest.raises(Violation):
-        C.notice_translate(spark, other, held, None, log, listed, echo, plain)
+        C.notice_translate(spark, other, held, None, log, listed, echo)
     repaired = C.notice_repair(spark, source, held, None, str(tmp_path / "log2"), listed, lambda lines: {x["id"]: x["source"].replace("開催中", "进行中") for x in lines})
     assert {r["source"]: r["translation"] for r in repaired.collect()}["開催中 10"] == "进行中 10"
     empty = write(tmp_path / "i.json", json.dumps({"pages": {page: {}}}))
@@ -156,7 +152,7 @@ def test_interface(spark, tmp_path):
     pending = C.interface_pending(spark, source, target, seen, curated, "variants")
     assert [tuple(r) for r in pending.collect()] == [("c", "宇")]
     existing = spark.createDataFrame([("c", "う", "u")], "key string, source string, translation string")
-    assert {tuple(r) for r in C.interface_translate(pending, existing, echo, plain).collect()} == {("c", "う", "u"), ("c", "宇", "译宇")}
+    assert {tuple(r) for r in C.interface_translate(pending, existing, echo).collect()} == {("c", "う", "u"), ("c", "宇", "译宇")}
     reviewed = spark.createDataFrame([("は", "translate")], "source string, decision string")
     assert C.interface_pending(spark, source, target, seen, curated, "text", reviewed).first()["source"] == "は"
 
@@ -193,9 +189,9 @@ def test_terms(spark, master, tmp_path):
 def test_kana(spark, master, tmp_path):
     source, target = (readers.record_tables(spark, str(master / p)) for p in ("orig", "zh"))
     issues = spark.createDataFrame([("Item", "i1", "name")], "tbl string, id string, field string")
-    got = C.suggest_kana(issues, source, target, str(tmp_path / "k"), echo, plain)
+    got = C.suggest_kana(issues, source, target, str(tmp_path / "k"), echo)
     assert got.select("source", "current", "suggestion").first() == ("青い鍵", "蓝钥匙", "译青い鍵")
-    C.suggest_kana(issues, source, target, str(tmp_path / "k"), echo, plain)
+    C.suggest_kana(issues, source, target, str(tmp_path / "k"), echo)
     assert readers.log(spark, str(tmp_path / "k"), C.MEMORY).count() == 1 and C.suggestion_counts(got).first().asDict() == {"total": 1, "unique": 1, "suggested": 1}
 
 
@@ -266,22 +262,6 @@ def test_patient_service():
         model.patient(lambda lines: (_ for _ in ()).throw(TimeoutError()), attempts=2, wait=waits.append)([])
 
 
-def test_each_line_is_asked_once_more():
-    def picky(lines):
-        if len(lines) > 1:
-            raise ValueError
-        return {lines[0]["id"]: lines[0]["source"]}
-
-    lines = [{"id": "1", "source": "a"}, {"id": "2", "source": "b"}]
-    assert model.answered_each(lines, picky, lambda s, t: s != "b") == {"1": "a"}
-
-
-def test_masked_batches(spark):
-    rows = spark.createDataFrame([("1", "鍵5個", "b"), ("2", "鍵7個", "b")], "id string, source string, batch string")
-    got = model.run_masked(rows, lambda ls: {x["id"]: x["source"].replace("個", "个") if x["id"] == "1" else "丢" for x in ls}, plain, "[0-9]+", quality.notice_line)
-    assert {tuple(r) for r in got.collect()} == {("1", "鍵5个", "done"), ("2", None, "failed")}
-
-
 def test_glossaries(spark, tmp_path):
     a, b = write(tmp_path / "a.json", '{"鍵": "钥匙", "歌": "歌"}'), write(tmp_path / "b.json", '{"鍵": "键"}')
     assert {tuple(r) for r in C.glossary(spark, [a, b]).collect()} == {("鍵", "键"), ("歌", "歌")}
