@@ -6,6 +6,8 @@ alternation that scans each text once. Mentions then meet the glossary by an equ
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,48 +49,63 @@ def mentions(rows: DataFrame, terms: list[Term], text: str = "source", most: int
     return found.drop("_pattern")
 
 
-def stands_as_token(text: str, terms: list[Term], term: Column, literal_break: bool = False) -> Column:
-    """Whether the text holds the term of that row as a whole token."""
-    plain = [t["source"] for t in terms if P.token_pattern(t["source"]) == P.java_literal(t["source"])]
-    bounded = sorted({t["source"] for t in terms} - set(plain))
-    out = term.isin(*plain) if plain else F.lit(False)
-    for source in bounded:
-        out = out | ((term == source) & T.contains_token(text, source, literal_break))
-    return out
+#: Lengths of the literal beginnings by which globs are found; longer ones are cut to the next below.
+STARTS = (0, 1, 2, 4, 8, 16)
+WHOLE = -1
+#: Terms are sent to every task while their texts take less than this many characters.
+FEW_CHARACTERS = 4_000_000
 
 
-def in_scope(scope: dict[str, str], context: dict[str, Column], missing_fails: bool = True) -> Column:
-    """Whether every glob of a scope matches its context value.
+def _start(glob: str) -> tuple[int, str]:
+    """What a value surely begins with if a glob matches it: how long that is, WHOLE for a glob
+    without wildcards, and the text."""
+    literal = re.match(r"[^*?\[]*", glob).group()
+    if literal == glob:
+        return WHOLE, glob
+    n = max(x for x in STARTS if x <= len(literal))
+    return n, literal[:n]
 
-    ``missing_fails``: an absent value fails (policies); otherwise it counts as '' (audits).
-    """
-    out = F.lit(True)
-    for key, glob in scope.items():
-        value = context.get(key, F.lit(None).cast("string"))
-        out = out & F.coalesce(value if missing_fails else F.coalesce(value, F.lit("")), F.lit(None)).rlike(P.glob_regex(glob))
-    return F.coalesce(out, F.lit(False))
+
+def scope_index(spark: SparkSession, terms: list[Term]) -> tuple[DataFrame, list[tuple[str, int]]]:
+    """The terms as rows, each under one key of its scope with the longest literal beginning, and the kinds
+    (key, length) of beginnings that occur. Patterns are data here, so a plan is as long for any number of terms."""
+    rows, kinds = [], set()
+    for i, t in enumerate(terms):
+        scope = t.get("scope") or {}
+        key, (n, start) = max(((k, _start(g)) for k, g in scope.items()), key=lambda x: (x[1][0] == WHOLE, len(x[1][1]), x[0]), default=("", (0, "")))
+        kinds.add((key, n))
+        tokens = [None if P.token_pattern(x) == P.java_literal(x) else P.token_pattern(x) for x in (t["source"], t["target"])]
+        rows.append((t["source"], key, n, start, *tokens, {k: P.glob_regex(g) for k, g in scope.items()}, t["target"], t.get("category", "term"), t.get("action", "prefer"), len(scope), i))
+    schema = "term string, _key string, _n int, _start string, _token string, target_token string, _globs map<string,string>, target string, category string, action string, specificity long, term_seq long"
+    out = spark.createDataFrame(rows, schema)
+    small = sum(len(t["source"]) + len(t["target"]) + sum(map(len, (t.get("scope") or {}).values())) for t in terms) < FEW_CHARACTERS
+    return (F.broadcast(out) if small else out), sorted(kinds)
 
 
 def active_terms(rows: DataFrame, terms: list[Term], context: dict[str, Column], text: str = "source", missing_fails: bool = True) -> DataFrame:
-    """Rows for the terms of each text that stand as tokens and whose scope holds.
+    """Rows for the terms of each text that stand as tokens and whose scope holds: every glob matches
+    its context value. ``missing_fails``: an absent value fails (policies); otherwise it counts as '' (audits).
 
-    Adds term, target, category, action, specificity (how many keys the scope names), term_seq.
+    Adds term, target, category, action, specificity (how many keys the scope names), term_seq, and
+    target_token, the pattern of a target that only counts as a token. A mention meets the terms of its
+    spelling and of the beginning of one context value; only for those the whole globs are tried.
     """
-    found = mentions(rows, terms, text)
-    options = [
-        F.struct(
-            F.lit(t["target"]).alias("target"),
-            F.lit(t.get("category", "term")).alias("category"),
-            F.lit(t.get("action", "prefer")).alias("action"),
-            F.lit(len(t.get("scope") or {})).cast("long").alias("specificity"),
-            F.lit(i).cast("long").alias("term_seq"),
-            ((F.col("term") == t["source"]) & in_scope(t.get("scope") or {}, context, missing_fails)).alias("holds"),
-        )
-        for i, t in enumerate(terms)
-    ]
-    found = found.where(stands_as_token(text, terms, F.col("term")))
-    found = found.withColumn("_o", F.explode(F.filter(F.array(*options), lambda o: o["holds"])))
-    return found.select(*(c for c in found.columns if c != "_o"), *(F.col(f"_o.{c}").alias(c) for c in ("target", "category", "action", "specificity", "term_seq")))
+    index, kinds = scope_index(rows.sparkSession, terms)
+    held = {k: c if missing_fails else F.coalesce(c, F.lit("")) for k, c in context.items()}
+    absent = F.lit(None if missing_fails else "").cast("string")
+    values = F.create_map(*(x for k, c in held.items() for x in (F.lit(k), c.cast("string")))) if held else F.create_map().cast("map<string,string>")
+
+    def kind(key: str, n: int) -> Column:
+        value = held.get(key, absent).cast("string") if key else F.lit("")
+        return F.struct(F.lit(key).alias("key"), F.lit(n).alias("n"), (value if n == WHOLE else F.substring(value, 1, n)).alias("start"))
+
+    found = mentions(rows, terms, text).withColumn("_values", values)
+    looked = found.withColumn("_k", F.explode(F.array(*(kind(*k) for k in kinds) if kinds else [kind("", 0)])))
+    met = looked.join(index.withColumnRenamed("term", "_term"), (F.col("term") == F.col("_term")) & (F.col("_k.key") == F.col("_key")) & (F.col("_k.n") == F.col("_n")) & (F.col("_k.start") == F.col("_start")))
+    default = "NULL" if missing_fails else "''"
+    fits = F.expr(f"forall(map_entries(_globs), g -> coalesce(coalesce(_values[g.key], {default}) rlike g.value, false))")
+    met = met.where(fits & (F.col("_token").isNull() | F.expr(f"`{text}` rlike _token")))
+    return met.select(*(c for c in found.columns if c != "_values"), "target", "category", "action", "specificity", "term_seq", "target_token")
 
 
 def resolved(active: DataFrame, keys: list[str], strict: bool = True) -> DataFrame:
@@ -172,10 +189,7 @@ def findings(entries: DataFrame, terms: list[Term], context: dict[str, Column],
     credits = credits.select(*keys, F.lit("music_credit_changed").alias("type"), F.lit(None).cast("string").alias("term"), F.col("source").alias("suggestion"))
     active = active_terms(done.where("audit_category <> 'music_credit'"), terms, context, missing_fails=False)
     counted = active.where(counts())
-    lacks = ~F.col("translation").contains(F.col("target"))
-    for t in terms:
-        if P.token_pattern(t["target"]) != P.java_literal(t["target"]):
-            lacks = F.when(F.col("target") == t["target"], ~T.contains_token("translation", t["target"])).otherwise(lacks)
+    lacks = F.when(F.col("target_token").isNull(), ~F.col("translation").contains(F.col("target"))).otherwise(~F.expr("translation rlike target_token"))
     suggestion = F.when(F.col("source") == F.col("term"), F.col("target"))
     missed = counted.where(lacks).select(*keys, F.lit("term_preference_mismatch").alias("type"), "term", suggestion.alias("suggestion"))
     return credits.unionByName(missed)

@@ -171,3 +171,37 @@ def test_more_terms_than_one_alternation_takes(spark):
         return {(r["i"], r["term"]) for r in terms.mentions(rows, given, most=most, keys=["i"]).collect()}
 
     assert found(5) == found(100) and (1, "abc") in found(5) and (2, "日本") in found(5)
+
+
+def test_scopes_found_by_their_beginnings_as_by_trying_all(spark):
+    import random
+    from fnmatch import fnmatchcase
+
+    rng = random.Random(3)
+    globs = ["*", "", "Item", "It*", "I?em", "[IJ]*", "Item[!0-9]*", "longer-than-sixteen-characters*", "long*", "a.b", "Ite", "*em"]
+    given = [{"source": "鍵", "target": f"t{i}", "scope": {k: rng.choice(globs) for k in rng.sample(["table", "field", "script"], rng.randrange(4))}} for i in range(300)]
+    given += [{"source": "key", "target": "Key"}, {"source": "ke", "target": "no"}]
+    values = ["Item", "Items", "Item5", "Jtem", "", None, "longer-than-sixteen-characters and more", "a.b", "axb"]
+    rows = [(i, rng.choice(["鍵 key", "鍵", "monkey", "key."]), rng.choice(values), rng.choice(values)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "i int, source string, tbl string, fld string")
+    for missing_fails in (True, False):
+        got = {(r["i"], r["term_seq"]) for r in terms.active_terms(frame, given, {"table": F.col("tbl"), "field": F.col("fld")}, missing_fails=missing_fails).collect()}
+
+        def holds(t, row):
+            own = {"table": row[2], "field": row[3]}
+            told = {k: own.get(k) if missing_fails else own.get(k) or "" for k in t.get("scope", {})}
+            return all(v is not None and fnmatchcase(v, t["scope"][k]) for k, v in told.items())
+
+        stands = {"鍵": lambda s: "鍵" in s, "key": lambda s: s in ("鍵 key", "key."), "ke": lambda s: False}
+        assert got == {(r[0], n) for r in rows for n, t in enumerate(given) if stands[t["source"]](r[1]) and holds(t, r)}
+
+
+def test_plans_of_scoped_terms_have_one_size(spark):
+    def size(n):
+        given = [{"source": f"w{i}x", "target": "t", "scope": {"table": f"Table{i}*"}} for i in range(n)]
+        rows = spark.createDataFrame([(1, "w1x w4999x", "Table4999b")], "i int, source string, tbl string")
+        found = terms.active_terms(rows, given, {"table": F.col("tbl")})
+        assert [r["term"] for r in found.collect()] == (["w4999x"] if n == 5000 else [])
+        return len(found._jdf.queryExecution().optimizedPlan().treeString().splitlines())
+
+    assert size(50) == size(5000)
