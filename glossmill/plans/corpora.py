@@ -84,39 +84,45 @@ def planned_representatives(spark, d):
 _PART = "CASE WHEN source LIKE 'src1%' THEN 'Story' ELSE 'Item' END"
 
 
-@query(f"""WITH RECURSIVE d AS (SELECT {_PART} AS tbl, source AS id, lang AS field, doc_id, n_chars, (row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1) // 4 AS chunk FROM documents),
-p AS (SELECT tbl, id, field, chunk, min(doc_id) AS first, count(*) AS k, sum(least(n_chars, 200)) AS size FROM d WHERE tbl = 'Item' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY first) AS rn FROM p),
-b AS (SELECT field, id, chunk, rn, 0 AS batch, k AS n, size AS total FROM r WHERE rn = 1 UNION ALL SELECT r.field, r.id, r.chunk, r.rn, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN r.k ELSE b.n + r.k END,
- CASE WHEN b.n + r.k > 8 OR b.total + r.size > 900 THEN r.size ELSE b.total + r.size END FROM b JOIN r ON r.field = b.field AND r.rn = b.rn + 1), c AS (SELECT *, count(*) OVER (PARTITION BY field, batch) AS parts FROM b)
+@query(f"""WITH RECURSIVE d AS (SELECT {_PART} AS tbl, source AS id, lang AS field, doc_id, text, (row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) - 1) // 4 AS chunk FROM documents),
+p AS (SELECT tbl, id, field, chunk, min(doc_id) AS first, count(*) AS k, sum(length(text)) AS size FROM d WHERE tbl = 'Item' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY field ORDER BY first) AS rn FROM p),
+b AS (SELECT field, id, chunk, rn, 0 AS batch, k AS n, size AS total FROM r WHERE rn = 1 UNION ALL SELECT r.field, r.id, r.chunk, r.rn, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 9000 THEN b.batch + 1 ELSE b.batch END, CASE WHEN b.n + r.k > 8 OR b.total + r.size > 9000 THEN r.k ELSE b.n + r.k END,
+ CASE WHEN b.n + r.k > 8 OR b.total + r.size > 9000 THEN r.size ELSE b.total + r.size END FROM b JOIN r ON r.field = b.field AND r.rn = b.rn + 1), c AS (SELECT *, count(*) OVER (PARTITION BY field, batch) AS parts FROM b)
 SELECT d.doc_id, CASE WHEN d.tbl = 'Story' THEN 'Story/' || d.id WHEN parts = 1 THEN 'Item/' || d.id || '/' || d.field || '/' || CAST(d.chunk AS VARCHAR) ELSE 'Item/' || d.field || '/packed/' || CAST(batch AS VARCHAR) END AS job FROM d LEFT JOIN c ON c.id = d.id AND c.field = d.field AND c.chunk = d.chunk AND d.tbl = 'Item'""")
 def packed_record_jobs(spark, d):
-    rows = table(spark, d, "documents").selectExpr(f"{_PART} AS tbl", "source AS id", "lang AS field", "doc_id AS seq", "substr(repeat('x', 200), 1, int(least(n_chars, 200))) AS source")
-    return planning.packed_jobs(rows, 8, 900, part_rows=4).select(F.col("seq").alias("doc_id"), "job")
+    rows = table(spark, d, "documents").selectExpr(f"{_PART} AS tbl", "source AS id", "lang AS field", "doc_id AS seq", "text AS source")
+    return planning.packed_jobs(rows, 8, 9000, part_rows=4).select(F.col("seq").alias("doc_id"), "job")
 
 
-_JOB = "SELECT source AS stratum, lang, CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 20) AS source, doc_id FROM documents"
+#: Jobs of eight rows of a source.
+_JOBBED = "j AS (SELECT *, source || '/' || CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 8 AS VARCHAR) AS job_id FROM documents)"
 
 
-@query(f"""WITH r AS ({_JOB}), j AS (SELECT stratum, lang, '[' || string_agg('{{"id":' || to_json(id) || ',"source":' || to_json(source) || '}}', ',' ORDER BY doc_id) || ']' AS rows FROM r WHERE doc_id % 9 = 0 GROUP BY ALL)
-SELECT stratum, lang, sha256('{{"job":' || rows || ',"model":"m","prompt_sha256":"p","repair_of":null,"schema_version":1}}') AS cache_key, substr(sha256('{{"group":' || to_json(stratum) || ',"kind":"master","rows":' || rows || '}}'), 1, 24) AS job_id FROM j""")
+def _jobbed(spark, d):
+    rows = batching.fixed_chunks(table(spark, d, "documents").select("doc_id", "source", "lang", "text"), "source", "doc_id", 8)
+    return rows.withColumn("job_id", F.concat_ws("/", "source", F.col("chunk").cast("string"))).drop("chunk")
+
+
+@query(f"""WITH {_JOBBED}, r AS (SELECT source AS stratum, job_id AS job, '[' || string_agg('{{"id":' || to_json(CAST(doc_id AS VARCHAR)) || ',"source":' || to_json(text) || '}}', ',' ORDER BY doc_id) || ']' AS rows FROM j GROUP BY ALL)
+SELECT stratum, job, sha256('{{"job":' || rows || ',"model":"m","prompt_sha256":"p","repair_of":null,"schema_version":1}}') AS cache_key, substr(sha256('{{"group":' || to_json(stratum) || ',"kind":"master","rows":' || rows || '}}'), 1, 24) AS job_id FROM r""")
 def job_identities(spark, d):
     """Ids and cache keys of jobs: canonical JSON with its keys in order."""
-    rows = table(spark, d, "documents").where("doc_id % 9 = 0").select(F.col("source").alias("stratum"), "lang", "doc_id", F.struct(F.col("doc_id").cast("string").alias("id"), F.substring("text", 1, 20).alias("source")).alias("r"))
-    jobs = rows.groupBy("stratum", "lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "r"))), lambda x: x["r"]).alias("rows"))
-    return jobs.select("stratum", "lang", planning.cache_key("p", "m").alias("cache_key"), planning.job_id("stratum", "rows").alias("job_id"))
+    rows = _jobbed(spark, d).select(F.col("source").alias("stratum"), F.col("job_id").alias("job"), "doc_id", F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("source")).alias("r"))
+    jobs = rows.groupBy("stratum", "job").agg(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "r"))), lambda x: x["r"]).alias("rows"))
+    return jobs.select("stratum", "job", planning.cache_key("p", "m").alias("cache_key"), planning.job_id("stratum", "rows").alias("job_id"))
 
 
-_PLAN = "SELECT source AS job_id, min(doc_id) AS first, CASE WHEN min(doc_id) % 2 = 0 THEN 'master:' || list_extract(['Music', 'Story', 'Item'], 1 + CAST(min(doc_id) % 3 AS INT)) ELSE 'story:adv_' || min(lang) END AS stratum FROM documents GROUP BY source"
+_PLAN = "SELECT job_id, min(doc_id) AS first, CASE WHEN min(doc_id) % 2 = 0 THEN 'master:' || list_extract(['Music', 'Story', 'Item'], 1 + CAST(min(doc_id) % 3 AS INT)) ELSE 'story:adv_' || min(lang) END AS stratum FROM j GROUP BY job_id"
 
 
 def _plan(spark, d):
-    rows = table(spark, d, "documents").groupBy(F.col("source").alias("job_id")).agg(F.min("doc_id").alias("first"), F.min("lang").alias("lang"), F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("id"), F.substring("text", 1, 9).alias("source")))).alias("rows"))
+    rows = _jobbed(spark, d).groupBy("job_id").agg(F.min("doc_id").alias("first"), F.min("lang").alias("lang"), F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("source")))).alias("rows"))
     named = F.element_at(F.array(*map(F.lit, ("Music", "Story", "Item"))), (1 + F.col("first") % 3).cast("int"))
     stratum = F.when(F.col("first") % 2 == 0, F.concat(F.lit("master:"), named)).otherwise(F.concat(F.lit("story:adv_"), "lang"))
     return rows.select("job_id", "first", stratum.alias("stratum"), "rows")
 
 
-@query(f"""WITH p AS ({_PLAN}) SELECT CAST(count(*) FILTER (WHERE stratum IN ('master:Music', 'master:Item')) AS BIGINT) AS tables, CAST(count(*) FILTER (WHERE starts_with(stratum, 'story:adv_e')) AS BIGINT) AS prefixed,
+@query(f"""WITH {_JOBBED}, p AS ({_PLAN}) SELECT CAST(count(*) FILTER (WHERE stratum IN ('master:Music', 'master:Item')) AS BIGINT) AS tables, CAST(count(*) FILTER (WHERE starts_with(stratum, 'story:adv_e')) AS BIGINT) AS prefixed,
  CAST(count(*) FILTER (WHERE stratum = 'master:Story' OR starts_with(stratum, 'story:')) AS BIGINT) AS narrative, CAST(count(*) FILTER (WHERE stratum IN ('master:Music', 'master:Item')) AS BIGINT) AS independent FROM p""")
 def slice_counts(spark, d):
     """How many jobs of a plan each kind of slice holds."""
@@ -125,14 +131,15 @@ def slice_counts(spark, d):
     return plan.agg(*(F.count_if(planning.in_slice(**how)).alias(name) for name, how in kinds.items()))
 
 
-_LOG = "SELECT source AS job_id, doc_id AS seq, CASE doc_id % 4 WHEN 0 THEN 'partial' ELSE 'complete' END AS status, doc_id % 3 AS n_terms FROM documents WHERE doc_id % 2 = 0"
+_LOG = "SELECT job_id, doc_id AS seq, CASE doc_id % 4 WHEN 0 THEN 'partial' ELSE 'complete' END AS status, doc_id % 3 AS n_terms FROM j WHERE doc_id % 5 = 1"
 
 
 def _log(spark, d):
-    return table(spark, d, "documents").where("doc_id % 2 = 0").selectExpr("source AS job_id", "doc_id AS seq", "CASE doc_id % 4 WHEN 0 THEN 'partial' ELSE 'complete' END AS status", "doc_id % 3 AS n_terms")
+    """What a log holds: one document in five is a result of its job."""
+    return _jobbed(spark, d).where("doc_id % 5 = 1").selectExpr("job_id", "doc_id AS seq", "CASE doc_id % 4 WHEN 0 THEN 'partial' ELSE 'complete' END AS status", "doc_id % 3 AS n_terms")
 
 
-@query(f"""WITH l AS ({_LOG}), m AS (SELECT job_id, arg_max(status, seq) AS status, arg_max(n_terms, seq) AS n FROM l GROUP BY job_id)
+@query(f"""WITH {_JOBBED}, l AS ({_LOG}), m AS (SELECT job_id, arg_max(status, seq) AS status, arg_max(n_terms, seq) AS n FROM l GROUP BY job_id)
 SELECT job_id, CASE WHEN status = 'partial' THEN 'partial' ELSE 'empty' END AS state FROM m WHERE status = 'partial' OR n = 0""")
 def repair_selection(spark, d):
     plan, log = _plan(spark, d).select("job_id"), _log(spark, d)
@@ -140,13 +147,13 @@ def repair_selection(spark, d):
     return empty.unionByName(planning.to_repair(plan, log, ("partial",)).withColumn("state", F.lit("partial")))
 
 
-@query(f"""WITH l AS ({_LOG}) SELECT d.source AS job_id, d.doc_id AS id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.job_id = d.source AND l.status <> 'partial')""")
+@query(f"""WITH {_JOBBED}, l AS ({_LOG}) SELECT job_id, doc_id AS id FROM j WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.job_id = j.job_id AND l.status <> 'partial')""")
 def unverified_rows(spark, d):
     """Rows of jobs without a complete result; partial ones never count."""
     return planning.unverified(_plan(spark, d), _log(spark, d)).select("job_id", "id")
 
 
-@query(f"""WITH l AS ({_LOG}) SELECT job_id, max(seq) AS seq, arg_max(n_terms, seq) AS n_terms FROM l WHERE status <> 'partial' GROUP BY job_id""")
+@query(f"""WITH {_JOBBED}, l AS ({_LOG}) SELECT job_id, max(seq) AS seq, arg_max(n_terms, seq) AS n_terms FROM l WHERE status <> 'partial' GROUP BY job_id""")
 def latest_complete_results(spark, d):
     log = _log(spark, d).withColumn("cache_key", F.col("job_id")).withColumn("terms", F.struct("n_terms", "seq"))
     return evidence.latest_complete(log).select("job_id", "terms.seq", "terms.n_terms")
@@ -457,7 +464,7 @@ def policy_per_line(spark, d):
 
 # --- evidence, reviews, memory ----------------------------------------------------------------------
 
-_FOUND = """r AS (SELECT source AS job_id, doc_id AS row_id, substr(text, 1, 60) AS text, doc_id % 13 = 0 AS credit FROM documents),
+_FOUND = """r AS (SELECT source AS job_id, doc_id AS row_id, text AS text, doc_id % 13 = 0 AS credit FROM documents),
 c AS (SELECT job_id, row_id AS "at", CASE row_id % 5 WHEN 0 THEN 'the' WHEN 1 THEN split_part(text, ' ', 1) WHEN 2 THEN '{x}' ELSE 'und' END AS term, CASE WHEN row_id % 6 = 0 THEN 'colour' ELSE 'item' END AS category, CASE row_id % 7 WHEN 0 THEN NULL WHEN 1 THEN -1 ELSE row_id END AS ref, row_id, text, credit FROM r),
 v AS (SELECT job_id, "at", CASE WHEN NOT (term <> '' AND length(term) <= 80 AND NOT regexp_matches(term, '\\{[^{}]+\\}|<[^<>]+>|\\$[\\p{L}\\p{N}_]+|%[A-Za-z0-9]+|\\\\[nrt]') AND NOT regexp_matches(term, '\\A[^\\p{L}\\p{Nl}\\p{No}]*\\z') AND NOT regexp_matches(term, '\\A[\\p{Nd}\\s\\x{3000}年月日時分秒./:：_-]+\\z') AND regexp_replace(term, '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g') = term AND length(term) - length(replace(term, chr(10), '')) <= 2 AND NOT regexp_matches(term, '[\\x00-\\x09\\x0B-\\x1F\\x7F]')) THEN 'source_form'
  WHEN category = 'colour' THEN 'category' WHEN ref IS NULL THEN 'missing_evidence' WHEN ref = -1 THEN 'unknown_row' WHEN credit THEN 'credit_row'
@@ -466,7 +473,7 @@ v AS (SELECT job_id, "at", CASE WHEN NOT (term <> '' AND length(term) <= 80 AND
 
 
 def _checked(spark, d):
-    rows = table(spark, d, "documents").selectExpr("source AS job_id", "CAST(doc_id AS STRING) AS row_id", "substr(text, 1, 60) AS source", "doc_id % 13 = 0 AS is_credit", "doc_id")
+    rows = table(spark, d, "documents").selectExpr("source AS job_id", "CAST(doc_id AS STRING) AS row_id", "text AS source", "doc_id % 13 = 0 AS is_credit", "doc_id")
     term = F.expr("CASE doc_id % 5 WHEN 0 THEN 'the' WHEN 1 THEN substring_index(source, ' ', 1) WHEN 2 THEN '{x}' ELSE 'und' END")
     ref = F.expr("CASE doc_id % 7 WHEN 0 THEN array() WHEN 1 THEN array('-1') ELSE array(row_id) END").cast("array<string>")
     found = rows.select("job_id", F.col("doc_id").alias("at"), term.alias("source"), F.when(F.col("doc_id") % 6 == 0, "colour").otherwise("item").alias("category"), F.lit("x").alias("suggested_translation"), ref.alias("evidence"))

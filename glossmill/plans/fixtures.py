@@ -20,8 +20,8 @@ def quoted(text: str) -> str:
 
 
 _TABLES = ["Music", "Character", "EventStory", "Story", "Card", "StoryPart", "Gacha", "Unlisted", "CharacterGroup", "HomeTalk"]
-_SOURCE = """CASE doc_id % 7 WHEN 0 THEN substr(text, 1, 40) WHEN 1 THEN '青い鍵 ' || substr(text, 1, 30) WHEN 2 THEN '{0}個 鍵 ' || substr(text, 1, 20) WHEN 3 THEN '2030/1/2 10:00'
- WHEN 4 THEN '作詞：' || substr(lang, 1, 12) WHEN 5 THEN '鍵' || substr(text, 1, 1200) ELSE '鍵' END"""
+_SOURCE = """CASE doc_id % 7 WHEN 0 THEN text WHEN 1 THEN '青い鍵 ' || source || ' ' || lang WHEN 2 THEN '{0}個 鍵 ' || text WHEN 3 THEN '2030/1/2 10:00'
+ WHEN 4 THEN '作詞：' || lang WHEN 5 THEN '鍵' || text ELSE '鍵' END"""
 
 #: Columns of ``entries`` over documents: two thirds records, one third dialogue.
 ENTRY = [
@@ -38,10 +38,10 @@ ENTRY = [
 #: Lines with translations that break rules: id, s, t.
 LINE = [
     "doc_id AS id",
-    "'{0}' || substr(text, 1, 60) || ' 12,5' AS s",
-    """CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN '{0}' || substr(text, 1, 60) || ' 12,5' || chr(10) WHEN 2 THEN '{0}' || substr(text, 1, 60) || ' 12,5<' WHEN 3 THEN '{1}' || substr(text, 1, 60) || ' 12,5'
- WHEN 4 THEN '[{0}' || substr(text, 1, 60) || ' 12,5' WHEN 5 THEN '{0}' || substr(text, 1, 60) || ' 12,6' WHEN 6 THEN '{0}' || substr(text, 1, 60) || ' 12,5' || chr(92) || 'n' WHEN 7 THEN '{0}' || substr(text, 1, 60) || ' 12,5⟦3⟧'
- ELSE '{0}' || substr(text, 1, 60) || ' 12,5' END AS t""",
+    "'{0}' || text || ' 12,5' AS s",
+    """CASE doc_id % 9 WHEN 0 THEN '' WHEN 1 THEN '{0}' || text || ' 12,5' || chr(10) WHEN 2 THEN '{0}' || text || ' 12,5<' WHEN 3 THEN '{1}' || text || ' 12,5'
+ WHEN 4 THEN '[{0}' || text || ' 12,5' WHEN 5 THEN '{0}' || text || ' 12,6' WHEN 6 THEN '{0}' || text || ' 12,5' || chr(92) || 'n' WHEN 7 THEN '{0}' || text || ' 12,5⟦3⟧'
+ ELSE '{0}' || text || ' 12,5' END AS t""",
 ]
 
 
