@@ -37,8 +37,8 @@ from glossmill.llm.frames import pieces, text_bytes, written
 LEAST = 10  # documents of its language that a kept term stands in
 TOP = 10
 SCALE = 1_000_000_000
-SLICE = 4 << 20
-_HELD = 1_500_000  # counts that a task gathers before it sums them
+SLICE = 2 << 20
+_HELD = 700_000  # counts that a task gathers before it sums them
 _SHARD = 20_000  # kept terms
 _FEW = 10_000  # languages of which the number of shards is broadcast
 MANY = -1  # stands for LEAST documents or more
@@ -317,7 +317,7 @@ def _compared(key: tuple, terms: pa.Table, groups: pa.Table) -> pa.Table:
     return pa.table({c: pa.array([r[k] for r in rows], kind) for k, (c, kind) in enumerate((("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())))})
 
 
-def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", bucket_bytes: int = 4 << 20) -> DataFrame:
+def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", bucket_bytes: int = 1 << 20) -> DataFrame:
     """lang, source, part, item, value, rank: how far each (lang, source) is from the language's other sources
     (``pair``), and the terms that it has more of than the language (``term``, the first ``TOP``)."""
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(to) for c, to in ((text, "text"), (lang, "lang"), (source, "source"))))

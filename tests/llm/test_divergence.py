@@ -23,7 +23,7 @@ AWKWARD += [(1, None, "en", "s9"), (1, "", None, None), (None, "alpha " * 400, "
 AWKWARD += [(5, "same row repeated beta", "es", "q")] * 9 + [(5, "beta beta.", "es", "r")] * 2 + [(6, "Straße STRASSE 漢字 ÀÉ", "de", "z")] * 10
 
 
-@pytest.mark.parametrize("held, slice_bytes, shard", [(1_500_000, 4 << 20, 20_000), (40, 64, 3)])
+@pytest.mark.parametrize("held, slice_bytes, shard", [(700_000, 2 << 20, 20_000), (40, 64, 3)])
 def test_awkward_rows_as_the_sql_says(spark, monkeypatch, held, slice_bytes, shard):
     monkeypatch.setattr(divergence, "_HELD", held)
     monkeypatch.setattr(divergence, "SLICE", slice_bytes)
