@@ -231,23 +231,6 @@ def test_plans_settings_and_logs(spark, tmp_path):
     assert logs.each_file(["a", "b"], lambda p: 1 / (p == "a")) == [("a", None), ("b", "ZeroDivisionError: division by zero")]
 
 
-def test_breaker_opens_across_batches_and_stays_open(spark, tmp_path):
-    breaker = logs.Breaker(str(tmp_path / "state"), "n", 4)
-
-    def batch(*oks):
-        return spark.createDataFrame(list(enumerate(oks)), "n int, ok boolean")
-
-    breaker(batch(True, False, False), 0)
-    assert breaker.state(spark, 1) == 2
-    breaker(batch(False, True, False), 1)
-    breaker(batch(False, True, False), 1)  # run again: counts once
-    assert breaker.state(spark, 2) == 1
-    with pytest.raises(RuntimeError):
-        breaker(batch(False, False, False, True), 2)
-    with pytest.raises(RuntimeError):
-        breaker(batch(True), 3)
-
-
 def test_patient_service():
     calls, waits = [], []
 

@@ -105,10 +105,3 @@ def test_streamed_log_equals_batch(spark, tmp_path):
     query = stream.writeStream.outputMode("complete").format("memory").queryName("latest_rows").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     query.awaitTermination(120)
     assert {(r["key"], r["t"]) for r in spark.table("latest_rows").collect()} == {("a", "z"), ("b", "y")}
-
-
-def test_streamed_merge_keeps_what_is_there(spark, tmp_path):
-    insert = logs.merge_into(str(tmp_path / "held"), "key")
-    insert(spark.createDataFrame([("a", "x")], "key string, t string"), 0)
-    insert(spark.createDataFrame([("a", "y"), ("b", "z")], "key string, t string"), 1)
-    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "held")).collect()} == {("a", "x"), ("b", "z")}
