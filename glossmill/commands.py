@@ -7,6 +7,8 @@ any picklable callable of the model seam (see ``operators.model``); nothing here
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from glossmill.functions import patterns as P
 from glossmill.functions import text as T
 from glossmill.operators import batching, documents, evidence, memory, model, planning, quality, review, rounds, terms
 from glossmill.operators.quality import Violation, assert_none
+from glossmill.session import written
 from glossmill.sources import readers, sinks
 
 MEMORY = "source string, translation string"
@@ -24,6 +27,22 @@ RESULTS = f"cache_key string, job_id string, status string, n_terms long, reject
 FIELD = ["tbl", "id", "field"]
 
 
+def _refusing(inputs: tuple[str, ...], outputs: tuple[str, ...] = ()):
+    """The command with its named paths guarded: outputs may not lie within inputs, nor inputs change."""
+
+    def keep(command):
+        @wraps(command)
+        def run(*args, **named):
+            given = signature(command).bind(*args, **named).arguments
+            paths = lambda names: [given[n] for n in names if given.get(n)]
+            with readers.guarded(given["spark"], paths(inputs), paths(outputs)):
+                return command(*args, **named)
+
+        return run
+
+    return keep
+
+
 def glossary(spark: SparkSession, paths: list[str], strict: bool = False) -> DataFrame:
     """source, target of several dictionaries; later ones override, or with ``strict`` may not differ."""
     out = spark.createDataFrame([], "source string, target string")
@@ -66,16 +85,40 @@ def story_plan(spark: SparkSession, path: str, sources: str | None = None, names
 
 
 def story_translate(spark: SparkSession, path: str, service: model.Service, sources: str | None = None, names: list[str] | None = None, prefixes: list[str] | None = None, batch_rows: int = 12, max_batches: int = 0) -> DataFrame:
-    """csv, id, translation, status of every line that lacks one: in batches of its file."""
-    story_plan(spark, path, sources, names, prefixes)
-    rows = readers.story_rows(readers.dialogue(spark, path, names, prefixes)).where("trans = ''")
-    chunks = batching.fixed_chunks(rows, "csv", "at", batch_rows)
+    """csv, status, reason, done, failed, sha256 of every file: its untranslated lines are asked in batches
+    and the file is written with what came back.
+
+    Files stand for themselves: one that is broken, stale or changed meanwhile is told as such and left alone,
+    the others are written. status: rejected, complete (nothing was open), written, unwritten (no answer held), changed.
+    ``max_batches``: batches of a file that are asked, 0 for all.
+    """
+    hashes = readers.file_hashes(spark, path, "adv_*.csv")
+    rows, shapes = readers.dialogue_leniently(spark, path, names, prefixes)
+    rows = written(rows.join(hashes, "path"), "dialogue")
+    bad = shapes.unionByName(readers.story_violations(rows).groupBy("csv").agg(F.min("reason").alias("reason")))
+    if sources is not None:
+        stale = readers.stale_sources(readers.story_footer(rows), readers.file_hashes(spark, sources, "*"))
+        bad = bad.unionByName(stale.select("csv", F.lit("stale_source").alias("reason")))
+    bad = written(bad.groupBy("csv").agg(F.min("reason").alias("reason")), "rejected")
+    good = rows.join(bad.select("csv"), "csv", "left_anti")
+    open_ = readers.story_rows(good).where("trans = ''")
+    chunks = batching.fixed_chunks(open_, "csv", "at", batch_rows)
     if max_batches:
         chunks = chunks.where(F.col("chunk") < max_batches)
     keyed = chunks.select(F.concat_ws("\x1f", "csv", "id").alias("key"), F.col("text").alias("source"), F.concat_ws("/", "csv", F.col("chunk").cast("string")).alias("batch"))
     got, _ = rounds.asked(keyed, service, quality.story_line, rounds.halved(batch_rows), normalise=T.story_normalised)
     part = F.split("key", "\x1f")
-    return got.select(part[0].alias("csv"), part[1].alias("id"), "translation", "status")
+    answers = written(got.select(part[0].alias("csv"), part[1].alias("id"), F.col("translation").alias("_new"), F.col("status").alias("_status")), "answers")
+    counted = answers.groupBy("csv").agg(F.count_if(F.col("_status") == "done").alias("done"), F.count_if(F.col("_status") == "failed").alias("failed"))
+    files = good.groupBy("csv").agg(F.first("path").alias("path"), F.first("sha256").alias("_read")).join(counted, "csv", "left")
+    new = {r["path"]: r["_read"] for r in files.where("done > 0").select("path", "_read").collect()}  # a name a file
+    filled = good.join(answers.drop("_status"), ["csv", "id"], "left").withColumn("trans", F.when((F.col("trans") == "") & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col("trans")))
+    made = sinks.dialogue_files(filled.where(F.col("path").isin(*new)), new)
+    told = spark.createDataFrame([(p, s, h) for p, (s, h) in made.items()], "path string, _made string, _new_hash string")
+    status = F.when(F.col("_made").isNotNull(), F.col("_made")).when(F.coalesce("failed", F.lit(0)) > 0, "unwritten").otherwise("complete")
+    zero = F.lit(0).cast("long")
+    ready = files.join(told, "path", "left").select("csv", status.alias("status"), F.lit(None).cast("string").alias("reason"), F.coalesce("done", zero).alias("done"), F.coalesce("failed", zero).alias("failed"), F.coalesce("_new_hash", "_read").alias("sha256"))
+    return ready.unionByName(bad.select("csv", F.lit("rejected").alias("status"), "reason", zero.alias("done"), zero.alias("failed"), F.lit(None).cast("string").alias("sha256")))
 
 
 # --- records ----------------------------------------------------------------------------------------
@@ -101,6 +144,7 @@ def _record_rules(source: str, target: str) -> quality.Rules:
     return quality.record_line(source, target, F.col("may_reflow"))
 
 
+@_refusing(("source", "target"))
 def master_plan(spark: SparkSession, source: str, target: str, log: str, policy: list[terms.Term] | None = None) -> DataFrame:
     """ready, pending, total: of distinct texts, or with a policy of fields."""
     rows = _records(spark, source, target).where("source <> ''")
@@ -116,6 +160,7 @@ def master_plan(spark: SparkSession, source: str, target: str, log: str, policy:
     return counts.select((F.col("total") - F.col("pending")).alias("ready"), "pending", "total")
 
 
+@_refusing(("source", "target"), ("log",))
 def master_translate(spark: SparkSession, source: str, target: str, log: str, service: model.Service, policy: list[terms.Term] | None = None, flat: dict[str, str] | None = None, batch_rows: int = 12, max_chars: int = 1600) -> DataFrame:
     """Asks for what is pending, appends the answers to the log, and returns the filled entries.
 
@@ -156,6 +201,7 @@ def _notice_frames(spark: SparkSession, source: str, translations: str, interfac
     return texts.select("page", "source").distinct(), held, aliases
 
 
+@_refusing(("source", "translations", "interface"), ("output",))
 def notice_plan(spark: SparkSession, source: str, translations: str, interface: str | None, log: str, output: str | None = None) -> DataFrame:
     """page, source of what is pending; with ``output`` also a list by page for approval."""
     before = readers.file_hash(spark, source)
@@ -169,6 +215,7 @@ def notice_plan(spark: SparkSession, source: str, translations: str, interface:
     return open_
 
 
+@_refusing(("source", "translations", "interface", "approved"), ("log",))
 def notice_translate(spark: SparkSession, source: str, translations: str, interface: str | None, log: str, approved: str, service: model.Service, protect: bool = False) -> DataFrame:
     """Asks for approved texts, appends the answers to the log, returns page, source, translation, filled.
 
@@ -191,6 +238,7 @@ def notice_repair(spark: SparkSession, source: str, translations: str, interface
     return notice_translate(spark, source, translations, interface, log, approved, service, protect=True)
 
 
+@_refusing(("source", "translations", "initial"), ("log",))
 def notice_credit_policy(spark: SparkSession, source: str, translations: str, initial: str, log: str, policy: str, restore: bool = False) -> tuple[DataFrame, DataFrame]:
     """(actions, report): credits keep their names as they are written; new actions go to the log.
 
@@ -209,6 +257,7 @@ def notice_credit_policy(spark: SparkSession, source: str, translations: str, in
 # --- legal texts ------------------------------------------------------------------------------------
 
 
+@_refusing(("source",))
 def legal_targets(spark: SparkSession, source: str, target: DataFrame | None = None) -> DataFrame:
     """Segments of checked rules with their targets: what exists, else empty or kept."""
     rules = readers.legal_rules(spark, source)
@@ -237,6 +286,7 @@ def legal_compile(spark: SparkSession, source: str, target: DataFrame) -> DataFr
 # --- interfaces -------------------------------------------------------------------------------------
 
 
+@_refusing(("source", "target", "captures", "curated"))
 def interface_pending(spark: SparkSession, source: str, target: str, captures: str, curated: str, mode: str = "stable", reviewed: DataFrame | None = None) -> DataFrame:
     """key, source of what is pending: stable keys, curated variants of keys, or reviewed texts."""
     held = readers.interface(spark, target)

@@ -5,6 +5,9 @@ Map order and repeated keys follow the documents (the last of a repeated key win
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +63,35 @@ def dialogue(spark: SparkSession, path: str, names: list[str] | None = None, pre
     return rows
 
 
+def dialogue_leniently(spark: SparkSession, path: str, names: list[str] | None = None, prefixes: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): the rows of ``dialogue`` of files that are whole, and csv, reason of those that
+    aren't: a row of another shape, or another header. Names that don't exist are rejected as missing."""
+    if names and prefixes:
+        raise Violation("files are chosen by name or by prefix")
+    kind = f"{STORY}, _corrupt string"
+    raw = (
+        spark.read.schema(kind)
+        .options(header=False, multiLine=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", pathGlobFilter="adv_*.csv", recursiveFileLookup=True)
+        .csv(path)
+        .select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    )
+    rows = raw.withColumn("csv", _base(F.col("path")))
+    if names:
+        rows = rows.where(F.col("csv").isin(*names))
+    if prefixes:
+        rows = rows.where(F.exists(F.array(*map(F.lit, prefixes)), lambda p: F.startswith("csv", p)))
+    header = F.struct("id", "name", "text", "trans")
+    wanted = F.struct(*(F.lit(c.split()[0]).alias(c.split()[0]) for c in STORY.split(", ")))
+    files = rows.groupBy("csv").agg(F.min("at").alias("first"), F.min_by(header, "at").alias("head"), F.count_if(F.col("_corrupt").isNotNull()).alias("bad"))
+    reason = F.when(F.col("bad") > 0, "shape").when(F.col("head") != wanted, "header")
+    rejected = files.select("csv", reason.alias("reason")).where("reason IS NOT NULL")
+    if names:
+        listed = spark.createDataFrame([(n,) for n in names], "csv string")
+        rejected = rejected.unionByName(listed.join(files, "csv", "left_anti").select("csv", F.lit("missing").alias("reason")))
+    good = rows.join(files.where(reason.isNull()).select("csv", "first"), "csv").where("at > first")
+    return good.select("csv", "path", "at", *(F.coalesce(c, F.lit("")).alias(c) for c in ("id", "name", "text", "trans"))), rejected
+
+
 def story_rows(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("id").isin(*FOOTER))
 
@@ -317,6 +349,39 @@ def _ends_line(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
+def file_hashes(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """path, sha256 of the files below a folder whose names match; files are hashed where they are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.sha2("content", 256).alias("sha256"))
+
+
+def listing(spark: SparkSession, paths: list[str]) -> dict[str, tuple[int, int]]:
+    """Length and time of change of every file at or below the paths, as the file system tells them."""
+    jvm, conf, out = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf(), {}
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(conf)
+        if fs.exists(where):
+            files = fs.listFiles(where, True)
+            while files.hasNext():
+                f = files.next()
+                out[f.getPath().toString()] = (f.getLen(), f.getModificationTime())
+    return out
+
+
+@contextmanager
+def guarded(spark: SparkSession, inputs: list[str], outputs: list[str] = ()) -> Iterator[None]:
+    """What runs within refuses outputs that lie within an input, and fails if an input changed meanwhile."""
+    for path in outputs:
+        own = path.rstrip("/") + "/"
+        if any(own.startswith(i.rstrip("/") + "/") for i in inputs):
+            raise Violation(f"{path} lies within an input")
+    before = listing(spark, inputs)
+    yield
+    if listing(spark, inputs) != before:
+        raise Violation("inputs changed while they were read")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """path, sha256 of the JSON and CSV files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,csv}").load(path)

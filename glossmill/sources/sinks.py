@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from glossmill.operators import review
 from glossmill.operators.quality import Violation
-from glossmill.sources.readers import file_hash
+from glossmill.session import shared_folder
+from glossmill.sources.readers import file_hash, file_hashes
 
 
 def append_log(rows: DataFrame, path: str) -> None:
@@ -69,6 +70,35 @@ def dialogue_progress(rows: DataFrame, batch: DataFrame, path: str, source_path:
     return dialogue_file(joined.drop("_new"), path, expected_sha256)
 
 
+def dialogue_files(rows: DataFrame, held: dict[str, str]) -> dict[str, tuple[str, str | None]]:
+    """Writes whole files, each in a task, and then puts one after the other in its place; what became of each
+    path: ("written", its new hash) or ("changed", None) if it is no longer what ``held`` says was read.
+
+    rows: path, at, id, name, text, trans, footers included. Parts are staged beside nothing that exists, so
+    a file is the old one or the new one whatever happens to the others.
+    """
+    spark = rows.sparkSession
+    if not held:
+        return {}
+    staged = f"{shared_folder(spark)}/glossmill-files-{uuid.uuid4().hex}"
+    names = {path: f"f{i}" for i, path in enumerate(sorted(held))}
+    told = spark.createDataFrame(list(names.items()), "path string, _file string")
+    ordered = rows.join(told, "path").select("_file", "at", "id", "name", "text", "trans").repartition("_file").sortWithinPartitions("_file", "at").drop("at")
+    ordered.write.options(header=True, quote='"', escape='"', emptyValue="").partitionBy("_file").csv(staged)
+    folder = os.path.commonpath(list(held)) if len(held) > 1 else next(iter(held))
+    now = {r["path"]: r["sha256"] for r in file_hashes(spark, folder, "adv_*.csv").where(F.col("path").isin(*held)).collect()}
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    out, at = {}, jvm.org.apache.hadoop.fs.Path
+    fs = at(staged).getFileSystem(conf)
+    for path, name in names.items():
+        if now.get(path) != held[path]:
+            out[path] = ("changed", None)
+            continue
+        out[path] = ("written", _take_place(spark, f"{staged}/_file={name}", path, None))
+    fs.delete(at(staged), True)
+    return out
+
+
 def record_tables_json(rows: DataFrame, path: str) -> None:
     """Records as JSON lines (id, record) in a folder for each table, in their order."""
     pair = F.array_sort(F.collect_list(F.struct("seq", "field", "source")))

@@ -40,8 +40,6 @@ def story(tmp_path):
 def test_story(spark, story):
     path, texts = str(story / "d"), str(story / "txt")
     assert C.story_plan(spark, path, texts).first().asDict() == {"csv": "adv_a.csv", "translated": 1, "total": 3}
-    got = {r["id"]: (r["translation"], r["status"]) for r in C.story_translate(spark, path, echo, texts).collect()}
-    assert got == {"1:text:1": ("译進もう", "done"), "2:text:2": ("译{user}章", "done")}
     with pytest.raises(Violation):
         C.story_plan(spark, path, names=["adv_b.csv"])
     with pytest.raises(Violation):
@@ -52,6 +50,45 @@ def test_story(spark, story):
         C.story_plan(spark, path, texts)
 
 
+def test_broken_files_leave_the_others_written(spark, tmp_path):
+    body = "id,name,text,trans\n1:text:1,案内役,\"進もう, {user}\",\n2:text:2,,終,终\n"
+    for i in range(20):
+        write(tmp_path / f"txt/adv_{i}.txt", f"原文{i}")
+        write(tmp_path / f"d/adv_{i}.csv", body + f"info,adv_{i}.txt,{hashlib.sha256(f'原文{i}'.encode()).hexdigest()},\n译者,me,,\n")
+    write(tmp_path / "d/adv_3.csv", body.replace("终\n", "终,extra,more\n"))
+    write(tmp_path / "d/adv_4.csv", body.replace("id,name", "name,id"))
+    write(tmp_path / "d/adv_5.csv", body)  # no footer
+    write(tmp_path / "txt/adv_6.txt", "other")
+    path, texts = str(tmp_path / "d"), str(tmp_path / "txt")
+    got = {r["csv"]: r for r in C.story_translate(spark, path, echo, texts).collect()}
+    assert {k: r["reason"] for k, r in got.items() if r["status"] == "rejected"} == {"adv_3.csv": "shape", "adv_4.csv": "header", "adv_5.csv": "footer", "adv_6.csv": "stale_source"}
+    done = [r for r in got.values() if r["status"] == "written"]
+    assert len(done) == 16 and all((r["done"], r["failed"]) == (1, 0) and r["sha256"] == hashlib.sha256((tmp_path / "d" / r["csv"]).read_bytes()).hexdigest() for r in done)
+    assert "译進もう, {user}" in (tmp_path / "d/adv_0.csv").read_text() and (tmp_path / "d/adv_6.csv").read_text().endswith("\n译者,me,,\n") and "译" not in (tmp_path / "d/adv_3.csv").read_text()
+    again = C.story_translate(spark, path, lambda lines: 1 / 0, texts, names=["adv_0.csv", "adv_1.csv", "adv_99.csv"])
+    assert {(r["csv"], r["status"], r["reason"]) for r in again.collect()} == {("adv_0.csv", "complete", None), ("adv_1.csv", "complete", None), ("adv_99.csv", "rejected", "missing")}
+
+    def meddling(lines):
+        write(tmp_path / "e/adv_1.csv", body)
+        return {x["id"]: "" if x["id"].startswith("adv_2") else x["source"] for x in lines}
+
+    for i in range(3):
+        write(tmp_path / f"e/adv_{i}.csv", body + f"info,adv_{i}.txt,{hashlib.sha256(f'原文{i}'.encode()).hexdigest()},\n译者,me,,\n")
+    got = {r["csv"]: (r["status"], r["done"], r["failed"]) for r in C.story_translate(spark, str(tmp_path / "e"), meddling).collect()}
+    assert got == {"adv_0.csv": ("written", 1, 0), "adv_1.csv": ("changed", 1, 0), "adv_2.csv": ("unwritten", 0, 1)}
+    assert (tmp_path / "e/adv_1.csv").read_text() == body
+
+
+def test_inputs_are_guarded(spark, tmp_path):
+    write(tmp_path / "in/a.json", "{}")
+    with readers.guarded(spark, [str(tmp_path / "in")], [str(tmp_path / "out")]):
+        write(tmp_path / "out/x", "")
+    with pytest.raises(Violation), readers.guarded(spark, [str(tmp_path / "in")]):
+        write(tmp_path / "in/b.json", "{}")
+    with pytest.raises(Violation), readers.guarded(spark, [str(tmp_path / "in")], [str(tmp_path / "in/c")]):
+        raise AssertionError
+
+
 def test_dialogue_file_is_replaced_as_one(spark, story):
     file, source = str(story / "d/adv_a.csv"), str(story / "txt/adv_a.txt")
     held = readers.file_hash(spark, file)
