@@ -47,15 +47,23 @@ def _rest(docs: DataFrame, *own: str) -> tuple[str, ...]:
     return tuple(c for c in docs.columns if c not in own)
 
 
+#: A language is told if its score exceeds what n languages have by chance, 1 / n, by this factor.
+ABOVE_CHANCE = 1.05
+
+
 @_keeps_columns
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents in which no language can be told go.
 
-    Those are texts that are null, empty or without a letter. A text of any length is read whole;
-    equal scores go to the language that sorts first; repeated rows stay or go together.
+    Those are texts that are null, empty or without a letter, and texts whose best language scores
+    no more than ``ABOVE_CHANCE`` times what chance gives it; with a single language there is no chance
+    to exceed. A text of any length is read whole; equal scores go to the language that sorts first;
+    repeated rows stay or go together.
     """
     found = identify(docs, carry=_rest(docs, "doc_id"))
-    return found.where(F.col("lang_pred") != UNKNOWN)
+    n = docs.agg(F.count_distinct("lang").alias("n")).first()["n"]
+    told = F.col("lang_pred") != UNKNOWN
+    return found.where(told & (F.col("score") > ABOVE_CHANCE / n) if n > 1 else told)
 
 
 @_keeps_columns

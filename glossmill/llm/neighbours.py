@@ -17,8 +17,8 @@ the k-th found, and the shard once norms are too short for any. The shards' list
 
 Edge cases: null, zero or non-finite vectors take no part as query or candidate; a query's
 candidates are the vectors of its own length; fewer candidates than k give all; ties go to the
-smaller id; rows of one id and one vector count once, and of an id with several vectors the one that
-sorts first; rows without an id are left out. An empty table gives no rows.
+smaller id; equal rows (id and vector) count once; rows of one id with different vectors are rows of
+their own, as queries and as candidates, also of each other; rows without an id are left out. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -193,7 +193,7 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k candidates of largest inner product found.
 
-    ``queries`` has the same columns as ``table``; a query's own id is no candidate of it. With
+    ``queries`` has the same columns as ``table``; a query's own row is no candidate of it. With
     ``report`` also ``verified``: how many classes of equal vectors were verified for the query.
     """
     rows, asked = rows_of(table, vec_id, vector), rows_of(queries, vec_id, vector)
@@ -207,10 +207,10 @@ def nearest(
 
 def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: int, confidence: float, shard_rows: int, norm_ratio: float, query_rows: int, step: int, seed: int, report: bool) -> DataFrame:
     few = k + 1
-    ids = rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= few)
+    ids = rows.dropDuplicates(["vec_id", "v"]).withColumn("at", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("at") <= few)
     classes = cut(ids.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # at most k + 1 each
     n_shards = pieces(classes.count(), max(_BOX, min(shard_rows, SHARD_BYTES // (8 * d))))
-    single = cut(asked.groupBy("vec_id").agg(F.min("v").alias("v")))
+    single = cut(asked.dropDuplicates(["vec_id", "v"]))
     kinds = single.groupBy("v").agg(F.min("vec_id").alias("query"))
     n_blocks = pieces(kinds.count(), query_rows)
     stable = np.random.default_rng(seed).standard_normal((d + 1, directions))
@@ -230,7 +230,7 @@ def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: in
     right = kinds.select(F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), block.alias("block"), "query", "v")
 
     def search(built: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
         if built.num_rows and wanted.num_rows:
             built = built.append_column("least", pc.list_element(built["ids"], 0)).sort_by([("box", "ascending"), ("least", "ascending")]).combine_chunks()
             members = built["ids"].combine_chunks()
@@ -242,23 +242,25 @@ def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: in
             for q, query, size, shadow in zip(wanted["query"].to_pylist(), asked, sizes.tolist(), shadows):
                 found, scores, verified = shard.search(query, shadow, size, few, beyond, step)
                 first = np.lexsort((shard.ids[shard.bounds[found]], -scores))[:few]
-                best = sorted((-scores[i], v) for i in first.tolist() for v in shard.ids[shard.bounds[found[i]] : shard.bounds[found[i] + 1]].tolist())[:few]
+                equal = (shard.vectors[found] == query).all(axis=1)
+                best = sorted((-scores[i], v, bool(equal[i])) for i in first.tolist() for v in shard.ids[shard.bounds[found[i]] : shard.bounds[found[i] + 1]].tolist())[:few]
                 out[0] += [q] * len(best)
-                out[1] += [v for _, v in best]
-                out[2] += [-s for s, _ in best]
+                out[1] += [v for _, v, _ in best]
+                out[2] += [-s for s, _, _ in best]
+                out[4] += [e for _, _, e in best]
                 out[3] += [verified] + [0] * (len(best) - 1)
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
-        return pa.table({name: pa.array(x, t) for name, x, t in zip(("query", "vec_id", "score", "verified"), out, kinds)})
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.bool_())
+        return pa.table({name: pa.array(x, t) for name, x, t in zip(("query", "vec_id", "score", "verified", "equal"), out, kinds)})
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(search, "query long, vec_id long, score double, verified long")
+    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(search, "query long, vec_id long, score double, verified long, equal boolean")
     # The k + 1 best of each distinct query, so that every row of it can leave itself out.
     ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
-    best = found.select("query", "vec_id", "score").withColumn("at", ranked).where(F.col("at") <= few)
-    merged = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id"))).alias("best"))
+    best = found.select("query", "vec_id", "score", "equal").withColumn("at", ranked).where(F.col("at") <= few)
+    merged = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("away"), "vec_id", "equal"))).alias("best"))
     if report:
         merged = merged.join(found.groupBy("query").agg(F.sum("verified").alias("verified")), "query")
     everyone = single.select(F.col("vec_id").alias("query_id"), "v").join(kinds, "v").select("query_id", "query")
-    kept = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    kept = F.slice(F.filter("best", lambda x: ~(x["equal"] & (x["vec_id"] == F.col("query_id")))), 1, k)
     listed = everyone.join(merged, "query").withColumn("best", kept)
     also = ["verified"] if report else []
     return listed.select("query_id", *also, F.posexplode("best").alias("at", "x")).select(
@@ -276,11 +278,13 @@ WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL
 ), u AS (
   SELECT vec_id, e FROM v WHERE list_dot_product(e, e) > 0 AND isfinite(list_dot_product(e, e)) AND list_count(e) = len(e)
+), w AS (
+  SELECT DISTINCT vec_id, e FROM u
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e) AS score
-  FROM u q JOIN u c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.vec_id AS query_id, q.e AS qe, c.vec_id, list_dot_product(q.e, c.e) AS score
+  FROM w q JOIN w c ON (q.vec_id, q.e) <> (c.vec_id, c.e) WHERE q.vec_id % 20 = 0
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+  SELECT *, row_number() OVER (PARTITION BY query_id, qe ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
 """

@@ -67,13 +67,18 @@ _FAMILY = {
     "latin": "Abel Becker Carson Dalton Egger Farrow Gibson Hartley Ibsen Jarvis Keller Lawson Marlow Norton Osborn Palmer Quincy Ramsey Sawyer Thorne Ulrich Vernon Walker Yates Zeller".split(),
     "cyrillic": "Белов Громов Зайцев Киселёв Лебедев Морозов Новиков Орлов Павлов Соколов Тихонов Шубин".split(),
 }
-_WELL_KNOWN = (
-    "Alexander Amanda Amy Andrew Angela Anthony Barbara Benjamin Betty Brian Carlos Carmen Carolyn Catherine Charles Christine Christopher Cynthia Daniel"
-    " Deborah Dennis Donald Donna Dorothy Edward Elizabeth Emily Emma Eric Gary George Gregory Hans James Janet Jason Jeffrey Jennifer Jessica John Jonathan"
-    " Joseph Joshua José Juan Jürgen Karen Katherine Kathleen Kenneth Kevin Kimberly Klaus Larry Linda Lisa Luis Margaret Marie Mary Matthew Melissa Michael"
-    " Michelle Monika Nancy Nicholas Nicole Pamela Patricia Patrick Paul Petra Pierre Rachel Raymond Rebecca Richard Ronald Ryan Sabine Samantha Samuel Sandra"
-    " Sarah Scott Sharon Shirley Sophie Stefan Stephanie Stephen Steven Susan Thomas Timothy Ursula William Wolfgang"
-).split()
+_WELL_KNOWN = {
+    "f": (
+        "Amanda Amy Angela Barbara Betty Carmen Carolyn Catherine Christine Cynthia Deborah Donna Dorothy Elizabeth Emily Emma Janet Jennifer Jessica Karen"
+        " Katherine Kathleen Kimberly Linda Lisa Margaret Marie Mary Melissa Michelle Monika Nancy Nicole Pamela Patricia Petra Rachel Rebecca Sabine Samantha"
+        " Sandra Sarah Sharon Shirley Sophie Stephanie Susan Ursula"
+    ).split(),
+    "m": (
+        "Alexander Andrew Anthony Benjamin Brian Carlos Charles Christopher Daniel Dennis Donald Edward Eric Gary George Gregory Hans James Jason Jeffrey"
+        " John Jonathan Joseph Joshua José Juan Jürgen Kenneth Kevin Klaus Larry Luis Matthew Michael Nicholas Patrick Paul Pierre Raymond Richard Ronald Ryan"
+        " Samuel Scott Stefan Stephen Steven Thomas Timothy William Wolfgang"
+    ).split(),
+}
 _COMMON = set(
     "baker banks bell best bishop black brown bush butler church cook day field fields fisher fox grace green grey gray hall hill hope hunt hunter king knight lake lane"
     " law little long love marsh mason may miller moon moore new north page park parker pope price rice rich rivers rose sharp short small snow stone summer taylor"
@@ -81,11 +86,25 @@ _COMMON = set(
 )
 _NOT_FAMILY = set("the a an and or of in on at to for with from is was are der die das und le la les el los las et y".split())
 
+SALTS = 16
+
 _GENDER = {form: g for g, ts in _TITLES.items() for t in ts.split("|") for form in (t, t.upper())}
-_WORD = r"[^\W\d_a-zß-öø-ÿ][^\W\d_]+(?:[-'’][^\W\d_]+)?"
+# The s of a possessive is no part of a name.
+_WORD = r"(?:[OD]['’])?[^\W\d_a-zß-öø-ÿ][^\W\d_]+(?:[-'’](?![sS]\b)[^\W\d_]+)?"
 _TITLED = re.compile(rf"(?:{'|'.join(sorted(_GENDER, key=len, reverse=True))})\b\.?\s{{1,3}}(?P<person>{_WORD}(?:[\u00a0 ]{_WORD}){{0,2}})")
-_KNOWN_GIVEN = frozenset(w.casefold() for ws in (*_GIVEN.values(), _WELL_KNOWN) for w in ws)
-_UNTITLED = re.compile(rf"(?P<given>{'|'.join(sorted({*_WELL_KNOWN, *(w for ws in _GIVEN.values() for w in ws)}, key=lambda w: (-len(w), w)))})[\u00a0 ](?P<family>{_WORD})")
+
+
+def _folded(word: str) -> str:
+    """A name without case and, in Latin script, without accents."""
+    plain = unicodedata.normalize("NFKD", word)
+    return ("".join(c for c in plain if not unicodedata.combining(c)) if plain[:1].isascii() else word).casefold()
+
+
+_LISTED = {g: {*_WELL_KNOWN[g], *_GIVEN["latin", g], *_GIVEN["cyrillic", g]} for g in "fm"}
+_GENDER_OF = {_folded(w): g for g, ws in _LISTED.items() for w in ws}
+_KNOWN_GIVEN = frozenset(_GENDER_OF)
+_FORMS = {form for ws in _LISTED.values() for w in ws for form in (w, "".join(c for c in unicodedata.normalize("NFKD", w) if not unicodedata.combining(c)) if w[0].isascii() else w)}
+_UNTITLED = re.compile(rf"(?P<given>{'|'.join(sorted(_FORMS, key=lambda w: (-len(w), w)))})[\u00a0 ](?P<family>{_WORD})")
 _HAN_TITLED = re.compile(rf"(?P<name>[{_HAN_FAMILY}][一-鿿]{{0,2}}?)(?P<title>{'|'.join(_HAN_TITLES.values())})")
 _SECRET = re.compile(r"sk-[A-Za-z0-9]{20,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|(?=[0-9A-Fa-f]*[A-Fa-f])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])")
 _IBAN = re.compile(r"[A-Z][A-Z](?<![0-9A-Za-z]..)\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")
@@ -134,12 +153,16 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+#: Before four numbers that are no address.
+_VERSION = re.compile(r"(?i)(?<![a-z])(?:v|ver|versions?|release|build|rev)[. ]{0,2}\Z")
+
+
 def _left_is_free(text: str, kind: str, a: int) -> bool:
     before = text[a - 1 : a]
     if not before:
         return True
     if kind == "ip":
-        return not (before.isdigit() or before == ".")
+        return not (before.isdigit() or before == "." or _VERSION.search(text, max(0, a - 12), a))
     if kind in ("card", "ssn"):
         return not (before.isdigit() or before == "-")
     return not (before.isalnum() or before in "_+(.-")
@@ -208,14 +231,14 @@ def _person(text: str, a: int, b: int, shouted: bool) -> list[tuple[int, int, st
             break
         words.append((a + m.start(), a + m.end()))
     if shouted:  # the rest may be capitals as well, and no name
-        words = words[: 2 if len(words) > 1 and text[slice(*words[0])].casefold() in _KNOWN_GIVEN else 1]
+        words = words[: 2 if len(words) > 1 and _folded(text[slice(*words[0])]) in _KNOWN_GIVEN else 1]
     return [(x, y, f"{'family' if i == len(words) - 1 else 'given'}:{_script(text[x:y])}") for i, (x, y) in enumerate(words)]
 
 
 def spans(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, gender) of what is replaced in a text, in order and without overlaps.
 
-    gender: f or m where a title tells, else ''.
+    gender: f or m where a title tells, or a well-known given name, else ''.
     """
     if not text:
         return []
@@ -252,7 +275,7 @@ def spans(text: str | None) -> list[tuple[int, int, str, str]]:
             elif m["family"].casefold() in _NOT_FAMILY or m["family"][0].islower():
                 continue
             else:
-                parts = [(*m.span("given"), f"given:{_script(m['given'])}", ""), (*m.span("family"), f"family:{_script(m['family'])}", "")]
+                parts = [(*m.span("given"), f"given:{_script(m['given'])}", _GENDER_OF[_folded(m["given"])]), (*m.span("family"), f"family:{_script(m['family'])}", "")]
             take(parts)
             names |= {text[a:b]: kind for a, b, kind, _ in parts}
     for m in _HAN_TITLED.finditer(text) if "先" in text or "女" in text or "小" in text or "太" in text else ():
@@ -277,7 +300,7 @@ def spans(text: str | None) -> list[tuple[int, int, str, str]]:
 def normal(kind: str, text: str) -> str:
     """What all mentions of one value have in common."""
     if kind.startswith(("given", "family", "full")):
-        word = text.casefold()
+        word = _folded(text)
         return word[:-1] if kind == "family:cyrillic" and word.endswith(("ова", "ева", "ёва", "ина", "ына")) else word
     if kind in ("card", "ssn"):
         return re.sub(r"\D", "", text)
@@ -433,7 +456,8 @@ def surrogate(kind: str, who: str, shape: str, gender: str, attempt: int, key: b
         return f"{shape[:2]}{check:02d}{account}"
     if kind == "phone":
         country, n, at = shape.split(":")
-        digits = country + draw.digits(int(n) - len(country))
+        # A number within a country begins with one zero: two would begin one of another country.
+        digits = country + draw.digits(int(n) - len(country)) if country != "0" else f"0{1 + draw.below(9)}{draw.digits(int(n) - 2)}"
         return digits if at == "-1" or wide else digits[: int(at)] + "555" + digits[int(at) + 3 :]  # 555 is set aside for fiction
     if kind == "ssn":
         return draw.digits(int(shape))
@@ -556,7 +580,9 @@ def surrogates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key:
     gender = F.when(F.bool_or("f") & ~F.bool_or("m"), "f").when(F.bool_or("m") & ~F.bool_or("f"), "m").otherwise("")
     taken = cut(each.groupBy("kind", "who").agg(F.min("shape").alias("shape"), gender.alias("gender")))
     known = assignments(taken, key).where("attempt > 0 OR gender <> ''")
-    listed = each.join(known, ["kind", "who"]).groupBy("at", "check").agg(F.collect_list(F.struct("kind", "who", "attempt", "gender")).alias("known"))
+    # One entity may stand in a third of the texts: its mentions are dealt to SALTS keys.
+    spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    listed = each.withColumn("salt", F.pmod("at", F.lit(SALTS)).cast("int")).join(spread, ["kind", "who", "salt"]).groupBy("at", "check").agg(F.collect_list(F.struct("kind", "who", "attempt", "gender")).alias("known"))
     work = found.select("at", "check", "places").join(listed, ["at", "check"], "left")
 
     names = docs.columns

@@ -294,3 +294,48 @@ def test_automata_against_expansion():
     for text, hit in [("x z", False), ("x q z", True), ("x y q z", True), ("x y q q z", True), ("x q q q z", True), ("a x y z", True), ("x q q q q z", False), ("q z x", False)]:
         want = bool(re.search(r"\bx( y)?( \S+){1,2} z\b", text))
         assert a.accepts(text.encode().split()) is want
+
+
+def _swapped(*texts):
+    from glossmill.llm import surrogates as S
+
+    return [S.replaced(t, {}, b"fixed")[0] for t in texts]
+
+
+def test_possessives_keep_their_s_and_the_family_name_goes_everywhere():
+    from glossmill.llm import surrogates as S
+
+    whole, titled, curly = _swapped("John Smith's dog; Smith barked.", "Mr John Smith", "MR JOHN SMITH’S dog and O'Brien")
+    given, family = titled.split()[1:]
+    assert whole == f"{given} {family}'s dog; {family} barked."
+    assert S.spans("Mary O'Brien's cat")[1][:2] == (5, 12)
+    assert "Smith" not in whole and "SMITH" not in curly
+
+
+def test_surrogates_have_the_gender_of_well_known_names():
+    from glossmill.llm import surrogates as S
+
+    for i, key in enumerate((b"a", b"b", b"c", b"d", b"e")):
+        new = S.replaced("John Smith met Mary Jones and Ирина Белова", {}, key)[0].split()
+        assert new[0] in S._GIVEN["latin", "m"] and new[3] in S._GIVEN["latin", "f"] and new[6] in S._GIVEN["cyrillic", "f"], (i, new)
+
+
+def test_accents_numbers_at_home_and_versions():
+    from glossmill.llm import surrogates as S
+
+    with_accent, without = _swapped("José García", "Jose Garcia")
+    assert with_accent == without and "Garc" not in without
+    for key in range(60):
+        new = S.replaced("0171 2345678", {}, bytes([key]))[0]
+        assert new[0] == "0" and new[1] != "0" and S.spans(new)[0][2] == "phone" and S.normal("phone", new).startswith("0")
+    assert _swapped("version 1.2.3.4, v1.2.3.4 and release 10.0.0.1") == ["version 1.2.3.4, v1.2.3.4 and release 10.0.0.1"]
+    assert S.entities("host 1.2.3.4") == [("ip", "1.2.3.4")]
+
+
+def test_an_entity_that_stands_everywhere_gets_one_surrogate(spark):
+    from glossmill.llm import surrogates as S
+
+    docs = spark.createDataFrame([(i, f"Mary Jones wrote {i}; Jones's") for i in range(300)], "doc_id long, text string")
+    rows = S.surrogates(docs, key=b"fixed").collect()
+    names = {tuple(r["text"].split()[:2]) for r in rows}
+    assert len(names) == 1 and all(r["n_replaced"] == 3 and "Jones" not in r["text"] for r in rows) and next(iter(names))[0] in S._GIVEN["latin", "f"]

@@ -146,3 +146,12 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert forest.near_duplicates(empty).isEmpty()
     assert neighbours.nearest(empty, empty).isEmpty()
+
+
+def test_rows_of_one_id_with_different_vectors_are_candidates_each(spark):
+    rows = [(20, [1.0, 0.0]), (1, [0.2, 0.0]), (1, [0.9, 0.1]), (1, [0.9, 0.1]), (3, [0.5, 0.0]), (20, [0.4, 0.4])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, frame.where("vec_id = 20 AND embedding[0] = 1")).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 0.9), (2, 3, 0.5), (3, 20, 0.4), (4, 1, 0.2)]
+    both = neighbours.nearest(frame, frame.where("vec_id = 20"), k=2).collect()
+    assert sorted((r["rank"], r["vec_id"]) for r in both) == [(1, 1), (1, 1), (2, 3), (2, 20)]
