@@ -211,7 +211,7 @@ def _of_length(rows: DataFrame, asked: DataFrame, d: int, k: int, directions: in
     classes = cut(ids.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))  # at most k + 1 each
     n_shards = pieces(classes.count(), max(_BOX, min(shard_rows, SHARD_BYTES // (8 * d))))
     single = cut(asked.dropDuplicates(["vec_id", "v"]))
-    kinds = single.groupBy("v").agg(F.min("vec_id").alias("query"))
+    kinds = cut(single.select("v").distinct().withColumn("query", F.monotonically_increasing_id()))  # numbers of one run
     n_blocks = pieces(kinds.count(), query_rows)
     stable = np.random.default_rng(seed).standard_normal((d + 1, directions))
     beyond = chi_square_at(confidence, directions)
