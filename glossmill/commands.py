@@ -347,11 +347,50 @@ def semantic_plan(entries: DataFrame, tables: list[str] | None = None, prefixes:
     return planning.jobs(heads), aliases, planning.coverage(rows)
 
 
+PLAN = "job_id string, stratum string, lane string, rows array<struct<id:string,source:string,field:string>>, repair_of string"
+
+
+def semantic_plan_written(jobs: DataFrame, path: str, selection: dict | None = None, parent: dict | None = None) -> dict:
+    """Writes a plan with its header, which names its jobs' hash and, of a part, its parent's; returns it."""
+    spark = jobs.sparkSession
+    jobs = written(spark.createDataFrame([], PLAN).unionByName(jobs, allowMissingColumns=True), "plan")
+    counts = planning.counted(jobs)
+    header = {"schema_version": 1, "kind": "plan", "jobs_sha256": planning.plan_sha256(jobs), "selection": {**((parent or {}).get("selection") or {}), **(selection or {})}, "coverage": counts}
+    if parent:
+        header["parent_sha256"] = parent["jobs_sha256"]
+        header["coverage"]["parent_jobs"] = parent["coverage"]["jobs"]
+    sinks.plan_jobs(jobs, path, header)
+    return header
+
+
+@_refusing(("path",), ("output",))
+def semantic_slice(spark: SparkSession, path: str, output: str, tables: tuple[str, ...] = (), prefixes: tuple[str, ...] = (), mode: str = "none") -> dict:
+    """Whole jobs of a plan that a slice takes in, with their ids, as a plan of its own; returns its header."""
+    parent, jobs = readers.plan(spark, path, PLAN)
+    kept = jobs.where(planning.chosen(tuple(tables), tuple(prefixes), mode))
+    if kept.isEmpty():
+        raise Violation("the slice holds no job")
+    return semantic_plan_written(kept, output, {"tables": list(tables), "prefixes": list(prefixes), "mode": mode}, parent)
+
+
+@_refusing(("path", "log"), ("output",))
+def semantic_repair(spark: SparkSession, path: str, log: str, output: str, prompt_hash: str, name: str, status: str = "empty", scope: str = "all", max_rows: int = 4) -> dict:
+    """Smaller jobs for the empty or partial results of a plan, as a plan of its own; returns its header."""
+    parent, jobs = readers.plan(spark, path, PLAN)
+    keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name, repair_of=F.col("repair_of")))
+    held = _log(spark, log, RESULTS).join(keyed.select("cache_key", F.col("job_id").alias("planned")), "cache_key").where("job_id = planned")
+    results = held.select("job_id", F.coalesce("status", F.lit("complete")).alias("status"), F.size("terms").cast("long").alias("n_terms"), "seq")
+    made = planning.repairs(jobs, results, status, scope, max_rows)
+    chosen = {"repair_status": status, "repair_scope": scope, "repair_max_rows": max_rows}
+    header = semantic_plan_written(made.withColumn("lane", F.lit("repair")).drop("start"), output, chosen, parent)
+    return header
+
+
 def semantic_extract(jobs: DataFrame, log: str, ask: Callable, prompt_hash: str, name: str) -> DataFrame:
     """Jobs that the log holds no complete result for, asked in rounds under the strict rules of evidence;
     their results go to the log, whose latest row of each job is returned."""
     spark = jobs.sparkSession
-    keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name))
+    keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name, repair_of=F.col("repair_of") if "repair_of" in jobs.columns else None))
     held = _log(spark, log, RESULTS)
     done = evidence.latest_complete(held).select("cache_key")
     open_ = keyed.join(done, "cache_key", "left_anti")
@@ -363,7 +402,7 @@ def semantic_extract(jobs: DataFrame, log: str, ask: Callable, prompt_hash: str,
 
 def semantic_review(jobs: DataFrame, log: str, prompt_hash: str, name: str, names: DataFrame, glossary_terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(candidates, unverified rows) of the complete results of a plan; results must agree on their jobs."""
-    keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name))
+    keyed = jobs.withColumn("cache_key", planning.cache_key(prompt_hash, name, repair_of=F.col("repair_of") if "repair_of" in jobs.columns else None))
     held = _log(jobs.sparkSession, log, RESULTS)
     complete = evidence.latest_complete(held)
     assert_none(evidence.disagreeing_jobs(keyed, complete), "results of other jobs")

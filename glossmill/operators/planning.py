@@ -210,6 +210,62 @@ def to_repair(plan: DataFrame, log: DataFrame, statuses: tuple[str, ...] = ("emp
     return plan.join(latest.where(state.isin(*statuses)).select("job_id"), "job_id", "left_semi")
 
 
+def plan_sha256(jobs: DataFrame) -> str:
+    """What identifies a plan, whatever the order of its jobs: a hash of hashes of its jobs' contents, in
+    two levels, so that no task sees more than a share of them."""
+    names = sorted(jobs.columns)
+    each = jobs.select(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256).alias("h"))
+    shares = each.groupBy(F.substring("h", 1, 3).alias("share")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
+    whole = shares.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("share", "h"))), lambda x: x["h"]), ""), 256).alias("h"))  # 4096 at most
+    return whole.first()["h"]
+
+
+def chosen(tables: tuple[str, ...] = (), prefixes: tuple[str, ...] = (), mode: str = "none") -> Column:
+    """Whether a job is of a story with one of the prefixes, or of a table that is named or that
+    the mode takes in (all, narrative, independent)."""
+    if mode not in ("none", "all", "narrative", "independent"):
+        raise Violation(f"no such mode: {mode}")
+    if not tables and not prefixes and mode == "none":
+        raise Violation("a slice needs tables, prefixes or a mode")
+    table = F.regexp_extract("stratum", "^master:(.*)$", 1)
+    told = table.isin(*NARRATIVE_PHASE)
+    of_mode = {"none": F.lit(False), "all": F.lit(True), "narrative": told, "independent": ~told}[mode]
+    keep = F.col("stratum").startswith("master:") & (table.isin(*tables) | of_mode)
+    for prefix in prefixes:
+        keep = keep | F.col("stratum").startswith(f"story:{prefix}")
+    return keep
+
+
+def short_or_entity() -> Column:
+    """Whether a job has a short line of a story or a field that names something. rows: id, source, field."""
+    short = F.col("stratum").startswith("story:") & F.exists("rows", lambda r: F.length(T.trimmed(r["source"])) < 8)
+    return short | F.col("stratum").startswith("master:") & F.exists("rows", lambda r: F.coalesce(r["field"].rlike(P.ENTITY_FIELD), F.lit(False)))
+
+
+def repairs(plan: DataFrame, log: DataFrame, status: str = "empty", scope: str = "all", max_rows: int = 4) -> DataFrame:
+    """Jobs of at most max_rows rows made of those whose latest result is empty or partial: stratum, rows,
+    repair_of, start (their first row's place there), job_id.
+
+    plan: job_id, stratum, rows; log: job_id, status, n_terms, seq. scope: all, or short-and-entity.
+    """
+    if not 1 <= max_rows <= 8 or status not in ("empty", "partial") or scope not in ("all", "short-and-entity"):
+        raise Violation("repairs take 1 to 8 rows, of empty or partial results, of all or of short-and-entity jobs")
+    broken = to_repair(plan, log, (status,))
+    if scope == "short-and-entity":
+        broken = broken.where(short_or_entity())
+    starts = F.sequence(F.lit(0), F.greatest(F.size("rows") - 1, F.lit(0)), F.lit(max_rows))
+    parts = broken.select(F.col("job_id").alias("repair_of"), "stratum", F.explode(starts).alias("start"), "rows")
+    parts = parts.withColumn("rows", F.slice("rows", F.col("start") + 1, F.lit(max_rows)))
+    group = F.concat_ws(":", "stratum", F.lit("repair"), "repair_of", F.col("start").cast("string"))
+    return parts.withColumn("job_id", T.short_id(group=group, rows="rows"))
+
+
+def counted(jobs: DataFrame) -> dict:
+    """Jobs and rows of a plan, by stratum; there are as many strata as tables and stories."""
+    found = jobs.groupBy("stratum").agg(F.count(F.lit(1)).alias("jobs"), F.sum(F.size("rows")).alias("rows")).collect()
+    return {"jobs": sum(r["jobs"] for r in found), "rows": sum(r["rows"] for r in found), "by_stratum": {r["stratum"]: r["jobs"] for r in sorted(found)}}
+
+
 def unverified(plan: DataFrame, log: DataFrame) -> DataFrame:
     """(job_id, row id, source) of jobs without a complete result."""
     done = log.where("coalesce(status, 'complete') <> 'partial'").select("job_id").distinct()

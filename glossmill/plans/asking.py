@@ -6,9 +6,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from glossmill.operators import batching, quality, rounds
+from glossmill.operators import batching, planning, quality, rounds
+from glossmill.plans import corpora
 from glossmill.plans.register import query
 from glossmill.session import table
+from glossmill.sources import readers
 
 _WORD = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z]{2,20}(?![A-Za-z0-9_])")
 
@@ -67,3 +69,38 @@ def extraction_rounds(spark, d):
     got = rounds.extracted(jobs, _proposing)
     absent = F.sum(F.coalesce(F.try_element_at("reject_reasons", F.lit("source_absent")), F.lit(0)))
     return got.groupBy("status", "rounds").agg(F.count(F.lit(1)).alias("jobs"), F.sum(F.size("terms")).alias("terms"), absent.alias("source_absent"))
+
+
+# --- repairs, slices, rejections -------------------------------------------------------------------
+
+
+@query(f"""WITH {corpora._JOBBED}, l AS ({corpora._LOG}), m AS (SELECT job_id, arg_max(status, seq) AS status, arg_max(n_terms, seq) AS n FROM l GROUP BY job_id),
+p AS (SELECT job_id, doc_id, (row_number() OVER (PARTITION BY job_id ORDER BY doc_id) - 1) // 3 * 3 AS start FROM j JOIN m USING (job_id) WHERE m.status <> 'partial' AND m.n = 0)
+SELECT job_id AS repair_of, CAST(start AS INTEGER) AS start, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS ids FROM p GROUP BY ALL""")
+def repair_jobs(spark, d):
+    """Jobs with an empty result as smaller ones of three rows."""
+    plan = corpora._plan(spark, d).withColumn("rows", F.transform("rows", lambda r: F.struct(r["id"].cast("string").alias("id"), r["source"].alias("source"))))
+    made = planning.repairs(plan, corpora._log(spark, d), "empty", max_rows=3)
+    return made.select("repair_of", "start", F.array_join(F.transform("rows", lambda r: r["id"]), ",").alias("ids"))
+
+
+@query(f"""WITH {corpora._JOBBED}, p AS ({corpora._PLAN}) SELECT stratum, CAST(count(*) AS BIGINT) AS jobs FROM p
+WHERE stratum IN ('master:Music', 'master:Story') OR starts_with(stratum, 'story:adv_e') OR starts_with(stratum, 'story:adv_f') GROUP BY stratum""")
+def slice_by_stratum(spark, d):
+    """Jobs of a slice of narrative tables, a named one and two prefixes, by stratum."""
+    kept = corpora._plan(spark, d).where(planning.chosen(("Music",), ("adv_e", "adv_f"), "narrative"))
+    return kept.groupBy("stratum").agg(F.count(F.lit(1)).alias("jobs"))
+
+
+_TABLE = """'{"props": ' || props || ', "kind": {"name": "' || event_type || '", "user": "' || CAST(user_id AS STRING) || '"}' || CASE event_id % 5 WHEN 0 THEN ', "list": [1, 2]' WHEN 1 THEN ', "none": null' ELSE '' END || CASE WHEN event_id % 7 = 0 THEN '' ELSE '}' END"""
+
+
+@query(f"""WITH t AS (SELECT event_id, CASE WHEN event_id % 11 = 3 THEN '[1]' ELSE {_TABLE.replace('STRING', 'VARCHAR')} END AS v FROM events), g AS (SELECT event_id, v FROM t WHERE json_valid(v)),
+r AS (SELECT event_id, key AS id, value AS rec, type FROM (SELECT event_id, unnest(json_keys(v)) AS key, v FROM g WHERE json_type(v) = 'OBJECT') k, LATERAL (SELECT json_extract(k.v, '$.' || k.key) AS value, json_type(json_extract(k.v, '$.' || k.key)) AS type)),
+f AS (SELECT event_id, id, field, json_type(json_extract(rec, '$.' || field)) AS type FROM (SELECT event_id, id, rec, unnest(json_keys(rec)) AS field FROM r WHERE type = 'OBJECT'))
+SELECT event_id, NULL AS id, NULL AS field, 'malformed' AS reason FROM t WHERE NOT json_valid(v) UNION ALL SELECT event_id, NULL, NULL, 'not_a_table' FROM g WHERE json_type(v) <> 'OBJECT'
+UNION ALL SELECT event_id, id, NULL, 'not_a_record' FROM r WHERE type <> 'OBJECT' UNION ALL SELECT event_id, id, field, 'not_text' FROM f WHERE type <> 'VARCHAR'""")
+def rejected_records(spark, d):
+    """Events as JSON tables of records, some broken: what of each is no text in a record in a table."""
+    rows = table(spark, d, "events").selectExpr("event_id", f"CASE WHEN event_id % 11 = 3 THEN '[1]' ELSE {_TABLE} END AS value")
+    return readers.rejected_records(rows, "event_id")

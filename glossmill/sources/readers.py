@@ -5,6 +5,7 @@ Map order and repeated keys follow the documents (the last of a repeated key win
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -159,6 +160,42 @@ def record_tables(spark: SparkSession, path: str) -> DataFrame:
     return fields.groupBy("tbl", "id", "field").agg(F.max_by("source", "f").alias("source"), F.first("record").alias("record"), F.min(seq).alias("seq"))
 
 
+def rejected_records(documents: DataFrame, key: str, text: str = "value") -> DataFrame:
+    """key, id, field, reason of what is no table of records in JSON texts: malformed (the text itself),
+    not_a_table, not_a_record (of an id), not_text (of its field). A text without rejections gives no row."""
+    spark = documents.sparkSession
+    parsed = documents.select(F.col(key).alias("_key"), F.try_parse_json(F.col(text)).alias("_v"))
+    kind = lambda c: F.regexp_extract(F.schema_of_variant(c), "^[A-Z]+", 0)
+    none = F.lit(None).cast("string")
+    is_table = kind(F.col("_v")) == "OBJECT"
+    whole = F.when(F.col("_v").isNull(), "malformed").when(~is_table, "not_a_table")
+    texts = parsed.select("_key", none.alias("id"), none.alias("field"), whole.alias("reason")).where("reason IS NOT NULL")
+    tables = parsed.where(F.col("_v").isNotNull() & is_table)
+    records = spark.sql("SELECT _key, r.key AS id, r.value AS _r FROM {t}, LATERAL variant_explode(_v) AS r", t=tables)
+    is_record = F.col("_r").isNotNull() & (kind(F.col("_r")) == "OBJECT")
+    others = records.where(~is_record).select("_key", "id", none.alias("field"), F.lit("not_a_record").alias("reason"))
+    fields = spark.sql("SELECT _key, id, f.key AS field, f.value AS _f FROM {r}, LATERAL variant_explode(_r) AS f", r=records.where(is_record))
+    wrong = fields.where(F.col("_f").isNull() | (kind(F.col("_f")) != "STRING")).select("_key", "id", "field", F.lit("not_text").alias("reason"))
+    return texts.unionByName(others).unionByName(wrong).withColumnRenamed("_key", key)
+
+
+def record_tables_leniently(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(fields, rejected): ``record_tables`` of what holds, and path, id, field, reason of what doesn't.
+
+    A malformed document loses all, a record or a field of a wrong kind only itself."""
+    whole = _whole(spark, path)
+    rejected = rejected_records(whole, "path")
+    bad = rejected.where("id IS NULL").select("path")
+    good = whole.join(bad, "path", "left_anti").select("path", F.from_json("value", "map<string,string>").alias("v"))
+    tables = good.select(F.regexp_replace(_base(F.col("path")), r"\.json$", "").alias("tbl"), "path", F.posexplode("v").alias("r", "id", "text"))
+    tables = tables.join(rejected.where("id IS NOT NULL AND field IS NULL").select("path", "id"), ["path", "id"], "left_anti")
+    records = tables.withColumn("record", F.from_json("text", "map<string,string>")).groupBy("tbl", "path", "id").agg(F.min("r").alias("first"), F.max_by("record", "r").alias("record"))
+    fields = records.select("tbl", "path", "id", "first", F.posexplode("record").alias("f", "field", "source"))
+    fields = fields.join(rejected.where("field IS NOT NULL").select("path", "id", "field"), ["path", "id", "field"], "left_anti")
+    seq = F.col("first").cast("long") * (1 << 20) + F.col("f")
+    return fields.groupBy("tbl", "id", "field").agg(F.max_by("source", "f").alias("source"), F.min(seq).alias("seq")), rejected
+
+
 def master_entries(source: DataFrame, target: DataFrame | None) -> DataFrame:
     """Record entries with what is translated ('' if not)."""
     if target is not None:
@@ -226,15 +263,27 @@ def variants(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("key", F.explode("sources").alias("source"))
 
 
-def captured(spark: SparkSession, path: str) -> DataFrame:
-    """kind, key, source, original, recovered, at of a capture dump; NULs before a line are dropped.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line (from 1), value: true line numbers of text files that are read in splits.
 
-    at: the place of the line in its file, as the block that it was read in and its number there.
+    The lines of each split are counted first; a running sum over a file's splits, of which there are few,
+    then gives where each begins. No file goes through one task.
     """
-    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at")).where("value <> ''")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    splits = lines.groupBy("path", "block").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = splits.withColumn("before", before).drop("n")
+    return lines.join(placed, ["path", "block"]).select("path", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line"), "value")
+
+
+def captured(spark: SparkSession, path: str) -> DataFrame:
+    """kind, key, source, original, recovered, at (the line's number in its file) of a capture dump; NULs
+    before a line are dropped."""
+    lines = numbered_lines(spark, path).where("value <> ''")
     clean = F.regexp_replace("value", r"^\x00+", "")
-    rows = lines.select(F.from_json(clean, "kind string, key string, source string").alias("v"), F.col("value").alias("original"), (clean != F.col("value")).alias("recovered"), "at", "value")
-    assert_none(rows.where(~F.coalesce(F.col("v.kind").isin("text", "i18n"), F.lit(False)) | F.col("v.source").isNull()).select("value"), "capture lines of a wrong shape")
+    rows = lines.select(F.from_json(clean, "kind string, key string, source string").alias("v"), F.col("value").alias("original"), (clean != F.col("value")).alias("recovered"), F.col("line").alias("at"), "path")
+    bad = rows.where(~F.coalesce(F.col("v.kind").isin("text", "i18n"), F.lit(False)) | F.col("v.source").isNull())
+    assert_none(bad.select("path", F.col("at").alias("line"), "original"), "capture lines of a wrong shape")
     return rows.select("v.*", "original", "recovered", "at")
 
 
@@ -276,6 +325,20 @@ def plan_jobs(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return jobs
 
 
+def plan(spark: SparkSession, path: str, schema: str) -> tuple[dict, DataFrame]:
+    """(header, jobs) of a plan with a header, which must be of these jobs."""
+    from glossmill.operators.planning import plan_sha256
+
+    lines = spark.read.text(f"{path}.header", wholetext=True).limit(2).collect()
+    header = json.loads(lines[0]["value"]) if len(lines) == 1 else {}
+    if header.get("schema_version") != 1 or header.get("kind") != "plan":
+        raise Violation(f"{path} has no header of a plan")
+    jobs = plan_jobs(spark, path, schema)
+    if header.get("jobs_sha256") != plan_sha256(jobs):
+        raise Violation(f"{path} is not what its header was written for")
+    return header, jobs
+
+
 def suggestions(logged: DataFrame, items: DataFrame) -> DataFrame:
     """source, translation: the last suggestion of each item that still exists and is still valid.
 

@@ -288,3 +288,36 @@ def test_glossaries(spark, tmp_path):
     with pytest.raises(Violation):
         C.glossary(spark, [a, b], strict=True)
     assert memory.missing_tables(spark.createDataFrame([("A",)], "tbl string"), spark.createDataFrame([("B",)], "tbl string")).first()["tbl"] == "A"
+
+
+def test_slices_and_repairs_of_plans(spark, tmp_path):
+    rows = lambda *xs: [{"id": f"{i}", "source": s, "field": f} for i, (s, f) in enumerate(xs)]
+    jobs = spark.createDataFrame(
+        [("j1", "master:Music", "normal", rows(("歌", "name"), *[("長い文章です", "text")] * 4)), ("j2", "master:Item", "normal", rows(("本文", "text"))), ("j3", "story:adv_a", "short", rows(("短い", "1:text:1")))],
+        "job_id string, stratum string, lane string, rows array<struct<id:string,source:string,field:string>>",
+    )
+    path, log = str(tmp_path / "plan"), str(tmp_path / "log")
+    header = C.semantic_plan_written(jobs, path)
+    assert header["coverage"] == {"jobs": 3, "rows": 7, "by_stratum": {"master:Item": 1, "master:Music": 1, "story:adv_a": 1}}
+    part = C.semantic_slice(spark, path, str(tmp_path / "slice"), tables=("Music",), prefixes=("adv",))
+    assert part["parent_sha256"] == header["jobs_sha256"] and part["coverage"]["parent_jobs"] == 3 and part["coverage"]["jobs"] == 2
+    again, kept = readers.plan(spark, str(tmp_path / "slice"), C.PLAN)
+    assert again == part and {r["job_id"] for r in kept.collect()} == {"j1", "j3"}
+    for bad in ({}, {"tables": ("None",)}, {"mode": "odd"}):
+        with pytest.raises(Violation):
+            C.semantic_slice(spark, path, str(tmp_path / "other"), **bad)
+    with pytest.raises(Violation):
+        C.semantic_slice(spark, path, path, mode="all")
+
+    plan = readers.plan(spark, path, C.PLAN)[1]
+    C.semantic_extract(plan, log, lambda rows, turn: [{"source": "無", "category": "item", "suggested_translation": "x", "evidence": ["0"]}] if len(rows) == 1 and rows[0]["source"] == "本文" else [], "p", "m")
+    made = C.semantic_repair(spark, path, log, str(tmp_path / "repair"), "p", "m", max_rows=2)
+    assert made["coverage"]["jobs"] == 4 and made["coverage"]["rows"] == 6 and made["selection"]["repair_status"] == "empty"  # j1 in three, j3
+    assert {r["repair_of"] for r in readers.plan(spark, str(tmp_path / "repair"), C.PLAN)[1].collect()} == {"j1", "j3"}
+    assert C.semantic_repair(spark, path, log, str(tmp_path / "r2"), "p", "m", status="partial")["coverage"]["by_stratum"] == {"master:Item": 1}
+    assert C.semantic_repair(spark, path, log, str(tmp_path / "r3"), "p", "other")["coverage"]["jobs"] == 0
+    with pytest.raises(Violation):
+        C.semantic_repair(spark, path, log, str(tmp_path / "r4"), "p", "m", max_rows=9)
+    jobs.limit(1).write.mode("append").json(path)  # the header is of other jobs
+    with pytest.raises(Violation):
+        readers.plan(spark, path, C.PLAN)

@@ -105,3 +105,41 @@ def test_streamed_log_equals_batch(spark, tmp_path):
     query = stream.writeStream.outputMode("complete").format("memory").queryName("latest_rows").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     query.awaitTermination(120)
     assert {(r["key"], r["t"]) for r in spark.table("latest_rows").collect()} == {("a", "z"), ("b", "y")}
+
+
+def test_line_numbers_of_a_file_of_several_splits(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i * 7 % 90) for i in range(500)]
+    (tmp_path / "a.txt").write_text("\n".join(lines) + "\n")
+    (tmp_path / "b.txt").write_text("only")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = readers.numbered_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        got = {(r["path"].rsplit("/", 1)[1], r["line"]): r["value"] for r in found.collect()}
+    finally:
+        for key, value in zip(("maxPartitionBytes", "openCostInBytes"), held):
+            spark.conf.set(f"spark.sql.files.{key}", value)
+    assert got == {("a.txt", i + 1): x for i, x in enumerate(lines)} | {("b.txt", 1): "only"}
+
+
+def test_captures_tell_the_line_that_is_wrong(spark, tmp_path):
+    good = json.dumps({"kind": "text", "key": "", "source": "あ"})
+    (tmp_path / "c.jsonl").write_text(f"{good}\n\n\x00{good}\n")
+    assert [(r["at"], r["recovered"]) for r in readers.captured(spark, str(tmp_path / "c.jsonl")).orderBy("at").collect()] == [(1, False), (3, True)]
+    (tmp_path / "c.jsonl").write_text(f"{good}\n{{}}\n")
+    with pytest.raises(Violation, match="'line': 2"):
+        readers.captured(spark, str(tmp_path / "c.jsonl"))
+
+
+def test_records_that_hold_are_kept_beside_those_that_do_not(spark, tmp_path):
+    (tmp_path / "A.json").write_text('{"r2": {"b": "x", "a": "y", "n": 5}, "r1": [1], "r0": {"z": null, "s": "t"}}')
+    (tmp_path / "B.json").write_text('{"r": {"a": "b"}')
+    (tmp_path / "C.json").write_text('["a"]')
+    (tmp_path / "D.json").write_text('{"r": {"a": "b"}}')
+    fields, rejected = readers.record_tables_leniently(spark, str(tmp_path))
+    assert {(r["path"].rsplit("/", 1)[1], r["id"], r["field"], r["reason"]) for r in rejected.collect()} == {
+        ("A.json", "r2", "n", "not_text"), ("A.json", "r1", None, "not_a_record"), ("A.json", "r0", "z", "not_text"), ("B.json", None, None, "malformed"), ("C.json", None, None, "not_a_table"),
+    }
+    assert [(r["tbl"], r["id"], r["field"], r["source"]) for r in fields.orderBy("tbl", "seq").collect()] == [("A", "r2", "b", "x"), ("A", "r2", "a", "y"), ("A", "r0", "s", "t"), ("D", "r", "a", "b")]
