@@ -160,9 +160,10 @@ def master_plan(spark: SparkSession, source: str, target: str, log: str, policy:
     return counts.select((F.col("total") - F.col("pending")).alias("ready"), "pending", "total")
 
 
-@_refusing(("source", "target"), ("log",))
-def master_translate(spark: SparkSession, source: str, target: str, log: str, service: model.Service, policy: list[terms.Term] | None = None, flat: dict[str, str] | None = None, batch_rows: int = 12, max_chars: int = 1600) -> DataFrame:
-    """Asks for what is pending, appends the answers to the log, and returns the filled entries.
+@_refusing(("source",), ("log",))
+def master_translate(spark: SparkSession, source: str, target: str, log: str, service: model.Service, policy: list[terms.Term] | None = None, flat: dict[str, str] | None = None, batch_rows: int = 12, max_chars: int = 1600, write: bool = False) -> DataFrame:
+    """Asks for what is pending, appends the answers to the log, and returns the filled entries; with
+    ``write`` the target's tables are written with them, each as one document.
 
     Without a policy every distinct text is asked once; with one, every field by itself, with the
     terms that hold there. Credits are kept as they are and never asked for.
@@ -176,7 +177,7 @@ def master_translate(spark: SparkSession, source: str, target: str, log: str, se
         sinks.append_log(done, log)
         known = memory.merged_existing_wins(_memory(rows, _log(spark, log, MEMORY)), rows.where(terms.credit_key()).select("source", F.col("source").alias("translation")).distinct(), ["source"])
         held = known.select("source", "translation")
-        return memory.fill(rows, held, ["source"], valid=F.lit(True))
+        return _written_tables(memory.fill(rows, held, ["source"], valid=F.lit(True)), target, write)
     known = memory.last_wins(_log(spark, log, SCOPED_MEMORY), [*FIELD, "source"], "seq")
     open_ = memory.pending(rows.where("translation = ''").where(~terms.credit_key()), known, [*FIELD, "source"])
     context = {"kind": F.lit("master"), "table": F.col("tbl"), "id": F.col("id"), "field": F.col("field")}
@@ -188,7 +189,14 @@ def master_translate(spark: SparkSession, source: str, target: str, log: str, se
     sinks.append_log(done, log)
     known = memory.last_wins(_log(spark, log, SCOPED_MEMORY), [*FIELD, "source"], "seq").select(*FIELD, "source", "translation")
     credits = rows.where(terms.credit_key()).select(*FIELD, "source", F.col("source").alias("translation"))
-    return memory.fill(rows, memory.merged_existing_wins(known, credits, [*FIELD, "source"]), [*FIELD, "source"])
+    return _written_tables(memory.fill(rows, memory.merged_existing_wins(known, credits, [*FIELD, "source"]), [*FIELD, "source"]), target, write)
+
+
+def _written_tables(filled: DataFrame, target: str, write: bool) -> DataFrame:
+    if write:
+        filled = written(filled, "filled")  # before what it was read from is replaced
+        sinks.record_documents(filled.select("tbl", "id", "field", F.col("translation").alias("source"), "seq"), target)
+    return filled
 
 
 # --- notices ----------------------------------------------------------------------------------------
@@ -415,7 +423,9 @@ def semantic_review(jobs: DataFrame, log: str, prompt_hash: str, name: str, name
 
 def term_review(reports: list[DataFrame], entries: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(reconciled candidates, counts by status) of several reports; all have source, category,
-    suggestion and evidence."""
+    suggestion and evidence. The glossary is flat: a scoped one has no target to compare with."""
+    if "scope" in known.columns:
+        assert_none(known.where("scope IS NOT NULL AND size(scope) > 0").select("source", "scope"), "terms with a scope")
     out = evidence.reconciled(evidence.united_reports(*reports), evidence.references(entries), known)
     return out, out.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count_if("disagreement").alias("disagreements"))
 

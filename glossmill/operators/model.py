@@ -7,6 +7,7 @@ kept. Answers are rows, so a job that starts over asks only for what the log lac
 
 from __future__ import annotations
 
+import json
 import re
 import time
 from collections.abc import Callable
@@ -92,6 +93,28 @@ def relevant_glossary(rows: DataFrame, glossary: dict[str, str], text: Column) -
     return rows.withColumn("glossary", F.map_filter(whole, lambda k, _: F.contains(text, k)))
 
 
+def reply(content: object, finish_reason: str | None = None) -> dict[str, str]:
+    """id to translation of what a model wrote: JSON of a list ``translations``, perhaps fenced or with
+    words around it. Anything else, a cut answer or an id given twice is an error, so its batch is asked again."""
+    if not isinstance(content, str) or finish_reason == "length":
+        raise ValueError("no whole text")
+    fenced = re.fullmatch(r"\s*```[^\n]*\n(.*)```\s*", content, re.DOTALL)
+    text = (fenced[1] if fenced else content).strip()
+    first, last = text.find("{"), text.rfind("}")
+    if not text.startswith("{") and 0 <= first < last:
+        text = text[first : last + 1]
+    try:
+        listed = json.loads(text)["translations"]
+        pairs = [(entry["id"], entry.get("translation", entry.get("source"))) for entry in listed]
+    except (ValueError, KeyError, TypeError, AttributeError) as error:
+        raise ValueError("not the JSON that was asked for") from error
+    if not isinstance(listed, list) or not all(isinstance(x, str) for pair in pairs for x in pair):
+        raise ValueError("ids and translations are texts")
+    if len({i for i, _ in pairs}) < len(pairs):
+        raise ValueError("an id was answered twice")
+    return dict(pairs)
+
+
 def echo_service(lines: list[dict]) -> dict[str, str]:
     """The offline stand-in: every text in brackets that no rule counts."""
     return {line["id"]: f"«{line['source']}»" for line in lines}

@@ -34,9 +34,13 @@ def or_raise(value: Column, bad: Column, what: str) -> Column:
     return F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit(what))).otherwise(value)
 
 
-def assert_none(bad: DataFrame, what: str) -> None:
-    """Raise with a few examples if the frame has rows; reads no more than it shows."""
-    examples = bad.limit(5).collect()
+#: Rows that a report of broken rules shows.
+SHOWN = 30
+
+
+def assert_none(bad: DataFrame, what: str, shown: int = SHOWN) -> None:
+    """Raise with the first examples if the frame has rows; reads no more than it shows."""
+    examples = bad.limit(shown).collect()
     if examples:
         raise Violation(f"{what}: {[r.asDict() for r in examples]}")
 

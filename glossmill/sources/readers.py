@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
-from glossmill.operators.quality import Violation, assert_none, record_line, story_line
+from glossmill.operators.quality import Violation, assert_none, policy_term, record_line, story_line
 from glossmill.operators.quality import reason as rule_broken
 
 ENTRIES = (
@@ -220,11 +220,13 @@ def flat_glossary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def policy(spark: SparkSession, path: str) -> DataFrame:
-    """Scoped terms of a policy file: source, target, category, action, scope."""
+    """Scoped terms of a policy file: source, target, category, action, scope; each meets the rules of a term."""
     kind = "struct<schema_version:int,terms:array<struct<source:string,target:string,category:string,action:string,scope:map<string,string>>>>"
     rows = _parsed(_whole(spark, path, "*"), kind)
     assert_none(rows.where("v.schema_version IS DISTINCT FROM 1").select("path"), "unknown schema versions")
-    return rows.select(F.posexplode("v.terms").alias("seq", "t")).select("seq", "t.*")
+    terms = rows.select(F.posexplode("v.terms").alias("seq", "t")).select("seq", "t.*")
+    assert_none(terms.select("seq", "source", rule_broken(policy_term()).alias("reason")).where("reason IS NOT NULL"), "terms of a wrong shape")
+    return terms
 
 
 def notices(spark: SparkSession, path: str) -> DataFrame:

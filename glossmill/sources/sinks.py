@@ -40,6 +40,7 @@ def _take_place(spark: SparkSession, staged: str, path: str, expected_sha256: st
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
         overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        fs.mkdirs(where.getParent())
         files.rename(fs.makeQualified(parts[0]), fs.makeQualified(where), overwrite)
     finally:
         fs.delete(folder, True)
@@ -106,24 +107,75 @@ def record_tables_json(rows: DataFrame, path: str) -> None:
     records.repartition("tbl").sortWithinPartitions("tbl", "seq").select("tbl", "id", "record").write.mode("overwrite").partitionBy("tbl").json(path)
 
 
-def record_table_document(rows: DataFrame, path: str, expected_sha256: str | None = None) -> str:
-    """One table as an indented JSON document, records and fields in the order of ``seq``.
+def _quoted(c) -> F.Column:
+    """A text as JSON."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"(?s)\A\[|\]\z", "")
+
+
+def record_documents(rows: DataFrame, folder: str, expected: dict[str, str] | None = None) -> dict[str, str]:
+    """Each table of (tbl, id, field, source, seq) as an indented JSON document ``tbl``.json in the folder, records
+    and fields in the order of ``seq``; returns their hashes. ``expected``: what existing documents must
+    hash to, by table.
 
-    Lines are made where the rows are and go through one task in order; none waits for another.
+    Records are put in order by ranges, so a table of any size is formatted in many tasks; its parts are
+    then laid end to end and take the place of the document in one rename.
     """
-    text = F.regexp_replace(F.to_json(F.array("source")), r"(?s)\A\[|\]\z", "")
-    pair = F.array_sort(F.collect_list(F.struct("seq", "field", text.alias("text"))))
-    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"(?s)\A\[|\]\z", "")
-    fields = F.array_join(F.transform(pair, lambda x: F.concat(F.lit("    "), quoted(x["field"]), F.lit(": "), x["text"])), ",\n")
-    records = rows.groupBy("id").agg(F.min("seq").alias("seq"), fields.alias("fields"))
-    last = records.agg(F.max("seq").alias("last"))
+    spark = rows.sparkSession
+    pair = F.array_sort(F.collect_list(F.struct("seq", "field", _quoted("source").alias("text"))))
+    fields = F.array_join(F.transform(pair, lambda x: F.concat(F.lit("    "), _quoted(x["field"]), F.lit(": "), x["text"])), ",\n")
+    records = rows.groupBy("tbl", "id").agg(F.min("seq").alias("seq"), fields.alias("fields"))
+    ends = rows.groupBy("tbl").agg(F.max("seq").alias("x")).join(records.groupBy("tbl").agg(F.max("seq").alias("last")), "tbl").select("tbl", "last")
     end = F.when(F.col("seq") == F.col("last"), "  }\n}").otherwise("  },")
-    line = F.concat(F.lit("  "), quoted("id"), F.lit(": {\n"), "fields", F.lit("\n"), end)
-    body = records.join(F.broadcast(last), F.lit(True)).select("seq", line.alias("value"))
-    head = rows.sparkSession.range(1).select(F.lit(None).cast(dict(rows.dtypes)["seq"]).alias("seq"), F.lit("{").alias("value"))
-    staged = _staging(path)
-    head.unionByName(body).coalesce(1).sortWithinPartitions(F.col("seq").asc_nulls_first()).select("value").write.text(staged)
-    return _take_place(rows.sparkSession, staged, path, expected_sha256)
+    line = F.concat(F.lit("  "), _quoted("id"), F.lit(": {\n"), "fields", F.lit("\n"), end)
+    body = records.join(F.broadcast(ends), "tbl").select("tbl", "seq", line.alias("value"))  # a row a document
+    head = ends.select("tbl", F.lit(None).cast(dict(rows.dtypes)["seq"]).alias("seq"), F.lit("{").alias("value"))
+    order = [F.col("tbl").asc(), F.col("seq").asc_nulls_first()]
+    staged = f"{shared_folder(spark)}/glossmill-documents-{uuid.uuid4().hex}"
+    head.unionByName(body).repartitionByRange(*order).sortWithinPartitions(*order).select("tbl", "value").write.partitionBy("tbl").text(staged)
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    at, out = jvm.org.apache.hadoop.fs.Path, {}
+    fs = at(staged).getFileSystem(conf)
+    try:
+        for part in fs.listStatus(at(staged)):
+            name = part.getPath().getName()
+            if name.startswith("tbl="):
+                table = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name.removeprefix("tbl="))
+                _laid_end_to_end(spark, part.getPath())
+                out[table] = _take_place(spark, part.getPath().toString(), f"{folder.rstrip('/')}/{table}.json", (expected or {}).get(table))
+    finally:
+        fs.delete(at(staged), True)
+    return out
+
+
+def _laid_end_to_end(spark: SparkSession, folder) -> None:
+    """The parts of a folder, in their order, as its only one; their bytes are copied, not held."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    fs = folder.getFileSystem(conf)
+    parts = sorted((s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    if len(parts) < 2:
+        return
+    out = fs.create(jvm.org.apache.hadoop.fs.Path(folder, "whole"), False)
+    try:
+        for part in parts:
+            stream = fs.open(part)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    for part in parts:
+        fs.delete(part, False)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(folder, "whole"), jvm.org.apache.hadoop.fs.Path(folder, "part-whole"))
+
+
+def record_table_document(rows: DataFrame, path: str, expected_sha256: str | None = None) -> str:
+    """One table (id, field, source, seq) as a document of that path; returns its hash."""
+    folder, _, name = path.rpartition("/")
+    table = name.removesuffix(".json")
+    if f"{folder}/{table}.json" != path:
+        raise Violation(f"{path} is no .json")
+    return record_documents(rows.withColumn("tbl", F.lit(table)), folder, {table: expected_sha256} if expected_sha256 else None)[table]
 
 
 def plan_jobs(jobs: DataFrame, path: str, header: dict) -> None:

@@ -321,3 +321,41 @@ def test_slices_and_repairs_of_plans(spark, tmp_path):
     jobs.limit(1).write.mode("append").json(path)  # the header is of other jobs
     with pytest.raises(Violation):
         readers.plan(spark, path, C.PLAN)
+
+
+def test_replies_are_parsed_strictly():
+    whole = '{"translations": [{"id": "1", "translation": "x"}, {"id": "2", "source": "y"}]}'
+    for text in (whole, f"```json\n{whole}\n```", f"Here it is: {whole} done"):
+        assert model.reply(text) == {"1": "x", "2": "y"}
+    double = whole.replace('"2"', '"1"')
+    for text in (None, 5, "", "[]", "{", '{"translations": {}}', '{"translations": [{"id": 1, "translation": "x"}]}', '{"translations": ["x"]}', '{"translations": [{"id": "1"}]}', double):
+        with pytest.raises(ValueError):
+            model.reply(text)
+    with pytest.raises(ValueError):
+        model.reply(whole, "length")
+
+
+def test_written_tables_and_documents_of_many_parts(spark, master, tmp_path):
+    C.master_translate(spark, str(master / "orig"), str(master / "zh"), str(master / "log"), echo, write=True)
+    assert json.loads((master / "zh/Item.json").read_text()) == {"i1": {"name": "蓝钥匙", "text": "译青い鍵で開く"}, "i2": {"name": "译赤い鍵"}}
+    assert json.loads((master / "zh/Music.json").read_text())["m1"] == {"name": "译歌", "composer": "山田"}
+    rows = spark.range(3000).select(F.concat(F.lit("T "), F.col("id") % 2).alias("tbl"), F.format_string("r%05d", 3000 - F.col("id")).alias("id"), F.lit("f").alias("field"), F.lit("x").alias("source"), F.col("id").alias("seq"))
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = sinks.record_documents(rows, str(tmp_path / "docs"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    for i in (0, 1):
+        text = (tmp_path / f"docs/T {i}.json").read_bytes()
+        assert hashlib.sha256(text).hexdigest() == made[f"T {i}"] and list(json.loads(text)) == [f"r{3000 - n:05d}" for n in range(i, 3000, 2)]
+
+
+def test_scoped_glossaries_are_refused_and_policies_checked(spark, tmp_path):
+    known = spark.createDataFrame([("a", "b", {"table": "x"})], "source string, target string, scope map<string,string>")
+    reports = spark.createDataFrame([("a", "item", "x", ["1"])], "source string, category string, suggestion string, evidence array<string>")
+    with pytest.raises(Violation):
+        C.term_review([reports], spark.createDataFrame([], readers.ENTRIES), known)
+    bad = write(tmp_path / "p.json", json.dumps({"schema_version": 1, "terms": [{"source": "a", "target": "b", "action": "retain", "scope": {}}]}))
+    with pytest.raises(Violation, match="retain_target"):
+        readers.policy(spark, bad)
