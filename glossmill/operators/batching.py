@@ -42,6 +42,14 @@ def fixed_chunks(rows: DataFrame, group: str, order: str, n: int) -> DataFrame:
     return rows.withColumn("chunk", F.floor((at - 1) / n).cast("long"))
 
 
+def ranked(rows: DataFrame, order: list[str], at: str) -> DataFrame:
+    """Adds ``at``, from 1: the place of each row among all. Rows are dealt by ranges of the order and
+    numbered range by range; no task sees all."""
+    every = rows.withColumn("_all", F.lit(1))
+    placed = folds.positions(every, "_all", order, at, folds.LONG + 1)
+    return placed.withColumn(at, F.col(at) + 1).drop("_all")
+
+
 def first_of_each(rows: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
     """The first n rows of each key; Spark keeps no more than n of a key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -475,4 +475,4 @@ def model_stub_batch(spark, d):
     return model.run_batches(packed, model.echo_service, lambda s, t: t == f"«{s}»", id="doc_id", source="text")
 
 
-from glossmill.plans import asking, corpora, reports  # noqa: E402, F401  (they add their queries)
+from glossmill.plans import asking, checks, corpora, reports  # noqa: E402, F401  (they add their queries)
