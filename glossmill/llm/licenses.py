@@ -55,7 +55,7 @@ TEMPLATES = {
         "licensed under the apache license version 2 0 the license you may not use {{6}} except in compliance with the license you may obtain a copy of the"
         " license at [[http www apache org licenses license 2 0]] [[https www apache org licenses license 2 0]] unless required by applicable law or agreed to"
         " in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or"
-        " implied",
+        " implied see the license for the specific language governing permissions and limitations under the license",
     ],
     "cc-by-4.0": [
         "licensed under [[a]] [[the]] [[creative commons attribution]] cc by 4 0",
@@ -86,20 +86,30 @@ TEMPLATES = {
         " [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
         " [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
         " documentation and or other materials provided with the distribution this software is provided by {{20}} as is and any express or implied warranties"
-        " including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+        " including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+        " in no event shall {{20}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to"
+        " procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability"
+        " whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised"
+        " of the possibility of such damage",
     ],
     "bsd-3-clause": [
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
         " [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"
         " [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
         " documentation and or other materials provided with the distribution [[3]] neither the name of {{20}} may be used to endorse or promote"
-        " products derived from this software without specific prior written permission [[this software is provided by {{20}} as is and any express or"
-        " implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed]]",
+        " products derived from this software without specific prior written permission this software is provided by {{20}} as is and any express or"
+        " implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+        " in no event shall {{20}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to"
+        " procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability"
+        " whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised"
+        " of the possibility of such damage",
     ],
     "isc": [
         "[[isc license]] [[copyright {{40}}]] permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided"
         " that the above copyright notice and this permission notice appear in all copies the software is provided as is and {{20}} disclaims all warranties"
-        " with regard to this software including all implied warranties of merchantability and fitness",
+        " with regard to this software including all implied warranties of merchantability and fitness in no event shall {{20}} be liable for any special"
+        " direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract"
+        " negligence or other tortious action arising out of or in connection with the use or performance of this software",
     ],
 }
 

@@ -339,3 +339,23 @@ def test_an_entity_that_stands_everywhere_gets_one_surrogate(spark):
     rows = S.surrogates(docs, key=b"fixed").collect()
     names = {tuple(r["text"].split()[:2]) for r in rows}
     assert len(names) == 1 and all(r["n_replaced"] == 3 and "Jones" not in r["text"] for r in rows) and next(iter(names))[0] in S._GIVEN["latin", "f"]
+
+
+BSD_3 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER
+RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+
+def test_whole_licenses_are_refused_if_their_last_sentence_differs(spark):
+    clause = BSD_3.index("3. Neither")
+    two = BSD_3[:clause] + BSD_3[BSD_3.index("THIS SOFTWARE IS") :]
+    texts = [BSD_3, BSD_3.replace("SUCH DAMAGE", "ANY DAMAGE"), two, two.replace("STRICT LIABILITY, ", ""), ISC, ISC.replace("THE USE OR PERFORMANCE", "THE USE")]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(table(spark, list(enumerate(texts)))).collect()}
+    assert got == {0: "bsd-3-clause", 1: "", 2: "bsd-2-clause", 3: "", 4: "isc", 5: ""}
