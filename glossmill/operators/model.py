@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.functions import text as T
+from glossmill.operators import terms
 
 Service = Callable[[list[dict]], dict[str, str]]
 Check = Callable[[str, str], bool]
@@ -87,10 +87,18 @@ def not_yet_done(rows: DataFrame, log: DataFrame, key: str) -> DataFrame:
     return rows.join(log.where("status = 'done'").select(key), key, "left_anti")
 
 
-def relevant_glossary(rows: DataFrame, glossary: dict[str, str], text: Column) -> DataFrame:
-    """Adds ``glossary``: the entries whose source stands in the text."""
-    whole = F.create_map(*(F.lit(x) for kv in glossary.items() for x in kv)) if glossary else F.create_map().cast("map<string,string>")
-    return rows.withColumn("glossary", F.map_filter(whole, lambda k, _: F.contains(text, k)))
+def relevant_glossary(rows: DataFrame, glossary: dict[str, str], text: Column, keys: list[str] | None = None) -> DataFrame:
+    """Adds ``glossary``: the entries whose source stands in the text. A large glossary is joined; ``keys``
+    then name the columns that tell rows apart (all, if not given)."""
+    if len(glossary) <= terms.FEW_TERMS:
+        whole = F.create_map(*(F.lit(x) for kv in glossary.items() for x in kv)) if glossary else F.create_map().cast("map<string,string>")
+        return rows.withColumn("glossary", F.map_filter(whole, lambda k, _: F.contains(text, k)))
+    keys = keys or rows.columns
+    told = rows.withColumn("_told", text)
+    known = rows.sparkSession.createDataFrame(list(glossary.items()), "candidate string, target string")
+    met = terms.contained(told, sorted(k for k in glossary if k), "_told", keys).join(known, "candidate")
+    own = met.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("candidate", "target")))).alias("glossary"))
+    return rows.join(own, keys, "left").withColumn("glossary", F.coalesce("glossary", F.create_map().cast("map<string,string>")))
 
 
 def reply(content: object, finish_reason: str | None = None) -> dict[str, str]:

@@ -20,6 +20,8 @@ Term = dict  # source, target, category, action, scope
 TERM_SCHEMA = "source string, target string, category string, action string, scope map<string,string>, seq long"
 #: One alternation is built of at most so many terms; more are joined on their first characters.
 MOST_TERMS = 5_000
+#: Up to so many terms are looked for one by one, each an expression of the plan; more are joined.
+FEW_TERMS = 200
 
 
 def terms_frame(spark: SparkSession, terms: list[Term]) -> DataFrame:
@@ -38,17 +40,24 @@ def mentions(rows: DataFrame, terms: list[Term], text: str = "source", most: int
     if len(sources) <= most:
         return rows.withColumn("term", F.explode(T.mentions(text, sources)))
     keys = keys or rows.columns
-    listed = rows.sparkSession.createDataFrame([(s[:2], s) for s in sources], "start string, candidate string")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(2)))
-    singles = F.split(F.col(text), "")
-    starts = rows.where(F.length(text) > 0).select(*keys, text, F.explode(F.array_distinct(F.concat(pairs, singles))).alias("start"))
-    held = starts.join(listed, "start").where(F.contains(text, "candidate"))
+    held = contained(rows, sources, text, keys)
     quoted = F.transform(F.array_sort(F.collect_list(F.struct((-F.length("candidate")).alias("less"), "candidate"))), lambda x: F.concat(F.lit("\\Q"), F.replace(x["candidate"], F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E")))
     own = held.groupBy(*keys).agg(F.array_join(quoted, "|").alias("_pattern"))  # at most the terms that one text holds
     found = rows.join(own, keys).withColumn("term", F.explode(F.array_distinct(F.expr(f"regexp_extract_all(`{text}`, _pattern, 0)"))))
     return found.drop("_pattern")
 
 
+def contained(rows: DataFrame, sources: list[str], text: str, keys: list[str]) -> DataFrame:
+    """keys, the text, and ``candidate``: each term that stands anywhere in a text, also within others. A text
+    meets the terms that begin like two of its neighbouring characters, or are one of its characters."""
+    listed = rows.sparkSession.createDataFrame([(s[:2], s) for s in sources], "start string, candidate string")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(F.col(text), i, F.lit(2)))
+    singles = F.split(F.col(text), "")
+    own = list(dict.fromkeys([*keys, text]))
+    starts = rows.where(F.length(text) > 0).select(*own, F.explode(F.array_distinct(F.concat(pairs, singles))).alias("start"))
+    return starts.join(listed, "start").where(F.contains(text, "candidate")).drop("start").distinct()
+
+
 #: Lengths of the literal beginnings by which globs are found; longer ones are cut to the next below.
 STARTS = (0, 1, 2, 4, 8, 16)
 WHOLE = -1
@@ -144,9 +153,14 @@ def preferences(rows: DataFrame, policy: list[Term], glossary: dict[str, str], c
         matched = matched.unionByName(of("speaker")).distinct()
     back = sorted({t["source"] for t in policy} & glossary.keys())
     told = F.concat_ws(" ", "source", *(["speaker"] if "speaker" in rows.columns else []))
-    held = F.array_compact(F.array(*(F.when(T.contains_token(told, s), F.struct(F.lit(s).alias("term"), F.lit(glossary[s]).alias("target"))) for s in back)))
-    none = F.array().cast("array<struct<term:string,target:string>>")
-    flat = rows.select(*keys, F.explode(held if back else none).alias("_g")).select(*keys, "_g.term", "_g.target", F.lit("prefer").alias("action"))
+    if len(back) <= FEW_TERMS:
+        held = F.array_compact(F.array(*(F.when(T.contains_token(told, s), F.struct(F.lit(s).alias("term"), F.lit(glossary[s]).alias("target"))) for s in back)))
+        none = F.array().cast("array<struct<term:string,target:string>>")
+        flat = rows.select(*keys, F.explode(held if back else none).alias("_g")).select(*keys, "_g.term", "_g.target", F.lit("prefer").alias("action"))
+    else:
+        known = rows.sparkSession.createDataFrame([(s, glossary[s], P.token_pattern(s)) for s in back], "candidate string, target string, _token string")
+        met = contained(rows.withColumn("_told", told), back, "_told", keys).join(known, "candidate").where(F.expr("_told rlike _token"))
+        flat = met.select(*keys, F.col("candidate").alias("term"), "target", F.lit("prefer").alias("action"))
     flat = flat.join(matched.select(*keys, "term"), [*keys, "term"], "left_anti")
     return matched.withColumn("origin", F.lit("policy")).unionByName(flat.withColumn("origin", F.lit("glossary")))
 

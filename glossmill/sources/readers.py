@@ -350,6 +350,30 @@ def suggestions(logged: DataFrame, items: DataFrame) -> DataFrame:
     return valid.groupBy("source").agg(F.max_by("translation", "seq").alias("translation"))
 
 
+# The instructions that each kind of work is given unless others are named.
+PROMPTS = {
+    "story": "default", "record": "master", "notice": "notice", "notice_repair": "notice-protected", "legal": "legal", "interface": "ui",
+    "extraction": "term-extraction", "suggestion": "master-kana-review",
+}
+
+
+def prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """name, text, sha256 of the instructions for a text model in a folder of .txt files."""
+    whole = _whole(spark, folder, "*.txt")
+    return whole.select(F.regexp_replace(_base(F.col("path")), r"\.txt$", "").alias("name"), F.col("value").alias("text"), F.sha2(F.col("value").cast("binary"), 256).alias("sha256"))
+
+
+def prompt(spark: SparkSession, folder: str, kind: str, name: str | None = None) -> tuple[str, str]:
+    """(text, hash) of what a kind of work is instructed with, by default or by name; the hash is part of the
+    identity of what comes back."""
+    if kind not in PROMPTS:
+        raise Violation(f"no such kind of work: {kind}")
+    found = prompts(spark, folder).where(F.col("name") == (name or PROMPTS[kind])).limit(2).collect()
+    if len(found) != 1 or not found[0]["text"].strip():
+        raise Violation(f"{folder} has no instructions {name or PROMPTS[kind]}")
+    return found[0]["text"], found[0]["sha256"]
+
+
 def file_hash(spark: SparkSession, path: str) -> str:
     """SHA-256 of one file, read where Spark can read it."""
     rows = spark.read.format("binaryFile").load(path).select(F.sha2("content", 256).alias("h")).limit(2).collect()

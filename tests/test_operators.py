@@ -205,3 +205,18 @@ def test_plans_of_scoped_terms_have_one_size(spark):
         return len(found._jdf.queryExecution().optimizedPlan().treeString().splitlines())
 
     assert size(50) == size(5000)
+
+
+def test_glossaries_of_any_size_are_looked_up_alike(spark, monkeypatch):
+    glossary = {"a": "1", "ab": "2", "b c": "3", "日本": "4", "Key": "5", "zz": "6"}
+    rows = spark.createDataFrame([(1, "ab cKey", None), (2, "", "b"), (3, "Key 日本", "ab"), (4, "none? q", None)], "i int, source string, speaker string")
+    told = F.concat_ws(" ", "source", "speaker")
+    policy = [{"source": s, "target": f"p{s}", "scope": {"table": "never"}} for s in glossary]
+
+    def both():
+        known = {r["i"]: dict(r["glossary"]) for r in model.relevant_glossary(rows, glossary, told, ["i"]).collect()}
+        return known, sorted(tuple(r) for r in terms.preferences(rows, policy, glossary, {"table": F.lit("x")}, ["i"]).collect())
+
+    few = both()
+    monkeypatch.setattr(terms, "FEW_TERMS", 0)
+    assert both() == few and few[0][1] == {"a": "1", "ab": "2", "b c": "3", "Key": "5"} and few[0][4] == {} and (3, "Key", "5", "prefer", "glossary") in few[1]

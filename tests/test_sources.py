@@ -143,3 +143,14 @@ def test_records_that_hold_are_kept_beside_those_that_do_not(spark, tmp_path):
         ("A.json", "r2", "n", "not_text"), ("A.json", "r1", None, "not_a_record"), ("A.json", "r0", "z", "not_text"), ("B.json", None, None, "malformed"), ("C.json", None, None, "not_a_table"),
     }
     assert [(r["tbl"], r["id"], r["field"], r["source"]) for r in fields.orderBy("tbl", "seq").collect()] == [("A", "r2", "b", "x"), ("A", "r2", "a", "y"), ("A", "r0", "s", "t"), ("D", "r", "a", "b")]
+
+
+def test_prompts_are_chosen_by_kind_or_name(spark, tmp_path):
+    for name, text in (("default", "翻译\n"), ("own", "x"), ("ui", " \n")):
+        write(tmp_path / f"p/{name}.txt", text)
+    folder = str(tmp_path / "p")
+    assert readers.prompt(spark, folder, "story") == ("翻译\n", hashlib.sha256("翻译\n".encode()).hexdigest())
+    assert readers.prompt(spark, folder, "legal", "own")[0] == "x"
+    for kind, name in (("interface", None), ("legal", None), ("odd", None)):
+        with pytest.raises(Violation):
+            readers.prompt(spark, folder, kind, name)
