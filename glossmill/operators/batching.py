@@ -38,8 +38,9 @@ def packed_parts(rows: DataFrame, group: str, order: str, part: str, max_rows: i
 
 
 def fixed_chunks(rows: DataFrame, group: str, order: str, n: int) -> DataFrame:
-    at = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    return rows.withColumn("chunk", F.floor((at - 1) / n).cast("long"))
+    """Rows with ``chunk``, from 0: n rows of a group at a time, by ``order``; a long group is numbered in many tasks."""
+    placed = folds.positions(rows, group, [order], "_at", folds.longest(rows, group))
+    return placed.withColumn("chunk", F.floor(F.col("_at") / n).cast("long")).drop("_at")
 
 
 def ranked(rows: DataFrame, order: list[str], at: str) -> DataFrame:

@@ -20,9 +20,9 @@ BLOCK = 512
 LONG = 1_000_000
 
 
-def positions(rows: DataFrame, group: str, order: list[str | Column], at: str, longest: int) -> DataFrame:
+def positions(rows: DataFrame, group: str, order: list[str | Column], at: str, largest: int) -> DataFrame:
     """Adds ``at``, from 0: the place of each row in its group."""
-    if longest <= LONG:
+    if largest <= LONG:
         number = F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long")
         return rows.withColumn(at, number - 1)
     named = rows.withColumns({f"_order{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)})
@@ -37,6 +37,11 @@ def positions(rows: DataFrame, group: str, order: list[str | Column], at: str, l
     return placed.withColumn(at, F.col("_before") + F.col("_id") - F.col("_first")).select(*rows.columns, at)
 
 
+def longest(rows: DataFrame, group: str) -> int:
+    """Rows of the largest group."""
+    return rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def _lengths(weights: dict[str, int], most: int) -> Column:
     """For each own row of a block, how many rows a batch takes that begins there. ``items``: the block's
     rows in order and those after it; ``own``: how many are the block's."""
@@ -51,13 +56,19 @@ def _lengths(weights: dict[str, int], most: int) -> Column:
 
 #: What a row does to (gap, batches begun so far): a gap closes by one, else a batch begins.
 _ROW = "if(a.gap = 0, struct(x - 1 AS gap, a.n + 1 AS n), struct(a.gap - 1 AS gap, a.n AS n))"
-_BLOCK = "struct(x.gaps[a.gap] AS gap, a.n + x.begun[a.gap] AS n)"
+_BLOCK = "struct(x.ends[a.gap].gap AS gap, a.n + x.ends[a.gap].n AS n)"
+
+
+def _table(items: str, step: str, most: int) -> Column:
+    """For each gap at the start: the gap at the end and the batches begun."""
+    return F.expr(f"transform(sequence(0, {most - 1}), e -> aggregate({items}, struct(e AS gap, 0L AS n), (a, x) -> {step}))")
 
 
-def _table(items: str, step: str, most: int) -> list[Column]:
-    """gaps and begun: for each gap at the start, the gap at the end and the batches begun."""
-    ends = f"transform(sequence(0, {most - 1}), e -> aggregate({items}, struct(e AS gap, 0L AS n), (a, x) -> {step}))"
-    return [F.expr(f"transform({ends}, s -> s.gap)").alias("gaps"), F.expr(f"transform({ends}, s -> s.n)").alias("begun")]
+def _once(frame: DataFrame, keep: list[str], /, **columns: Column) -> DataFrame:
+    """The kept columns and new ones, which are computed once for a row: the optimizer moves what a lambda
+    uses into it, where it would be computed for each element, but not through an explode."""
+    made = frame.select(*keep, F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("_made"))
+    return made.select(*keep, *(F.col(f"_made.{n}").alias(n) for n in columns))
 
 
 def greedy(rows: DataFrame, group: str, order: list[str], weights: dict[str, int], most: int) -> DataFrame:
@@ -67,25 +78,29 @@ def greedy(rows: DataFrame, group: str, order: list[str], weights: dict[str, int
     put somewhere, if need be alone. No batch has more than ``most`` rows, which the weights must see to:
     with a weight of at least 1 for a row, and ``most`` as its cap. Null weights count as 0.
     """
-    longest = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    largest = longest(rows, group)
     size = max(BLOCK, most)
     own = {f"w{i}": F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for i, c in enumerate(weights)}
-    placed = positions(rows, group, [*order, *weights], "_at", longest)
+    placed = positions(rows, group, [*order, *weights], "_at", largest)
     held = placed.select(F.struct(group).alias("_g"), "_at", F.struct(F.col("_at").alias("at"), *(w.alias(c) for c, w in own.items())).alias("_w"), F.struct(*rows.columns).alias("_row"))
     # The first rows of a block are also what the block before it looks ahead to.
     block = F.floor(F.col("_at") / size).cast("long")
     early = (F.col("_at") % size < most) & (block > 0)
     sent = held.withColumn("_b", F.explode(F.when(early, F.array(block, block - 1)).otherwise(F.array(block))))
     mine = F.when(F.floor(F.col("_at") / size) == F.col("_b"), F.struct("_at", "_row"))
-    blocks = sent.groupBy("_g", "_b").agg(F.array_sort(F.collect_list("_w")).alias("items"), F.array_sort(F.collect_list(mine)).alias("rows"))
-    blocks = blocks.withColumn("own", F.size("rows")).select("_g", "_b", "rows", _lengths(weights, most).alias("lengths"))
+    gathered = sent.groupBy("_g", "_b").agg(F.collect_list("_w").alias("items"), F.collect_list(mine).alias("rows"))
+    # By place: the numbers before it are all that decides, as places differ.
+    by_place = "(x, y) -> CAST(x._at - y._at AS INT)"
+    blocks = _once(gathered, ["_g", "_b"], items=F.sort_array("items"), rows=F.expr(f"array_sort(rows, {by_place})"))
+    blocks = _once(blocks.withColumn("own", F.size("rows")), ["_g", "_b", "rows"], lengths=_lengths(weights, most))
 
-    levels, n = [blocks.select("_g", "_b", *_table("lengths", _ROW, most))], -(-longest // size)
+    levels, n = [_once(blocks, ["_g", "_b"], ends=_table("lengths", _ROW, most))], -(-largest // size)
     while n > 1:
         below = levels[-1].withColumn("_up", F.floor(F.col("_b") / BLOCK).cast("long"))
-        inner = F.array_sort(F.collect_list(F.struct("_b", "gaps", "begun")))
         n = -(-n // BLOCK)
-        levels.append(below.groupBy("_g", F.col("_up").alias("_b")).agg(inner.alias("inner")).select("_g", "_b", "inner", *_table("inner", _BLOCK, most)))
+        inner = below.groupBy("_g", F.col("_up").alias("_b")).agg(F.collect_list(F.struct("_b", "ends")).alias("inner"))
+        inner = _once(inner, ["_g", "_b"], inner=F.expr("array_sort(inner, (x, y) -> CAST(x._b - y._b AS INT))"))
+        levels.append(_once(inner, ["_g", "_b", "inner"], ends=_table("inner", _BLOCK, most)))
     begin = F.struct(F.lit(0).alias("gap"), F.lit(0).cast("long").alias("n"))
     if len(levels) == 1:
         known = blocks.withColumn("_s", begin)

@@ -9,9 +9,10 @@ Rounds are written as tables in the shared folder, so that no answer is asked fo
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,40 +40,51 @@ def once_more(rows: int) -> list[int]:
 
 
 def _called(lines: DataFrame, service: Service, also: tuple[str, ...]) -> DataFrame:
-    """(key, answer) of each line: one call for each value of ``_group``. An answer to other ids than were
-    asked, or none at all, leaves the whole group without."""
+    """The lines with ``_answer``: one call for each value of ``_group``. An answer to other ids than were
+    asked, or none at all, leaves the whole group without. Lines pass through as they are, so that no answer
+    has to find its line again."""
+    names = lines.columns
+    where = {c: names.index(c) for c in ("_id", "_asked", "_group", *also)}
 
-    def run(frames):
+    def run(batches):
         held = None
 
-        def ask(part: pd.DataFrame) -> pd.DataFrame:
-            asked = [{"id": i, "source": s, **dict(zip(also, rest))} for i, s, *rest in zip(part["_id"], part["_asked"], *(part[c] for c in also))]
+        def ask(part: pa.Table) -> list[str | None]:
+            columns = {c: part.column(i).to_pylist() for c, i in where.items()}
+            asked = [{"id": i, "source": s, **{c: columns[c][n] for c in also}} for n, (i, s) in enumerate(zip(columns["_id"], columns["_asked"]))]
             try:
                 got = service(asked)
             except ValueError:
                 got = {}
             if not isinstance(got, dict) or set(got) != {line["id"] for line in asked}:
                 got = {}
-            answers = [got.get(line["id"]) for line in asked]
-            return part[["_id"]].assign(_answer=[a if isinstance(a, str) else None for a in answers])
+            return [a if isinstance(a := got.get(line["id"]), str) else None for line in asked]
+
+        def answered(table: pa.Table, groups: list) -> Iterator[pa.RecordBatch]:
+            """The groups of a table, which are all there."""
+            cuts = [0, *(i for i in range(1, len(groups)) if groups[i] != groups[i - 1]), len(groups)]
+            answers = [x for i, j in zip(cuts, cuts[1:]) if j > i for x in ask(table.slice(i, j - i))]
+            yield from table.append_column("_answer", pa.array(answers, pa.string())).to_batches()
 
-        for frame in frames:  # a group may go on in the next frame
-            frame = frame if held is None else pd.concat([held, frame])
-            last = frame["_group"].iloc[-1] if len(frame) else None
-            held = frame[frame["_group"] == last]
-            for _, part in frame[frame["_group"] != last].groupby("_group", sort=False):
-                yield ask(part)
-        if held is not None and len(held):
-            yield ask(held)
+        for batch in batches:  # a group may go on in the next batch
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            groups = table.column(where["_group"]).to_pylist()
+            end = next((i for i in range(len(groups) - 1, -1, -1) if groups[i] != groups[-1]), -1) + 1
+            held = table.slice(end)
+            if end:
+                yield from answered(table.slice(0, end), groups[:end])
+        if held is not None and held.num_rows:
+            yield from answered(held, held.column(where["_group"]).to_pylist())
 
-    dealt = lines.select("_id", "_asked", "_group", *also).repartition("_group").sortWithinPartitions("_group", "_id")
-    return dealt.mapInPandas(run, "_id string, _answer string")
+    schema = ", ".join(f"`{c}` {kind}" for c, kind in lines.dtypes) + ", _answer string"
+    return lines.repartition("_group").sortWithinPartitions("_group", "_id").mapInArrow(run, schema)
 
 
 def _round(lines: DataFrame, service: Service, rules: Callable[[str, str], Rules], mask: str | None, normalise: Callable[[str, str], Column] | None, also: tuple[str, ...]) -> DataFrame:
-    """The lines with ``translation`` and ``reason``, null where the answer holds; written."""
-    hidden = lines.withColumn("_asked", T.masked("source", mask) if mask else F.col("source"))
-    got = hidden.join(_called(hidden, service, also), "_id", "left")
+    """The lines with ``translation`` and ``reason``, null where the answer holds; written. Of lines that are
+    done the source is no longer kept."""
+    got = _called(lines.withColumn("_asked", T.masked("source", mask) if mask else F.col("source")), service, also)
     if mask:
         got = got.withColumn("translation", T.unmasked("_answer", "source", mask))
         marks = r"⟦([0-9]+)⟧"
@@ -83,7 +95,9 @@ def _round(lines: DataFrame, service: Service, rules: Callable[[str, str], Rules
     if normalise:
         got = got.withColumn("translation", normalise("source", "translation"))
     why = reason([(UNANSWERED, F.col("_answer").isNotNull()), *kept, *rules("source", "translation")])
-    return written(got.withColumn("reason", why).drop("_asked", "_answer"), "round")
+    judged = got.withColumn("reason", why).drop("_asked", "_answer")
+    failed = F.col("reason").isNotNull()
+    return written(judged.withColumns({"source": F.when(failed, F.col("source")), "translation": F.when(~failed, F.col("translation"))}), "round")
 
 
 def asked(
