@@ -168,11 +168,12 @@ SCHEMA = "schema"
 
 
 def _proposed(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], turn: int, short: bool) -> DataFrame:
-    """job_id, rows, found, malformed: what the model proposes for each job; found is null if it gave no answer."""
+    """job_id, found, malformed, cited: what the model proposes for each job, and the rows that it cites;
+    found is null if it gave no answer."""
 
     def run(frames):
         for frame in frames:
-            found, malformed = [], []
+            found, malformed, cited = [], [], []
             for rows in frame["rows"]:
                 rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows]
                 given = [{"id": r["id"], "source": r["source"]} for r in rows] if short else rows
@@ -183,9 +184,11 @@ def _proposed(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], tur
                 good = [c for c in items or [] if isinstance(c, dict) and set(c) == set(_KEYS) and all(isinstance(c[k], str) for k in _KEYS[:3]) and isinstance(c["evidence"], list) and all(isinstance(e, str) for e in c["evidence"])]
                 found.append(None if items is None else good)
                 malformed.append(len(items or []) - len(good))
-            yield pd.DataFrame({"job_id": frame["job_id"], "found": found, "malformed": malformed})
+                named = {e for c in good for e in c["evidence"]}
+                cited.append([{"row_id": r["id"], "source": r["source"]} for r in rows if r["id"] in named])
+            yield pd.DataFrame({"job_id": frame["job_id"], "found": found, "malformed": malformed, "cited": cited})
 
-    got = jobs.select("job_id", "rows").mapInPandas(run, f"job_id string, found array<{TERM}>, malformed long")
+    got = jobs.select("job_id", "rows").mapInPandas(run, f"job_id string, found array<{TERM}>, malformed long, cited array<struct<row_id:string,source:string>>")
     return written(got, "extraction")
 
 
@@ -197,13 +200,12 @@ def extracted(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], rou
     again, in the last round with ids and sources alone. What is rejected then makes the job partial: its
     valid candidates are kept, the others told. A job that gets no answer has failed, and is not asked again.
     """
-    rows = jobs.select("job_id", F.explode("rows").alias("r"))
-    rows = rows.select("job_id", F.col("r.id").alias("row_id"), F.col("r.source").alias("source"), T.is_credit_line("r.source").alias("is_credit"))
     settled, frontier = [], jobs.select("job_id", "rows")
     for turn in range(rounds):
         last = turn == rounds - 1
         got = _proposed(frontier, ask, turn, last and rounds > 1)
-        checked = evidence.checked(evidence.candidates(got.where("found IS NOT NULL").withColumnRenamed("found", "terms")), rows.join(got.select("job_id"), "job_id", "left_semi"))
+        rows = got.select("job_id", F.explode("cited").alias("r")).select("job_id", "r.row_id", "r.source", T.is_credit_line("r.source").alias("is_credit"))
+        checked = evidence.checked(evidence.candidates(got.where("found IS NOT NULL").withColumnRenamed("found", "terms")), rows)
         term = F.struct(*_KEYS)
         each = checked.groupBy("job_id").agg(
             F.array_sort(F.collect_list(F.when(F.col("reason").isNull(), F.struct("at", term.alias("t"))))).alias("_kept"),
