@@ -409,7 +409,8 @@ def log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     Lines are read as lines, so a log of any size is split among tasks; only the last bytes of each
     file are looked at apart, to know whether its last line was ended.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    # Each append writes files of its own, whose names are drawn: when they were written is their order.
     # Ids of lines grow within a block and blocks within a file, so (block, id) is their order.
     rows = lines.where(F.trim("value") != "").withColumn("bad", F.get_json_object("value", "$").isNull())
     spoilt = rows.where("bad").select("path", "block", "id")
@@ -420,7 +421,7 @@ def log(spark: SparkSession, path: str, schema: str) -> DataFrame:
         raise Violation("more than a thousand logs end in lines that don't parse")
     ended = {f for f in files if _ends_line(spark, f)}
     assert_none(suspects.where(~F.col("is_last") | F.col("path").isin(*ended) if ended else ~F.col("is_last")).select("path"), "log lines that don't parse")
-    seq = F.struct(_path_order(F.col("path")).alias("p"), F.col("block"), F.col("id"))
+    seq = F.struct("at", _path_order(F.col("path")).alias("p"), "block", "id")
     return rows.where(~F.col("bad")).select(F.from_json("value", schema).alias("v"), seq.alias("seq")).select("v.*", "seq")
 
 
