@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import patterns as P
 from glossmill.functions import text as T
-from glossmill.operators.quality import reason
+from glossmill.operators.quality import Rules, reason
 
 # Categories that a model may give.
 CATEGORIES = (
@@ -20,14 +22,56 @@ def candidates(results: DataFrame) -> DataFrame:
     return results.select("job_id", F.posexplode("terms").alias("at", "t")).select("job_id", "at", "t.*")
 
 
-def _pattern(term: str) -> Column:
+def _pattern(term: Column | str) -> Column:
     """A term stands in its row as a token: bounded where its edges are ASCII alphanumerics."""
+    term = T.col(term)
     escaped = F.concat(F.lit("\\Q"), F.replace(term, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    left = F.when(F.col(term).rlike("^[A-Za-z0-9]"), F.lit(r"(?:(?<![A-Za-z0-9_])|(?<=\\n))")).otherwise(F.lit(""))
-    right = F.when(F.col(term).rlike("[A-Za-z0-9]$"), F.lit("(?![A-Za-z0-9_])")).otherwise(F.lit(""))
+    left = F.when(term.rlike("^[A-Za-z0-9]"), F.lit(r"(?:(?<![A-Za-z0-9_])|(?<=\\n))")).otherwise(F.lit(""))
+    right = F.when(term.rlike("[A-Za-z0-9]$"), F.lit("(?![A-Za-z0-9_])")).otherwise(F.lit(""))
     return F.concat(left, escaped, right)
 
 
+def _rules(of: Callable[[str], Column], unknown: Column, credits: Column, absent: Column, repeated: Column) -> Rules:
+    """The strict rules of a candidate. ``of`` gives its fields; the others say what is wrong with the rows
+    that it cites, and whether it was proposed before."""
+    source, cited = of("source"), of("evidence")
+    return [
+        ("source_form", (T.candidate_text(source, literal_breaks=True) == source) & (F.length(source) <= 80) & (T.occurrences(source, "\n") <= 2) & ~source.rlike(r"[\x00-\x09\x0B-\x1F\x7F]")),
+        ("category", of("category").isin(*CATEGORIES)),
+        ("suggestion", F.length(of("suggested_translation")) <= 120),
+        ("missing_evidence", F.size(cited) > 0),
+        ("unknown_row", ~unknown),
+        ("duplicate_evidence", F.size(F.array_distinct(cited)) == F.size(cited)),
+        ("credit_row", ~credits),
+        ("source_absent", ~absent),
+        ("duplicate_candidate", ~repeated),
+    ]
+
+
+def judged(found: str, rows: str) -> Column:
+    """(candidate, reason) of each of a job's candidates, in order, by the rules of ``checked``; null stays null.
+
+    For candidates that lie in one row with the rows that they cite: ``rows`` holds (row_id, source), and
+    nothing is shuffled to judge them.
+    """
+
+    def one(t: Column, at: Column) -> Column:
+        cites = lambda r: F.array_contains(t["evidence"], r["row_id"])
+        some = lambda test: F.coalesce(F.exists(rows, lambda r: cites(r) & F.coalesce(test(r), F.lit(False))), F.lit(False))
+        known = lambda e: F.exists(rows, lambda r: (r["row_id"] == e) & r["source"].isNotNull())
+        same = lambda o: (o["source"] == t["source"]) & (o["category"] == t["category"]) & (o["evidence"] == t["evidence"])
+        broken = _rules(
+            lambda name: t[name],
+            F.exists(t["evidence"], lambda e: ~known(e)),
+            some(lambda r: T.is_credit_line(r["source"])),
+            some(lambda r: ~F.rlike(r["source"], _pattern(t["source"]))),
+            F.exists(F.slice(found, F.lit(1), at), same),
+        )
+        return F.struct(t.alias("candidate"), reason(broken).alias("reason"))
+
+    return F.transform(found, one)
+
+
 def checked(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Candidates with ``reason``: null if valid, else the first rule that fails.
 
@@ -43,18 +87,8 @@ def checked(found: DataFrame, rows: DataFrame) -> DataFrame:
     )
     seen = found.groupBy("job_id", "source", "category", F.col("evidence")).agg(F.min("at").alias("first"))
     joined = found.join(refs, ["job_id", "at"], "left").join(seen, ["job_id", "source", "category", "evidence"], "left")
-    breaks = T.occurrences("source", "\n")
-    rules = [
-        ("source_form", (T.candidate_text("source", literal_breaks=True) == F.col("source")) & (F.length("source") <= 80) & (breaks <= 2) & ~F.col("source").rlike(r"[\x00-\x09\x0B-\x1F\x7F]")),
-        ("category", F.col("category").isin(*CATEGORIES)),
-        ("suggestion", F.length("suggested_translation") <= 120),
-        ("missing_evidence", F.size("evidence") > 0),
-        ("unknown_row", F.coalesce("unknown", F.lit(0)) == 0),
-        ("duplicate_evidence", F.size(F.array_distinct("evidence")) == F.size("evidence")),
-        ("credit_row", F.coalesce("credits", F.lit(0)) == 0),
-        ("source_absent", F.coalesce("absent", F.lit(0)) == 0),
-        ("duplicate_candidate", F.coalesce(F.col("first"), F.col("at")) == F.col("at")),
-    ]
+    some = lambda c: F.coalesce(c, F.lit(0)) > 0
+    rules = _rules(F.col, some("unknown"), some("credits"), some("absent"), F.coalesce(F.col("first"), F.col("at")) != F.col("at"))
     return joined.withColumn("reason", reason(rules)).drop("unknown", "credits", "absent", "first")
 
 

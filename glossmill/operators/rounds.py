@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -164,32 +163,39 @@ def _by_parts(lines: DataFrame, service, rules, caps: list[int], mask, normalise
 
 TERM = "struct<source:string,category:string,suggested_translation:string,evidence:array<string>>"
 _KEYS = ("source", "category", "suggested_translation", "evidence")
+_JUDGED = f"array<struct<candidate:{TERM},reason:string>>"
 SCHEMA = "schema"
 
 
+_TERM = pa.struct([*((k, pa.string()) for k in _KEYS[:3]), ("evidence", pa.list_(pa.string()))])
+_CITED = pa.struct([("row_id", pa.string()), ("source", pa.string())])
+_JOBS_AT_ONCE = 256
+
+
 def _proposed(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], turn: int, short: bool) -> DataFrame:
-    """job_id, found, malformed, cited: what the model proposes for each job, and the rows that it cites;
-    found is null if it gave no answer."""
-
-    def run(frames):
-        for frame in frames:
-            found, malformed, cited = [], [], []
-            for rows in frame["rows"]:
-                rows = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows]
-                given = [{"id": r["id"], "source": r["source"]} for r in rows] if short else rows
-                try:
-                    items = ask(given, turn)
-                except ValueError:
-                    items = None
-                good = [c for c in items or [] if isinstance(c, dict) and set(c) == set(_KEYS) and all(isinstance(c[k], str) for k in _KEYS[:3]) and isinstance(c["evidence"], list) and all(isinstance(e, str) for e in c["evidence"])]
-                found.append(None if items is None else good)
-                malformed.append(len(items or []) - len(good))
-                named = {e for c in good for e in c["evidence"]}
-                cited.append([{"row_id": r["id"], "source": r["source"]} for r in rows if r["id"] in named])
-            yield pd.DataFrame({"job_id": frame["job_id"], "found": found, "malformed": malformed, "cited": cited})
-
-    got = jobs.select("job_id", "rows").mapInPandas(run, f"job_id string, found array<{TERM}>, malformed long, cited array<struct<row_id:string,source:string>>")
-    return written(got, "extraction")
+    """The jobs with found, malformed and cited: what the model proposes for each, and the rows that it
+    cites; found is null if it gave no answer. Jobs pass through as they are."""
+
+    def proposed(rows: list[dict]) -> tuple[list[dict] | None, int, list[dict]]:
+        try:
+            items = ask([{"id": r["id"], "source": r["source"]} for r in rows] if short else rows, turn)
+        except ValueError:
+            return None, 0, []
+        good = [c for c in items or [] if isinstance(c, dict) and set(c) == set(_KEYS) and all(isinstance(c[k], str) for k in _KEYS[:3]) and isinstance(c["evidence"], list) and all(isinstance(e, str) for e in c["evidence"])]
+        named = {e for c in good for e in c["evidence"]}
+        return good if items is not None else None, len(items or []) - len(good), [{"row_id": r["id"], "source": r["source"]} for r in rows if r["id"] in named]
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, _JOBS_AT_ONCE):
+                part = batch.slice(start, _JOBS_AT_ONCE)
+                found, malformed, cited = zip(*(proposed(rows) for rows in part.column(1).to_pylist()))
+                columns = [*part.columns, pa.array(found, pa.list_(_TERM)), pa.array(malformed, pa.int64()), pa.array(cited, pa.list_(_CITED))]
+                yield pa.RecordBatch.from_arrays(columns, ["job_id", "rows", "found", "malformed", "cited"])
+
+    jobs = jobs.select("job_id", "rows")
+    kinds = ", ".join(f"{c} {kind}" for c, kind in jobs.dtypes)
+    return jobs.mapInArrow(run, f"{kinds}, found array<{TERM}>, malformed long, cited array<struct<row_id:string,source:string>>")
 
 
 def extracted(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], rounds: int = 3) -> DataFrame:
@@ -200,35 +206,26 @@ def extracted(jobs: DataFrame, ask: Callable[[list[dict], int], list[dict]], rou
     again, in the last round with ids and sources alone. What is rejected then makes the job partial: its
     valid candidates are kept, the others told. A job that gets no answer has failed, and is not asked again.
     """
-    settled, frontier = [], jobs.select("job_id", "rows")
+    settled, frontier = [], jobs
+    none = lambda kind: F.array().cast(kind)
     for turn in range(rounds):
         last = turn == rounds - 1
-        got = _proposed(frontier, ask, turn, last and rounds > 1)
-        rows = got.select("job_id", F.explode("cited").alias("r")).select("job_id", "r.row_id", "r.source", T.is_credit_line("r.source").alias("is_credit"))
-        checked = evidence.checked(evidence.candidates(got.where("found IS NOT NULL").withColumnRenamed("found", "terms")), rows)
-        term = F.struct(*_KEYS)
-        each = checked.groupBy("job_id").agg(
-            F.array_sort(F.collect_list(F.when(F.col("reason").isNull(), F.struct("at", term.alias("t"))))).alias("_kept"),
-            F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), F.struct("at", term.alias("candidate"), "reason")))).alias("_bad"),
-        )
-        bad = F.coalesce(F.transform("_bad", lambda x: F.struct(x["candidate"].alias("candidate"), x["reason"].alias("reason"))), F.array().cast(f"array<struct<candidate:{TERM},reason:string>>"))
-        judged = got.join(each, "job_id", "left").select(
-            "job_id", F.col("found").isNull().alias("_none"), "malformed",
-            F.coalesce(F.transform("_kept", lambda x: x["t"]), F.array().cast(f"array<{TERM}>")).alias("terms"), bad.alias("rejected_candidates"),
-        )
+        each = _proposed(frontier, ask, turn, last and rounds > 1).withColumn("_each", F.coalesce(evidence.judged("found", "cited"), none(_JUDGED)))
         names = F.concat(F.transform("rejected_candidates", lambda x: x["reason"]), F.array_repeat(F.lit(SCHEMA), F.col("malformed").cast("int")))
         counted = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(names)), lambda n: F.struct(n, F.size(F.filter(names, lambda m: m == n)).cast("long"))))
-        judged = judged.withColumn("reject_reasons", counted).withColumn("rejected_count", F.size("rejected_candidates").cast("long") + F.col("malformed"))
-        status = F.when(F.col("_none"), "failed").when(F.col("rejected_count") == 0, "complete").otherwise("partial")
-        judged = judged.select("job_id", status.alias("status"), "terms", "rejected_count", "reject_reasons", "rejected_candidates", F.lit(turn + 1).alias("rounds"))
-        if not last:
-            judged = written(judged, "judged")
-        settled.append(judged if last else judged.where("status <> 'partial'"))
-        if not last:
-            open_ = judged.where("status = 'partial'").select("job_id")
-            if open_.isEmpty():
-                break
-            frontier = frontier.join(open_, "job_id", "left_semi")
+        status = F.when(F.col("found").isNull(), "failed").when(F.col("rejected_count") == 0, "complete").otherwise("partial")
+        told = each.withColumns({
+            "terms": F.transform(F.filter("_each", lambda x: x["reason"].isNull()), lambda x: x["candidate"]),
+            "rejected_candidates": F.filter("_each", lambda x: x["reason"].isNotNull()),
+        })
+        told = told.withColumn("rejected_count", F.size("rejected_candidates").cast("long") + F.col("malformed")).withColumn("reject_reasons", counted)
+        told = told.withColumn("status", status)
+        kept = F.when((F.col("status") == "partial") & F.lit(not last), F.col("rows")).alias("rows")  # of jobs that are asked again
+        got = written(told.select("job_id", "status", "terms", "rejected_count", "reject_reasons", "rejected_candidates", F.lit(turn + 1).alias("rounds"), kept), "extraction")
+        frontier = got.where("status = 'partial'").select("job_id", "rows")
+        settled.append((got if last else got.where("status <> 'partial'")).drop("rows"))
+        if last or frontier.isEmpty():
+            break
     out = settled[0]
     for frame in settled[1:]:
         out = out.unionByName(frame)

@@ -89,6 +89,12 @@ def test_evidence(spark):
     rows = spark.createDataFrame([("j", "r1", "青い鍵だ", False), ("j", "r2", "作詞：山", True)], "job_id string, row_id string, source string, is_credit boolean")
     found = evidence.checked(evidence.candidates(spark.createDataFrame([("j", given)], kind)), rows)
     assert [r["reason"] for r in found.orderBy("at").collect()] == [None, "duplicate_candidate", "category", "missing_evidence", "unknown_row", "source_absent", "duplicate_evidence", "source_form", "credit_row"]
+    beside = rows.groupBy("job_id").agg(F.collect_list(F.struct("row_id", "source")).alias("rows"))
+    within = spark.createDataFrame([("j", given)], kind).join(beside, "job_id").select(F.explode(evidence.judged("terms", "rows")).alias("t")).select("t.candidate.*", "t.reason")
+    assert [tuple(r) for r in within.collect()] == [tuple(r) for r in found.orderBy("at").select("source", "category", "suggested_translation", "evidence", "reason").collect()]
+    odd = spark.createDataFrame([("k", None, []), ("l", [], None), ("m", [("鍵", "item", "", ["r"])], [("r", None)])], f"{kind}, rows array<struct<row_id:string,source:string>>")
+    got = {r["job_id"]: r["t"] and [x["reason"] for x in r["t"]] for r in odd.select("job_id", evidence.judged("terms", "rows").alias("t")).collect()}
+    assert got == {"k": None, "l": [], "m": ["unknown_row"]}
 
 
 def test_decisions(spark):
