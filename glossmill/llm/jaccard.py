@@ -8,7 +8,8 @@
    sets of similarity t must share one. For those it sends a parity signature of its whole set.
    Signatures differ in no more bits than sets differ in members, so pairs whose signatures lie
    too far apart are no links; what remains chains into clusters, which no link crosses. Buckets
-   answer with edges that span their part of a cluster, never with pairs.
+   answer with edges that span their part of a cluster, never with pairs. The list of a token that more
+   than LIST_CLASSES classes sent is cut into parts, which meet each other in tasks of their own.
 3. The sets of a cluster meet in blocks of bounded size (by size class where a cluster is larger
    than a block). A block stores its sequences in a trie; each set walks it, carrying the overlap
    that a path shares, and leaves a subtree once the members left cannot reach the threshold.
@@ -36,6 +37,7 @@ from glossmill.llm.frames import IdFilter, cut, pieces
 COUNTERS = 1 << 19
 BLOCK_SETS = 1500
 BLOCK_SHINGLES = 3_000_000
+LIST_CLASSES = 8192
 _SALTS = 64
 
 
@@ -198,15 +200,21 @@ def _link_block(keys: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     return order, root
 
 
-def _chain_list(own: np.ndarray, sizes: np.ndarray, marks: list[np.ndarray], root: np.ndarray, num: int, den: int) -> None:
-    """Join in ``root`` the classes of one list, in order of size, that signatures don't tell apart."""
+def _chain_list(own: np.ndarray, side: np.ndarray, sizes: np.ndarray, marks: list[np.ndarray], root: np.ndarray, num: int, den: int) -> None:
+    """Join in ``root`` the classes of one list, in order of size, that signatures don't tell apart.
+
+    side: 0 and 1 in a list of two parts, whose pairs inside a part are other lists' work.
+    """
     n = sizes[own]
+    across = bool(side.any())
     for width in {len(marks[i]) for i in own}:
         low = np.flatnonzero([len(marks[i]) == width for i in own])
         reach = np.flatnonzero([width <= len(marks[i]) for i in own])
         table = np.array([np.bitwise_xor.reduce(marks[i].reshape(-1, width)) for i in own[reach]])
         for x in low.tolist():
             fits = (reach > x) & (n[x] * den >= num * n[reach]) & (root[own[reach]] != root[own[x]])
+            if across:
+                fits &= side[reach] != side[x]
             if not fits.any():
                 continue
             at = np.flatnonzero(fits)
@@ -225,6 +233,7 @@ def similar_documents(
     percent: int = 80,
     block_sets: int = BLOCK_SETS,
     block_shingles: int = BLOCK_SHINGLES,
+    list_classes: int = LIST_CLASSES,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: documents whose shingle sets overlap by ``percent`` of
     their union are linked; component_id is the smallest doc_id that links reach."""
@@ -280,7 +289,8 @@ def similar_documents(
         return pa.table([pa.array([chunk] * len(used), pa.int32()), pa.array(used, pa.int32()), *columns], ["chunk", "bucket", "tokens", "sizes"])
 
     def tell(group: pa.Table) -> pa.Table:
-        """Which postings have another of a fitting size next to them in their token's list."""
+        """Which postings have another of a fitting size next to them in their token's list; the tokens whose
+        lists are long, and the parts that each is cut into."""
         rows = group["tokens"].to_pylist()
         ends = np.cumsum([0, *(len(r) // 8 for r in rows)])
         tokens, sizes = np.frombuffer(b"".join(rows), np.uint64), np.frombuffer(b"".join(group["sizes"].to_pylist()), np.int32).astype(np.int64)
@@ -290,26 +300,47 @@ def similar_documents(
         met[order[1:]] |= near
         met[order[:-1]] |= near
         bits = [np.packbits(met[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
-        return pa.table({"chunk": group["chunk"], "bucket": group["bucket"], "bits": pa.array(bits, pa.binary())})
+        listed, length = np.unique(tokens[met], return_counts=True)
+        long = listed[length > list_classes]
+        parts = -(-length[length > list_classes] // list_classes)
+        own = [np.isin(long, tokens[a:b]) if len(long) else np.zeros(0, bool) for a, b in zip(ends, ends[1:])]
+        columns = [pa.array(bits, pa.binary()), pa.array([long[o].tobytes() for o in own], pa.binary()), pa.array([parts[o].astype(np.int32).tobytes() for o in own], pa.binary())]
+        return pa.table([group["chunk"], group["bucket"], *columns], ["chunk", "bucket", "bits", "long", "parts"])
 
     def offer(group: pa.Table, told: pa.Table) -> pa.Table:
+        """A chunk's postings that met others. Those of a long list are dealt to its parts by class, and each
+        part goes to the tasks in which it meets itself and every other part."""
         out: list[tuple] = []
         if group.num_rows and told.num_rows:
             group, tokens, which, cuts, _ = postings(group)
             reps, sizes, marks = group["doc_id"].to_numpy(), group["n"].to_numpy(), group["marks"].to_pylist()
-            for b, bits in zip(told["bucket"].to_pylist(), told["bits"].to_pylist()):
+
+            def send(bucket: int, at: np.ndarray, *task: int) -> None:
+                classes, own = np.unique(which[at], return_inverse=True)
+                out.append((bucket, *task, tokens[at].tobytes(), own.astype(np.int32).tobytes(), reps[classes].tobytes(), sizes[classes].tobytes(), b"".join(marks[c] for c in classes)))
+
+            for b, bits, long, parts in zip(*(told[c].to_pylist() for c in ("bucket", "bits", "long", "parts"))):
                 at = cuts[b] + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[b + 1] - cuts[b]))
-                if len(at):
-                    classes, own = np.unique(which[at], return_inverse=True)
-                    out.append((b, tokens[at].tobytes(), own.astype(np.int32).tobytes(), reps[classes].tobytes(), sizes[classes].tobytes(), b"".join(marks[c] for c in classes)))
-        columns = list(zip(*out)) or [()] * 6
-        return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "tokens", "own", "reps", "sizes", "marks"])
+                long, parts = np.frombuffer(long, np.uint64), np.frombuffer(parts, np.int32)
+                whole = at[~np.isin(tokens[at], long)] if len(long) else at
+                if len(whole):
+                    send(b, whole, 0, -1, -1, 0)
+                for token, k in zip(long, parts.tolist()):
+                    mine = at[tokens[at] == token]
+                    part = (mix(reps[which[mine]].astype(np.uint64)) % np.uint64(k)).astype(np.int64)
+                    for i in np.unique(part).tolist():
+                        for j in range(k):
+                            send(b, mine[part == i], int(token.astype(np.int64)), min(i, j), max(i, j), int(i > j))
+        columns = list(zip(*out)) or [()] * 10
+        kinds = [pa.int32(), pa.int64(), *[pa.int32()] * 3, *[pa.binary()] * 5]
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["bucket", "token", "x", "y", "side", "tokens", "own", "reps", "sizes", "marks"])
 
     def chain(group: pa.Table) -> pa.Table:
-        tokens, own, reps, sizes, marks, seen = [], [], [], [], [], 0
-        for t, o, r, n, m in zip(*(group[c].to_pylist() for c in ("tokens", "own", "reps", "sizes", "marks"))):
+        tokens, own, side, reps, sizes, marks, seen = [], [], [], [], [], [], 0
+        for part, t, o, r, n, m in zip(*(group[c].to_pylist() for c in ("side", "tokens", "own", "reps", "sizes", "marks"))):
             tokens.append(np.frombuffer(t, np.uint64))
             own.append(np.frombuffer(o, np.int32).astype(np.int64) + seen)
+            side.append(np.full(len(own[-1]), part, np.int8))
             reps.append(np.frombuffer(r, np.int64))
             sizes.append(np.frombuffer(n, np.int64))
             at = 0
@@ -317,28 +348,31 @@ def similar_documents(
                 marks.append(np.frombuffer(m, np.uint64, _width(k) // 64, at))
                 at += _width(k) // 8
             seen += len(reps[-1])
-        tokens, own, reps, sizes = (np.concatenate(x) for x in (tokens, own, reps, sizes))
+        tokens, own, side, reps, sizes = (np.concatenate(x) for x in (tokens, own, side, reps, sizes))
         order = np.lexsort((reps[own], sizes[own], tokens))
-        tokens, own = tokens[order], own[order]
+        tokens, own, side = tokens[order], own[order], side[order]
         root = np.arange(len(reps))
         cuts = np.r_[0, np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, len(tokens)]
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
             if b - a > 1:
-                _chain_list(own[a:b], sizes, marks, root, num, den)
+                _chain_list(own[a:b], side[a:b], sizes, marks, root, num, den)
         nodes = reps[root]
         apart = nodes != reps
         return pa.table({"a": reps[apart], "b": nodes[apart]})
 
     asked = heads.groupBy("chunk").applyInArrow(ask, "chunk int, bucket int, tokens binary, sizes binary")
-    told = asked.groupBy("bucket").applyInArrow(tell, "chunk int, bucket int, bits binary")
-    offered = heads.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(offer, "bucket int, tokens binary, own binary, reps binary, sizes binary, marks binary")
-    edges = offered.groupBy("bucket").applyInArrow(chain, "a long, b long")
+    told = asked.groupBy("bucket").applyInArrow(tell, "chunk int, bucket int, bits binary, long binary, parts binary")
+    sent = "bucket int, token long, x int, y int, side int, tokens binary, own binary, reps binary, sizes binary, marks binary"
+    offered = heads.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(offer, sent)
+    edges = offered.groupBy("bucket", "token", "x", "y").applyInArrow(chain, "a long, b long")
     clusters = components(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
     members = cut(profiles.select("doc_id", "n", "s1", "s2").join(chosen, ["doc_id", "s1", "s2"]).distinct().join(clusters, "doc_id"))
     linked = components(_linked(docs, members, counts, words, num, den, block_sets, block_shingles))
 
-    of_salt = by_salt.drop("rep").join(classes, ["s1", "s2", "n"])
-    keyed = salted.join(of_salt, ["s1", "s2", "n", "salt"], "left").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    # Classes find their component before their members find them, so that no key holds more than a salt's share of rows.
+    placed = classes.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    of_salt = by_salt.drop("rep").join(placed, ["s1", "s2", "n"])
+    keyed = salted.join(of_salt, ["s1", "s2", "n", "salt"], "left")
     joined = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return keyed.select("doc_id", F.col("n").alias("n_shingles"), joined.alias("component_id"))
 

@@ -130,6 +130,32 @@ def test_jaccard_of_sets_of_very_different_size(spark, percent):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: i % 10 for i, _ in rows}
 
 
+@pytest.mark.parametrize("lists", [2, 7, 8192])
+def test_jaccard_of_long_lists_in_parts(spark, lists):
+    rng, bases = np.random.default_rng(5), [[f"b{b}_{i}" for i in range(40)] for b in range(4)]
+    rows = []
+    for i in range(240):  # near copies of four texts, at some distance, so that lists are long and links few
+        words = list(bases[i % 4])
+        for at in rng.choice(40, int(rng.integers(0, 4)), replace=False):
+            words[at] = f"x{rng.integers(0, 30)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: set(t.split(" ")) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 97 * len(sets[a] | sets[b])]
+    got = jaccard.similar_documents(table(spark, rows), words=1, percent=97, list_classes=lists).collect()
+    want = components(sets, links)
+    assert 4 < len(set(want.values())) < 240
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_chains_of_two_parts_join_across_them_only():
+    one, other = (jaccard.mix(np.arange(at, at + 200, dtype=np.uint64)) for at in (0, 1000))
+    marks, sizes, own = [jaccard._signature(s, 512) for s in (one, one, other, other)], np.full(4, 200), np.arange(4)
+    for side, want in (([0, 0, 0, 0], [0, 0, 2, 2]), ([0, 1, 0, 1], [0, 0, 2, 2]), ([0, 0, 1, 1], [0, 1, 2, 3])):
+        root = np.arange(4)
+        jaccard._chain_list(own, np.array(side, np.int8), sizes, marks, root, 9, 10)
+        assert [int(r) for r in root] == want, side
+
+
 def test_jaccard_null_id(spark):
     got = jaccard.similar_documents(spark.createDataFrame([(None, "a b c d"), (7, "a b c d")], "doc_id long, text string")).collect()
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(None, None), (7, 7)}
