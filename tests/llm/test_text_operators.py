@@ -385,3 +385,14 @@ def test_whole_licenses_are_refused_if_their_last_sentence_differs(spark):
     texts = [BSD_3, BSD_3.replace("SUCH DAMAGE", "ANY DAMAGE"), two, two.replace("STRICT LIABILITY, ", ""), ISC, ISC.replace("THE USE OR PERFORMANCE", "THE USE")]
     got = {r["doc_id"]: r["labels"] for r in licenses.scan(table(spark, list(enumerate(texts)))).collect()}
     assert got == {0: "bsd-3-clause", 1: "", 2: "bsd-2-clause", 3: "", 4: "isc", 5: ""}
+
+
+def test_a_number_whose_area_code_in_brackets_begins_with_zero_is_replaced(spark):
+    from glossmill.llm import surrogates as S
+
+    texts = ["call (012) 345-6789 now", "call (001) 345-6789 now", "call 012-345-6789 now"]
+    got = {r["text"]: r["n_replaced"] for r in S.surrogates(table(spark, list(enumerate(texts))), key=b"k").collect()}
+    assert set(got.values()) == {1} and not set(got) & set(texts)
+    assert {re.sub(r"\d", "0", t) for t in got} == {re.sub(r"\d", "0", t) for t in texts}
+    same = [re.sub(r"\D", "", S.replaced(t, {}, b"k")[0]) for t in (texts[0], texts[2])]
+    assert same[0] == same[1]  # one value, one surrogate
