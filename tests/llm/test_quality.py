@@ -96,3 +96,25 @@ def test_features_see_repeated_words_and_lines():
     assert (x[2] == 0).all() and x[3, 10:19].tolist() == pytest.approx([0, 0.2, 0.2, 0.2, 0, 0, 0.2, 0.2, 0])
     alone = quality.features(pa.array(["A1! |"]))
     assert np.array_equal(alone[0], x[3])  # whatever stands beside it
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    n, wide = 51_000, 1_000_000
+    # All rows of label 0 stand where a sample of 50,000 rows by a hash of the id would not look.
+    ids = spark.range(n).selectExpr("id AS doc_id", f"pmod(xxhash64(id), {wide}) < {int(wide * 50_000 / n)} AS good")
+    docs = ids.selectExpr("doc_id", f"CASE WHEN good THEN '{GOOD.format(1)}' ELSE '{BAD.format(1)}' END AS text")
+    labels = ids.selectExpr("doc_id", "CAST(good AS int) AS quality")
+    got = quality.rank(docs, labels, folds=10**9).join(labels, "doc_id").groupBy("quality", "predicted").count().collect()
+    assert {(r["quality"], r["predicted"]) for r in got} == {(0, 0), (1, 1)} and sum(r["count"] for r in got) == n
+
+
+@pytest.mark.parametrize("run", [10**6, 40])
+def test_the_threshold_has_the_fewest_errors_of_all_scores(spark, run):
+    rng = np.random.default_rng(3)
+    for labels in (lambda s: s + rng.normal(0, 1, len(s)) > 0.4, lambda s: s > 9, lambda s: s < 9, lambda s: s < 0):
+        s = np.round(rng.normal(0, 1, 700), 2)
+        y = labels(s).astype(int)
+        got = quality._threshold(spark.createDataFrame(list(zip(s.tolist(), y.tolist())), "s double, y int"), run)
+        places = [s.min() - 1, *((a + b) / 2 for a, b in zip(np.unique(s), np.unique(s)[1:])), s.max() + 1]
+        found = [(int(((s >= t) != (y == 1)).sum()), abs(int((s < t).sum()) - int((y == 0).sum())), int((s < t).sum()), t) for t in places]
+        assert got == pytest.approx(min(found)[3], abs=1e-12)
