@@ -267,3 +267,19 @@ def test_empty_tables(spark):
     empty = table(spark, [])
     assert piececoding.encode(empty).isEmpty() and packing.pack(empty).isEmpty()
     assert langid.identify(empty).isEmpty() and surrogates.surrogates(empty).isEmpty()
+
+
+def test_pieces_keep_little_and_digests_are_those_of_ids_and_text(spark, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(piececoding, "CACHED", 50)
+    encoded = piececoding.PieceTable(piececoding.default_model())
+    for text in ("x" * 5000, "一" * 3000, " ".join(f"w{i}" for i in range(500))):
+        encoded.encode(text)
+        kept = [*encoded.segments, *encoded.marked]
+        assert len(kept) <= 100 and max(map(len, kept), default=0) <= 64  # a long segment would stay with its worker
+    whole = {r["doc_id"]: r for r in piececoding.encode(table(spark, ODD), and_decode=True).collect()}
+    sha = lambda value: hashlib.sha256(value.encode()).hexdigest()
+    for r in piececoding.encode(table(spark, ODD), digests=True).collect():
+        ids, decoded = whole[r["doc_id"]]["ids"], whole[r["doc_id"]]["decoded"]
+        assert r[1:] == (len(ids), sha(" ".join(map(str, ids))), sha(decoded))
